@@ -14,6 +14,7 @@ from casewatch.config import (
     DATE_FORMATS,
     FIXED_LIMITATIONS,
     FLAG_VALUES,
+    FLAGGED_PHRASES,
     NON_SERIOUS_VALUES,
     NULL_SENTINELS,
     REACTION_SERIOUS_VALUES,
@@ -650,3 +651,60 @@ ORACLE["reporting_period"] = _sql(
   (year(end_d) * 12 + month(end_d)) - (year(start_d) * 12 + month(start_d)) + 1 AS number_of_months
 FROM metrics""",
 )
+
+
+# --- F: grounding -----------------------------------------------------------------
+
+# DuckDB has no look-behind: blank out a sign/digit that follows an ASCII
+# letter, then match the rest of the pattern (same tokens as the original).
+_NUM_RE = r"[-+]?\d{1,3}(?:,\d{3})*(?:\.\d+)?%?|[-+]?\d+(?:\.\d+)?%?"
+
+
+def numbers(e: str) -> str:
+    return f"regexp_extract_all(regexp_replace({e}, '([A-Za-z])[-+0-9]', '\\1 ', 'g'), '{_NUM_RE}')"
+
+
+def numval(e: str) -> str:
+    return f"try_cast(regexp_replace({e}, '[,%]', '', 'g') AS DOUBLE)"
+
+
+DOC_NUMBERS = f"""
+doc_nums AS (SELECT doc_id, lang, {numbers('text')} AS nums FROM documents),
+text_numbers AS (
+  SELECT doc_id, lang, unnest(generate_series(1, len(nums))) AS pos, unnest(nums) AS number FROM doc_nums
+),
+page_nums AS (
+  SELECT regexp_extract(html, '<html lang="([A-Za-z-]+)"', 1) AS lang, unnest({numbers('html')}) AS n FROM pages
+),
+evidence AS (SELECT DISTINCT lang, {numval('n')} AS value FROM page_nums),
+unsupported AS (
+  SELECT t.doc_id, t.lang, t.pos, t.number, {numval('t.number')} AS value FROM text_numbers t
+  WHERE NOT EXISTS (SELECT 1 FROM evidence e WHERE e.lang = t.lang AND e.value = {numval('t.number')})
+)"""
+
+_CHECK = list(FLAGGED_PHRASES) + ["license", "licensed", "all rights reserved", "apache", "mit"]
+_PHRASES = ", ".join(f"({i + 1}, '{p}')" for i, p in enumerate(_CHECK))
+
+FINDINGS = f"""
+phrases(ord, phrase) AS (VALUES {_PHRASES}),
+findings AS (
+  SELECT doc_id, ord, phrase, 'Potentially unsupported claim: ''' || phrase || '''' AS finding
+  FROM documents JOIN phrases ON contains(lower(text), phrase)
+  WHERE text IS NOT NULL AND text <> ''
+  UNION ALL
+  SELECT doc_id, 0, NULL, 'Generated text is empty.' FROM documents WHERE text IS NULL OR text = ''
+)"""
+
+ORACLE["text_numbers"] = f"WITH {DOC_NUMBERS}\nSELECT doc_id, lang, pos, number, {numval('number')} AS value FROM text_numbers"
+ORACLE["evidence_numbers"] = f"WITH {DOC_NUMBERS}\nSELECT lang, value FROM evidence"
+ORACLE["unsupported_numbers"] = f"WITH {DOC_NUMBERS}\nSELECT doc_id, lang, pos, number, value FROM unsupported"
+ORACLE["claim_phrases"] = f"WITH {FINDINGS}\nSELECT doc_id, ord, phrase, finding FROM findings"
+ORACLE["section_validation"] = f"""WITH {DOC_NUMBERS}, {FINDINGS},
+nb AS (SELECT doc_id, count(*) AS c FROM unsupported GROUP BY 1),
+nc AS (SELECT doc_id, count(*) AS c FROM findings GROUP BY 1),
+v AS (
+  SELECT d.doc_id, coalesce(nb.c, 0) AS n_unsupported_numbers, coalesce(nc.c, 0) AS n_unsupported_claims,
+    coalesce(nb.c, 0) = 0 AND coalesce(nc.c, 0) = 0 AND coalesce({strip('d.text')} <> '', false) AS valid
+  FROM documents d LEFT JOIN nb ON d.doc_id = nb.doc_id LEFT JOIN nc ON d.doc_id = nc.doc_id
+)
+SELECT doc_id, n_unsupported_numbers, n_unsupported_claims, valid, NOT valid AS human_review_required FROM v"""

@@ -251,3 +251,64 @@ QUERIES: dict[str, Query] = {
     "missingness_notes": q_missingness_notes,
     "reporting_period": q_reporting_period,
 }
+
+
+# -- F: grounding checks over text ---------------------------------------------
+
+from casewatch.config import FLAGGED_PHRASES  # noqa: E402
+from casewatch.operators import grounding as G  # noqa: E402
+
+# The fixed phrase list plus licence phrases that do occur in the documents.
+CHECK_PHRASES = FLAGGED_PHRASES + ("license", "licensed", "all rights reserved", "apache", "mit")
+
+
+def _documents(spark, sf):
+    return A.table(spark, sf, "documents").select("doc_id", "lang", "text")
+
+
+def _page_evidence(spark, sf):
+    """Evidence texts: every page, grouped by the language of its html tag."""
+    pages = A.table(spark, sf, "pages")
+    return pages.select(F.regexp_extract("html", r'<html lang="([A-Za-z-]+)"', 1).alias("lang"), "html")
+
+
+def _doc_numbers(spark, sf):
+    return G.text_numbers(_documents(spark, sf), ["doc_id", "lang"])
+
+
+def _doc_unsupported(spark, sf):
+    evidence = G.evidence_numbers_from_text(_page_evidence(spark, sf), ["lang"], "html")
+    return G.unsupported_numbers(_doc_numbers(spark, sf), evidence, ["lang"])
+
+
+def q_text_numbers(spark, sf):
+    return _doc_numbers(spark, sf)
+
+
+def q_evidence_numbers(spark, sf):
+    return G.evidence_numbers_from_text(_page_evidence(spark, sf), ["lang"], "html")
+
+
+def q_unsupported_numbers(spark, sf):
+    return _doc_unsupported(spark, sf)
+
+
+def q_claim_phrases(spark, sf):
+    return G.claim_findings(_documents(spark, sf), ["doc_id"], phrases=CHECK_PHRASES)
+
+
+def q_section_validation(spark, sf):
+    docs = _documents(spark, sf)
+    findings = G.claim_findings(docs, ["doc_id"], phrases=CHECK_PHRASES)
+    return G.section_validation(docs, ["doc_id"], _doc_unsupported(spark, sf), findings)
+
+
+QUERIES.update(
+    {
+        "text_numbers": q_text_numbers,
+        "evidence_numbers": q_evidence_numbers,
+        "unsupported_numbers": q_unsupported_numbers,
+        "claim_phrases": q_claim_phrases,
+        "section_validation": q_section_validation,
+    }
+)
