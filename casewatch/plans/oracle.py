@@ -708,3 +708,249 @@ v AS (
   FROM documents d LEFT JOIN nb ON d.doc_id = nb.doc_id LEFT JOIN nc ON d.doc_id = nc.doc_id
 )
 SELECT doc_id, n_unsupported_numbers, n_unsupported_claims, valid, NOT valid AS human_review_required FROM v"""
+
+
+# --- A19: evidence facts, grouped by country, target filter on -------------------
+
+RAW_G = RAW.replace(
+    "  FROM core LEFT JOIN packed", "  , core.primarysourcecountry AS country\n  FROM core LEFT JOIN packed"
+)
+
+EVIDENCE_BASE = f"""WITH {RAW_G},
+{_typed(CASE_COLS + PACKED_COLS + ['country'], 'raw', 'typed')},
+latest AS (
+  SELECT * FROM typed
+  QUALIFY row_number() OVER (PARTITION BY safetyreportid ORDER BY safetyreportversion DESC) = 1
+),
+retained AS (
+  SELECT * FROM latest
+  WHERE coalesce(regexp_matches(upper(patient_drug_activesubstance_activesubstancename), '{TARGET}'), false)
+),
+{_cases_cte('retained', extra=', country')},
+{_reactions_cte('retained', carry=['country'])},
+{_drugs_cte('retained', carry=['country'])},
+gm AS (
+  SELECT country, count(*) AS total_unique_cases,
+    count_if({SER_ANY}) AS serious_cases,
+    count_if({NON}) AS non_serious_cases,
+    count_if(NOT (({SER_ANY}) OR {NON})) AS unknown_seriousness,
+    count_if({inset('fulfillexpeditecriteria', FLAG_VALUES)}) AS expedite_alert_cases,
+    count_if({inset('seriousnessdeath', FLAG_VALUES)}) AS death_count,
+    count_if({inset('seriousnesslifethreatening', FLAG_VALUES)}) AS life_threatening_count,
+    count_if({inset('seriousnesshospitalization', FLAG_VALUES)}) AS hospitalization_count,
+    count(age_years) AS age_available_cases,
+    count_if(age_years IS NULL) AS age_missing_cases,
+    round_even(min(age_years), 2) AS age_minimum_years,
+    round_even(max(age_years), 2) AS age_maximum_years,
+    round_even(avg(age_years), 2) AS age_mean_years,
+    round_even(median(age_years), 2) AS age_median_years,
+    count_if(patient_patientsex IS NULL) AS missing_sex,
+    count_if(report_date IS NULL) AS missing_dates,
+    min(report_date) AS start_d, max(report_date) AS end_d
+  FROM cases GROUP BY country
+),
+cm AS (
+  SELECT country, {month('report_date')} AS month, count(*) AS n FROM cases
+  WHERE report_date IS NOT NULL GROUP BY 1, 2
+),
+cmr AS (
+  SELECT *, row_number() OVER (PARTITION BY country ORDER BY month) AS r_first,
+    row_number() OVER (PARTITION BY country ORDER BY month DESC) AS r_last,
+    row_number() OVER (PARTITION BY country ORDER BY n DESC, month) AS r_high,
+    row_number() OVER (PARTITION BY country ORDER BY n, month) AS r_low
+  FROM cm
+),
+tr AS (
+  SELECT country,
+    max(CASE WHEN r_high = 1 THEN month END) AS high_m, max(CASE WHEN r_high = 1 THEN n END) AS high_n,
+    max(CASE WHEN r_low = 1 THEN month END) AS low_m, max(CASE WHEN r_low = 1 THEN n END) AS low_n,
+    max(CASE WHEN r_first = 1 THEN month END) AS first_m, max(CASE WHEN r_first = 1 THEN n END) AS first_n,
+    max(CASE WHEN r_last = 1 THEN month END) AS last_m, max(CASE WHEN r_last = 1 THEN n END) AS last_n
+  FROM cmr GROUP BY country
+),
+rm AS (
+  SELECT country, {month('case_report_date')} AS month, count(*) AS n FROM reactions
+  WHERE case_report_date IS NOT NULL GROUP BY 1, 2
+),
+rt AS (
+  SELECT country, count(*) AS total_reaction_occurrences, count(DISTINCT reaction_pt) AS unique_reaction_terms
+  FROM reactions WHERE reaction_pt IS NOT NULL AND reaction_pt <> '' GROUP BY country
+),
+rq AS (SELECT country, count(*) AS reaction_records, count_if(case_report_date IS NOT NULL) AS dated FROM reactions GROUP BY country),
+dq AS (SELECT country, count(*) AS drug_records FROM drugs GROUP BY country),
+g AS (
+  SELECT gm.*, tr.*, coalesce(rt.total_reaction_occurrences, 0) AS total_reaction_occurrences,
+    coalesce(rt.unique_reaction_terms, 0) AS unique_reaction_terms,
+    coalesce(rq.reaction_records, 0) AS reaction_records, coalesce(rq.dated, 0) AS dated,
+    coalesce(dq.drug_records, 0) AS drug_records
+  FROM gm LEFT JOIN tr USING (country) LEFT JOIN rt USING (country)
+    LEFT JOIN rq USING (country) LEFT JOIN dq USING (country)
+),
+vc AS (
+  SELECT country, dimension, value, n,
+    row_number() OVER (PARTITION BY country, dimension ORDER BY n DESC, value ASC) AS rank
+  FROM (
+    SELECT country, dimension, value, count(*) AS n FROM (
+      SELECT country, 'age_group_distribution' AS dimension, {unknown_if_blank('age_group')} AS value FROM cases
+      UNION ALL SELECT country, 'sex_distribution', {unknown_if_blank('patient_patientsex')} FROM cases
+      UNION ALL SELECT country, 'primary_source_country', {unknown_if_blank('primarysourcecountry')} FROM cases
+      UNION ALL SELECT country, 'occurrence_country', {unknown_if_blank('occurcountry')} FROM cases
+      UNION ALL SELECT country, 'reaction_outcome_distribution', {unknown_if_blank('reaction_outcome')} FROM reactions
+    ) GROUP BY 1, 2, 3
+  )
+),
+tt AS (
+  SELECT country, reaction_pt, n, row_number() OVER (PARTITION BY country ORDER BY n DESC, reaction_pt) AS rank
+  FROM (SELECT country, reaction_pt, count(*) AS n FROM reactions
+        WHERE reaction_pt IS NOT NULL AND reaction_pt <> '' GROUP BY 1, 2)
+),
+ts AS (
+  SELECT country, reaction_pt, n, row_number() OVER (PARTITION BY country ORDER BY n DESC, reaction_pt) AS rank
+  FROM (SELECT country, reaction_pt, count(*) AS n FROM reactions
+        WHERE reaction_pt IS NOT NULL AND reaction_pt <> ''
+          AND {inset('case_serious', REACTION_SERIOUS_VALUES)} GROUP BY 1, 2)
+),
+cc AS (
+  SELECT c.country, c.reaction_pt, c.count, c.rank, {pct('c.count', 'rq.reaction_records')} AS pct
+  FROM (SELECT country, reaction_pt, count,
+          row_number() OVER (PARTITION BY country ORDER BY count DESC, reaction_pt) AS rank
+        FROM (SELECT country, reaction_pt, count(*) AS count FROM reactions
+              WHERE reaction_pt IS NOT NULL GROUP BY 1, 2)) c
+  JOIN rq ON c.country = rq.country
+  WHERE c.rank <= 5 AND rq.dated > 0
+),
+notes AS (
+  SELECT country, row_number() OVER (PARTITION BY country ORDER BY k) AS ord, note FROM (
+    SELECT country, 1 AS k, CASE WHEN age_missing_cases > 0 THEN
+      'Age was unavailable or could not be normalized for ' || age_missing_cases || ' cases.' END AS note FROM gm
+    UNION ALL SELECT country, 2, CASE WHEN missing_sex > 0 THEN
+      'Sex was missing for ' || missing_sex || ' cases.' END FROM gm
+    UNION ALL SELECT country, 3, CASE WHEN missing_dates > 0 THEN
+      'Reporting date was unavailable for ' || missing_dates || ' cases.' END FROM gm
+    UNION ALL SELECT country, k, note FROM gm, ({_FIXED}) fx
+  ) WHERE note IS NOT NULL
+)"""
+
+
+def _leaf(section: str, path: str | None, kind: str, expr: str, src: str = "g") -> str:
+    p = "NULL" if path is None else f"'{path}'"
+    k = f"CASE WHEN ({expr}) IS NULL THEN 'null' ELSE '{kind}' END"
+    if kind in ("int", "float"):
+        num, s = f"CAST(({expr}) AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+    elif kind == "bool":
+        num, s = "CAST(NULL AS DOUBLE)", f"CASE WHEN ({expr}) THEN 'true' WHEN NOT ({expr}) THEN 'false' END"
+    else:
+        num, s = "CAST(NULL AS DOUBLE)", f"CAST(({expr}) AS VARCHAR)"
+    return (
+        f"SELECT country, '{section}' AS section, {p} AS path, CAST(NULL AS VARCHAR) AS key, 0 AS ord, "
+        f"{k} AS kind, {num} AS value_num, {s} AS value_str FROM {src}"
+    )
+
+
+def _coll(section: str, path: str | None, src: str, key: str, ord_: str, kind: str, val: str, where: str = "") -> str:
+    p = "NULL" if path is None else f"'{path}'"
+    if kind in ("int", "float"):
+        num, s = f"CAST({val} AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+    else:
+        num, s = "CAST(NULL AS DOUBLE)", f"CAST({val} AS VARCHAR)"
+    w = f" WHERE {where}" if where else ""
+    return (
+        f"SELECT country, '{section}', {p}, {key}, {ord_}, CASE WHEN {val} IS NULL THEN 'null' ELSE '{kind}' END, "
+        f"{num}, {s} FROM {src}{w}"
+    )
+
+
+_LABEL = "Widget"
+_SCALARS = [
+    ("metadata", "analysis_type", "str", "'Deterministic ICSR safety analysis'"),
+    ("metadata", "target_product", "str", f"'{_LABEL}'"),
+    ("metadata", "source", "str", f"'{_LABEL} ICSR dataset'"),
+    ("metadata", "analysis_principle", "str", "'Python-calculated facts are the source of truth.'"),
+    ("reporting_period", "available", "bool", "start_d IS NOT NULL"),
+    ("reporting_period", "start_date", "str", "strftime(start_d, '%Y-%m-%d')"),
+    ("reporting_period", "end_date", "str", "strftime(end_d, '%Y-%m-%d')"),
+    ("reporting_period", "number_of_months", "int",
+     "(year(end_d) * 12 + month(end_d)) - (year(start_d) * 12 + month(start_d)) + 1"),
+    ("case_summary", "total_unique_cases", "int", "total_unique_cases"),
+    ("case_summary", "serious_cases", "int", "serious_cases"),
+    ("case_summary", "non_serious_cases", "int", "non_serious_cases"),
+    ("case_summary", "unknown_seriousness", "int", "unknown_seriousness"),
+    ("case_summary", "serious_percentage", "float", pct("serious_cases", "total_unique_cases")),
+    ("case_summary", "non_serious_percentage", "float", pct("non_serious_cases", "total_unique_cases")),
+    ("case_summary", "expedite_alert_cases", "int", "expedite_alert_cases"),
+    ("case_summary", "expedite_alert_percentage", "float", pct("expedite_alert_cases", "total_unique_cases")),
+]
+for _name, _present in (("death", True), ("life_threatening", True), ("hospitalization", True),
+                        ("disability", False), ("congenital_anomaly", False), ("other_serious", False)):
+    _SCALARS += [
+        ("seriousness", f"{_name}.available", "bool", "true" if _present else "false"),
+        ("seriousness", f"{_name}.count", "int", f"{_name}_count" if _present else "NULL"),
+        ("seriousness", f"{_name}.percentage", "float",
+         pct(f"{_name}_count", "total_unique_cases") if _present else "NULL"),
+    ]
+_SCALARS += [
+    ("demographics", "age.available_cases", "int", "age_available_cases"),
+    ("demographics", "age.missing_cases", "int", "age_missing_cases"),
+    ("demographics", "age.minimum_years", "float", "age_minimum_years"),
+    ("demographics", "age.maximum_years", "float", "age_maximum_years"),
+    ("demographics", "age.mean_years", "float", "age_mean_years"),
+    ("demographics", "age.median_years", "float", "age_median_years"),
+    ("reactions", "total_reaction_occurrences", "int", "total_reaction_occurrences"),
+    ("reactions", "unique_reaction_terms", "int", "unique_reaction_terms"),
+    ("outcomes", "available", "bool", "reaction_records > 0"),
+    ("trends", "case_trends.highest_month.month", "str", "high_m"),
+    ("trends", "case_trends.highest_month.count", "int", "high_n"),
+    ("trends", "case_trends.lowest_month.month", "str", "low_m"),
+    ("trends", "case_trends.lowest_month.count", "int", "low_n"),
+    ("trends", "case_trends.first_month.month", "str", "first_m"),
+    ("trends", "case_trends.first_month.count", "int", "first_n"),
+    ("trends", "case_trends.last_month.month", "str", "last_m"),
+    ("trends", "case_trends.last_month.count", "int", "last_n"),
+    ("trends", "case_trends.absolute_change", "int", "last_n - first_n"),
+    ("trends", "case_trends.percentage_change", "float",
+     f"CASE WHEN first_n = 0 THEN NULL ELSE {pct('last_n - first_n', 'first_n')} END"),
+]
+_ALERT_SQL = {
+    "expedite_cases": "expedite_alert_cases",
+    "death_cases": "death_count",
+    "life_threatening_cases": "life_threatening_count",
+}
+for _alert, _col, _text in ALERT_INTERPRETATIONS:
+    _c = _ALERT_SQL[_alert]
+    _SCALARS += [
+        ("alerts", f"{_alert}.count", "int", _c),
+        ("alerts", f"{_alert}.percentage", "float", pct(_c, "total_unique_cases")),
+        ("alerts", f"{_alert}.interpretation", "str", "'" + _text.replace("'", "''") + "'"),
+    ]
+_SCALARS += [
+    ("data_quality", "cases", "int", "total_unique_cases"),
+    ("data_quality", "reaction_records", "int", "reaction_records"),
+    ("data_quality", "drug_records", "int", "drug_records"),
+]
+
+_MONTH_ORD = "row_number() OVER (PARTITION BY country ORDER BY month)"
+_COLLECTIONS = [
+    _coll("case_summary", "cases_by_month", "cm", "month", _MONTH_ORD, "int", "n"),
+    _coll("trends", "case_trends.monthly_case_counts", "cm", "month", _MONTH_ORD, "int", "n"),
+    *[
+        _coll("demographics", d, "vc", "value", "rank", "int", "n", f"dimension = '{d}'"
+              + (" AND rank <= 10" if "country" in d else ""))
+        for d in ("age_group_distribution", "sex_distribution", "primary_source_country", "occurrence_country")
+    ],
+    _coll("reactions", "most_frequent_reactions", "tt", "reaction_pt", "rank", "int", "n", "rank <= 10"),
+    _coll("reactions", "most_frequent_serious_reactions", "ts", "reaction_pt", "rank", "int", "n", "rank <= 10"),
+    _coll("reactions", "frequency_by_month", "rm", "month", _MONTH_ORD, "int", "n"),
+    _coll("trends", "reaction_trends", "rm", "month", _MONTH_ORD, "int", "n"),
+    _coll("reactions", "reaction_concentrations.count", "cc", "reaction_pt", "rank", "int", "count"),
+    _coll("reactions", "reaction_concentrations.percentage_of_reactions", "cc", "reaction_pt", "rank", "float", "pct"),
+    _coll("outcomes", "reaction_outcome_distribution", "vc", "value", "rank", "int", "n",
+          "dimension = 'reaction_outcome_distribution'"),
+    _coll("data_quality", "missingness_notes", "notes", "CAST(NULL AS VARCHAR)", "ord", "str", "note"),
+    _coll("limitations", None, "notes", "CAST(NULL AS VARCHAR)", "ord", "str", "note"),
+]
+
+EVIDENCE_FACTS = EVIDENCE_BASE + ",\nfacts AS (\n" + "\nUNION ALL ".join(
+    [_leaf(*s) for s in _SCALARS] + _COLLECTIONS
+) + "\n)"
+
+ORACLE["evidence_facts"] = EVIDENCE_FACTS + "\nSELECT * FROM facts"

@@ -312,3 +312,32 @@ QUERIES.update(
         "section_validation": q_section_validation,
     }
 )
+
+
+# -- A19 / E: evidence document, sections, prompts -------------------------------
+
+from casewatch.operators import evidence as EV  # noqa: E402
+
+GROUP_BY = ["country"]
+
+
+def _evidence_tables(spark, sf):
+    """End-to-end preprocessing with the target filter on, grouped by the
+    reporting country (one evidence document and report per country)."""
+    raw = A.raw_reports(spark, sf).withColumn("country", F.col("primarysourcecountry"))
+    return preprocess(raw, WIDGET, by=GROUP_BY)
+
+
+def _evidence(spark, sf):
+    return EV.evidence_struct(EV.evidence_parts(_evidence_tables(spark, sf), WIDGET))
+
+
+def q_evidence_facts(spark, sf):
+    return EV.evidence_facts(_evidence(spark, sf), GROUP_BY)
+
+
+def q_evidence_json(spark, sf):
+    return EV.evidence_json(_evidence(spark, sf), GROUP_BY)
+
+
+QUERIES.update({"evidence_facts": q_evidence_facts, "evidence_json": q_evidence_json})
