@@ -29,12 +29,16 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from pyspark.sql import Window
+
 from casewatch.config import (
+    ALERT_INTERPRETATIONS,
     METADATA,
+    REACTION_SERIOUS_VALUES,
     SERIOUSNESS_FLAGS,
-    ALERT_INTERPRETATIONS,
     RunParams,
 )
+from casewatch.functions import is_in_set, month_of, percentage
 from casewatch.operators import metrics as M
 from casewatch.plans.pipeline import CaseTables
 
@@ -43,147 +47,174 @@ GROUP = M.GROUP
 
 @dataclass
 class EvidenceParts:
+    """The few wide aggregates the evidence document is built from."""
+
     by: list[str]           # effective group keys (``_g`` when ungrouped)
     user_by: list[str]      # group keys as the caller gave them
     params: RunParams
-    metrics: DataFrame
     cases_columns: list[str]
-    dist: DataFrame
-    cases_by_month: DataFrame
-    reactions_by_month: DataFrame
-    trend: DataFrame
-    reaction_totals: DataFrame
-    top_reactions: DataFrame
-    top_serious: DataFrame
-    concentration: DataFrame
-    outcomes: DataFrame
-    alerts: DataFrame
-    notes: DataFrame
-    quality: DataFrame
+    metrics: DataFrame      # one row per group: every case-level scalar
+    counts: DataFrame       # (group, dimension, value, n, ord) — bounded, see below
+    reaction_scalars: DataFrame  # one row per group: reaction totals
+    drug_counts: DataFrame  # one row per group
 
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+# Dimensions counted per group. Months keep only dated rows; the ``term``
+# dimension keeps null terms (they stay in the concentration denominator).
+CASE_DIMENSIONS = ("age_group_distribution", "sex_distribution", "primary_source_country",
+                   "occurrence_country", "cases_by_month")
+REACTION_DIMENSIONS = ("term", "serious_term", "reaction_outcome_distribution", "frequency_by_month")
+MONTH_DIMENSIONS = ("cases_by_month", "frequency_by_month")
+
+
+def _dimension_counts(df: DataFrame, dims: list[tuple[str, Column]], by: Sequence[str]) -> DataFrame:
+    """Unpivot several value expressions and count them in ONE aggregate
+    (one shuffle, partial aggregation map-side): ``(by..., dimension, value, n)``.
+    Entries whose value is null are dropped unless the dimension is ``term``."""
+    entries = F.array(*[F.struct(F.lit(d).alias("dimension"), v.cast("string").alias("value")) for d, v in dims])
+    long = df.select(*[_q(k) for k in by], F.inline(entries)).filter(
+        F.col("value").isNotNull() | (F.col("dimension") == "term")
+    )
+    return long.groupBy(*[_q(k) for k in by], "dimension", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def evidence_parts(t: CaseTables, params: RunParams = RunParams()) -> EvidenceParts:
+    """Four aggregates over the case tables, whatever the number of groups:
+    case scalars, case dimension counts, reaction dimension counts, drug
+    counts. Everything else is derived from their (small) outputs."""
     by = list(t.by) if t.by else [GROUP]
     add = (lambda df: df) if t.by else (lambda df: df.withColumn(GROUP, F.lit(0)))
     cases, reactions, drugs = add(t.cases), add(t.reactions), add(t.drugs)
 
     metrics = M.case_metrics(cases, by)
-    full = M.value_counts(
+    case_counts = _dimension_counts(
         cases,
-        [("age_group_distribution", "age_group"), ("sex_distribution", "patient_patientsex")],
+        [
+            ("age_group_distribution", M.unknown_if_blank("age_group")),
+            ("sex_distribution", M.unknown_if_blank("patient_patientsex")),
+            ("primary_source_country", M.unknown_if_blank("primarysourcecountry")),
+            ("occurrence_country", M.unknown_if_blank("occurcountry")),
+            ("cases_by_month", month_of("report_date")),
+        ],
         by,
     )
-    top = M.value_counts(
-        cases,
-        [("primary_source_country", "primarysourcecountry"), ("occurrence_country", "occurcountry")],
+    term = _q("reaction_pt")
+    rx_counts = _dimension_counts(
+        reactions,
+        [
+            ("term", term),
+            ("serious_term", F.when(is_in_set("case_serious", REACTION_SERIOUS_VALUES) & (term != ""), term)
+             if "case_serious" in reactions.columns else F.lit(None)),
+            ("reaction_outcome_distribution", M.unknown_if_blank("reaction_outcome")),
+            ("frequency_by_month", month_of("case_report_date")),
+        ],
         by,
-        top_n=params.top_n,
     )
-    cbm = M.cases_by_month(cases, by)
-    rbm = M.reactions_by_month(reactions, by)
-    trend = M.trend_summary(cbm, by)
-
-    groups = metrics.select(*[_q(k) for k in by])
-    totals = groups.join(M.reaction_totals(reactions, by), on=by, how="left").select(
-        *[_q(k) for k in by],
-        F.coalesce("total_reaction_occurrences", F.lit(0)).cast("long").alias("total_reaction_occurrences"),
-        F.coalesce("unique_reaction_terms", F.lit(0)).cast("long").alias("unique_reaction_terms"),
-    )
-    counts = (
-        groups.join(reactions.groupBy(*[_q(k) for k in by]).agg(F.count(F.lit(1)).alias("reaction_records")), on=by, how="left")
-        .join(drugs.groupBy(*[_q(k) for k in by]).agg(F.count(F.lit(1)).alias("drug_records")), on=by, how="left")
-        .join(metrics.select(*[_q(k) for k in by], F.col("total_unique_cases").alias("cases")), on=by, how="left")
-        .select(
-            *[_q(k) for k in by],
-            "cases",
-            F.coalesce("reaction_records", F.lit(0)).cast("long").alias("reaction_records"),
-            F.coalesce("drug_records", F.lit(0)).cast("long").alias("drug_records"),
-        )
+    counts = case_counts.unionByName(rx_counts)
+    # ord: months ascending; everything else count desc, value asc (nulls last)
+    w = Window.partitionBy(*[_q(k) for k in by], "dimension").orderBy(
+        F.when(F.col("dimension").isin(*MONTH_DIMENSIONS), F.col("value")),
+        F.col("value").isNull(),
+        F.desc("n"),
+        F.asc("value"),
     )
-    return EvidenceParts(
-        by=by,
-        user_by=list(t.by),
-        params=params,
-        metrics=metrics,
-        cases_columns=t.cases.columns,
-        dist=full.unionByName(top),
-        cases_by_month=cbm,
-        reactions_by_month=rbm,
-        trend=trend,
-        reaction_totals=totals,
-        top_reactions=M.top_terms(reactions, by, params.top_n),
-        top_serious=M.top_terms(reactions, by, params.top_n, serious_only=True),
-        concentration=M.reaction_concentration(reactions, by, params.top_k),
-        outcomes=M.value_counts(reactions, [("reaction_outcome_distribution", "reaction_outcome")], by),
-        alerts=M.alert_rates(metrics, t.cases.columns, by),
-        notes=M.missingness_notes(metrics, t.cases.columns, by),
-        quality=counts,
+    counts = counts.withColumn("ord", F.row_number().over(w))
+
+    term_rows = rx_counts.filter(F.col("dimension") == "term")
+    named = F.col("value").isNotNull() & (F.col("value") != "")
+    reaction_scalars = term_rows.groupBy(*[_q(k) for k in by]).agg(
+        F.sum(F.when(named, F.col("n"))).alias("total_reaction_occurrences"),
+        F.count_if(named).alias("unique_reaction_terms"),
+        F.sum("n").alias("reaction_records"),
+    ).join(
+        rx_counts.filter(F.col("dimension") == "frequency_by_month")
+        .groupBy(*[_q(k) for k in by]).agg(F.sum("n").alias("dated_reactions")),
+        on=by,
+        how="left",
     )
+    drug_counts = drugs.groupBy(*[_q(k) for k in by]).agg(F.count(F.lit(1)).alias("drug_records"))
+    return EvidenceParts(by, list(t.by), params, t.cases.columns, metrics, counts, reaction_scalars, drug_counts)
 
 
 # -- nested document ---------------------------------------------------------------
 
-def _ordered_map(df: DataFrame, by: Sequence[str], key: str, value: Column, order: Column, name: str) -> DataFrame:
-    """One row per group: ``name`` = map key -> value in ``order``."""
-    entries = F.array_sort(F.collect_list(F.struct(order.alias("o"), _q(key).alias("k"), value.alias("v"))))
-    return df.groupBy(*[_q(k) for k in by]).agg(
-        F.map_from_entries(F.transform(entries, lambda x: F.struct(x["k"], x["v"]))).alias(name)
-    )
-
-
-def _ordered_list(df: DataFrame, by: Sequence[str], value: str, order: str, name: str) -> DataFrame:
-    entries = F.array_sort(F.collect_list(F.struct(_q(order).alias("o"), _q(value).alias("v"))))
-    return df.groupBy(*[_q(k) for k in by]).agg(F.transform(entries, lambda x: x["v"]).alias(name))
-
-
 def _empty_map(value_type: str) -> Column:
     return F.create_map().cast(f"map<string,{value_type}>")
 
 
 def evidence_struct(p: EvidenceParts) -> DataFrame:
-    """``(group..., evidence)``: the nested evidence document per group."""
+    """``(group..., evidence)``: the nested evidence document per group.
+
+    The count rows needed by the document (full category and month counts,
+    top-N terms) are collected once per group — a bounded set: top-N
+    entries, months of the reporting period and category values — then cut
+    into ordered maps inside one projection. Trend extremes are folded over
+    the month array in the same projection (no extra shuffle)."""
     by = p.by
-    dims = {
-        d: _ordered_map(p.dist.filter(F.col("dimension") == d), by, "value", F.col("n"), F.col("rank"), d)
-        for d in ("age_group_distribution", "sex_distribution", "primary_source_country", "occurrence_country")
-    }
-    cbm = _ordered_map(p.cases_by_month, by, "month", F.col("n"), F.col("month"), "cases_by_month")
-    rbm = _ordered_map(p.reactions_by_month, by, "month", F.col("n"), F.col("month"), "frequency_by_month")
-    top = _ordered_map(p.top_reactions, by, "reaction_pt", F.col("n"), F.col("rank"), "most_frequent_reactions")
-    ser = _ordered_map(p.top_serious, by, "reaction_pt", F.col("n"), F.col("rank"), "most_frequent_serious_reactions")
-    conc = _ordered_map(
-        p.concentration,
-        by,
-        "reaction_pt",
-        F.struct(F.col("count").cast("long").alias("count"), F.col("percentage_of_reactions")),
-        F.col("rank"),
-        "reaction_concentrations",
+    n, k = p.params.top_n, p.params.top_k
+    top_dims = ("primary_source_country", "occurrence_country", "term", "serious_term")
+    keep = ~F.col("dimension").isin(*top_dims) | (F.col("ord") <= n)
+    entries = (
+        p.counts.filter(keep)
+        .groupBy(*[_q(c) for c in by])
+        .agg(F.array_sort(F.collect_list(F.struct("dimension", "ord", "value", "n"))).alias("_e"))
     )
-    outc = _ordered_map(p.outcomes, by, "value", F.col("n"), F.col("rank"), "reaction_outcome_distribution")
-    notes = _ordered_list(p.notes, by, "note", "ord", "notes")
-    alerts = p.alerts.groupBy(*[_q(k) for k in by]).agg(
-        *[
-            F.max(F.when(F.col("alert") == a, F.struct("count", "percentage", "interpretation"))).alias(a)
-            for a, _, _ in ALERT_INTERPRETATIONS
-        ]
+    df = (
+        p.metrics.join(entries, on=by, how="left")
+        .join(p.reaction_scalars, on=by, how="left")
+        .join(p.drug_counts, on=by, how="left")
+    )
+    e = F.coalesce(F.col("_e"), F.array().cast("array<struct<dimension:string,ord:int,value:string,n:bigint>>"))
+
+    def dim(d: str, limit: int | None = None, named_only: bool = False) -> Column:
+        xs = F.filter(e, lambda x: x["dimension"] == d)
+        if named_only:
+            xs = F.filter(xs, lambda x: x["value"].isNotNull() & (x["value"] != ""))
+        if limit is not None:
+            xs = F.slice(xs, 1, limit)
+        return xs
+
+    def as_map(xs: Column) -> Column:
+        return F.map_from_entries(F.transform(xs, lambda x: F.struct(x["value"], x["n"])))
+
+    cbm = dim("cases_by_month")
+    rbm = dim("frequency_by_month")
+    records = F.coalesce(F.col("reaction_records"), F.lit(0)).cast("long")
+    dated = F.coalesce(F.col("dated_reactions"), F.lit(0))
+    conc_src = F.filter(dim("term"), lambda x: x["value"].isNotNull())
+    conc = F.map_from_entries(
+        F.transform(
+            F.slice(conc_src, 1, k),
+            lambda x: F.struct(
+                x["value"],
+                F.struct(x["n"].alias("count"), percentage(x["n"], records).alias("percentage_of_reactions")),
+            ),
+        )
     )
+    conc_type = "struct<count:bigint,percentage_of_reactions:double>"
 
-    df = p.metrics
-    for part in [*dims.values(), cbm, rbm, top, ser, conc, outc, notes, alerts, p.trend, p.reaction_totals, p.quality]:
-        df = df.join(part, on=by, how="left")
+    def month_item(x: Column) -> Column:
+        return F.struct(x["value"].alias("month"), x["n"].alias("count"))
 
-    def m(name: str, vtype: str = "bigint") -> Column:
-        return F.coalesce(F.col(name), _empty_map(vtype))
+    months = F.transform(cbm, month_item)
+    first = F.when(F.size(months) > 0, F.element_at(months, 1))
+    last = F.when(F.size(months) > 0, F.element_at(months, -1))
+    # strict comparisons keep the earliest month among ties
+    highest = F.when(F.size(months) > 0, F.aggregate(months, F.element_at(months, 1),
+                                                    lambda acc, x: F.when(x["count"] > acc["count"], x).otherwise(acc)))
+    lowest = F.when(F.size(months) > 0, F.aggregate(months, F.element_at(months, 1),
+                                                   lambda acc, x: F.when(x["count"] < acc["count"], x).otherwise(acc)))
+    change = last["count"] - first["count"]
 
     label = p.params.target_label
     metadata = F.struct(
         *[
-            F.lit(v if k not in ("target_product", "source") else (label if k == "target_product" else f"{label} ICSR dataset")).alias(k)
-            for k, v in METADATA
+            F.lit(label if key == "target_product" else f"{label} ICSR dataset" if key == "source" else v).alias(key)
+            for key, v in METADATA
         ]
     )
     period = F.struct(
@@ -201,16 +232,16 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
         "non_serious_percentage",
         "expedite_alert_cases",
         "expedite_alert_percentage",
-        m("cases_by_month").alias("cases_by_month"),
+        as_map(cbm).alias("cases_by_month"),
     )
     seriousness = F.struct(
         *[
             F.struct(
-                F.col(f"{n}_available").alias("available"),
-                F.col(f"{n}_count").alias("count"),
-                F.col(f"{n}_percentage").alias("percentage"),
-            ).alias(n)
-            for n, _ in SERIOUSNESS_FLAGS
+                F.col(f"{name}_available").alias("available"),
+                F.col(f"{name}_count").alias("count"),
+                F.col(f"{name}_percentage").alias("percentage"),
+            ).alias(name)
+            for name, _ in SERIOUSNESS_FLAGS
         ]
     )
     demographics = F.struct(
@@ -222,39 +253,54 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
             F.col("age_mean_years").alias("mean_years"),
             F.col("age_median_years").alias("median_years"),
         ).alias("age"),
-        *[m(d).alias(d) for d in dims],
+        as_map(dim("age_group_distribution")).alias("age_group_distribution"),
+        as_map(dim("sex_distribution")).alias("sex_distribution"),
+        as_map(dim("primary_source_country", n)).alias("primary_source_country"),
+        as_map(dim("occurrence_country", n)).alias("occurrence_country"),
     )
-    conc_type = "struct<count:bigint,percentage_of_reactions:double>"
-    has_dated = F.size(m("frequency_by_month")) > 0
     reactions = F.struct(
-        "total_reaction_occurrences",
-        "unique_reaction_terms",
-        m("most_frequent_reactions").alias("most_frequent_reactions"),
-        m("most_frequent_serious_reactions").alias("most_frequent_serious_reactions"),
-        m("frequency_by_month").alias("frequency_by_month"),
-        F.when(has_dated, m("reaction_concentrations", conc_type))
-        .otherwise(_empty_map(conc_type))
-        .alias("reaction_concentrations"),
+        F.coalesce("total_reaction_occurrences", F.lit(0)).cast("long").alias("total_reaction_occurrences"),
+        F.coalesce("unique_reaction_terms", F.lit(0)).cast("long").alias("unique_reaction_terms"),
+        as_map(dim("term", n, named_only=True)).alias("most_frequent_reactions"),
+        as_map(dim("serious_term", n, named_only=True)).alias("most_frequent_serious_reactions"),
+        as_map(rbm).alias("frequency_by_month"),
+        F.when(dated > 0, conc).otherwise(_empty_map(conc_type)).alias("reaction_concentrations"),
     )
     outcomes = F.struct(
-        (F.col("reaction_records") > 0).alias("available"),
-        F.when(F.col("reaction_records") > 0, m("reaction_outcome_distribution")).alias("reaction_outcome_distribution"),
+        (records > 0).alias("available"),
+        F.when(records > 0, as_map(dim("reaction_outcome_distribution"))).alias("reaction_outcome_distribution"),
     )
     trends = F.struct(
         F.struct(
-            m("cases_by_month").alias("monthly_case_counts"),
-            "highest_month",
-            "lowest_month",
-            "first_month",
-            "last_month",
-            "absolute_change",
-            "percentage_change",
+            as_map(cbm).alias("monthly_case_counts"),
+            highest.alias("highest_month"),
+            lowest.alias("lowest_month"),
+            first.alias("first_month"),
+            last.alias("last_month"),
+            change.cast("long").alias("absolute_change"),
+            F.when(first["count"] == 0, F.lit(None).cast("double"))
+            .otherwise(percentage(change, first["count"]))
+            .alias("percentage_change"),
         ).alias("case_trends"),
-        m("frequency_by_month").alias("reaction_trends"),
+        as_map(rbm).alias("reaction_trends"),
+    )
+    name_of = {col: name for name, col in SERIOUSNESS_FLAGS}
+    alert_fields = []
+    for alert, col, text in ALERT_INTERPRETATIONS:
+        if col not in p.cases_columns:
+            continue
+        cnt = F.col("expedite_alert_cases") if col == "fulfillexpeditecriteria" else F.col(f"{name_of[col]}_count")
+        alert_fields.append(
+            F.struct(cnt.alias("count"), percentage(cnt, "total_unique_cases").alias("percentage"),
+                     F.lit(text).alias("interpretation")).alias(alert)
+        )
+    notes = M.missingness_array(p.cases_columns)
+    quality = F.struct(
+        F.col("total_unique_cases").alias("cases"),
+        records.alias("reaction_records"),
+        F.coalesce("drug_records", F.lit(0)).cast("long").alias("drug_records"),
+        notes.alias("missingness_notes"),
     )
-    alert_struct = F.struct(*[F.col(a).alias(a) for a, col, _ in ALERT_INTERPRETATIONS if col in p.cases_columns])
-    notes_col = F.coalesce(F.col("notes"), F.array().cast("array<string>"))
-    quality = F.struct("cases", "reaction_records", "drug_records", notes_col.alias("missingness_notes"))
     evidence = F.struct(
         metadata.alias("metadata"),
         period.alias("reporting_period"),
@@ -264,11 +310,11 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
         reactions.alias("reactions"),
         outcomes.alias("outcomes"),
         trends.alias("trends"),
-        alert_struct.alias("alerts"),
+        F.struct(*alert_fields).alias("alerts"),
         quality.alias("data_quality"),
-        notes_col.alias("limitations"),
+        notes.alias("limitations"),
     )
-    out = df.select(*[_q(k) for k in by], evidence.alias("evidence"))
+    out = df.select(*[_q(c) for c in by], evidence.alias("evidence"))
     return out if p.user_by else out.drop(GROUP)
 
 
@@ -306,61 +352,66 @@ def evidence_facts(struct_df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A19 long form ``(group..., section, path, key, ord, kind, value_num,
     value_str)`` — one row per leaf of the evidence document.
 
-    Scalars come out of one ``inline`` pass; each map / list is one
-    ``posexplode`` pass; all are unioned. ``ord`` is the 1-based position in
-    a map or list (0 for scalars); ``key`` is the map key."""
+    Built in ONE projection over the (one-row-per-group) evidence table: the
+    schema is walked at plan time, scalars become literal-keyed structs, maps
+    and lists become ``transform``-ed entry arrays, everything is concatenated
+    and ``inline``-d. ``ord`` is the 1-based position in a map or list (0 for
+    scalars); ``key`` is the map key."""
     schema = struct_df.schema["evidence"].dataType
-    g = [_q(k) for k in by]
+    pieces: list[Column] = []
     scalars: list[Column] = []
-    collections: list[DataFrame] = []
+
+    def fact(section: str, path: str | None, key: Column, ord_: Column, v: Column, dt: DataType) -> Column:
+        kind, num, s = _leaf(v, dt)
+        return F.struct(
+            F.lit(section).alias("section"),
+            F.lit(path).cast("string").alias("path"),
+            key.cast("string").alias("key"),
+            ord_.cast("int").alias("ord"),
+            kind.alias("kind"),
+            num.alias("value_num"),
+            s.alias("value_str"),
+        )
 
     def walk(col: Column, dt: DataType, section: str, path: list[str]) -> None:
         if isinstance(dt, StructType):
             for f in dt.fields:
-                sub = col[f.name]
-                if not path and section == "":
-                    walk(sub, f.dataType, f.name, [])
+                if section == "":
+                    walk(col[f.name], f.dataType, f.name, [])
                 else:
-                    walk(sub, f.dataType, section, path + [f.name])
+                    walk(col[f.name], f.dataType, section, path + [f.name])
             return
         p = ".".join(path) if path else None
         if isinstance(dt, MapType):
-            e = struct_df.select(*g, F.posexplode(col).alias("_pos", "_k", "_v"))
             vt = dt.valueType
-            if isinstance(vt, StructType):
-                for f in vt.fields:
-                    kind, num, s = _leaf(F.col("_v")[f.name], f.dataType)
-                    collections.append(
-                        e.select(*g, F.lit(section).alias("section"), F.lit(f"{p}.{f.name}").alias("path"),
-                                 F.col("_k").alias("key"), (F.col("_pos") + 1).alias("ord"),
-                                 kind.alias("kind"), num.alias("value_num"), s.alias("value_str"))
-                    )
-            else:
-                kind, num, s = _leaf(F.col("_v"), vt)
-                collections.append(
-                    e.select(*g, F.lit(section).alias("section"), F.lit(p).cast("string").alias("path"),
-                             F.col("_k").alias("key"), (F.col("_pos") + 1).alias("ord"),
-                             kind.alias("kind"), num.alias("value_num"), s.alias("value_str"))
-                )
+            fields = vt.fields if isinstance(vt, StructType) else [None]
+            for f in fields:
+                sub = p if f is None else f"{p}.{f.name}"
+                arr = F.transform(F.map_entries(col), _entry_fact(fact, section, sub, f, vt))
+                pieces.append(F.coalesce(arr, F.array().cast(f"array<{_FACT}>")))
             return
         if isinstance(dt, ArrayType):
-            e = struct_df.select(*g, F.posexplode(col).alias("_pos", "_v"))
-            kind, num, s = _leaf(F.col("_v"), dt.elementType)
-            collections.append(
-                e.select(*g, F.lit(section).alias("section"), F.lit(p).cast("string").alias("path"),
-                         F.lit(None).cast("string").alias("key"), (F.col("_pos") + 1).alias("ord"),
-                         kind.alias("kind"), num.alias("value_num"), s.alias("value_str"))
+            arr = F.transform(
+                col, lambda x, i: fact(section, p, F.lit(None), i + 1, x, dt.elementType)
             )
+            pieces.append(F.coalesce(arr, F.array().cast(f"array<{_FACT}>")))
             return
-        kind, num, s = _leaf(col, dt)
-        scalars.append(
-            F.struct(F.lit(section).alias("section"), F.lit(p).cast("string").alias("path"),
-                     F.lit(None).cast("string").alias("key"), F.lit(0).alias("ord"),
-                     kind.alias("kind"), num.alias("value_num"), s.alias("value_str"))
-        )
+        scalars.append(fact(section, p, F.lit(None), F.lit(0), col, dt))
 
     walk(F.col("evidence"), schema, "", [])
-    out = struct_df.select(*g, F.inline(F.array(*scalars)))
-    for c in collections:
-        out = out.unionByName(c)
-    return out
+    all_facts = F.concat(F.array(*scalars), *pieces)
+    return struct_df.select(*[_q(k) for k in by], F.inline(all_facts))
+
+
+def _entry_fact(fact, section, sub, field, vt):
+    def build(e, i):
+        value = e["value"] if field is None else e["value"][field.name]
+        return fact(section, sub, e["key"], i + 1, value, vt if field is None else field.dataType)
+
+    return build
+
+
+_FACT = (
+    "struct<section:string,path:string,key:string,ord:int,kind:string,"
+    "value_num:double,value_str:string>"
+)

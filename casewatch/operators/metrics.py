@@ -240,9 +240,9 @@ def reporting_period(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def missingness_notes(metrics: DataFrame, cases_columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., ord, note)``: a sentence per missing count > 0 (only for
-    columns present), then the four fixed sentences."""
+def missingness_array(cases_columns: Sequence[str]) -> Column:
+    """A17 as an array expression over a ``case_metrics`` row: a sentence per
+    missing count > 0 (only for columns present), then the fixed sentences."""
     cols = set(cases_columns)
     computed = []
     if "age_years" in cols:
@@ -251,13 +251,20 @@ def missingness_notes(metrics: DataFrame, cases_columns: Sequence[str], by: Sequ
         computed.append((F.col("missing_sex"), MISSING_SEX_NOTE))
     if "report_date" in cols:
         computed.append((F.col("missing_dates"), MISSING_DATE_NOTE))
-    variable = F.array(
-        *[F.when(n > 0, F.format_string(t, n)) for n, t in computed]
-    ) if computed else F.array().cast("array<string>")
-    notes = F.concat(
+    variable = (
+        F.array(*[F.when(n > 0, F.format_string(t, n)) for n, t in computed])
+        if computed
+        else F.array().cast("array<string>")
+    )
+    return F.concat(
         F.filter(variable, lambda x: x.isNotNull()),
         F.array(*[F.lit(s) for s in FIXED_LIMITATIONS]),
     )
+
+
+def missingness_notes(metrics: DataFrame, cases_columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., ord, note)``."""
+    notes = missingness_array(cases_columns)
     return drop_group(
         metrics.select(*[_q(k) for k in keys(by)], F.posexplode(notes).alias("ord", "note")).withColumn(
             "ord", F.col("ord") + 1

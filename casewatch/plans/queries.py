@@ -31,7 +31,7 @@ from casewatch.operators.rowset import (
     semi_join_valid,
 )
 from casewatch.plans import adapters as A
-from casewatch.plans.pipeline import preprocess
+from casewatch.plans.pipeline import preprocess, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,11 +325,13 @@ def _evidence_tables(spark, sf):
     """End-to-end preprocessing with the target filter on, grouped by the
     reporting country (one evidence document and report per country)."""
     raw = A.raw_reports(spark, sf).withColumn("country", F.col("primarysourcecountry"))
-    return preprocess(raw, WIDGET, by=GROUP_BY)
+    return preprocess(raw, WIDGET, by=GROUP_BY, staged=True)
 
 
 def _evidence(spark, sf):
-    return EV.evidence_struct(EV.evidence_parts(_evidence_tables(spark, sf), WIDGET))
+    """Per-country evidence documents, materialized once (one row per group)
+    because facts, JSON, sections, prompts and the report all read them."""
+    return stage(EV.evidence_struct(EV.evidence_parts(_evidence_tables(spark, sf), WIDGET)))
 
 
 def q_evidence_facts(spark, sf):
@@ -341,3 +343,53 @@ def q_evidence_json(spark, sf):
 
 
 QUERIES.update({"evidence_facts": q_evidence_facts, "evidence_json": q_evidence_json})
+
+
+from casewatch.operators import report as R  # noqa: E402
+from casewatch.operators import sections as S  # noqa: E402
+
+
+def _section_outputs(spark, sf):
+    ev = _evidence(spark, sf)
+    facts = EV.evidence_facts(ev, GROUP_BY)
+    records = S.section_records(ev, GROUP_BY)
+    validation = S.validate_sections(records, facts, GROUP_BY)
+    return ev, facts, records, validation
+
+
+def q_section_evidence(spark, sf):
+    return S.section_evidence(EV.evidence_facts(_evidence(spark, sf), GROUP_BY), GROUP_BY)
+
+
+def q_section_prompt(spark, sf):
+    return S.section_records(_evidence(spark, sf), GROUP_BY).select(*GROUP_BY, "section_ord", "report_section", "prompt")
+
+
+def q_fallback_text(spark, sf):
+    return S.section_records(_evidence(spark, sf), GROUP_BY).select(*GROUP_BY, "report_section", "text")
+
+
+def q_generation_audit(spark, sf):
+    _, _, records, validation = _section_outputs(spark, sf)
+    return S.generation_audit(records, validation, GROUP_BY)
+
+
+def q_report_sections(spark, sf):
+    return R.report_sections(_evidence(spark, sf), GROUP_BY)
+
+
+def q_report_document(spark, sf):
+    ev, _, records, validation = _section_outputs(spark, sf)
+    return R.report_document(ev, records, validation, GROUP_BY)
+
+
+QUERIES.update(
+    {
+        "section_evidence": q_section_evidence,
+        "section_prompt": q_section_prompt,
+        "fallback_text": q_fallback_text,
+        "generation_audit": q_generation_audit,
+        "report_sections": q_report_sections,
+        "report_document": q_report_document,
+    }
+)
