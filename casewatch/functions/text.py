@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# `trim` only removes U+0020; the reference strips every Unicode space.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# `trim` only removes U+0020; the reference strips every character for which
+# Python's str.isspace() holds. The set is derived from that rule at import.
+WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 
 
 def _col(c: str | Column) -> Column:
@@ -16,8 +17,9 @@ def _col(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Remove leading/trailing Unicode whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(_col(c).cast("string"), _EDGE_SPACE, "")
+    """Remove leading/trailing Unicode whitespace (Python ``str.strip``):
+    a character-set trim, no regex."""
+    return F.btrim(_col(c).cast("string"), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:

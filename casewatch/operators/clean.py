@@ -54,10 +54,14 @@ def select_present(df: DataFrame, columns: Sequence[str] = CASE_COLUMNS, keep: S
     return df.select(*[_q(c) for c in wanted])
 
 
-def normalize_categoricals(df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
-    """Lower + strip the listed columns that are present."""
+def normalize_categoricals(
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS, stripped: bool = False
+) -> DataFrame:
+    """Lower + strip the listed columns that are present
+    (``stripped=True``: the input already went through ``clean_columns``)."""
     cols = set(columns)
-    return df.select(*[(lower_strip(_q(c)) if c in cols else _q(c)).alias(c) for c in df.columns])
+    norm = (lambda c: F.lower(_q(c))) if stripped else (lambda c: lower_strip(_q(c)))
+    return df.select(*[(norm(c) if c in cols else _q(c)).alias(c) for c in df.columns])
 
 
 def add_report_date(df: DataFrame, column: str = "report_date") -> DataFrame:
@@ -88,8 +92,9 @@ def add_age(
 
 
 def prepare_cases(latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Case table from the newest-version rows: C7, C9, C10-C12, C8."""
+    """Case table from the newest-version rows (already cleaned by
+    ``clean_columns``): C7, C9, C10-C12, C8."""
     cases = select_present(latest, CASE_COLUMNS, keep=by)
     cases = add_report_date(cases)
     cases = add_age(cases)
-    return normalize_categoricals(cases, [c for c in CATEGORICAL_COLUMNS if c not in by])
+    return normalize_categoricals(cases, [c for c in CATEGORICAL_COLUMNS if c not in by], stripped=True)

@@ -954,3 +954,48 @@ EVIDENCE_FACTS = EVIDENCE_BASE + ",\nfacts AS (\n" + "\nUNION ALL ".join(
 ) + "\n)"
 
 ORACLE["evidence_facts"] = EVIDENCE_FACTS + "\nSELECT * FROM facts"
+
+
+# --- E1 / G: section slices and deterministic report sections -----------------
+
+from casewatch.config import (  # noqa: E402
+    DEFAULT_MODEL_NAME,
+    METHODOLOGY_TEXT,
+    SECTION_MAP,
+    TRACEABILITY_TEXT,
+)
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_SECTION_ROWS = ", ".join(
+    f"('{name}', '{key}')" for name, keys in SECTION_MAP for key in keys
+)
+ORACLE["section_evidence"] = (
+    EVIDENCE_FACTS
+    + f""",
+smap(report_section, section) AS (VALUES {_SECTION_ROWS})
+SELECT f.country, m.report_section, f.section, f.path, f.key, f.ord, f.kind, f.value_num, f.value_str
+FROM facts f JOIN smap m ON f.section = m.section"""
+)
+
+_PERIOD = """CASE WHEN start_d IS NULL THEN 'Reporting period information was not available in the supplied dataset.'
+  ELSE 'The available reporting period extends from ' || strftime(start_d, '%Y-%m-%d') || ' to '
+    || strftime(end_d, '%Y-%m-%d') || ', covering '
+    || CAST((year(end_d) * 12 + month(end_d)) - (year(start_d) * 12 + month(start_d)) + 1 AS VARCHAR)
+    || ' month(s).' END"""
+_CASE = """'A total of ' || format('{:,}', total_unique_cases) || ' unique cases were identified. Of these, '
+  || format('{:,}', serious_cases) || ' were classified as serious and ' || format('{:,}', non_serious_cases)
+  || ' as non-serious. ' || format('{:,}', expedite_alert_cases) || ' cases met the supplied expedite/alert criterion.'"""
+ORACLE["report_sections"] = (
+    EVIDENCE_FACTS
+    + f""",
+lim AS (SELECT country, string_agg('- ' || note, chr(10) ORDER BY ord) AS body FROM notes GROUP BY country)
+SELECT country, 1 AS section_no, 'Reporting Period' AS title, {_PERIOD} AS body FROM g
+UNION ALL SELECT country, 3, 'Case Summary', {_CASE} FROM g
+UNION ALL SELECT country, 8, 'Methodology', {_sq(METHODOLOGY_TEXT % DEFAULT_MODEL_NAME)} FROM g
+UNION ALL SELECT country, 9, 'Limitations', body FROM lim
+UNION ALL SELECT country, 11, 'Evidence Traceability', {_sq(TRACEABILITY_TEXT)} FROM g"""
+)
