@@ -416,22 +416,30 @@ def reaction_concentration(
     """Top-k terms with count and share of ALL reaction rows (null terms
     stay in the denominator). Groups without any dated reaction get no rows.
 
-    Plan: term counts (one shuffle) -> partial top-k -> equi-join with a
-    one-row-per-group total (two tiny sides; AQE broadcasts at runtime)."""
+    Plan: ONE ``rollup`` aggregate yields per-term counts and the per-group
+    total together (no join); two windows over that aggregated table carry
+    the total to each term row and rank the terms."""
     ks = keys(by)
     base = with_group(reactions, by)
-    totals = base.groupBy(*[_q(c) for c in ks]).agg(
-        F.count(F.lit(1)).alias("_total"),
-        F.count_if(_q(date_col).isNotNull()).alias("_dated"),
+    agg = (
+        base.rollup(*[_q(c) for c in ks], _q(term_col).alias("reaction_pt"))
+        .agg(
+            F.count(F.lit(1)).alias("count"),
+            F.count_if(_q(date_col).isNotNull()).alias("_dated"),
+            F.grouping_id().alias("_level"),
+        )
+        .filter(F.col("_level") <= 1)  # (group, term) rows and (group) totals
+    )
+    whole = Window.partitionBy(*[_q(c) for c in ks])
+    total = F.max(F.when(F.col("_level") == 1, F.col("count"))).over(whole)
+    dated = F.max(F.when(F.col("_level") == 1, F.col("_dated"))).over(whole)
+    terms = agg.select("*", total.alias("_total"), dated.alias("_dated_all")).filter(
+        (F.col("_level") == 0) & F.col("reaction_pt").isNotNull() & (F.col("_dated_all") > 0)
     )
-    counts = base.filter(_q(term_col).isNotNull()).groupBy(
-        *[_q(c) for c in ks], _q(term_col).alias("reaction_pt")
-    ).agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy(*[_q(c) for c in ks]).orderBy(F.desc("count"), F.asc("reaction_pt"))
-    top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    joined = top.join(totals, on=ks, how="inner").filter(F.col("_dated") > 0)
+    top = terms.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return drop_group(
-        joined.select(
+        top.select(
             *[_q(c) for c in ks],
             "reaction_pt",
             "rank",

@@ -24,7 +24,7 @@ from casewatch.config import (
     REVIEW_PENDING,
     TRACEABILITY_TEXT,
 )
-from casewatch.operators.sections import SECTIONS
+from casewatch.operators.sections import SECTIONS, group_keys, with_group
 
 
 def _q(c: str) -> Column:
@@ -111,6 +111,9 @@ def report_document(
 
     The five generated texts and the review list are pivoted per group with
     one aggregate (five known section names, so the pivot is bounded)."""
+    keep = list(by)
+    struct_df = with_group(struct_df, by)
+    by = group_keys(by)
     ids = [*by, "report_section"]
     per_section = records.join(validation.select(*[_q(c) for c in ids], "human_review_required"), on=ids, how="left")
     texts = per_section.groupBy(*[_q(k) for k in by]).agg(
@@ -141,4 +144,4 @@ def report_document(
         parts.append(F.coalesce(body, F.lit("")))
         if i < len(REPORT_HEADINGS) - 1:
             parts.append(F.lit("\n\n---\n\n"))
-    return df.select(*[_q(k) for k in by], F.trim(F.concat(*parts)).alias("report"))
+    return df.select(*[_q(k) for k in keep], F.trim(F.concat(*parts)).alias("report"))

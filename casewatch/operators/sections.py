@@ -36,6 +36,19 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+GROUP = "_g"
+
+
+def group_keys(by: Sequence[str]) -> list[str]:
+    """Join keys: the group columns, or a constant key when ungrouped (so
+    every join stays an equi-join)."""
+    return list(by) if by else [GROUP]
+
+
+def with_group(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df if by or GROUP in df.columns else df.withColumn(GROUP, F.lit(0))
+
+
 def section_map(spark) -> DataFrame:
     """E1 mapping ``(report_section, section_ord, section, key_ord)`` — a
     fixed 22-row literal table (safe to broadcast)."""
@@ -66,12 +79,18 @@ def _rate(c: Column) -> Column:
     return _without_available(c, ["count", "percentage"])
 
 
-def compact_evidence(ev: Column, section: str) -> Column:
-    """Section-specific compaction of the evidence slice. Keys that the slice
-    does not supply are null, as in the reference (e.g. the narrative summary
-    asks for reactions and alerts, which its slice does not hold)."""
-    keys = dict(SECTION_MAP)[section]
-    has = set(keys)
+def compact_evidence(ev: Column, section: str, available: Sequence[str] | None = None) -> Column:
+    """Section-specific compaction of the evidence handed to the prompt.
+
+    ``available`` lists the top-level keys that evidence holds (default: the
+    section's slice). Keys it does not hold read as null, as in the reference
+    (e.g. the narrative summary asks for reactions and alerts, which its
+    slice does not supply)."""
+    if section not in dict(SECTION_MAP):
+        raise ValueError(
+            f"Unsupported report section: '{section}'. Supported sections: {', '.join(SECTIONS)}"
+        )
+    has = set(dict(SECTION_MAP)[section] if available is None else available)
 
     def get(k: str) -> Column:
         # a key the slice does not supply reads as a null of the same type
@@ -179,6 +198,14 @@ def _slice(ev: Column, section: str) -> Column:
     return F.struct(*[ev[k].alias(k) for k in dict(SECTION_MAP)[section]])
 
 
+def get_prompt(ev: Column, section: str, available: Sequence[str] | None = None) -> Column:
+    """E5: prompt for a section name (stripped, lower-cased); an unknown name
+    raises listing the supported ones."""
+    name = section.strip().lower()
+    compact = F.to_json(compact_evidence(ev, name, available), {"ignoreNullFields": "false"})
+    return prompt_text(compact, name)
+
+
 def prompt_text(evidence_json: Column, section: str) -> Column:
     """Rules + title + task + evidence JSON + closing line."""
     prefix = ("\n" + GROUNDING_RULES + "\n\nSECTION:\n" + TITLES[section] + "\n\nTASK:\n"
@@ -218,6 +245,8 @@ def section_records(struct_df: DataFrame, by: Sequence[str], texts: DataFrame |
     ``texts`` may supply generated text per (group, report_section); without
     it the deterministic fallback text is used (mock mode)."""
     ev = F.col("evidence")
+    struct_df = with_group(struct_df, by)
+    by = group_keys(by)
     opts = {"ignoreNullFields": "false"}
     rows = []
     for i, name in enumerate(SECTIONS):
@@ -240,6 +269,8 @@ def validate_sections(records: DataFrame, facts: DataFrame, by: Sequence[str]) -
     """F1-F6 on the section texts against each section's own (un-compacted)
     evidence slice: ``(group..., report_section, valid, unsupported_numbers,
     unsupported_claims, human_review_required)``."""
+    facts = with_group(facts, by)
+    by = group_keys(by)
     ids = [*by, "report_section"]
     sec_facts = section_evidence(facts, by)
     ev_nums = G.evidence_numbers_from_facts(sec_facts, ids).filter(F.col("value").isNotNull())
@@ -273,10 +304,12 @@ def validate_sections(records: DataFrame, facts: DataFrame, by: Sequence[str]) -
 def generation_audit(records: DataFrame, validation: DataFrame, by: Sequence[str], model: str = FALLBACK_MODEL,
                      mock: bool = True) -> DataFrame:
     """One audit record per (group, section)."""
+    keep = list(by)
+    by = group_keys(by)
     ids = [*by, "report_section"]
     joined = records.join(validation, on=ids, how="left")
     return joined.select(
-        *[_q(c) for c in by],
+        *[_q(c) for c in keep],
         "section_ord",
         F.col("report_section").alias("section"),
         F.col("evidence_json").alias("evidence"),
