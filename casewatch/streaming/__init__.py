@@ -1 +1,10 @@
-"""casewatch.streaming."""
+"""Structured Streaming entry points.
+
+The reference is batch-only; its one notion of change over time is "a newer
+version of a case replaces the older one" (D1). ``versions`` applies that same
+aggregate to a stream of raw case files.
+"""
+
+from casewatch.streaming.versions import newest_versions_stream, start_newest_versions
+
+__all__ = ["newest_versions_stream", "start_newest_versions"]
