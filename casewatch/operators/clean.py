@@ -98,3 +98,25 @@ def prepare_cases(latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     cases = add_report_date(cases)
     cases = add_age(cases)
     return normalize_categoricals(cases, [c for c in CATEGORICAL_COLUMNS if c not in by], stripped=True)
+
+
+def validate_tables(
+    cases: DataFrame,
+    reactions: DataFrame,
+    drugs: DataFrame,
+    key: str = "safetyreportid",
+) -> None:
+    """Required columns on the three tables (metadata only), then one
+    aggregate that looks for a duplicated case id; raises on any problem."""
+    required = {
+        "case": (cases, [key, "serious", "fulfillexpeditecriteria", "patient_patientsex", "age_group"]),
+        "reaction": (reactions, [key, "reaction_pt"]),
+        "drug": (drugs, [key, "active_substance"]),
+    }
+    for name, (df, cols) in required.items():
+        missing = [c for c in cols if c not in df.columns]
+        if missing:
+            raise ValueError(f"Missing {name} columns: " + ", ".join(missing))
+    dup = cases.groupBy(_q(key)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    if not dup.isEmpty():
+        raise ValueError(f"cases contains duplicate {key} values.")

@@ -40,9 +40,10 @@ def latest_version(
     """Newest row per key: highest ``version``, ties broken by ``tiebreak``
     (descending; default: every other column). Null keys form one group.
 
-    Plan: HashAggregate(partial max_by) -> Exchange(key) -> final; no sort
-    of whole key groups, so a key holding a third of the rows is reduced on
-    the map side.
+    Plan: partial ``max_by`` -> Exchange(key) -> final ``max_by`` (a sort-based
+    aggregate, since the buffer is a struct). The partial step leaves one row
+    per key and map partition, so a key holding a third of all rows is
+    reduced before the shuffle instead of landing whole in one task.
     """
     others = [c for c in df.columns if c != key]
     tb = list(tiebreak) if tiebreak is not None else [c for c in df.columns if c not in (key, version)]
@@ -244,3 +245,19 @@ def pipeline_counters(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def attach_case_dates(
+    reactions: DataFrame,
+    cases: DataFrame,
+    key: str = "safetyreportid",
+    date_col: str = "report_date",
+    out_col: str = "case_report_date",
+) -> DataFrame:
+    """D12 for reaction tables that arrive without their case date: left
+    equi-join on the key (null keys match, as in the reference), keeping only
+    rows with a date. A plain equi-join: AQE broadcasts the case side only if
+    its runtime size is under the threshold, otherwise sort-merge."""
+    dates = cases.select(_q(key).alias("_k"), _q(date_col).alias(out_col))
+    joined = reactions.join(dates, reactions[key].eqNullSafe(dates["_k"]), "left").drop("_k")
+    return joined.filter(F.col(out_col).isNotNull())

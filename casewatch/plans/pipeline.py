@@ -86,3 +86,45 @@ def preprocess(
     drugs = explode_drugs(retained, pattern=params.target_pattern, carry=list(by), null_sentinels=params.null_sentinels)
     cases = prepare_cases(retained, by)
     return CaseTables(clean, latest, retained, cases, reactions, drugs, tuple(by))
+
+
+def run(
+    raw: DataFrame,
+    out_dir: str,
+    params: RunParams = RunParams(),
+    by: Sequence[str] = (),
+    texts: DataFrame | None = None,
+) -> dict[str, str]:
+    """Clean -> analyze -> report, writing every output; actions happen
+    only at the sinks. Returns the output paths (each verified to exist).
+
+    ``texts`` optionally supplies generated section text per (group,
+    report_section); otherwise the deterministic fallback text is used."""
+    from casewatch.operators import evidence as EV
+    from casewatch.operators import report as R
+    from casewatch.operators import sections as S
+    from casewatch.operators.clean import validate_tables
+    from casewatch.sources import sinks
+
+    spark = raw.sparkSession
+    out = out_dir.rstrip("/")
+    t = preprocess(raw, params, by, staged=True)
+    validate_tables(t.cases, t.reactions, t.drugs)
+    paths = sinks.write_tables({"cases": t.cases, "reactions": t.reactions, "target_drugs": t.drugs}, f"{out}/tables")
+    ev = stage(EV.evidence_struct(EV.evidence_parts(t, params)))
+    keys = list(by)
+    facts = EV.evidence_facts(ev, keys)
+    sinks.write_evidence_json(EV.evidence_json(ev, keys), f"{out}/evidence", keys)
+    records = S.section_records(ev, keys, texts)
+    validation = S.validate_sections(records, facts, keys)
+    model = params.model_name if not params.mock_text else "deterministic-fallback"
+    sinks.write_audit(S.generation_audit(records, validation, keys, model=model, mock=params.mock_text), f"{out}/audit")
+    sinks.write_report(R.report_document(ev, records, validation, keys, params.model_name), f"{out}/report", keys)
+    paths.update({"evidence": f"{out}/evidence", "audit": f"{out}/audit", "report": f"{out}/report"})
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, p in paths.items():
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if not path.getFileSystem(conf).exists(path):
+            raise RuntimeError(f"Expected {name} output was not found: {p}")
+    return paths
