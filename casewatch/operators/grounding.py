@@ -79,16 +79,22 @@ def claim_findings(
     contained (lower-case substring) in the text, in list order; an empty
     text yields the single fixed finding with ``ord`` 0."""
     t = _q(text_col)
-    lits = F.array(*[F.struct(F.lit(i + 1).alias("ord"), F.lit(p).alias("phrase")) for i, p in enumerate(phrases)])
-    lowered = F.lower(t)
-    hits = F.filter(lits, lambda p: F.contains(lowered, p["phrase"]))
-    hits = F.transform(
-        hits,
-        lambda p: F.struct(
-            p["ord"].alias("ord"),
-            p["phrase"].alias("phrase"),
-            F.concat(F.lit(CLAIM_MESSAGE_PREFIX), p["phrase"], F.lit("'")).alias("finding"),
+    lowered = F.lower(t)  # one common subexpression, lower-cased once per text
+    hits = F.filter(
+        F.array(
+            *[
+                F.when(
+                    F.contains(lowered, F.lit(p)),
+                    F.struct(
+                        F.lit(i + 1).alias("ord"),
+                        F.lit(p).alias("phrase"),
+                        F.lit(CLAIM_MESSAGE_PREFIX + p + "'").alias("finding"),
+                    ),
+                )
+                for i, p in enumerate(phrases)
+            ]
         ),
+        lambda x: x.isNotNull(),
     )
     empty = F.array(
         F.struct(

@@ -14,11 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casewatch.sources.raw import spread
+
 TARGET_PATTERN = r"\bWIDGET\b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table scan; single-row-group files are spread over the cores."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _s(c: Column) -> Column:

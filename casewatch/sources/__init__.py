@@ -1,6 +1,6 @@
 """Scans and sinks."""
 
-from casewatch.sources.raw import normalize_headers, read_raw, require_columns
+from casewatch.sources.raw import normalize_headers, read_raw, require_columns, spread
 from casewatch.sources.sinks import (
     read_evidence_json,
     read_tables,
@@ -16,6 +16,7 @@ __all__ = [
     "read_raw",
     "read_tables",
     "require_columns",
+    "spread",
     "write_audit",
     "write_evidence_json",
     "write_report",

@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 from casewatch.config import NULL_SENTINELS, REQUIRED_RAW_COLUMNS
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one split per core.
+
+    A file that is one big row group (or one unsplittable block) yields a
+    single input partition, so every row-level step before the first shuffle
+    would run in one task. Such scans get a round-robin repartition to the
+    cluster's default parallelism; a large input already has more splits
+    than cores and is returned untouched (no extra shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Strip + lower-case every column name; duplicates after that -> error."""
     names = [c.strip().lower() for c in df.columns]
@@ -75,7 +87,7 @@ def read_raw(
         df = spark.read.option("primitivesAsString", "true").json(path)
     else:
         df = spark.read.format(fmt).load(path)
-    df = normalize_headers(df)
+    df = normalize_headers(spread(df))
     df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     df = _sentinels_to_null(df, null_sentinels)
     return require_columns(df, required)
