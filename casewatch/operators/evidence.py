@@ -54,8 +54,7 @@ class EvidenceParts:
     params: RunParams
     cases_columns: list[str]
     metrics: DataFrame      # one row per group: every case-level scalar
-    counts: DataFrame       # (group, dimension, value, n, ord) — bounded, see below
-    reaction_scalars: DataFrame  # one row per group: reaction totals
+    counts: DataFrame       # (group, dimension, value, n, ord) over aggregated counts
     drug_counts: DataFrame  # one row per group
 
 
@@ -124,20 +123,8 @@ def evidence_parts(t: CaseTables, params: RunParams = RunParams()) -> EvidencePa
     )
     counts = counts.withColumn("ord", F.row_number().over(w))
 
-    term_rows = rx_counts.filter(F.col("dimension") == "term")
-    named = F.col("value").isNotNull() & (F.col("value") != "")
-    reaction_scalars = term_rows.groupBy(*[_q(k) for k in by]).agg(
-        F.sum(F.when(named, F.col("n"))).alias("total_reaction_occurrences"),
-        F.count_if(named).alias("unique_reaction_terms"),
-        F.sum("n").alias("reaction_records"),
-    ).join(
-        rx_counts.filter(F.col("dimension") == "frequency_by_month")
-        .groupBy(*[_q(k) for k in by]).agg(F.sum("n").alias("dated_reactions")),
-        on=by,
-        how="left",
-    )
     drug_counts = drugs.groupBy(*[_q(k) for k in by]).agg(F.count(F.lit(1)).alias("drug_records"))
-    return EvidenceParts(by, list(t.by), params, t.cases.columns, metrics, counts, reaction_scalars, drug_counts)
+    return EvidenceParts(by, list(t.by), params, t.cases.columns, metrics, counts, drug_counts)
 
 
 # -- nested document ---------------------------------------------------------------
@@ -158,16 +145,17 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
     n, k = p.params.top_n, p.params.top_k
     top_dims = ("primary_source_country", "occurrence_country", "term", "serious_term")
     keep = ~F.col("dimension").isin(*top_dims) | (F.col("ord") <= n)
-    entries = (
-        p.counts.filter(keep)
-        .groupBy(*[_q(c) for c in by])
-        .agg(F.array_sort(F.collect_list(F.struct("dimension", "ord", "value", "n"))).alias("_e"))
-    )
-    df = (
-        p.metrics.join(entries, on=by, how="left")
-        .join(p.reaction_scalars, on=by, how="left")
-        .join(p.drug_counts, on=by, how="left")
+    is_term = F.col("dimension") == "term"
+    named = F.col("value").isNotNull() & (F.col("value") != "")
+    # one aggregate per group: the bounded map entries plus the reaction totals
+    entries = p.counts.groupBy(*[_q(c) for c in by]).agg(
+        F.array_sort(F.collect_list(F.when(keep, F.struct("dimension", "ord", "value", "n")))).alias("_e"),
+        F.sum(F.when(is_term & named, F.col("n"))).alias("total_reaction_occurrences"),
+        F.count_if(is_term & named).alias("unique_reaction_terms"),
+        F.sum(F.when(is_term, F.col("n"))).alias("reaction_records"),
+        F.sum(F.when(F.col("dimension") == "frequency_by_month", F.col("n"))).alias("dated_reactions"),
     )
+    df = p.metrics.join(entries, on=by, how="left").join(p.drug_counts, on=by, how="left")
     e = F.coalesce(F.col("_e"), F.array().cast("array<struct<dimension:string,ord:int,value:string,n:bigint>>"))
 
     def dim(d: str, limit: int | None = None, named_only: bool = False) -> Column:

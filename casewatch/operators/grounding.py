@@ -69,17 +69,11 @@ def unsupported_numbers(numbers: DataFrame, evidence: DataFrame, group: Sequence
     return numbers.join(evidence.select(*[_q(c) for c in on]), on=on, how="left_anti")
 
 
-def claim_findings(
-    texts: DataFrame,
-    ids: Sequence[str],
-    text_col: str = "text",
-    phrases: Sequence[str] = FLAGGED_PHRASES,
-) -> DataFrame:
-    """``(ids..., ord, phrase, finding)`` — one row per flagged phrase
-    contained (lower-case substring) in the text, in list order; an empty
-    text yields the single fixed finding with ``ord`` 0."""
-    t = _q(text_col)
-    lowered = F.lower(t)  # one common subexpression, lower-cased once per text
+def claim_array(text: Column, phrases: Sequence[str] = FLAGGED_PHRASES) -> Column:
+    """F5 as an expression: array of ``struct(ord, phrase, finding)`` for every
+    flagged phrase contained (lower-case substring) in the text, in list
+    order; an empty or null text yields the single fixed finding (ord 0)."""
+    lowered = F.lower(text)  # one common subexpression, lower-cased once per text
     hits = F.filter(
         F.array(
             *[
@@ -101,8 +95,29 @@ def claim_findings(
             F.lit(0).alias("ord"), F.lit(None).cast("string").alias("phrase"), F.lit(EMPTY_TEXT_FINDING).alias("finding")
         )
     )
-    found = F.when(t.isNull() | (t == ""), empty).otherwise(hits)
-    return texts.select(*[_q(c) for c in ids], F.inline(found))
+    return F.when(text.isNull() | (text == ""), empty).otherwise(hits)
+
+
+def claim_findings(
+    texts: DataFrame,
+    ids: Sequence[str],
+    text_col: str = "text",
+    phrases: Sequence[str] = FLAGGED_PHRASES,
+) -> DataFrame:
+    """``(ids..., ord, phrase, finding)`` — one row per finding."""
+    return texts.select(*[_q(c) for c in ids], F.inline(claim_array(_q(text_col), phrases)))
+
+
+def fact_numbers(pattern: str = NUMBER_PATTERN) -> Column:
+    """Evidence numbers of one ``evidence_facts`` row as an array: the
+    numeric value, or the numbers inside a string value; keys and booleans
+    give none."""
+    kind = F.col("kind")
+    return (
+        F.when(kind.isin("int", "float"), F.array(F.col("value_num")))
+        .when(kind == "str", F.transform(extract_numbers(F.col("value_str"), pattern), number_value))
+        .otherwise(F.array().cast("array<double>"))
+    )
 
 
 def section_validation(

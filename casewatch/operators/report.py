@@ -102,21 +102,19 @@ def report_sections(struct_df: DataFrame, by: Sequence[str], model_name: str = D
 
 def report_document(
     struct_df: DataFrame,
-    records: DataFrame,
-    validation: DataFrame,
+    validated: DataFrame,
     by: Sequence[str],
     model_name: str = DEFAULT_MODEL_NAME,
 ) -> DataFrame:
     """``(group..., report)`` — the 11-section Markdown document.
 
-    The five generated texts and the review list are pivoted per group with
+    The five section texts and the review list are pivoted per group with
     one aggregate (five known section names, so the pivot is bounded)."""
     keep = list(by)
     struct_df = with_group(struct_df, by)
+    validated = with_group(validated, by)
     by = group_keys(by)
-    ids = [*by, "report_section"]
-    per_section = records.join(validation.select(*[_q(c) for c in ids], "human_review_required"), on=ids, how="left")
-    texts = per_section.groupBy(*[_q(k) for k in by]).agg(
+    texts = validated.groupBy(*[_q(k) for k in by]).agg(
         *[F.max(F.when(F.col("report_section") == s, F.col("text"))).alias(f"t_{s}") for s in SECTIONS],
         F.array_sort(
             F.collect_list(F.when(F.col("human_review_required"), F.struct("section_ord", "report_section")))

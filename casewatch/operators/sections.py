@@ -25,7 +25,7 @@ from casewatch.config import (
     SECTION_TITLES,
 )
 from casewatch.operators import grounding as G
-from casewatch.functions import strip
+from casewatch.functions import extract_numbers, number_value, strip
 
 SECTIONS = [name for name, _ in SECTION_MAP]
 TITLES = dict(SECTION_TITLES)
@@ -267,49 +267,44 @@ def section_records(struct_df: DataFrame, by: Sequence[str], texts: DataFrame |
 
 def validate_sections(records: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
     """F1-F6 on the section texts against each section's own (un-compacted)
-    evidence slice: ``(group..., report_section, valid, unsupported_numbers,
-    unsupported_claims, human_review_required)``."""
+    evidence slice. Returns the records with ``valid, unsupported_numbers,
+    unsupported_claims, human_review_required`` appended.
+
+    A section's evidence is bounded by construction (top-N lists, months,
+    categories), so its numbers are collected into one array per (group,
+    section) in a single aggregate, joined once to the records, and every
+    check then runs inside the row: no anti-join, no re-aggregation."""
     facts = with_group(facts, by)
+    records = with_group(records, by)
     by = group_keys(by)
     ids = [*by, "report_section"]
-    sec_facts = section_evidence(facts, by)
-    ev_nums = G.evidence_numbers_from_facts(sec_facts, ids).filter(F.col("value").isNotNull())
-    nums = G.text_numbers(records, ids, "text")
-    bad = G.unsupported_numbers(nums, ev_nums, ids)
-    findings = G.claim_findings(records, ids, "text")
-    bad_list = bad.groupBy(*[_q(c) for c in ids]).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "number"))), lambda x: x["number"]).alias("unsupported_numbers")
-    )
-    claim_list = findings.groupBy(*[_q(c) for c in ids]).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "finding"))), lambda x: x["finding"]).alias("unsupported_claims")
+    sec = section_evidence(facts, by)
+    ev = sec.groupBy(*[_q(c) for c in ids]).agg(
+        F.array_distinct(F.flatten(F.collect_list(G.fact_numbers()))).alias("_ev")
     )
-    empty = F.array().cast("array<string>")
-    out = (
-        records.select(*[_q(c) for c in ids], "text")
-        .join(bad_list, on=ids, how="left")
-        .join(claim_list, on=ids, how="left")
+    joined = records.join(ev, on=ids, how="left")
+    evidence = F.coalesce(F.col("_ev"), F.array().cast("array<double>"))
+    text = F.col("text")
+    unsupported = F.filter(
+        extract_numbers(text),
+        lambda t: ~F.coalesce(F.array_contains(evidence, number_value(t)), F.lit(False)),
     )
-    un = F.coalesce("unsupported_numbers", empty)
-    uc = F.coalesce("unsupported_claims", empty)
-    valid = (F.size(un) == 0) & (F.size(uc) == 0) & (strip(F.col("text")) != "")
-    return out.select(
-        *[_q(c) for c in ids],
+    claims = F.transform(G.claim_array(text), lambda x: x["finding"])
+    valid = (F.size(unsupported) == 0) & (F.size(claims) == 0) & F.coalesce(strip(text) != "", F.lit(False))
+    return joined.select(
+        "*",
         valid.alias("valid"),
-        un.alias("unsupported_numbers"),
-        uc.alias("unsupported_claims"),
+        unsupported.alias("unsupported_numbers"),
+        claims.alias("unsupported_claims"),
         (~valid).alias("human_review_required"),
-    )
+    ).drop("_ev")
 
 
-def generation_audit(records: DataFrame, validation: DataFrame, by: Sequence[str], model: str = FALLBACK_MODEL,
+def generation_audit(validated: DataFrame, by: Sequence[str], model: str = FALLBACK_MODEL,
                      mock: bool = True) -> DataFrame:
-    """One audit record per (group, section)."""
-    keep = list(by)
-    by = group_keys(by)
-    ids = [*by, "report_section"]
-    joined = records.join(validation, on=ids, how="left")
-    return joined.select(
-        *[_q(c) for c in keep],
+    """One audit record per (group, section), from the validated records."""
+    return validated.select(
+        *[_q(c) for c in by],
         "section_ord",
         F.col("report_section").alias("section"),
         F.col("evidence_json").alias("evidence"),

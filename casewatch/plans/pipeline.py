@@ -116,10 +116,10 @@ def run(
     facts = EV.evidence_facts(ev, keys)
     sinks.write_evidence_json(EV.evidence_json(ev, keys), f"{out}/evidence", keys)
     records = S.section_records(ev, keys, texts)
-    validation = S.validate_sections(records, facts, keys)
+    validated = stage(S.validate_sections(records, facts, keys))
     model = params.model_name if not params.mock_text else "deterministic-fallback"
-    sinks.write_audit(S.generation_audit(records, validation, keys, model=model, mock=params.mock_text), f"{out}/audit")
-    sinks.write_report(R.report_document(ev, records, validation, keys, params.model_name), f"{out}/report", keys)
+    sinks.write_audit(S.generation_audit(validated, keys, model=model, mock=params.mock_text), f"{out}/audit")
+    sinks.write_report(R.report_document(ev, validated, keys, params.model_name), f"{out}/report", keys)
     paths.update({"evidence": f"{out}/evidence", "audit": f"{out}/audit", "report": f"{out}/report"})
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -370,8 +370,8 @@ def q_fallback_text(spark, sf):
 
 
 def q_generation_audit(spark, sf):
-    _, _, records, validation = _section_outputs(spark, sf)
-    return S.generation_audit(records, validation, GROUP_BY)
+    _, _, _, validated = _section_outputs(spark, sf)
+    return S.generation_audit(validated, GROUP_BY)
 
 
 def q_report_sections(spark, sf):
@@ -379,8 +379,8 @@ def q_report_sections(spark, sf):
 
 
 def q_report_document(spark, sf):
-    ev, _, records, validation = _section_outputs(spark, sf)
-    return R.report_document(ev, records, validation, GROUP_BY)
+    ev, _, _, validated = _section_outputs(spark, sf)
+    return R.report_document(ev, validated, GROUP_BY)
 
 
 QUERIES.update(

@@ -119,13 +119,13 @@ def test_facts_match_json(ev, evidence_df):
 def test_full_report(spark, evidence_df, tables):
     facts = EV.evidence_facts(evidence_df)
     records = S.section_records(evidence_df, [])
-    validation = S.validate_sections(records, facts, [])
-    report = R.report_document(evidence_df, records, validation, []).collect()[0]["report"]
+    validated = S.validate_sections(records, facts, [])
+    report = R.report_document(evidence_df, validated, []).collect()[0]["report"]
     assert report.startswith("# PADER-Style Safety Report")
     assert report.count("\n## ") == 11
     assert "A total of 3 unique cases were identified." in report
     assert "**Report Status: PENDING HUMAN REVIEW**" in report
-    audit = S.generation_audit(records, validation, []).collect()
+    audit = S.generation_audit(validated, []).collect()
     assert [a["section"] for a in sorted(audit, key=lambda a: a["section_ord"])] == S.SECTIONS
     for a in audit:
         json.loads(a["evidence"])
