@@ -1,11 +1,12 @@
 """Evidence document (A13, A19) for any number of groups in one job.
 
-``evidence_parts`` computes every aggregate once per group (each a
-partial+final aggregate keyed by the group columns). ``evidence_struct``
-joins those one-row-per-group results on the group key into the nested
-evidence document (a Spark struct with ordered maps). ``evidence_facts``
-flattens that struct into a long table by walking its schema at plan time,
-so facts and JSON can never disagree.
+``evidence_parts`` runs four partial+final aggregates keyed by the group
+columns, whatever the number of groups: case scalars, counts over case
+dimensions, counts over reaction dimensions, drug counts. ``evidence_struct``
+collects the bounded count rows per group once and builds the nested
+evidence document (a Spark struct with ordered maps) in one projection.
+``evidence_facts`` flattens that struct into a long table by walking its
+schema at plan time, so facts and JSON can never disagree.
 
 Maps hold bounded collections only: top-N lists, category counts and months.
 """

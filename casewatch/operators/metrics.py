@@ -7,8 +7,8 @@ Shape choices for scale:
 * top-N per group uses ``row_number() <= n`` which Catalyst turns into a
   partial ``WindowGroupLimit`` before the exchange, so no task ever sees more
   than n rows per group and partition;
-* a per-group denominator is joined on the group key (equi-join on one row
-  per group), never a driver-side ``count()``.
+* a per-group denominator comes from a ``rollup`` in the same aggregate as
+  the counts (no join, no driver-side ``count()``).
 
 With ``by=()`` a constant key ``_g`` stands in, so the same plans apply.
 """

@@ -36,8 +36,6 @@ from casewatch.plans.pipeline import preprocess, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 WIDGET = RunParams(target_pattern=A.TARGET_PATTERN, target_label="Widget")
-ALL_CASES = RunParams(target_pattern=A.TARGET_PATTERN, target_label="Widget", filter_to_target=False)
-COUNTRY = ("primarysourcecountry",)
 
 
 # -- shared inputs --------------------------------------------------------------
@@ -129,7 +127,7 @@ def q_drug_explode_filter(spark, sf):
 
 def q_pipeline_counters(spark, sf):
     raw = A.raw_reports(spark, sf)
-    t = preprocess(raw, WIDGET)
+    t = preprocess(raw, WIDGET, staged=True)  # four counters read the version pick
     return pipeline_counters(raw, t.latest, t.retained, t.reactions, t.drugs, pattern=A.TARGET_PATTERN)
 
 

@@ -15,16 +15,25 @@ from pyspark.sql import functions as F
 from casewatch.config import NULL_SENTINELS, REQUIRED_RAW_COLUMNS
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     """Give a scan at least one split per core.
 
     A file that is one big row group (or one unsplittable block) yields a
     single input partition, so every row-level step before the first shuffle
     would run in one task. Such scans get a round-robin repartition to the
-    cluster's default parallelism; a large input already has more splits
-    than cores and is returned untouched (no extra shuffle)."""
+    cluster's default parallelism. A large input already has more splits than
+    cores and is returned untouched (no extra shuffle), and so is a tiny one
+    (under ``min_bytes``, e.g. a dimension table that will be broadcast)."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return df.repartition(target) if size >= min_bytes else df
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
