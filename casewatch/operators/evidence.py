@@ -2,7 +2,9 @@
 
 ``evidence_parts`` runs four partial+final aggregates keyed by the group
 columns, whatever the number of groups: case scalars, counts over case
-dimensions, counts over reaction dimensions, drug counts. ``evidence_struct``
+dimensions, counts over reaction dimensions, drug counts; ranked dimensions
+are cut to their top-N with a group limit, reaction totals are summed from
+the full counts. ``evidence_struct``
 collects the bounded count rows per group once and builds the nested
 evidence document (a Spark struct with ordered maps) in one projection.
 ``evidence_facts`` flattens that struct into a long table by walking its
@@ -55,7 +57,8 @@ class EvidenceParts:
     params: RunParams
     cases_columns: list[str]
     metrics: DataFrame      # one row per group: every case-level scalar
-    counts: DataFrame       # (group, dimension, value, n, ord) over aggregated counts
+    counts: DataFrame       # (group, dimension, value, n, ord): top-N of ranked dims, all of the rest
+    reaction_totals: DataFrame  # one row per group: totals over ALL term counts
     drug_counts: DataFrame  # one row per group
 
 
@@ -69,6 +72,7 @@ CASE_DIMENSIONS = ("age_group_distribution", "sex_distribution", "primary_source
                    "occurrence_country", "cases_by_month")
 REACTION_DIMENSIONS = ("term", "serious_term", "reaction_outcome_distribution", "frequency_by_month")
 MONTH_DIMENSIONS = ("cases_by_month", "frequency_by_month")
+TOP_DIMENSIONS = ("primary_source_country", "occurrence_country", "term", "serious_term")
 
 
 def _dimension_counts(df: DataFrame, dims: list[tuple[str, Column]], by: Sequence[str]) -> DataFrame:
@@ -115,17 +119,30 @@ def evidence_parts(t: CaseTables, params: RunParams = RunParams()) -> EvidencePa
         by,
     )
     counts = case_counts.unionByName(rx_counts)
-    # ord: months ascending; everything else count desc, value asc (nulls last)
-    w = Window.partitionBy(*[_q(k) for k in by], "dimension").orderBy(
-        F.when(F.col("dimension").isin(*MONTH_DIMENSIONS), F.col("value")),
-        F.col("value").isNull(),
-        F.desc("n"),
-        F.asc("value"),
+    # Ranked dimensions (terms, countries) may hold millions of distinct
+    # values per group: ``row_number() <= limit`` is planned as a partial
+    # WindowGroupLimit before the exchange, so no task sorts a whole group.
+    # Every value of the other (bounded) dimensions is its own window
+    # partition and passes. One pass, one aggregate per family, no re-scan.
+    ranked = F.col("dimension").isin(*TOP_DIMENSIONS)
+    w = Window.partitionBy(
+        *[_q(k) for k in by], "dimension", F.when(~ranked, F.col("value"))
+    ).orderBy(F.col("value").isNull(), F.desc("n"), F.asc("value"))
+    limit = max(params.top_n, params.top_k)
+    top = counts.withColumn("ord", F.row_number().over(w)).filter(F.col("ord") <= limit)
+    # Totals need every term row: a second partial + final aggregate over the
+    # same counts (no filter in between, so the count exchange is reused).
+    is_term = F.col("dimension") == "term"
+    named = F.col("value").isNotNull() & (F.col("value") != "")
+    reaction_totals = counts.groupBy(*[_q(k) for k in by]).agg(
+        F.sum(F.when(is_term & named, F.col("n"))).alias("total_reaction_occurrences"),
+        F.count_if(is_term & named).alias("unique_reaction_terms"),
+        F.sum(F.when(is_term, F.col("n"))).alias("reaction_records"),
+        F.sum(F.when(F.col("dimension") == "frequency_by_month", F.col("n"))).alias("dated_reactions"),
     )
-    counts = counts.withColumn("ord", F.row_number().over(w))
 
     drug_counts = drugs.groupBy(*[_q(k) for k in by]).agg(F.count(F.lit(1)).alias("drug_records"))
-    return EvidenceParts(by, list(t.by), params, t.cases.columns, metrics, counts, drug_counts)
+    return EvidenceParts(by, list(t.by), params, t.cases.columns, metrics, top, reaction_totals, drug_counts)
 
 
 # -- nested document ---------------------------------------------------------------
@@ -144,20 +161,26 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
     the month array in the same projection (no extra shuffle)."""
     by = p.by
     n, k = p.params.top_n, p.params.top_k
-    top_dims = ("primary_source_country", "occurrence_country", "term", "serious_term")
-    keep = ~F.col("dimension").isin(*top_dims) | (F.col("ord") <= n)
-    is_term = F.col("dimension") == "term"
-    named = F.col("value").isNotNull() & (F.col("value") != "")
-    # one aggregate per group: the bounded map entries plus the reaction totals
-    entries = p.counts.groupBy(*[_q(c) for c in by]).agg(
-        F.array_sort(F.collect_list(F.when(keep, F.struct("dimension", "ord", "value", "n")))).alias("_e"),
-        F.sum(F.when(is_term & named, F.col("n"))).alias("total_reaction_occurrences"),
-        F.count_if(is_term & named).alias("unique_reaction_terms"),
-        F.sum(F.when(is_term, F.col("n"))).alias("reaction_records"),
-        F.sum(F.when(F.col("dimension") == "frequency_by_month", F.col("n"))).alias("dated_reactions"),
+    # one aggregate per group over the bounded map entries; entries sort by
+    # dimension, then months ascending, else count desc, value asc (nulls last)
+    entry = F.struct(
+        "dimension",
+        F.when(F.col("dimension").isin(*MONTH_DIMENSIONS), F.col("value")).alias("s1"),
+        F.col("value").isNull().alias("s2"),
+        (-F.col("n")).alias("s3"),
+        "value",
+        "n",
+    )
+    entries = p.counts.groupBy(*[_q(c) for c in by]).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    df = (
+        p.metrics.join(entries, on=by, how="left")
+        .join(p.reaction_totals, on=by, how="left")
+        .join(p.drug_counts, on=by, how="left")
+    )
+    e = F.coalesce(
+        F.col("_e"),
+        F.array().cast("array<struct<dimension:string,s1:string,s2:boolean,s3:bigint,value:string,n:bigint>>"),
     )
-    df = p.metrics.join(entries, on=by, how="left").join(p.drug_counts, on=by, how="left")
-    e = F.coalesce(F.col("_e"), F.array().cast("array<struct<dimension:string,ord:int,value:string,n:bigint>>"))
 
     def dim(d: str, limit: int | None = None, named_only: bool = False) -> Column:
         xs = F.filter(e, lambda x: x["dimension"] == d)

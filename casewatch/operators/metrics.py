@@ -417,8 +417,12 @@ def reaction_concentration(
     stay in the denominator). Groups without any dated reaction get no rows.
 
     Plan: ONE ``rollup`` aggregate yields per-term counts and the per-group
-    total together (no join); two windows over that aggregated table carry
-    the total to each term row and rank the terms."""
+    total row together. One window per group ranks the total row first and
+    the terms after it (count desc, term asc, null term last), cut by
+    ``row_number() <= k + 1`` — a partial WindowGroupLimit before the
+    exchange, so a group with millions of terms never lands whole in one
+    task. A second window over the same partitioning (at most k + 1 rows per
+    group) carries the total to each term row: no join, no re-scan."""
     ks = keys(by)
     base = with_group(reactions, by)
     agg = (
@@ -430,19 +434,23 @@ def reaction_concentration(
         )
         .filter(F.col("_level") <= 1)  # (group, term) rows and (group) totals
     )
+    is_total = F.col("_level") == 1
+    w = Window.partitionBy(*[_q(c) for c in ks]).orderBy(
+        F.desc(is_total), F.col("reaction_pt").isNull(), F.desc("count"), F.asc("reaction_pt")
+    )
+    head = agg.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= k + 1)
     whole = Window.partitionBy(*[_q(c) for c in ks])
-    total = F.max(F.when(F.col("_level") == 1, F.col("count"))).over(whole)
-    dated = F.max(F.when(F.col("_level") == 1, F.col("_dated"))).over(whole)
-    terms = agg.select("*", total.alias("_total"), dated.alias("_dated_all")).filter(
-        (F.col("_level") == 0) & F.col("reaction_pt").isNotNull() & (F.col("_dated_all") > 0)
+    carried = head.select(
+        "*",
+        F.max(F.when(is_total, F.col("count"))).over(whole).alias("_total"),
+        F.max(F.when(is_total, F.col("_dated"))).over(whole).alias("_dated_all"),
     )
-    w = Window.partitionBy(*[_q(c) for c in ks]).orderBy(F.desc("count"), F.asc("reaction_pt"))
-    top = terms.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    top = carried.filter(~is_total & F.col("reaction_pt").isNotNull() & (F.col("_dated_all") > 0))
     return drop_group(
         top.select(
             *[_q(c) for c in ks],
             "reaction_pt",
-            "rank",
+            (F.col("_pos") - 1).alias("rank"),
             "count",
             percentage("count", "_total").alias("percentage_of_reactions"),
         ),

@@ -31,3 +31,30 @@ def test_lineitem_scan_is_pruned(spark):
     scan = [line for line in plan.splitlines() if "lineitem" in line and "FileScan" in line][0]
     for unused in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"):
         assert unused not in scan
+
+
+def _final_plan(df):
+    df.collect()  # small results (one row / k rows per group); runs the adaptive plan
+    return _plan(df).split("Initial Plan")[0]
+
+
+def test_concentration_ranks_with_a_partial_group_limit_in_one_pass(spark):
+    from casewatch.plans import queries as Q
+    from casewatch.operators import metrics as M
+
+    t = Q._evidence_tables(spark, SF)
+    plan = _final_plan(M.reaction_concentration(t.reactions, ["country"]))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert plan.count("Generate inline(array_distinct") == 1  # reactions un-nested once
+
+
+def test_evidence_limits_ranked_dimensions_and_reuses_the_count_exchange(spark):
+    from casewatch.plans import queries as Q
+    from casewatch.operators import evidence as EV
+
+    t = Q._evidence_tables(spark, SF)
+    plan = _final_plan(EV.evidence_struct(EV.evidence_parts(t, Q.WIDGET)))
+    assert "WindowGroupLimit" in plan
+    assert "ReusedExchange" in plan
+    # one un-nesting pass for reactions and one for drugs
+    assert plan.count("Generate inline(array_distinct") == 2
