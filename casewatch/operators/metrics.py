@@ -468,9 +468,11 @@ def reaction_month_matrix(
     """For the top-k terms of each group, counts per month
     ``(by..., reaction_pt, rank, month, n)``.
 
-    One aggregate on (group, term, month); the term ranking is a window over
-    the per-term totals of that aggregate, then a join back on (group, term)
-    restricted to k terms per group — no per-row join, no cross product."""
+    One aggregate on (group, term, month), then one on (group, term) that
+    sums the term total and keeps the term's month cells (bounded by the
+    months of the period). Terms are ranked with ``row_number() <= k``
+    (partial WindowGroupLimit before the exchange) and the kept terms'
+    month cells are un-nested in the row: no join back, one pass."""
     ks = keys(by)
     base = with_group(reactions, by).filter(_q(term_col).isNotNull())
     cells = base.groupBy(
@@ -478,8 +480,11 @@ def reaction_month_matrix(
         _q(term_col).alias("reaction_pt"),
         F.when(_q(date_col).isNotNull(), month_of(_q(date_col))).alias("month"),
     ).agg(F.count(F.lit(1)).alias("n"))
-    term_totals = cells.groupBy(*[_q(c) for c in ks], "reaction_pt").agg(F.sum("n").alias("_t"))
+    per_term = cells.groupBy(*[_q(c) for c in ks], "reaction_pt").agg(
+        F.sum("n").alias("_t"),
+        F.collect_list(F.when(F.col("month").isNotNull(), F.struct("month", "n"))).alias("_cells"),
+    )
     w = Window.partitionBy(*[_q(c) for c in ks]).orderBy(F.desc("_t"), F.asc("reaction_pt"))
-    top = term_totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_t")
-    out = cells.filter(F.col("month").isNotNull()).join(top, on=[*ks, "reaction_pt"], how="inner")
+    top = per_term.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    out = top.select(*[_q(c) for c in ks], "reaction_pt", "rank", F.inline("_cells"))
     return drop_group(out.select(*[_q(c) for c in ks], "reaction_pt", "rank", "month", "n"), by)

@@ -296,9 +296,8 @@ def q_claim_phrases(spark, sf):
 
 
 def q_section_validation(spark, sf):
-    docs = _documents(spark, sf)
-    findings = G.claim_findings(docs, ["doc_id"], phrases=CHECK_PHRASES)
-    return G.section_validation(docs, ["doc_id"], _doc_unsupported(spark, sf), findings)
+    evidence = G.evidence_numbers_from_text(_page_evidence(spark, sf), ["lang"], "html")
+    return G.section_validation(_documents(spark, sf), ["doc_id"], ["lang"], evidence, phrases=CHECK_PHRASES)
 
 
 QUERIES.update(

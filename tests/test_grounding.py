@@ -89,8 +89,7 @@ def test_map_keys_are_not_evidence(spark):
 def test_validation(spark):
     texts = _texts(spark, [(1, "3 cases"), (2, "99 cases caused by it"), (3, "   ")])
     ev = spark.createDataFrame([(1, 3.0), (2, 3.0), (3, 3.0)], "id int, value double")
-    bad = G.unsupported_numbers(G.text_numbers(texts, ["id"]), ev, ["id"])
-    out = {r["id"]: r for r in G.section_validation(texts, ["id"], bad, G.claim_findings(texts, ["id"])).collect()}
+    out = {r["id"]: r for r in G.section_validation(texts, ["id"], ["id"], ev).collect()}
     assert out[1]["valid"] and not out[1]["human_review_required"]
     assert not out[2]["valid"] and out[2]["n_unsupported_numbers"] == 1 and out[2]["n_unsupported_claims"] == 2
     assert not out[3]["valid"]
