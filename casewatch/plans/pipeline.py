@@ -2,14 +2,15 @@
 case / reaction / drug tables -> metrics -> evidence -> sections -> report.
 
 Everything is lazy; actions happen only at sinks. The case table after the
-single shuffle on the case key is materialized once with a reliable
-``checkpoint()`` (to ``spark.checkpoint.dir``) when ``stage=True``, so a lost
-executor never replays the scan and the version pick.
+single shuffle on the case key is materialized once as a Parquet table under
+``spark.checkpoint.dir`` when ``staged=True``, so a lost executor never
+replays the scan and the version pick.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,11 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (never a local one)."""
+    """Cut lineage: write the table as Parquet into a fresh folder under the
+    cluster's checkpoint folder (shared storage, never a local checkpoint)
+    and read it back. A lost executor re-reads the files instead of
+    replaying the scans and shuffles before them, and later steps get
+    column pruning and filter pushdown on the staged table, which an RDD
+    checkpoint (whole serialized rows) cannot give."""
     if not enabled:
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/casewatch-stage-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def preprocess(
