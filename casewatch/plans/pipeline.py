@@ -39,8 +39,9 @@ class CaseTables:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) fall back to a fresh folder under /tmp."""
+    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset in a
+    local session (local runs, tests) fall back to a fresh folder under /tmp.
+    On a cluster without it, staging raises instead of writing locally."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local"):
+        # a machine-local folder would be lost with its executor
+        raise ValueError("Set spark.checkpoint.dir to a shared folder to stage tables on a cluster.")
     import tempfile
 
     local = tempfile.mkdtemp(prefix="casewatch-ckpt-", dir="/tmp")
