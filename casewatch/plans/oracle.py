@@ -956,6 +956,110 @@ EVIDENCE_FACTS = EVIDENCE_BASE + ",\nfacts AS (\n" + "\nUNION ALL ".join(
 ORACLE["evidence_facts"] = EVIDENCE_FACTS + "\nSELECT * FROM facts"
 
 
+# --- S4: evidence JSON, the same nested document built from the CTEs above ------
+# DuckDB's to_json writes structs, ordered maps, lists, nulls and doubles below
+# 1e7 exactly like Spark's to_json with ignoreNullFields=false.
+
+_EMPTY = "MAP {}::MAP(VARCHAR, BIGINT)"
+_EMPTY_CONC = "MAP {}::MAP(VARCHAR, STRUCT(\"count\" BIGINT, percentage_of_reactions DOUBLE))"
+
+
+def _entries(key: str, val: str, order: str) -> str:
+    return f"map_from_entries(list({{'k': {key}, 'v': {val}}} ORDER BY {order}))"
+
+
+def _month_struct(m: str, n: str) -> str:
+    return f"CASE WHEN {m} IS NOT NULL THEN {{'month': {m}, 'count': {n}}} END"
+
+
+def _vc_map(dim: str, top: bool = False) -> str:
+    cond = f"dimension = '{dim}'" + (" AND rank <= 10" if top else "")
+    return f"map_from_entries(list({{'k': value, 'v': n}} ORDER BY rank) FILTER (WHERE {cond}))"
+
+
+_SER_SQL = "".join(
+    f"'{name}': {{'available': true, 'count': {name}_count, 'percentage': {pct(f'{name}_count', 'total_unique_cases')}}}, "
+    for name in ("death", "life_threatening", "hospitalization")
+) + ", ".join(
+    f"'{name}': {{'available': false, 'count': NULL::BIGINT, 'percentage': NULL::DOUBLE}}"
+    for name in ("disability", "congenital_anomaly", "other_serious")
+)
+_ALERTS_SQL = ", ".join(
+    f"'{alert}': {{'count': {_ALERT_SQL[alert]}, 'percentage': {pct(_ALERT_SQL[alert], 'total_unique_cases')}, "
+    f"'interpretation': '{text}'}}"
+    for alert, _col, text in ALERT_INTERPRETATIONS
+)
+_META = {path: expr for section, path, _kind, expr in _SCALARS if section == "metadata"}
+
+ORACLE["evidence_json"] = EVIDENCE_BASE + f""",
+cmap AS (SELECT country, {_entries('month', 'n', 'month')} AS m FROM cm GROUP BY country),
+rmap AS (SELECT country, {_entries('month', 'n', 'month')} AS m FROM rm GROUP BY country),
+vmap AS (
+  SELECT country,
+    {_vc_map('age_group_distribution')} AS age_m,
+    {_vc_map('sex_distribution')} AS sex_m,
+    {_vc_map('primary_source_country', True)} AS psc_m,
+    {_vc_map('occurrence_country', True)} AS occ_m,
+    {_vc_map('reaction_outcome_distribution')} AS out_m
+  FROM vc GROUP BY country
+),
+tmap AS (SELECT country, {_entries('reaction_pt', 'n', 'rank')} AS m FROM tt WHERE rank <= 10 GROUP BY country),
+smap AS (SELECT country, {_entries('reaction_pt', 'n', 'rank')} AS m FROM ts WHERE rank <= 10 GROUP BY country),
+ccmap AS (
+  SELECT country, {_entries('reaction_pt', "{'count': count, 'percentage_of_reactions': pct}", 'rank')} AS m
+  FROM cc GROUP BY country
+),
+nlist AS (SELECT country, list(note ORDER BY ord) AS notes FROM notes GROUP BY country),
+doc AS (
+  SELECT g.*, cmap.m AS cbm, rmap.m AS rbm, vmap.age_m, vmap.sex_m, vmap.psc_m, vmap.occ_m, vmap.out_m,
+    tmap.m AS top_m, smap.m AS ser_m, ccmap.m AS conc_m, nlist.notes
+  FROM g
+  LEFT JOIN cmap ON cmap.country = g.country LEFT JOIN rmap ON rmap.country = g.country
+  LEFT JOIN vmap ON vmap.country = g.country LEFT JOIN tmap ON tmap.country = g.country
+  LEFT JOIN smap ON smap.country = g.country LEFT JOIN ccmap ON ccmap.country = g.country
+  LEFT JOIN nlist ON nlist.country = g.country
+)
+SELECT country, to_json({{
+  'metadata': {{'analysis_type': {_META['analysis_type']}, 'target_product': {_META['target_product']},
+    'source': {_META['source']}, 'analysis_principle': {_META['analysis_principle']}}},
+  'reporting_period': {{'available': start_d IS NOT NULL, 'start_date': strftime(start_d, '%Y-%m-%d'),
+    'end_date': strftime(end_d, '%Y-%m-%d'),
+    'number_of_months': (year(end_d) * 12 + month(end_d)) - (year(start_d) * 12 + month(start_d)) + 1}},
+  'case_summary': {{'total_unique_cases': total_unique_cases, 'serious_cases': serious_cases,
+    'non_serious_cases': non_serious_cases, 'unknown_seriousness': unknown_seriousness,
+    'serious_percentage': {pct('serious_cases', 'total_unique_cases')},
+    'non_serious_percentage': {pct('non_serious_cases', 'total_unique_cases')},
+    'expedite_alert_cases': expedite_alert_cases,
+    'expedite_alert_percentage': {pct('expedite_alert_cases', 'total_unique_cases')},
+    'cases_by_month': coalesce(cbm, {_EMPTY})}},
+  'seriousness': {{{_SER_SQL}}},
+  'demographics': {{'age': {{'available_cases': age_available_cases, 'missing_cases': age_missing_cases,
+      'minimum_years': age_minimum_years, 'maximum_years': age_maximum_years,
+      'mean_years': age_mean_years, 'median_years': age_median_years}},
+    'age_group_distribution': coalesce(age_m, {_EMPTY}), 'sex_distribution': coalesce(sex_m, {_EMPTY}),
+    'primary_source_country': coalesce(psc_m, {_EMPTY}), 'occurrence_country': coalesce(occ_m, {_EMPTY})}},
+  'reactions': {{'total_reaction_occurrences': total_reaction_occurrences,
+    'unique_reaction_terms': unique_reaction_terms,
+    'most_frequent_reactions': coalesce(top_m, {_EMPTY}),
+    'most_frequent_serious_reactions': coalesce(ser_m, {_EMPTY}),
+    'frequency_by_month': coalesce(rbm, {_EMPTY}),
+    'reaction_concentrations': coalesce(conc_m, {_EMPTY_CONC})}},
+  'outcomes': {{'available': reaction_records > 0,
+    'reaction_outcome_distribution': CASE WHEN reaction_records > 0 THEN coalesce(out_m, {_EMPTY}) END}},
+  'trends': {{'case_trends': {{'monthly_case_counts': coalesce(cbm, {_EMPTY}),
+      'highest_month': {_month_struct('high_m', 'high_n')}, 'lowest_month': {_month_struct('low_m', 'low_n')},
+      'first_month': {_month_struct('first_m', 'first_n')}, 'last_month': {_month_struct('last_m', 'last_n')},
+      'absolute_change': last_n - first_n,
+      'percentage_change': CASE WHEN first_n = 0 THEN NULL ELSE {pct('last_n - first_n', 'first_n')} END}},
+    'reaction_trends': coalesce(rbm, {_EMPTY})}},
+  'alerts': {{{_ALERTS_SQL}}},
+  'data_quality': {{'cases': total_unique_cases, 'reaction_records': reaction_records,
+    'drug_records': drug_records, 'missingness_notes': notes}},
+  'limitations': notes
+}}) AS evidence_json
+FROM doc"""
+
+
 # --- E1 / G: section slices and deterministic report sections -----------------
 
 from casewatch.config import (  # noqa: E402
