@@ -991,7 +991,7 @@ _ALERTS_SQL = ", ".join(
 )
 _META = {path: expr for section, path, _kind, expr in _SCALARS if section == "metadata"}
 
-ORACLE["evidence_json"] = EVIDENCE_BASE + f""",
+EVIDENCE_DOC = EVIDENCE_BASE + f""",
 cmap AS (SELECT country, {_entries('month', 'n', 'month')} AS m FROM cm GROUP BY country),
 rmap AS (SELECT country, {_entries('month', 'n', 'month')} AS m FROM rm GROUP BY country),
 vmap AS (
@@ -1018,8 +1018,8 @@ doc AS (
   LEFT JOIN vmap ON vmap.country = g.country LEFT JOIN tmap ON tmap.country = g.country
   LEFT JOIN smap ON smap.country = g.country LEFT JOIN ccmap ON ccmap.country = g.country
   LEFT JOIN nlist ON nlist.country = g.country
-)
-SELECT country, to_json({{
+),
+evdoc AS (SELECT country, {{
   'metadata': {{'analysis_type': {_META['analysis_type']}, 'target_product': {_META['target_product']},
     'source': {_META['source']}, 'analysis_principle': {_META['analysis_principle']}}},
   'reporting_period': {{'available': start_d IS NOT NULL, 'start_date': strftime(start_d, '%Y-%m-%d'),
@@ -1056,8 +1056,9 @@ SELECT country, to_json({{
   'data_quality': {{'cases': total_unique_cases, 'reaction_records': reaction_records,
     'drug_records': drug_records, 'missingness_notes': notes}},
   'limitations': notes
-}}) AS evidence_json
-FROM doc"""
+}} AS ev FROM doc)"""
+
+ORACLE["evidence_json"] = EVIDENCE_DOC + "\nSELECT country, to_json(ev) AS evidence_json FROM evdoc"
 
 
 # --- E1 / G: section slices and deterministic report sections -----------------
@@ -1103,3 +1104,128 @@ UNION ALL SELECT country, 8, 'Methodology', {_sq(METHODOLOGY_TEXT % DEFAULT_MODE
 UNION ALL SELECT country, 9, 'Limitations', body FROM lim
 UNION ALL SELECT country, 11, 'Evidence Traceability', {_sq(TRACEABILITY_TEXT)} FROM g"""
 )
+
+
+# --- E2-E6: compacted section evidence, prompts and fallback text ---------------
+from casewatch.config import (  # noqa: E402
+    GROUNDING_RULES,
+    PROMPT_CLOSING,
+    SECTION_INSTRUCTIONS,
+    SECTION_MAP,
+    SECTION_TITLES,
+)
+
+_TREND_KEYS = ("highest_month", "lowest_month", "first_month", "last_month", "absolute_change", "percentage_change")
+_MEDICAL = ("hospitalization", "disability", "congenital_anomaly", "other_serious")
+
+
+def _compact_sql(section: str) -> str:
+    """The section's compacted evidence as a DuckDB struct over ``ev``; keys
+    outside the section's slice read as NULL."""
+    has = set(dict(SECTION_MAP)[section])
+
+    def get(k: str, path: str = "") -> str:
+        return f"ev.{k}{path}" if k in has else "NULL"
+
+    def rate(k: str) -> str:
+        c = get("seriousness", f".{k}")
+        return f"CASE WHEN {c} IS NULL THEN NULL ELSE {{'count': {c}.count, 'percentage': {c}.percentage}} END"
+
+    def fields(pairs) -> str:
+        return "{" + ", ".join(f"'{name}': {expr}" for name, expr in pairs) + "}"
+
+    rp = get("reporting_period")
+    period = fields([(k, get("reporting_period", f".{k}")) for k in ("start_date", "end_date", "number_of_months")])
+    oc = get("outcomes")
+    outcomes = (f"CASE WHEN {oc} IS NOT NULL THEN "
+                f"{{'reaction_outcome_distribution': {get('outcomes', '.reaction_outcome_distribution')}}} END")
+    trend = fields([(k, get("trends", f".case_trends.{k}")) for k in _TREND_KEYS])
+    cs = lambda k: get("case_summary", f".{k}")
+    rx = lambda k: get("reactions", f".{k}")
+    if section == "narrative_summary":
+        return fields([
+            ("reporting_period", f"CASE WHEN {rp} IS NOT NULL THEN {period} END"),
+            ("case_summary", fields([
+                ("total_cases", cs("total_unique_cases")), ("serious_cases", cs("serious_cases")),
+                ("non_serious_cases", cs("non_serious_cases")), ("serious_percentage", cs("serious_percentage")),
+                ("expedite_cases", cs("expedite_alert_cases")),
+                ("expedite_percentage", cs("expedite_alert_percentage"))])),
+            ("seriousness", fields([("death", rate("death")), ("life_threatening", rate("life_threatening")),
+                                    ("medical_event", fields([(k, rate(k)) for k in _MEDICAL]))])),
+            ("demographics", fields([
+                ("age", fields([("groups", get("demographics", ".age_group_distribution"))])),
+                ("sex", get("demographics", ".sex_distribution"))])),
+            ("reactions", fields([("total", rx("total_reaction_occurrences")), ("top", rx("most_frequent_reactions"))])),
+            ("outcomes", outcomes),
+            ("alerts", get("alerts")),
+        ])
+    if section == "summary_analysis":
+        return fields([
+            ("cases", fields([(k, cs(k)) for k in (
+                "total_unique_cases", "serious_cases", "non_serious_cases", "serious_percentage",
+                "expedite_alert_cases", "expedite_alert_percentage")])),
+            ("seriousness", fields([("death", rate("death")), ("life_threatening", rate("life_threatening")),
+                                    ("other_serious", fields([(k, rate(k)) for k in _MEDICAL]))])),
+            ("demographics", fields([("age_groups", get("demographics", ".age_group_distribution")),
+                                     ("sex", get("demographics", ".sex_distribution"))])),
+            ("reactions", fields([("total", rx("total_reaction_occurrences")), ("top", rx("most_frequent_reactions"))])),
+            ("outcomes", outcomes),
+            ("trends", trend),
+        ])
+    if section == "reaction_analysis":
+        top, conc = rx("most_frequent_reactions"), rx("reaction_concentrations")
+        picked = (f"map_from_entries(list_filter(list_transform(map_keys({top})[1:5], "
+                  f"lambda k: {{'k': k, 'v': {conc}[k]}}), lambda e: e.v IS NOT NULL))")
+        return fields([
+            ("total_reaction_occurrences", rx("total_reaction_occurrences")),
+            ("unique_reaction_terms", rx("unique_reaction_terms")),
+            ("most_frequent_reactions", top),
+            ("most_frequent_serious_reactions", rx("most_frequent_serious_reactions")),
+            ("reaction_concentrations", picked),
+        ])
+    if section == "serious_alert_analysis":
+        return fields([
+            ("case_summary", fields([(k, cs(k)) for k in (
+                "total_unique_cases", "serious_cases", "non_serious_cases", "unknown_seriousness",
+                "serious_percentage", "expedite_alert_cases", "expedite_alert_percentage")])),
+            ("seriousness", fields([(k, rate(k)) for k in ("death", "life_threatening", *_MEDICAL)])),
+            ("alerts", get("alerts")),
+            ("outcomes", outcomes),
+        ])
+    return fields([("reporting_period", period), ("case_trend_summary", trend)])
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _prompt_prefix(section: str) -> str:
+    return ("\n" + GROUNDING_RULES + "\n\nSECTION:\n" + dict(SECTION_TITLES)[section] + "\n\nTASK:\n"
+            + dict(SECTION_INSTRUCTIONS)[section] + "\n\nEVIDENCE:\n").lstrip()
+
+
+_SECTION_ROWS_SQL = "\nUNION ALL ".join(
+    f"SELECT country, {i + 1} AS section_ord, '{name}' AS report_section, to_json({_compact_sql(name)}) AS compact "
+    f"FROM evdoc"
+    for i, (name, _keys) in enumerate(SECTION_MAP)
+)
+SECTION_PROMPTS = EVIDENCE_DOC + f""",
+compacted AS (
+{_SECTION_ROWS_SQL}
+),
+prompts AS (
+  SELECT country, section_ord, report_section, compact,
+    CASE section_ord {" ".join(f"WHEN {i + 1} THEN {_lit(_prompt_prefix(name))}" for i, (name, _k) in enumerate(SECTION_MAP))} END
+      || compact || {_lit(chr(10) + chr(10) + PROMPT_CLOSING)} AS prompt
+  FROM compacted
+)"""
+
+ORACLE["section_prompt"] = SECTION_PROMPTS + "\nSELECT country, section_ord, report_section, prompt FROM prompts"
+
+# Python json.dumps spacing: a space after every ',' and ':' outside strings.
+_JSON_TOKEN_SQL = '("(?:[^"\\\\]|\\\\.)*")|([,:])'
+ORACLE["fallback_text"] = SECTION_PROMPTS + f"""
+SELECT country, report_section,
+  replace(replace(regexp_replace(compact, '{_JSON_TOKEN_SQL}', '\\1\\2' || chr(1), 'g'), '"' || chr(1), '"'), chr(1), ' ')
+    AS text
+FROM prompts"""
