@@ -1229,3 +1229,75 @@ SELECT country, report_section,
   replace(replace(regexp_replace(compact, '{_JSON_TOKEN_SQL}', '\\1\\2' || chr(1), 'g'), '"' || chr(1), '"'), chr(1), ' ')
     AS text
 FROM prompts"""
+
+
+# --- F4-F6 on the section texts, G5-G6: the report document ----------------------
+from casewatch.config import (  # noqa: E402
+    NO_LIMITATIONS_TEXT,
+    REPORT_HEADINGS,
+    REPORT_TITLE,
+    REVIEW_CHECKLIST,
+    REVIEW_LIST_INTRO,
+    REVIEW_PASSED,
+    REVIEW_PENDING,
+)
+
+_FACTS_CTE = EVIDENCE_FACTS[len(EVIDENCE_BASE):]  # ",\nfacts AS (...)"
+_SECTION_PHRASES = "[" + ", ".join(_sq(p) for p in FLAGGED_PHRASES) + "]"
+_NL2 = "chr(10) || chr(10)"
+
+REPORT_BASE = SECTION_PROMPTS + _FACTS_CTE + f""",
+secmap(report_section, section) AS (VALUES {_SECTION_ROWS}),
+sec_nums AS (
+  SELECT f.country, m.report_section, f.value_num AS value
+  FROM facts f JOIN secmap m ON f.section = m.section WHERE f.kind IN ('int', 'float')
+  UNION
+  SELECT country, report_section, {numval('n')} FROM (
+    SELECT f.country, m.report_section, unnest({numbers('f.value_str')}) AS n
+    FROM facts f JOIN secmap m ON f.section = m.section WHERE f.kind = 'str')
+),
+ev_nums AS (SELECT country, report_section, list(value) AS nums FROM sec_nums GROUP BY 1, 2),
+texts AS (
+  SELECT country, section_ord, report_section,
+    replace(replace(regexp_replace(compact, '{_JSON_TOKEN_SQL}', '\\1\\2' || chr(1), 'g'), '"' || chr(1), '"'),
+      chr(1), ' ') AS text
+  FROM prompts
+),
+checked AS (
+  SELECT t.*, len(list_filter({numbers('t.text')},
+      lambda x: NOT coalesce(list_contains(coalesce(e.nums, []), {numval('x')}), false))) AS n_bad,
+    CASE WHEN t.text IS NULL OR t.text = '' THEN 1
+      ELSE len(list_filter({_SECTION_PHRASES}, lambda p: contains(lower(t.text), p))) END AS n_claims
+  FROM texts t LEFT JOIN ev_nums e ON e.country = t.country AND e.report_section = t.report_section
+),
+per_group AS (
+  SELECT country,
+    {", ".join(f"max(CASE WHEN report_section = '{name}' THEN text END) AS t_{name}" for name, _k in SECTION_MAP)},
+    string_agg('- ' || report_section, chr(10) ORDER BY section_ord)
+      FILTER (WHERE NOT (n_bad = 0 AND n_claims = 0 AND trim(text) <> '')) AS failing
+  FROM checked GROUP BY country
+),
+lim AS (SELECT country, string_agg('- ' || note, chr(10) ORDER BY ord) AS body FROM notes GROUP BY country)"""
+
+_REVIEW = (f"{_sq(REVIEW_PENDING)} || {_NL2} || CASE WHEN p.failing IS NULL THEN {_sq(REVIEW_PASSED)} "
+           f"ELSE {_sq(REVIEW_LIST_INTRO)} || {_NL2} || p.failing END || {_NL2} || {_sq(REVIEW_CHECKLIST)}")
+_BODIES = [
+    _PERIOD,
+    "p.t_narrative_summary",
+    _CASE,
+    "p.t_summary_analysis",
+    "p.t_reaction_analysis",
+    "p.t_serious_alert_analysis",
+    "p.t_trend_interpretation",
+    _sq(METHODOLOGY_TEXT % DEFAULT_MODEL_NAME),
+    f"coalesce(lim.body, {_sq(NO_LIMITATIONS_TEXT)})",
+    _REVIEW,
+    _sq(TRACEABILITY_TEXT),
+]
+_DOC_PARTS = " || ".join(
+    f"{_sq('## ' + h)} || {_NL2} || coalesce({b}, '')" + (f" || {_sq(chr(10) * 2 + '---' + chr(10) * 2)}" if i < 10 else "")
+    for i, (h, b) in enumerate(zip(REPORT_HEADINGS, _BODIES))
+)
+ORACLE["report_document"] = REPORT_BASE + f"""
+SELECT g.country, trim({_sq(REPORT_TITLE)} || {_NL2} || {_DOC_PARTS}) AS report
+FROM g LEFT JOIN per_group p ON p.country = g.country LEFT JOIN lim ON lim.country = g.country"""
