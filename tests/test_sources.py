@@ -89,3 +89,26 @@ def test_end_to_end_run_writes_outputs(spark):
     assert "Safety Report" in report
     assert spark.read.json(paths["audit"]).count() == 5
     assert spark.read.parquet(paths["cases"]).count() == 3
+
+
+def test_staging_refuses_a_local_folder_on_a_cluster():
+    import pytest
+
+    from casewatch.plans.pipeline import ensure_checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        sparkContext = _Context()
+        conf = _Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session())
