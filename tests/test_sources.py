@@ -112,3 +112,12 @@ def test_staging_refuses_a_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(_Session())
+
+
+def test_scale_conf_sizes_partitions_from_the_input():
+    from casewatch.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))  # 100 TiB
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
