@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The white space of every contract: blank and the five control characters 9-13.
@@ -92,3 +92,8 @@ def gapless_index(df: DataFrame, groups: Sequence[str], order: Sequence[str], ou
         .withColumn(out, (F.col("__llm_before") + F.col("__llm_place")).cast("long"))
         .drop("__llm_blk", "__llm_place", "__llm_before")
     )
+
+
+def id_bucket(id_col: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus``; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
