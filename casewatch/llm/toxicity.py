@@ -4,9 +4,11 @@ A text is lower-cased; runs of anything but letters and digits become one
 boundary symbol. Its bag holds every character 3- to 5-gram inside a word with
 its boundaries, hashed to one of ``BUCKETS`` embeddings, so an unseen
 misspelling shares most of its vectors with the word it bends. A window of
-``WINDOW`` words averages its embeddings, a linear softmax over two classes
-scores it, and the text's score is that of its most toxic window: one insult
-in a long text is not averaged away. All windows of the whole text count.
+``WINDOW`` words averages the embeddings of its distinct words (over
+``MIN_BAG`` n-grams at least, so that a run of one repeated word is not taken
+for evidence), a linear softmax over two classes scores it, and the text's
+score is that of its most toxic window: one insult in a long text is not
+averaged away. All windows of the whole text count.
 
 Training is joint (embeddings, softmax weights, bias) by Adam in numpy, with
 windows pooled by a softmax whose sharpness rises to near the maximum. It uses
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 from casewatch.llm.common import id_bucket, table
 
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES = 4000, 8000, 32_768
-BUCKETS, DIM, GRAMS, WINDOW = 1 << 18, 8, (3, 4, 5), 64
-STEPS, RATE, DECAY = 160, 0.05, 1e-6
+BUCKETS, DIM, GRAMS, WINDOW, MIN_BAG = 1 << 18, 8, (3, 4, 5), 64, 96
+STEPS, RATE, DECAY = 120, 0.05, 1e-6
 THRESHOLD = 0.7
 #: Symbols handled at once; longer texts are cut at window bounds.
 CHUNK = 1 << 21
@@ -77,6 +79,25 @@ def bag(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words), np.concatenate(buckets)
 
 
+def distinct_words(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols without words that repeat inside their window, and the
+    window of each word left."""
+    marks = np.flatnonzero(s == 0)
+    n = len(marks) - 1
+    word = np.cumsum(s == 0) - 1
+    place = (np.arange(len(s)) - marks[word]).astype(np.uint64)
+    mixed = (s + (place << np.uint64(21)) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    by_word = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), marks[:-1])
+    window = np.arange(n) // WINDOW
+    _, first = np.unique(by_word + window.astype(np.uint64) * np.uint64(0x94D049BB133111EB), return_index=True)
+    kept = np.zeros(n + 1, bool)
+    kept[first] = kept[n] = True
+    if kept.all():
+        return s, window
+    return s[kept[word]], window[kept[:n]]
+
+
 def _cuts(s: np.ndarray) -> Iterator[np.ndarray]:
     """Symbol arrays of whole windows, about CHUNK symbols each."""
     if len(s) <= CHUNK:
@@ -109,11 +130,14 @@ class Model:
     def score(self, text: str | None) -> float:
         best, bias = -np.inf, float(self.bias[1] - self.bias[0])
         for s in _cuts(symbols(text)):
+            if len(s) < 3:
+                continue
+            s, window_of = distinct_words(s)
             word, bucket = bag(s)
             if len(word):
-                window = word // WINDOW
+                window = window_of[word]
                 n = np.bincount(window)
-                z = np.bincount(window, weights=self.margin[bucket])[n > 0] / n[n > 0]
+                z = np.bincount(window, weights=self.margin[bucket])[n > 0] / np.maximum(n[n > 0], MIN_BAG)
                 best = max(best, float(z.max()) + bias)
         if best == -np.inf:
             best = bias
@@ -139,11 +163,12 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
         k = (len(ids) - 1) // WINDOW + 1
         doc_of += [d] * k
         n_windows += k
-    token, window, doc = np.concatenate(tokens), np.concatenate(window_of), np.array(doc_of)
+    pairs = np.unique(np.concatenate(window_of) * len(types) + np.concatenate(tokens))  # distinct words of each window
+    window, token, doc = pairs // len(types), pairs % len(types), np.array(doc_of)
     grams = [bag(np.frombuffer(t, np.uint32))[1] for t in types]
     sizes = np.array([len(g) for g in grams], np.int64)
     gram, type_of = np.concatenate(grams), np.repeat(np.arange(len(grams)), sizes)
-    in_window = np.maximum(np.bincount(window, weights=sizes[token], minlength=n_windows), 1)
+    in_window = np.maximum(np.bincount(window, weights=sizes[token], minlength=n_windows), MIN_BAG)
     docs, doc = np.unique(doc, return_inverse=True)
     y = toxic[docs].astype(float)
     rng = np.random.default_rng(seed)
