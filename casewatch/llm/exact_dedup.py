@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from casewatch.llm.common import WHITE, Workspace, shared_dir, table
 
 
+#: A digest with more than this part of a batch's rows (1 / HOT) is joined apart.
+HOT = 500
+
+
 def digest(text: Column) -> Column:
     """SHA-256 of the normalised text, 32 bytes."""
     return F.unhex(F.sha2(F.translate(F.coalesce(text, F.lit("")), WHITE, ""), 256))
@@ -54,18 +58,20 @@ class DigestIndex:
         text = F.coalesce(F.col(text_col), F.lit(""))
         return df.select(F.col(id_col).alias("doc_id"), F.length(text).alias("points"), digest(text).alias("digest"))
 
-    def append(self, digests: DataFrame) -> None:
-        """Reduce a batch to one row a digest (longest original text, then
-        smallest id; pre-aggregated before the shuffle, so a text with a
-        third of all copies costs one row a task), drop the digests that the
-        index has, and append the rest."""
+    def groups(self, digests: DataFrame) -> DataFrame:
+        """One row a digest of a batch: longest original text, then smallest
+        id; pre-aggregated before the shuffle, so a text with a third of all
+        copies costs one row a task."""
         # ~id is decreasing in id and cannot overflow; a null id sorts lowest
         best = F.max(F.struct("points", F.bitwise_not("doc_id").alias("inv")))
-        batch = digests.groupBy("digest").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
-        fresh = batch.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+        grouped = digests.groupBy("digest").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
+        return grouped.select("digest", F.bitwise_not("b.inv").alias("keep_id"), F.col("b.points").alias("points"), "group_size")
+
+    def append(self, groups: DataFrame) -> None:
+        """Drop the digests that the index has, and append the rest."""
+        fresh = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
         (
-            fresh.select("digest", F.bitwise_not("b.inv").alias("keep_id"), F.col("b.points").alias("points"), "group_size")
-            .repartition(self.buckets, "digest")
+            fresh.repartition(self.buckets, "digest")
             .write.mode("append")
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")
@@ -73,11 +79,16 @@ class DigestIndex:
             .saveAsTable(self.name)
         )
 
-    def resolve(self, digests: DataFrame) -> DataFrame:
-        """Every row of a batch with the row that stays for its text. The join
-        shuffles (id, points, digest) only; AQE splits a hot digest."""
-        idx = self.table().select("digest", "keep_id", F.col("points").alias("kept_points"), "group_size")
-        return digests.join(idx, "digest")
+    def resolve(self, digests: DataFrame, groups: DataFrame) -> DataFrame:
+        """Every row of a batch with the row that stays for its text, from the
+        index. Digests with more than 1 / ``HOT`` of the batch's rows are at
+        most HOT; their index rows are broadcast. The others are joined by
+        merge, where only (id, points, digest) is shuffled."""
+        n = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+        hot = F.broadcast(groups.where(F.col("group_size") > n / HOT).select("digest"))
+        index = self.table().select("digest", "keep_id", "group_size")
+        of_hot = digests.join(F.broadcast(index.join(hot, "digest", "left_semi")), "digest")
+        return digests.join(hot, "digest", "left_anti").join(index, "digest").unionByName(of_hot)
 
 
 def exact_dedup(df: DataFrame, index: DigestIndex, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,8 +97,9 @@ def exact_dedup(df: DataFrame, index: DigestIndex, work: Workspace, id_col: str
     Returns one row per input row, dropped ones too: doc_id, keep_id,
     group_size, kept, text_sha256."""
     rows = work.put(index.digests(df, id_col, text_col), "digests")
-    index.append(rows)
-    return index.resolve(rows).select(
+    groups = work.put(index.groups(rows), "groups")
+    index.append(groups)
+    return index.resolve(rows, groups).select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -45,6 +45,9 @@ MIN_PAGES = 5
 #: ... and on at least this share of them.
 MIN_SHARE = 0.05
 
+#: Deepest nesting that the tree keeps.
+MAX_DEPTH = 200
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup; their text never counts.
 RAW = frozenset("script style textarea noscript template iframe noembed noframes xmp title svg math object canvas select".split())
@@ -137,7 +140,7 @@ def parse(text: str | None) -> Node:
             if not m["attrs"].endswith("/") or tag not in ("svg", "math"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(text, at)
                 at = end.end() if end else len(text)
-        elif tag not in VOID:
+        elif tag not in VOID and len(stack) < MAX_DEPTH:  # deeper elements become siblings, as in browsers
             stack.append(node)
     if at < len(text):
         rest = text[at:]

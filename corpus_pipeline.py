@@ -11,10 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewatch.llm import decontamination, mixing, sharding
+from casewatch.llm import decontamination, langid, mixing, sharding, simhash
 from casewatch.llm.common import Workspace, table
 
 
+def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that language ID rejects."""
+    return langid.keep_identified(docs, Workspace(spark, "stage6"))
+
+
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash class, the one with the smallest id."""
+    return simhash.keep_one(docs, Workspace(spark, "stage9"))
+
+
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop every document that holds a verified benchmark passage."""
     found = decontamination.find_overlaps(docs, table(spark, sf_dir, "benchmark"), Workspace(spark, "stage7"))
@@ -34,11 +44,15 @@ def stage_shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", stage_language),
+    ("near_duplicates", stage_near_duplicates),
     ("decontamination", stage_decontaminate),
     ("mixing", stage_mix),
     ("sharding", stage_shard),
 ]
 
+#: SQL has neither the language models nor the fingerprints' components; the
+#: tests hold each stage against a brute-force version instead.
 ORACLE_SQL = None
 
 
