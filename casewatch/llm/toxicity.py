@@ -88,7 +88,7 @@ def distinct_words(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = (np.arange(len(s)) - marks[word]).astype(np.uint64)
     mixed = (s + (place << np.uint64(21)) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    by_word = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), marks[:-1])
+    by_word = np.add.reduceat((mixed ^ (mixed >> np.uint64(32)))[:-1], marks[:-1])
     window = np.arange(n) // WINDOW
     _, first = np.unique(by_word + window.astype(np.uint64) * np.uint64(0x94D049BB133111EB), return_index=True)
     kept = np.zeros(n + 1, bool)
