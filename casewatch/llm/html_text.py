@@ -228,7 +228,7 @@ def _blocks(node: Node, template: frozenset, out: list[list[str]], protected: fr
         if block:
             out.append([])
         header = k.tag == "header" and node.tag in ("article", "main")  # an article's own head line
-        skip = (_named_outside(k) and not header) or (k.tag in BOX and id(k) not in protected and key(k) in template)
+        skip = (_named_outside(k) and not header) or (bool(template) and k.tag in BOX and id(k) not in protected and key(k) in template)
         if not skip:
             _blocks(k, template, out, protected)
         if block:

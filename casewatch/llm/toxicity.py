@@ -10,8 +10,9 @@ for evidence), a linear softmax over two classes scores it, and the text's
 score is that of its most toxic window: one insult in a long text is not
 averaged away. All windows of the whole text count.
 
-Training is joint (embeddings, softmax weights, bias) by Adam in numpy, with
-windows pooled by a softmax whose sharpness rises to near the maximum. It uses
+Training is joint (embeddings, softmax weights, bias) by stochastic gradient
+descent in numpy, with windows pooled by a softmax whose sharpness rises to
+near the maximum. It uses
 a bounded sample of labelled rows: at most ``TOXIC_ROWS`` and ``CLEAN_ROWS``
 rows, in the order of a hash of the id, of at most ``SAMPLE_BYTES`` bytes of
 text each. Scoring covers all rows and whole texts.
@@ -36,7 +37,7 @@ from casewatch.llm.common import id_bucket, table
 
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES = 4000, 8000, 32_768
 BUCKETS, DIM, GRAMS, WINDOW, MIN_BAG = 1 << 18, 8, (3, 4, 5), 64, 96
-STEPS, RATE, DECAY = 120, 0.05, 1e-6
+STEPS, BATCH, RATE, SOFTMAX_RATE, DECAY, BALANCE = 400, 256, 20.0, 0.5, 1e-5, 0.5
 THRESHOLD = 0.7
 #: Symbols handled at once; longer texts are cut at window bounds.
 CHUNK = 1 << 21
@@ -144,65 +145,78 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(best, -500, 500))))
 
 
+def _csr(lists: list[np.ndarray], dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, values) of a list of arrays."""
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+    return bounds, (np.concatenate(lists) if lists else np.empty(0)).astype(dtype)
+
+
+def _rows(bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, row) of every value of some rows of a CSR table."""
+    n = bounds[rows + 1] - bounds[rows]
+    row = np.repeat(np.arange(len(rows)), n)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + bounds[rows][row], row
+
+
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
     """Joint training on a bounded sample held in memory."""
     if len(set(toxic.tolist())) < 2:
         return None
+    rng = np.random.default_rng(seed)
     types: dict[bytes, int] = {}
-    tokens, window_of, doc_of = [], [], []
-    n_windows = 0
-    for d, text in enumerate(texts):
+    tokens, windows = [], []  # distinct words of each window; windows of each text
+    for text in texts:
         s = symbols(text)
         marks = np.flatnonzero(s == 0)
         raw = s.tobytes()
         ids = [types.setdefault(raw[4 * a : 4 * b + 4], len(types)) for a, b in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True)]
-        if not ids:
-            continue
-        tokens.append(np.array(ids, np.int32))
-        window_of.append(n_windows + np.arange(len(ids)) // WINDOW)
-        k = (len(ids) - 1) // WINDOW + 1
-        doc_of += [d] * k
-        n_windows += k
-    pairs = np.unique(np.concatenate(window_of) * len(types) + np.concatenate(tokens))  # distinct words of each window
-    window, token, doc = pairs // len(types), pairs % len(types), np.array(doc_of)
-    grams = [bag(np.frombuffer(t, np.uint32))[1] for t in types]
-    sizes = np.array([len(g) for g in grams], np.int64)
-    gram, type_of = np.concatenate(grams), np.repeat(np.arange(len(grams)), sizes)
-    in_window = np.maximum(np.bincount(window, weights=sizes[token], minlength=n_windows), MIN_BAG)
-    docs, doc = np.unique(doc, return_inverse=True)
-    y = toxic[docs].astype(float)
-    rng = np.random.default_rng(seed)
-    p = [rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.5, (2, DIM)), np.zeros(2)]
-    m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
-    used = np.unique(gram)
-    for step in range(1, STEPS + 1):
-        emb, weight, bias = p
-        diff = weight[1] - weight[0]
-        margin = emb @ diff
-        per_type = np.bincount(type_of, weights=margin[gram], minlength=len(grams))
-        z = np.bincount(window, weights=per_type[token], minlength=n_windows) / in_window + bias[1] - bias[0]
-        sharp = 3.0 * step / STEPS
-        top = np.full(len(docs), -np.inf)
-        np.maximum.at(top, doc, z)
-        a = np.exp(np.clip(sharp * (z - top[doc]), -60, 0))
-        a /= np.bincount(doc, weights=a)[doc]
-        pooled = np.bincount(doc, weights=a * z)
-        r = (1 / (1 + np.exp(-np.clip(pooled, -60, 60))) - y) / len(docs)
-        share = a * r[doc]  # gradient of the loss in each window's score
-        per_token = (share / in_window)[window]
-        per_gram = np.bincount(token, weights=per_token, minlength=len(grams))[type_of]
-        coef = np.bincount(gram, weights=per_gram, minlength=BUCKETS)
-        g_diff = coef[used] @ emb[used]
-        grads = [coef[used, None] * diff + DECAY * emb[used], np.stack((-g_diff, g_diff)), np.array((-share.sum(), share.sum()))]
-        for k, g in enumerate(grads):
-            sel = used if k == 0 else slice(None)
-            m[k][sel] = 0.9 * m[k][sel] + 0.1 * g
-            v[k][sel] = 0.99 * v[k][sel] + 0.01 * g * g
-            p[k][sel] -= RATE * (m[k][sel] / (1 - 0.9**step)) / (np.sqrt(v[k][sel] / (1 - 0.99**step)) + 1e-12)
-    emb, weight, bias = p
-    fresh = np.ones(BUCKETS, bool)
-    fresh[used] = False
-    emb[fresh] = 0  # buckets that no training text touched say nothing
+        parts = [np.unique(ids[k : k + WINDOW]) for k in range(0, len(ids), WINDOW)]
+        windows.append(np.arange(len(tokens), len(tokens) + len(parts)))
+        tokens += parts
+    gram_bounds, gram = _csr([bag(np.frombuffer(t, np.uint32))[1] for t in types], np.int32)
+    token_bounds, token = _csr(tokens, np.int32)
+    texts_with = np.array([d for d, w in enumerate(windows) if len(w)])
+    size = np.diff(gram_bounds)
+    y = toxic.astype(float)
+    # each class has half of the weight, softened: a rare class is not drowned, nor are clean texts sacrificed
+    balance = np.where(y == 1, (1 - y.mean()) / y.mean(), 1.0) ** BALANCE
+    batches = []  # fixed batches of texts, visited in a new order in each epoch
+    order = rng.permutation(texts_with)
+    for at in range(0, len(order), BATCH):
+        docs = order[at : at + BATCH]
+        window = np.concatenate([windows[d] for d in docs])
+        doc = np.repeat(np.arange(len(docs)), [len(windows[d]) for d in docs])
+        kinds, kind = np.unique(token[_rows(token_bounds, window)[0]], return_inverse=True)
+        in_window = token_bounds[window + 1] - token_bounds[window]
+        first = np.cumsum(in_window) - in_window
+        n = np.maximum(np.add.reduceat(size[kinds][kind], first), MIN_BAG)
+        batches.append((docs, doc, in_window, first, kind.astype(np.int32), size[kinds], gram[_rows(gram_bounds, kinds)[0]], n))
+    emb = rng.normal(0, 1e-3, (BUCKETS, DIM))
+    weight, bias = rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
+    epochs = -(-STEPS // len(batches))
+    steps, step = epochs * len(batches), 0
+    for _ in range(epochs):
+        for i in rng.permutation(len(batches)):
+            docs, doc, in_window, first, kind, sizes, grams, n = batches[i]
+            left, sharp = 1 - step / steps, 3.0 * step / steps
+            step += 1
+            diff = weight[1] - weight[0]
+            per_kind = np.add.reduceat((emb @ diff)[grams], np.cumsum(sizes) - sizes)
+            z = np.add.reduceat(per_kind[kind], first) / n + bias[1] - bias[0]
+            top = np.full(len(docs), -np.inf)
+            np.maximum.at(top, doc, z)
+            a = np.exp(np.clip(sharp * (z - top[doc]), -60, 0))
+            a /= np.bincount(doc, weights=a)[doc]
+            pooled = np.bincount(doc, weights=a * z)
+            r = (1 / (1 + np.exp(-np.clip(pooled, -60, 60))) - y[docs]) * balance[docs]
+            share = a * r[doc]  # gradient of the summed loss in each window's score
+            per_kind = np.bincount(kind, weights=np.repeat(share / n, in_window), minlength=len(sizes))
+            coef = np.bincount(grams, weights=np.repeat(per_kind, sizes), minlength=BUCKETS)
+            g_diff = coef @ emb
+            emb *= 1 - RATE * left * DECAY
+            emb -= (RATE * left * coef)[:, None] * diff
+            weight += SOFTMAX_RATE * left / len(docs) * np.stack((g_diff, -g_diff))
+            bias += SOFTMAX_RATE * left / len(docs) * share.sum() * np.array((1, -1))
     return Model(emb.astype(np.float32), weight.astype(np.float32), bias.astype(np.float32))
 
 

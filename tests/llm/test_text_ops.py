@@ -209,11 +209,8 @@ def test_line_dedup_brute_force(spark, work, least):
 def test_pieces_cover_runs():
     words = np.array([60, 1, 1, 49, 10, 10, 30, 5])
     s, n = line_dedup.pieces(words, 50)
-    assert sorted(zip(s.tolist(), n.tolist(), strict=True)) == [(0, 1), (1, 3), (2, 2), (3, 2), (4, 3), (3, 2), (2, 2), (0, 1)][:0] or all(
-        words[a : a + b].sum() >= 50 for a, b in zip(s, n, strict=True)
-    )
-    starts = {a: b for a, b in zip(s.tolist(), n.tolist(), strict=True)}
-    assert starts[0] == 1 and 4 in starts
+    want = {(0, 1), (1, 3), (2, 2), (3, 2), (4, 3)} | {(0, 2), (0, 3), (3, 3), (4, 4)}  # from each start, to each end
+    assert set(zip(s.tolist(), n.tolist(), strict=True)) == want
 
 
 def test_passages_are_removed_and_texts_rebuilt(spark, work):
