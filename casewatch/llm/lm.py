@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WINDOW = 16
-DIM = 24
+DIM = 16
 CLIP = 1.0
 
 
@@ -29,11 +29,35 @@ def word_classes(counts: np.ndarray, n_classes: int) -> np.ndarray:
     return np.append(first, len(counts))
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """Logistic function; overwrites ``x``."""
+    np.negative(x, out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _exp_rows(logits: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp of the logits up to a common factor, its row sums, and the chosen
+    logits up to the same factor. The maximum of all rows serves each row; if
+    one lies too far below it, each row takes its own."""
+    logits -= logits.max()
+    e = np.exp(logits)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    if not total.min() > 1e-30:
+        logits -= logits.max(axis=1, keepdims=True)
+        e = np.exp(logits)
+        total = e.sum(axis=1)
+    return e, total, logits[rows, cols]
+
+
 class Net:
     """Parameters by name and the forward and backward passes."""
 
     def __init__(self, bounds: np.ndarray, params: dict[str, np.ndarray]):
-        self.bounds, self.p = bounds, params
+        self.bounds = bounds
+        self.all, self.p = self._packed(params)
         sizes = np.diff(bounds)
         self.class_of = np.repeat(np.arange(len(sizes)), sizes)
 
@@ -61,16 +85,27 @@ class Net:
             },
         )
 
+    @staticmethod
+    def _packed(params: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """One vector, and its parts by name as views of it."""
+        whole = np.concatenate([params[k].ravel() for k in sorted(params)])
+        out, at = {}, 0
+        for k in sorted(params):
+            out[k] = whole[at : at + params[k].size].reshape(params[k].shape)
+            at += params[k].size
+        return whole, out
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+        return self.all.copy()
 
     def unflat(self, v: np.ndarray) -> Net:
-        out, at = {}, 0
-        for k in sorted(self.p):
-            n = self.p[k].size
-            out[k] = v[at : at + n].reshape(self.p[k].shape).astype(np.float32)
-            at += n
-        return Net(self.bounds, out)
+        net = Net(self.bounds, self.p)
+        net.all[:] = v
+        return net
+
+    def zeros(self) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """An empty gradient: one vector, and views of it."""
+        return self._packed({k: np.zeros_like(v) for k, v in self.p.items()})
 
     def run(self, x: np.ndarray, begin: np.ndarray, h: np.ndarray, tape: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States (steps, lanes, dim) and the last state, for inputs (steps,
@@ -83,11 +118,11 @@ class Net:
             if not keep[t].all():
                 h = h * keep[t]
             gh = h @ p["wh"] + p["bh"]
-            zr = np.tanh(0.5 * (gx[t, :, : 2 * d] + gh[:, : 2 * d]))
-            zr *= 0.5
-            zr += 0.5
+            zr = _sigmoid(gx[t, :, : 2 * d] + gh[:, : 2 * d])
             z, r = zr[:, :d], zr[:, d:]
-            n = np.tanh(gx[t, :, 2 * d :] + r * gh[:, 2 * d :])
+            n = _sigmoid(2 * (gx[t, :, 2 * d :] + r * gh[:, 2 * d :]))
+            n *= 2
+            n -= 1
             new = n + z * (h - n)
             if tape is not None:
                 tape.append((h, z, r, n, gh[:, 2 * d :], keep[t]))
@@ -101,18 +136,14 @@ class Net:
         p, n = self.p, len(y)
         cls = self.class_of[y]
         rows = np.arange(n)
-        logits = s @ p["wc"].T
-        logits += p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        out = logits[rows, cls] - np.log(total)
+        e, total, chosen = _exp_rows(s @ p["wc"].T + p["bc"], rows, cls)
+        out = chosen - np.log(total)
         if grad is not None:
             e /= total[:, None] * n
             e[rows, cls] -= 1.0 / n
             ds = e @ p["wc"]
             grad["wc"] += e.T @ s
-            grad["bc"] += e.sum(axis=0)
+            grad["bc"] += np.ones(n, e.dtype) @ e
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(len(self.bounds)))
         for c in range(len(self.bounds) - 1):
@@ -121,18 +152,14 @@ class Net:
                 continue
             idx = order[cuts[c] : cuts[c + 1]]
             sc, yc, k = s[idx], y[idx] - a, np.arange(len(idx))
-            lg = sc @ p["ww"][a:b].T
-            lg += p["bw"][a:b]
-            lg -= lg.max(axis=1, keepdims=True)
-            e = np.exp(lg)
-            total = e.sum(axis=1)
-            out[idx] += lg[k, yc] - np.log(total)
+            e, total, chosen = _exp_rows(sc @ p["ww"][a:b].T + p["bw"][a:b], k, yc)
+            out[idx] += chosen - np.log(total)
             if grad is not None:
                 e /= total[:, None] * n
                 e[k, yc] -= 1.0 / n
                 ds[idx] += e @ p["ww"][a:b]
                 grad["ww"][a:b] += e.T @ sc
-                grad["bw"][a:b] += e.sum(axis=0)
+                grad["bw"][a:b] += np.ones(len(idx), e.dtype) @ e
         if grad is not None:
             grad["s"] = ds
         return out
@@ -205,30 +232,29 @@ def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float,
     """One pass over ``docs``, changing ``net``; returns the tokens seen.
     ``adam`` carries the moments from call to call."""
     h, seen = None, 0
+    whole, grad = net.zeros()
+    if "m" not in adam:
+        adam |= {"t": 0, "m": np.zeros_like(whole), "v": np.zeros_like(whole)}
+    m, v = adam["m"], adam["v"]
     for x, y, begin, who in lanes(docs, end, n_lanes):
         if h is None:
             h = np.zeros((x.shape[1], DIM), np.float32)
         tape: list = []
         states, h = net.run(x, begin, h[: x.shape[1]], tape)
         valid = np.flatnonzero(who.ravel() >= 0)
-        grad = {k: np.zeros_like(v) for k, v in net.p.items()}
+        whole.fill(0)
         net.log_probs(states.reshape(-1, DIM)[valid], y.ravel()[valid], grad)
         ds = np.zeros((who.size, DIM), np.float32)
         ds[valid] = grad.pop("s")
         net.back(x, tape, ds.reshape(*who.shape, DIM), grad)
-        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values()))
-        scale = min(1.0, CLIP / (norm + 1e-12))
-        adam["t"] = t = adam.get("t", 0) + 1
-        step = rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-        for k, g in grad.items():
-            g *= scale
-            m, v = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            g *= g
-            v += 0.01 * g
-            net.p[k] -= step * m / (np.sqrt(v) + 1e-8)
+        whole *= min(1.0, CLIP / (np.sqrt(float(np.vdot(whole, whole))) + 1e-12))
+        adam["t"] = t = adam["t"] + 1
+        m *= 0.9
+        m += 0.1 * whole
+        v *= 0.99
+        whole *= whole
+        v += 0.01 * whole
+        net.all -= rate * np.float32(np.sqrt(1 - 0.99**t) / (1 - 0.9**t)) * m / (np.sqrt(v) + 1e-8)
         seen += len(valid)
     return seen
 

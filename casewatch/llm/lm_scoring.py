@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from math import log10
 
 import numpy as np
@@ -42,7 +43,7 @@ from casewatch.llm import lm
 from casewatch.llm.common import Workspace, id_bucket, table
 
 #: Tokens with an output of their own, and classes of the factored softmax.
-VOCAB, CLASSES = 4096, 64
+VOCAB, CLASSES = 2048, 48
 #: Most frequent tokens whose counts are broadcast; longer tokens (bytes) are joined.
 KNOWN, KNOWN_BYTES = 131_072, 32
 ROUNDS = 4
@@ -51,8 +52,10 @@ RATES = (0.02, 0.01, 0.005, 0.0025)
 TASK_TOKENS = 400_000
 #: Distinct tokens after which a counting task passes its counts on.
 FLUSH = 1_000_000
-#: Tokens scored or trained on at once.
-CHUNK = 1_000_000
+#: Tokens trained on and scored at once. Scoring takes a text in one lane, so
+#: it wants many tokens beside the longest text; training starts long texts
+#: anew after SEGMENT tokens and needs less.
+CHUNK, SCORE_CHUNK, SEGMENT = 1_000_000, 4_000_000, 2048
 #: Parameters of one row when models are averaged, and models of one first group.
 BLOCK, FAN = 16_384, 64
 END = b" "  # no word holds a blank
@@ -119,8 +122,8 @@ def learn_vocabulary(rows: DataFrame, work: Workspace) -> tuple[Vocabulary, Data
 
 
 def _ids(text: bytes | None, index: dict, symbol: np.ndarray) -> np.ndarray:
-    get, other = index.get, len(symbol) - 1
-    raw = np.array([get(t, other) for t in words(text)], np.int64)
+    ws, other = words(text), len(symbol) - 1
+    raw = np.fromiter(map(index.get, ws, repeat(other)), np.int64, len(ws))
     return symbol[np.minimum(raw, other)]
 
 
@@ -142,7 +145,8 @@ def _train_task(shared: Broadcast, rate: float, n_lanes: int):
         symbol = vocab.model_counts()[1]
         end = int(symbol[vocab.index[END]])
         net, adam, seen = net.unflat(net.flat()), {}, 0
-        docs = (_ids(t, vocab.index, symbol) for df in batches for t in df["text"])
+        texts = (_ids(t, vocab.index, symbol) for df in batches for t in df["text"])
+        docs = (d[i : i + SEGMENT] for d in texts for i in range(0, len(d) or 1, SEGMENT))
         for chunk in _chunks(docs):
             seen += lm.train(net, chunk, end, n_lanes, rate, adam)
         if seen:
@@ -167,7 +171,7 @@ def train(rows: DataFrame, vocab: Vocabulary, work: Workspace) -> lm.Net:
     net = lm.Net.fresh(counts, CLASSES)
     shape = "block int, tokens double, v array<float>"
     tasks = int(max(1, vocab.total // ROUNDS // TASK_TOKENS))
-    n_lanes = int(np.clip(vocab.total // ROUNDS // tasks // (lm.WINDOW * 150), 16, 192))
+    n_lanes = int(np.clip(vocab.total // ROUNDS // tasks // (lm.WINDOW * 100), 16, 320))
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vocab, net))
         part = rows.where(F.col("part") == r).select("text").coalesce(tasks)
@@ -198,7 +202,7 @@ def score(df: DataFrame, vocab: Vocabulary, net: lm.Net) -> DataFrame:
             out, docs, likelihood, waiting = [], [], [], 0
             for text in batch:
                 ws = words(text)
-                raw = np.array([index.get(t, -1) for t in ws], np.int64)
+                raw = np.fromiter(map(index.get, ws, repeat(-1)), np.int64, len(ws))
                 found = raw[raw >= 0]
                 rest = Counter(t for t, i in zip(ws, raw.tolist(), strict=True) if i < 0) if len(found) < len(raw) else {}
                 beyond = found[found >= size]
@@ -208,7 +212,7 @@ def score(df: DataFrame, vocab: Vocabulary, net: lm.Net) -> DataFrame:
                 out.append((len(ws) + 1, known, base - (len(ws) + 1) * vocab.base_scale, shares, list(rest), list(rest.values())))
                 docs.append(symbol[np.where((raw < 0) | (raw >= size), size, raw)])
                 waiting += len(ws) + 1
-                if waiting >= CHUNK:
+                if waiting >= SCORE_CHUNK:
                     likelihood.append(lm.score(net, docs, end))
                     docs, waiting = [], 0
             likelihood.append(lm.score(net, docs, end))

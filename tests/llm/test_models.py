@@ -24,7 +24,7 @@ def tiny_net(n=11, classes=3):
     counts = np.arange(n, 0, -1).astype(float)
     net = lm.Net.fresh(counts, classes, dim=lm.DIM)
     rng = np.random.default_rng(0)
-    net.p = {k: (v + rng.normal(0, 0.2, v.shape)).astype(np.float32) for k, v in net.p.items()}
+    net.all += rng.normal(0, 0.2, net.all.shape).astype(np.float32)
     return net
 
 
@@ -37,7 +37,7 @@ def test_probabilities_sum_to_one():
 
 def test_gradients():
     net = tiny_net()
-    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    net = lm.Net(net.bounds, {k: v.astype(np.float64) for k, v in net.p.items()})
     rng = np.random.default_rng(2)
     x, y = rng.integers(0, 11, (4, 3)), rng.integers(0, 11, (4, 3))
     begin = np.zeros((4, 3), bool)
@@ -48,7 +48,7 @@ def test_gradients():
         states, _ = net.run(x, begin, h0)
         return -net.log_probs(states.reshape(-1, lm.DIM).astype(np.float64), y.ravel()).mean()
 
-    tape, grad = [], {k: np.zeros_like(v) for k, v in net.p.items()}
+    tape, grad = [], net.zeros()[1]
     states, _ = net.run(x, begin, h0, tape)
     net.log_probs(states.reshape(-1, lm.DIM), y.ravel(), grad)
     net.back(x, tape, grad.pop("s").reshape(4, 3, lm.DIM), grad)
