@@ -145,7 +145,8 @@ def _train_task(shared: Broadcast, rate: float, n_lanes: int):
         symbol = vocab.model_counts()[1]
         end = int(symbol[vocab.index[END]])
         net, adam, seen = net.unflat(net.flat()), {}, 0
-        texts = (_ids(t, vocab.index, symbol) for df in batches for t in df["text"])
+        index = {t: i for t, i in vocab.index.items() if i < vocab.size}
+        texts = (_ids(t, index, symbol) for df in batches for t in df["text"])
         docs = (d[i : i + SEGMENT] for d in texts for i in range(0, len(d) or 1, SEGMENT))
         for chunk in _chunks(docs):
             seen += lm.train(net, chunk, end, n_lanes, rate, adam)

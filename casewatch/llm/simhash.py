@@ -133,7 +133,7 @@ def links(fps: DataFrame, work: Workspace) -> DataFrame:
     light = exact.join(heavy, "key", "left_anti").select("key", F.col("fp").alias("other"))
     diff = F.col("fp").bitwiseXOR(F.col("other"))
     near = (
-        probes.join(light, "key")
+        probes.join(light.hint("merge"), "key")  # the planner's size of either side does not know of the 14 keys a segment
         .where(F.col("fp") < F.col("other"))
         .where(_chain_ok(diff, i) & (F.bit_count(diff) <= MAX_BITS))
         .select(F.col("fp").alias("a"), F.col("other").alias("b"))
