@@ -339,16 +339,26 @@ REPORT_HEADINGS = (
 
 # Free-form date formats tried in order when a value is not 8 digits.
 DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy",
-    "MMM yyyy",
-    "yyyy-MM",
+    "yyyy-M-d",
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "d MMM yyyy",
+    "yyyy-M",
     "yyyy",
 )
 
+# Rewritten before the formats are tried, as (pattern, replacement): a time of
+# day is cut, and a date with a month name (long or short, any case) becomes
+# "day name year".
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(?:uary|ruary|ch|il|e|y|ust|t|tember|ober|ember)?\\.?"
+DATE_REWRITES = (
+    (r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2})[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[-+]\d{2}:?\d{2})?$", "$1"),
+    (rf"(?i)^(\d{{1,2}})[- ]{_MONTH}[-, ]+(\d{{4}})$", "$1 $2 $3"),
+    (rf"(?i)^{_MONTH} (\d{{1,2}}),? +(\d{{4}})$", "$2 $1 $3"),
+    (rf"(?i)^{_MONTH},?[- ](\d{{4}})$", "1 $1 $2"),
+)
+
 # Reader null sentinels (cells equal to one of these read as null).
 NULL_SENTINELS = (
     "#N/A",

@@ -41,3 +41,24 @@ def age_band(years: str | Column) -> Column:
     for bound, label in AGE_BANDS:
         expr = expr.when(y < F.lit(float(bound)), F.lit(label))
     return expr.otherwise(F.lit(AGE_ELDERLY))
+
+
+#: Decimal notation without names (NaN, Infinity) or type suffixes (3d, 2f).
+PLAIN_NUMBER = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
+
+
+def plain_number(c: Column) -> Column:
+    """Text -> double; text that is not a plain decimal number -> null."""
+    t = F.trim(c.cast("string"))
+    return F.when(t.rlike(PLAIN_NUMBER), t.try_cast("double"))
+
+
+def whole_number(c: Column) -> Column:
+    """Text -> long; a number with a fraction of zero counts as whole. Digits
+    alone are read exactly; other notations up to 2**53."""
+    t = F.trim(c.cast("string"))
+    d = plain_number(c)
+    exact = d == F.floor(d).cast("double")
+    return F.when(t.rlike(r"^[-+]?[0-9]+$"), t.try_cast("bigint")).when(
+        exact & (F.abs(d) <= F.lit(float(1 << 53))), d.try_cast("bigint")
+    )

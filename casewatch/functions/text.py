@@ -47,13 +47,15 @@ def is_in_set(c: str | Column, values: Iterable[str]) -> Column:
     return F.coalesce(normalize_string(c).isin(list(values)), F.lit(False))
 
 
-def split_packed(c: str | Column) -> Column:
+def split_packed(c: str | Column, is_array: bool = False) -> Column:
     """Packed comma list -> array of stripped items.
 
     Null or blank -> empty array; empty items between commas are kept.
-    Real arrays are accepted and stripped item by item.
+    With ``is_array`` the column is a list already: its items are stripped.
     """
     col = _col(c)
+    if is_array:
+        return F.coalesce(F.transform(col, lambda x: strip(x)), F.array().cast("array<string>"))
     items = F.split(col, ",")
     return F.when(col.isNull() | col.rlike(r"(?U)^\s*$"), F.array().cast("array<string>")).otherwise(
         F.transform(items, lambda x: strip(x))

@@ -20,6 +20,7 @@ from casewatch.functions import (
     lower_strip,
     parse_date,
 )
+from casewatch.functions.numeric import plain_number, whole_number
 
 
 def _q(c: str):
@@ -35,14 +36,15 @@ def clean_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def coerce_numeric(df: DataFrame, id_col: str = "safetyreportid", version_col: str = "safetyreportversion") -> DataFrame:
-    """Id -> nullable long (non-numeric or fractional -> null);
-    version -> double with null -> 0."""
+    """Id -> nullable long (whole numbers in any plain notation, such as
+    ``1001``, ``1001.0`` or ``1.001E3``; others -> null); version -> double
+    with null -> 0."""
     out = []
     for c in df.columns:
         if c == id_col:
-            out.append((_q(c).cast("string")).try_cast("bigint").alias(c))
+            out.append(whole_number(_q(c)).alias(c))
         elif c == version_col:
-            out.append(F.coalesce((_q(c).cast("string")).try_cast("double"), F.lit(0.0)).alias(c))
+            out.append(F.coalesce(plain_number(_q(c)), F.lit(0.0)).alias(c))
         else:
             out.append(_q(c))
     return df.select(*out)
@@ -78,7 +80,7 @@ def add_age(
 ) -> DataFrame:
     """``age``, ``age_unit``, ``age_years``, ``age_group``."""
     age = (
-        F.nanvl((_q(age_col).cast("string")).try_cast("double"), F.lit(None).cast("double"))
+        plain_number(_q(age_col))
         if age_col in df.columns
         else F.lit(None).cast("double")
     )

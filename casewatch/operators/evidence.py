@@ -42,6 +42,7 @@ from casewatch.config import (
     RunParams,
 )
 from casewatch.functions import is_in_set, month_of, percentage
+from casewatch.functions.joins import join_null_safe
 from casewatch.operators import metrics as M
 from casewatch.plans.pipeline import CaseTables
 
@@ -172,11 +173,9 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
         "n",
     )
     entries = p.counts.groupBy(*[_q(c) for c in by]).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
-    df = (
-        p.metrics.join(entries, on=by, how="left")
-        .join(p.reaction_totals, on=by, how="left")
-        .join(p.drug_counts, on=by, how="left")
-    )
+    df = p.metrics
+    for part in (entries, p.reaction_totals, p.drug_counts):
+        df = join_null_safe(df, part, by)
     e = F.coalesce(
         F.col("_e"),
         F.array().cast("array<struct<dimension:string,s1:string,s2:boolean,s3:bigint,value:string,n:bigint>>"),

@@ -3,8 +3,7 @@ any number of evidence sets, matched on group keys.
 
 * numbers are extracted with one JVM regex per text (whole text, no prefix);
 * "is this number in the evidence" is a ``left_anti`` equi-join on
-  (group..., value): both sides shuffle on a key that includes the number
-  value, so one hot group still spreads over many tasks;
+  (group..., value, salt): a hot group spreads by value, a hot value by salt;
 * phrase flags are an in-row ``filter`` over a literal array — no join.
 """
 
@@ -22,6 +21,10 @@ from casewatch.config import (
     NUMBER_PATTERN,
 )
 from casewatch.functions import extract_numbers, number_value, strip
+from casewatch.functions.joins import join_null_safe
+
+#: Tasks over which the numbers of one (group, value) are dealt.
+SALTS = 16
 
 
 def _q(c: str) -> Column:
@@ -64,9 +67,15 @@ def evidence_numbers_from_facts(facts: DataFrame, group: Sequence[str], pattern:
 
 def unsupported_numbers(numbers: DataFrame, evidence: DataFrame, group: Sequence[str]) -> DataFrame:
     """text numbers whose value is not in the evidence of their group
-    (original token kept, duplicates and order kept via ``pos``)."""
-    on = [*group, "value"]
-    return numbers.join(evidence.select(*[_q(c) for c in on]), on=on, how="left_anti")
+    (original token kept, duplicates and order kept via ``pos``). Null groups
+    match each other. A pair (group, value) that a large part of all numbers
+    share is dealt over ``SALTS`` tasks: each evidence row is there once for
+    every salt."""
+    salted = numbers.withColumn("_salt", F.pmod(F.xxhash64(*[_q(c) for c in numbers.columns]), F.lit(SALTS)).cast("int"))
+    known = evidence.select(
+        *[_q(c) for c in group], "value", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    )
+    return join_null_safe(salted, known, group, "left_anti", plain=["value", "_salt"]).drop("_salt")
 
 
 def claim_array(text: Column, phrases: Sequence[str] = FLAGGED_PHRASES) -> Column:
@@ -129,29 +138,33 @@ def section_validation(
     phrases: Sequence[str] = FLAGGED_PHRASES,
     pattern: str = NUMBER_PATTERN,
 ) -> DataFrame:
-    """F4-F6 in ONE scan of the texts: per text ``n_unsupported_numbers,
-    n_unsupported_claims, valid, human_review_required`` (valid = no bad
-    number, no finding, not blank).
-
-    Phrase findings and the blank test are computed inside the row; the
-    numbers are exploded (a text without numbers keeps one row), matched to
-    the distinct evidence numbers by a left equi-join on (group..., value) —
-    the number value is in the shuffle key, so a hot group still spreads —
-    and counted back per text in one partial + final aggregate. ``ids`` must
-    identify a text; ``evidence`` is distinct ``(group..., value)``."""
+    """Per text ``n_unsupported_numbers, n_unsupported_claims, valid,
+    human_review_required`` (valid = no bad number, no finding, not blank).
+
+    Phrase findings and the blank test are computed inside the row, one small
+    row a text. The numbers are taken out of the text before they are
+    un-nested, so no text is copied for its numbers; texts without numbers
+    have no row here and no null key is joined. What the anti-join leaves is
+    counted per text together with the findings, in one partial + final
+    aggregate. ``ids`` must identify a text; ``evidence`` is distinct
+    ``(group..., value)``."""
     t = _q(text_col)
+    keys = [_q(c) for c in ids]
     carry = [c for c in group if c not in ids]
-    rows = texts.select(
-        *[_q(c) for c in [*ids, *carry]],
-        F.size(claim_array(t, phrases)).alias("_claims"),
+    flags = texts.select(
+        *keys,
+        F.lit(0).cast("long").alias("_bad"),
+        F.size(claim_array(t, phrases)).cast("long").alias("_claims"),
         F.coalesce(strip(t) != "", F.lit(False)).alias("_nonblank"),
-        F.explode_outer(F.transform(extract_numbers(t, pattern), number_value)).alias("value"),
     )
-    hits = evidence.select(*[_q(c) for c in group], "value", F.lit(True).alias("_hit"))
-    matched = rows.join(hits, on=[*group, "value"], how="left")
-    per_text = matched.groupBy(*[_q(c) for c in ids]).agg(
-        F.count_if(F.col("value").isNotNull() & F.col("_hit").isNull()).alias("n_unsupported_numbers"),
-        F.max("_claims").cast("long").alias("n_unsupported_claims"),
+    values = texts.select(*keys, *[_q(c) for c in carry], F.transform(extract_numbers(t, pattern), number_value).alias("_values"))
+    numbers = values.select(*keys, *[_q(c) for c in carry], F.posexplode("_values").alias("_pos", "value"))
+    bad = unsupported_numbers(numbers, evidence, group).select(
+        *keys, F.lit(1).cast("long").alias("_bad"), F.lit(0).cast("long").alias("_claims"), F.lit(False).alias("_nonblank")
+    )
+    per_text = flags.unionByName(bad).groupBy(*keys).agg(
+        F.sum("_bad").alias("n_unsupported_numbers"),
+        F.max("_claims").alias("n_unsupported_claims"),
         F.max("_nonblank").alias("_nonblank"),
     )
     valid = (F.col("n_unsupported_numbers") == 0) & (F.col("n_unsupported_claims") == 0) & F.col("_nonblank")

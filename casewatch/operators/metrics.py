@@ -7,8 +7,8 @@ Shape choices for scale:
 * top-N per group uses ``row_number() <= n`` which Catalyst turns into a
   partial ``WindowGroupLimit`` before the exchange, so no task ever sees more
   than n rows per group and partition;
-* a per-group denominator comes from a ``rollup`` in the same aggregate as
-  the counts (no join, no driver-side ``count()``).
+* a per-group denominator is summed from the counts of the same aggregate
+  (no join, no driver-side ``count()``).
 
 With ``by=()`` a constant key ``_g`` stands in, so the same plans apply.
 """
@@ -287,9 +287,11 @@ def value_counts(
     by: Sequence[str] = (),
     top_n: int | None = None,
 ) -> DataFrame:
-    """``(by..., dimension, value, n, rank)`` for every
-    ``(dimension name, column)`` pair — one unpivot, one shuffle.
-    Ties are pinned: count desc, then value asc."""
+    """``(by..., dimension, value, n)`` for every
+    ``(dimension name, column)`` pair — one unpivot, one shuffle. With
+    ``top_n`` also ``rank`` (count desc, then value asc), cut to the first
+    ``top_n`` by a partial group limit; without it no task ever sorts all
+    values of a dimension."""
     ks = keys(by)
     base = with_group(df, by)
     entries = F.array(
@@ -297,11 +299,10 @@ def value_counts(
     )
     long = base.select(*[_q(k) for k in ks], F.inline(entries))
     counts = long.groupBy(*[_q(k) for k in ks], "dimension", "value").agg(F.count(F.lit(1)).alias("n"))
+    if top_n is None:
+        return drop_group(counts, by)
     w = Window.partitionBy(*[_q(k) for k in ks], "dimension").orderBy(F.desc("n"), F.asc("value"))
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    if top_n is not None:
-        ranked = ranked.filter(F.col("rank") <= top_n)
-    return drop_group(ranked, by)
+    return drop_group(counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n), by)
 
 
 def top_terms(
@@ -416,41 +417,34 @@ def reaction_concentration(
     """Top-k terms with count and share of ALL reaction rows (null terms
     stay in the denominator). Groups without any dated reaction get no rows.
 
-    Plan: ONE ``rollup`` aggregate yields per-term counts and the per-group
-    total row together. One window per group ranks the total row first and
-    the terms after it (count desc, term asc, null term last), cut by
-    ``row_number() <= k + 1`` — a partial WindowGroupLimit before the
-    exchange, so a group with millions of terms never lands whole in one
-    task. A second window over the same partitioning (at most k + 1 rows per
-    group) carries the total to each term row: no join, no re-scan."""
+    Plan: one aggregate on (group, term); its rows are summed to the group
+    totals (the same exchange, reused) and ranked with ``row_number() <= k``
+    (count desc, term asc), a partial group limit before the exchange, so a
+    group with millions of terms never lands whole in one task. The total row
+    joins the at most k terms of its group in a second, small window."""
     ks = keys(by)
     base = with_group(reactions, by)
-    agg = (
-        base.rollup(*[_q(c) for c in ks], _q(term_col).alias("reaction_pt"))
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.count_if(_q(date_col).isNotNull()).alias("_dated"),
-            F.grouping_id().alias("_level"),
-        )
-        .filter(F.col("_level") <= 1)  # (group, term) rows and (group) totals
+    counts = base.groupBy(*[_q(c) for c in ks], _q(term_col).alias("reaction_pt")).agg(
+        F.count(F.lit(1)).alias("count"), F.count_if(_q(date_col).isNotNull()).alias("_dated")
     )
-    is_total = F.col("_level") == 1
+    totals = counts.groupBy(*[_q(c) for c in ks]).agg(F.sum("count").alias("count"), F.sum("_dated").alias("_dated"))
+    totals = totals.withColumn("reaction_pt", F.lit(None).cast("string")).withColumn("rank", F.lit(0))
     w = Window.partitionBy(*[_q(c) for c in ks]).orderBy(
-        F.desc(is_total), F.col("reaction_pt").isNull(), F.desc("count"), F.asc("reaction_pt")
+        F.col("reaction_pt").isNull(), F.desc("count"), F.asc("reaction_pt")
     )
-    head = agg.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= k + 1)
-    whole = Window.partitionBy(*[_q(c) for c in ks])
-    carried = head.select(
+    head = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    whole = Window.partitionBy(*[_q(c) for c in ks])  # at most k + 1 rows
+    carried = head.unionByName(totals).select(
         "*",
-        F.max(F.when(is_total, F.col("count"))).over(whole).alias("_total"),
-        F.max(F.when(is_total, F.col("_dated"))).over(whole).alias("_dated_all"),
+        F.max(F.when(F.col("rank") == 0, F.col("count"))).over(whole).alias("_total"),
+        F.max(F.when(F.col("rank") == 0, F.col("_dated"))).over(whole).alias("_dated_all"),
     )
-    top = carried.filter(~is_total & F.col("reaction_pt").isNotNull() & (F.col("_dated_all") > 0))
+    top = carried.filter((F.col("rank") > 0) & F.col("reaction_pt").isNotNull() & (F.col("_dated_all") > 0))
     return drop_group(
         top.select(
             *[_q(c) for c in ks],
             "reaction_pt",
-            (F.col("_pos") - 1).alias("rank"),
+            "rank",
             "count",
             percentage("count", "_total").alias("percentage_of_reactions"),
         ),

@@ -24,6 +24,7 @@ from casewatch.config import (
     REVIEW_PENDING,
     TRACEABILITY_TEXT,
 )
+from casewatch.functions.joins import join_null_safe
 from casewatch.operators.sections import SECTIONS, group_keys, with_group
 
 
@@ -120,7 +121,7 @@ def report_document(
             F.collect_list(F.when(F.col("human_review_required"), F.struct("section_ord", "report_section")))
         ).alias("_failing"),
     )
-    df = struct_df.join(texts, on=list(by), how="left")
+    df = join_null_safe(struct_df, texts, list(by))
     ev = F.col("evidence")
     failing = F.transform(F.coalesce("_failing", F.array()), lambda x: x["report_section"])
     bodies = [

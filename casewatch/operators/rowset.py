@@ -2,7 +2,7 @@
 distinct, counters.
 
 Shuffle budget: exactly one exchange, on the case key, for D1. It is an
-aggregate (``max_by``) rather than a window, so partial aggregation collapses
+aggregate (``max`` of a struct) rather than a window, so partial aggregation collapses
 a hot key map-side before the exchange. Un-nesting and distinct happen
 inside each parent row (no shuffle): ids are unique after D1, so equal child
 rows always share one parent and an in-row ``array_distinct`` equals a
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from casewatch.config import (
     DEFAULT_TARGET_PATTERN,
@@ -40,16 +41,17 @@ def latest_version(
     """Newest row per key: highest ``version``, ties broken by ``tiebreak``
     (descending; default: every other column). Null keys form one group.
 
-    Plan: partial ``max_by`` -> Exchange(key) -> final ``max_by`` (a sort-based
-    aggregate, since the buffer is a struct). The partial step leaves one row
+    Plan: partial ``max`` of one struct -> Exchange(key) -> final ``max`` (a
+    sort-based aggregate, since the buffer is a struct). Rows equal in version
+    and ``tiebreak`` are decided by the remaining columns. The partial step leaves one row
     per key and map partition, so a key holding a third of all rows is
     reduced before the shuffle instead of landing whole in one task.
     """
     others = [c for c in df.columns if c != key]
-    tb = list(tiebreak) if tiebreak is not None else [c for c in df.columns if c not in (key, version)]
-    order = F.struct(*[_q(version)] + [_q(c) for c in tb])
-    payload = F.struct(*[_q(c) for c in others])
-    picked = df.groupBy(_q(key)).agg(F.max_by(payload, order).alias("_newest"))
+    tb = list(tiebreak) if tiebreak is not None else []
+    # version, tiebreak columns, then the rest: each column is carried once
+    order = [version, *tb, *[c for c in others if c != version and c not in tb]]
+    picked = df.groupBy(_q(key)).agg(F.max(F.struct(*[_q(c) for c in order])).alias("_newest"))
     return picked.select(_q(key), *[F.col(f"_newest.`{c}`").alias(c) for c in others])
 
 
@@ -83,6 +85,11 @@ def semi_join_valid(child: DataFrame, retained: DataFrame, key: str = "safetyrep
 
 # -- D5-D10: un-nesting -----------------------------------------------------
 
+def _items(df: DataFrame, c: str) -> Column:
+    """D5 on a packed text column or on a real list column."""
+    return split_packed(_q(c), isinstance(df.schema[c].dataType, ArrayType))
+
+
 def _sentinel_null(c: Column, sentinels: Sequence[str]) -> Column:
     c = F.nullif(c, F.lit(""))
     if sentinels:
@@ -108,14 +115,14 @@ def explode_reactions(
     ``carry`` adds parent columns (group keys, parsed report date).
     """
     cols = set(latest.columns)
-    ver = split_packed(_q(version_col)) if version_col in cols else F.array().cast("array<string>")
+    ver = _items(latest, version_col) if version_col in cols else F.array().cast("array<string>")
     flags = [(src, dst) for src, dst in REACTION_CASE_FLAGS if src in cols]
     base = latest.select(
         _q(key).alias(key),
         *[_q(c) for c in carry],
         *[_q(src).alias(dst) for src, dst in flags],
-        split_packed(_q(term_col)).alias("_rx"),
-        split_packed(_q(outcome_col)).alias("_out"),
+        _items(latest, term_col).alias("_rx"),
+        _items(latest, outcome_col).alias("_out"),
         ver.alias("_ver"),
     )
     items = F.slice(F.arrays_zip("_rx", "_out", "_ver"), 1, F.size("_rx"))
@@ -167,7 +174,7 @@ def explode_drugs(
     base = latest.select(
         _q(key).alias(key),
         *[_q(c) for c in carry],
-        *[split_packed(_q(src)).alias(f"_{dst}") for dst, src in lists],
+        *[_items(latest, src).alias(f"_{dst}") for dst, src in lists],
     )
     zipped = F.arrays_zip(*[f"_{dst}" for dst, _ in lists])
     lowered = {"drug_characterization", "route", "action_taken"}

@@ -26,6 +26,7 @@ from casewatch.config import (
 )
 from casewatch.operators import grounding as G
 from casewatch.functions import extract_numbers, number_value, strip
+from casewatch.functions.joins import join_null_safe
 
 SECTIONS = [name for name, _ in SECTION_MAP]
 TITLES = dict(SECTION_TITLES)
@@ -51,7 +52,7 @@ def with_group(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def section_map(spark) -> DataFrame:
     """E1 mapping ``(report_section, section_ord, section, key_ord)`` — a
-    fixed 22-row literal table (safe to broadcast)."""
+    fixed 23-row literal table (safe to broadcast)."""
     rows = [
         (name, i + 1, key, j + 1)
         for i, (name, keys) in enumerate(SECTION_MAP)
@@ -246,7 +247,7 @@ def section_records(struct_df: DataFrame, by: Sequence[str], texts: DataFrame |
     it the deterministic fallback text is used (mock mode)."""
     ev = F.col("evidence")
     struct_df = with_group(struct_df, by)
-    by = group_keys(by)
+    user_by, by = by, group_keys(by)
     opts = {"ignoreNullFields": "false"}
     rows = []
     for i, name in enumerate(SECTIONS):
@@ -262,7 +263,8 @@ def section_records(struct_df: DataFrame, by: Sequence[str], texts: DataFrame |
     out = struct_df.select(*[_q(k) for k in by], F.inline(F.array(*rows)))
     if texts is None:
         return out.withColumn("text", strip(fallback_text(F.col("prompt"))))
-    return out.join(texts, on=[*by, "report_section"], how="left").withColumn("text", strip(F.col("text")))
+    texts = with_group(texts, user_by).select(*[_q(k) for k in by], "report_section", "text")
+    return join_null_safe(out, texts, by, plain=["report_section"]).withColumn("text", strip(F.col("text")))
 
 
 def validate_sections(records: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -282,7 +284,7 @@ def validate_sections(records: DataFrame, facts: DataFrame, by: Sequence[str]) -
     ev = sec.groupBy(*[_q(c) for c in ids]).agg(
         F.array_distinct(F.flatten(F.collect_list(G.fact_numbers()))).alias("_ev")
     )
-    joined = records.join(ev, on=ids, how="left")
+    joined = join_null_safe(records, ev, by, plain=["report_section"])
     evidence = F.coalesce(F.col("_ev"), F.array().cast("array<double>"))
     text = F.col("text")
     unsupported = F.filter(

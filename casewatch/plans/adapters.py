@@ -2,7 +2,7 @@
 
 The driver data holds no case reports, so these adapters derive wide case
 tables with the reference's column names from the TPC-H-style tables. Nulls,
-blank items, ragged packed lists and unparsable values are created on purpose
+blank items and unparsable values are created on purpose
 (the source tables contain none). ``%`` below only *derives values*; no
 adapter filters rows, so every query covers the whole tables.
 
@@ -14,14 +14,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewatch.sources.raw import spread
 
 TARGET_PATTERN = r"\bWIDGET\b"
 
+#: Written forms of a date (Spark pattern, tail); the tail " " marks upper case.
+DATE_TEXTS = (
+    ("yyyyMMdd", ""),
+    ("yyyy-MM-dd", ""),
+    ("MM/dd/yyyy", ""),
+    ("MMM yyyy", ""),
+    ("yyyy-MM", ""),
+    ("M/d/yyyy", ""),
+    ("yyyy-M-d", ""),
+    ("dd-MMM-yyyy", ""),
+    ("dd-MMM-yyyy", " "),
+    ("yyyy/MM/dd", ""),
+    ("d MMM yyyy", ""),
+    ("MMM d, yyyy", ""),
+    ("MMMM yyyy", ""),
+    ("yyyy-MM-dd", " 10:00"),
+    ("yyyy-MM-dd", "T00:00:00Z"),
+    ("yyyy-MM-dd", " 00:00:00.0"),
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table scan; single-row-group files are spread over the cores."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -39,9 +57,9 @@ def _case_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     prio = F.col("o_orderpriority")
     df = (
-        o.join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .join(r, n.n_regionkey == r.r_regionkey)
+        o.join(c, o.o_custkey == c.c_custkey, "left")
+        .join(n, c.c_nationkey == n.n_nationkey, "left")
+        .join(r, n.n_regionkey == r.r_regionkey, "left")
     )
     return df.select(
         key,
@@ -65,6 +83,7 @@ def _case_core(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
         .alias("report_date"),
         F.when(key % 29 == 0, "n.k.")
+        .when(key % 31 == 0, "3d")
         .otherwise(_s(F.floor(F.abs(F.col("c_acctbal")) / 100).cast("int")))
         .alias("patient_patientonsetage"),
         F.when(key % 5 == 0, "Year")
@@ -88,10 +107,10 @@ def line_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FIXTURES 3.2: a flat reaction table, one row per line item."""
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    df = li.join(p, li.l_partkey == p.p_partkey)
+    df = li.join(p, li.l_partkey == p.p_partkey, "left")
     return df.select(
         F.col("l_orderkey").alias("safetyreportid"),
-        F.concat_ws(" ", "p_type", "p_name").alias("reaction_pt"),
+        F.concat("p_type", F.lit(" "), "p_name").alias("reaction_pt"),
         F.when(F.col("l_returnflag") == "A", "Recovered ")
         .when(F.col("l_returnflag") == "N", "unknown")
         .alias("reaction_outcome"),
@@ -103,39 +122,36 @@ def packed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order, the line items packed into comma lists (FIXTURES 3.3/3.4).
 
     Item order is pinned by every sort key (line number alone is not
-    unique). The outcome list is cut to two items, so lists are ragged."""
+    unique)."""
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    df = li.join(p, li.l_partkey == p.p_partkey)
+    df = li.join(p, li.l_partkey == p.p_partkey, "left")
     item = F.struct(
         F.col("l_linenumber").alias("k1"),
         F.col("l_partkey").alias("k2"),
         F.col("l_suppkey").alias("k3"),
         F.col("l_returnflag").alias("k4"),
         F.col("l_linestatus").alias("k5"),
-        F.concat_ws(" ", "p_type", "p_name").alias("term"),
+        F.coalesce(F.concat("p_type", F.lit(" "), "p_name"), F.lit("")).alias("term"),
         F.when(F.col("l_returnflag") == "A", "Recovered ")
         .when(F.col("l_returnflag") == "N", "unknown")
         .otherwise("")
         .alias("outcome"),
         _s(F.col("l_linenumber")).alias("meddra"),
         F.col("l_linestatus").alias("characterization"),
-        F.col("p_brand").alias("product"),
-        F.col("p_name").alias("substance"),
-        F.col("p_type").alias("route"),
+        F.coalesce("p_brand", F.lit("")).alias("product"),
+        F.coalesce("p_name", F.lit("")).alias("substance"),
+        F.coalesce("p_type", F.lit("")).alias("route"),
     )
     grouped = df.groupBy(F.col("l_orderkey")).agg(F.array_sort(F.collect_list(item)).alias("_items"))
 
-    def packed(field: str, limit: int | None = None) -> Column:
-        arr = F.transform("_items", lambda x: x[field])
-        if limit is not None:
-            arr = F.slice(arr, 1, limit)
-        return F.array_join(arr, ",")
+    def packed(field: str) -> Column:
+        return F.array_join(F.transform("_items", lambda x: x[field]), ",")
 
     return grouped.select(
         F.col("l_orderkey"),
         packed("term").alias("patient_reaction_reactionmeddrapt"),
-        packed("outcome", 2).alias("patient_reaction_reactionoutcome"),
+        packed("outcome").alias("patient_reaction_reactionoutcome"),
         packed("meddra").alias("patient_reaction_reactionmeddraversionpt"),
         packed("characterization").alias("patient_drug_drugcharacterization"),
         packed("product").alias("patient_drug_medicinalproduct"),
@@ -172,18 +188,14 @@ def versioned_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FIXTURES 3.4 ``date_text``, widened to six written forms."""
+    """FIXTURES 3.4 ``date_text``, widened to the written forms of DATE_TEXTS."""
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     d = F.col("o_orderdate")
-    text = (
-        F.when(key % 6 == 0, F.date_format(d, "yyyyMMdd"))
-        .when(key % 6 == 1, F.date_format(d, "yyyy-MM-dd"))
-        .when(key % 6 == 2, F.date_format(d, "MM/dd/yyyy"))
-        .when(key % 6 == 3, F.date_format(d, "MMM yyyy"))
-        .when(key % 6 == 4, F.lit("n/a"))
-        .otherwise(F.date_format(d, "yyyy-MM"))
-    )
+    text = F.lit("n/a")
+    for i, (fmt, tail) in enumerate(DATE_TEXTS):
+        form = F.concat(F.date_format(d, fmt), F.lit(tail))
+        text = F.when(key % (len(DATE_TEXTS) + 1) == i, F.upper(form) if tail == " " else form).otherwise(text)
     return o.select(key.alias("safetyreportid"), text.alias("date_text"))
 
 
@@ -195,9 +207,13 @@ def id_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("o_orderkey"),
         F.when(key % 23 == 0, F.concat(F.lit("ID-"), _s(key)))
         .when(key % 31 == 0, F.concat(_s(key), F.lit(".5")))
+        .when(key % 5 == 0, F.concat(_s(key), F.lit(".0")))
+        .when(key % 7 == 0, F.concat(_s(key), F.lit("0.0E-1")))
         .otherwise(_s(key))
         .alias("safetyreportid"),
         F.when(key % 11 == 0, F.lit(None).cast("string"))
+        .when(key % 9 == 0, F.lit("NaN"))
+        .when(key % 10 == 0, F.lit("3d"))
         .when(key % 13 == 0, F.lit("v2"))
         .otherwise(F.concat(_s(F.col("o_custkey") % 7), F.lit(".5")))
         .alias("safetyreportversion"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from casewatch.config import (
     ALERT_INTERPRETATIONS,
     DATE_FORMATS,
+    DATE_REWRITES,
     FIXED_LIMITATIONS,
     FLAG_VALUES,
     FLAGGED_PHRASES,
@@ -24,13 +25,12 @@ from casewatch.config import (
 # --- expression helpers -------------------------------------------------------
 
 _JAVA_TO_STRPTIME = {
-    "yyyy-MM-dd": "%Y-%m-%d",
-    "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S",
-    "yyyy-MM-dd'T'HH:mm:ss": "%Y-%m-%dT%H:%M:%S",
-    "MM/dd/yyyy": "%m/%d/%Y",
-    "dd/MM/yyyy": "%d/%m/%Y",
-    "MMM yyyy": "%b %Y",
-    "yyyy-MM": "%Y-%m",
+    "yyyy-M-d": "%Y-%m-%d",
+    "yyyy/M/d": "%Y/%m/%d",
+    "M/d/yyyy": "%m/%d/%Y",
+    "d/M/yyyy": "%d/%m/%Y",
+    "d MMM yyyy": "%d %b %Y",
+    "yyyy-M": "%Y-%m",
     "yyyy": "%Y",
 }
 
@@ -60,8 +60,10 @@ def pct(part: str, total: str) -> str:
 
 
 def parse_date(e: str) -> str:
-    s = strip(e)
-    free = ", ".join(f"CAST(try_strptime({s}, '{_JAVA_TO_STRPTIME[f]}') AS DATE)" for f in DATE_FORMATS)
+    s = plain = strip(e)
+    for pattern, order in DATE_REWRITES:
+        plain = f"regexp_replace({plain}, '{pattern}', '{order.replace('$', chr(92))}')"
+    free = ", ".join(f"CAST(try_strptime({plain}, '{_JAVA_TO_STRPTIME[f]}') AS DATE)" for f in DATE_FORMATS)
     return (
         f"(CASE WHEN {e} IS NULL OR {s} = '' THEN NULL "
         f"WHEN regexp_full_match({s}, '\\d{{8}}') THEN CAST(try_strptime({s}, '%Y%m%d') AS DATE) "
@@ -69,8 +71,19 @@ def parse_date(e: str) -> str:
     )
 
 
+_PLAIN = r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?"
+
+
+def to_double(e: str) -> str:
+    return f"(CASE WHEN regexp_full_match(trim({e}), '{_PLAIN}') THEN try_cast(trim({e}) AS DOUBLE) END)"
+
+
 def to_bigint(e: str) -> str:
-    return f"(CASE WHEN regexp_full_match({e}, '\\s*[-+]?\\d+\\s*') THEN try_cast({e} AS BIGINT) END)"
+    d = to_double(e)
+    return (
+        f"(CASE WHEN regexp_full_match(trim({e}), '[-+]?\\d+') THEN try_cast(trim({e}) AS BIGINT) "
+        f"WHEN {d} = floor({d}) AND abs({d}) <= 9007199254740992 THEN CAST({d} AS BIGINT) END)"
+    )
 
 
 def split_packed(e: str) -> str:
@@ -110,15 +123,15 @@ core AS (
     r_name AS occurcountry,
     o_orderstatus AS reporttype,
     CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS report_date,
-    CASE WHEN o_orderkey % 29 = 0 THEN 'n.k.'
+    CASE WHEN o_orderkey % 29 = 0 THEN 'n.k.' WHEN o_orderkey % 31 = 0 THEN '3d'
          ELSE CAST(CAST(floor(abs(c_acctbal) / 100) AS INTEGER) AS VARCHAR) END AS patient_patientonsetage,
     CASE o_orderkey % 5 WHEN 0 THEN 'Year' WHEN 1 THEN 'year' WHEN 2 THEN 'month'
          WHEN 3 THEN 'day' ELSE 'decade' END AS patient_patientonsetageunit,
     CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS patient_patientsex
   FROM orders
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey
 )"""
 
 CASE_COLS = [
@@ -153,16 +166,16 @@ _ORDER = "ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatu
 PACKED = f"""
 lines AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
-    p_type || ' ' || p_name AS term,
+    coalesce(p_type || ' ' || p_name, '') AS term,
     CASE l_returnflag WHEN 'A' THEN 'Recovered ' WHEN 'N' THEN 'unknown' ELSE '' END AS outcome,
     CAST(l_linenumber AS VARCHAR) AS meddra,
-    p_brand, p_name, p_type
-  FROM lineitem JOIN part ON l_partkey = p_partkey
+    coalesce(p_brand, '') AS p_brand, coalesce(p_name, '') AS p_name, coalesce(p_type, '') AS p_type
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 ),
 packed AS (
   SELECT l_orderkey,
     string_agg(term, ',' {_ORDER}) AS patient_reaction_reactionmeddrapt,
-    array_to_string(list_slice(list(outcome {_ORDER}), 1, 2), ',') AS patient_reaction_reactionoutcome,
+    string_agg(outcome, ',' {_ORDER}) AS patient_reaction_reactionoutcome,
     string_agg(meddra, ',' {_ORDER}) AS patient_reaction_reactionmeddraversionpt,
     string_agg(l_linestatus, ',' {_ORDER}) AS patient_drug_drugcharacterization,
     string_agg(p_brand, ',' {_ORDER}) AS patient_drug_medicinalproduct,
@@ -190,7 +203,7 @@ def _typed(cols, src: str, name: str) -> str:
         if c == "safetyreportid":
             outer.append(f"{to_bigint(c)} AS {c}")
         elif c == "safetyreportversion":
-            outer.append(f"coalesce(try_cast({c} AS DOUBLE), 0.0) AS {c}")
+            outer.append(f"coalesce({to_double(c)}, 0.0) AS {c}")
         else:
             outer.append(c)
     return f"{name} AS (SELECT {', '.join(outer)} FROM (SELECT {inner} FROM {src}))"
@@ -208,7 +221,7 @@ CATEGORICAL = [
     "patient_patientsex",
 ]
 
-_AGE = f"CASE WHEN isnan(try_cast(patient_patientonsetage AS DOUBLE)) THEN NULL ELSE try_cast(patient_patientonsetage AS DOUBLE) END"
+_AGE = to_double("patient_patientonsetage")
 
 
 def _cases_cte(src: str, name: str = "cases", extra: str = "") -> str:
@@ -380,24 +393,43 @@ WITH ids AS (
   SELECT o_orderkey,
     CASE WHEN o_orderkey % 23 = 0 THEN 'ID-' || CAST(o_orderkey AS VARCHAR)
          WHEN o_orderkey % 31 = 0 THEN CAST(o_orderkey AS VARCHAR) || '.5'
+         WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS VARCHAR) || '.0'
+         WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey AS VARCHAR) || '0.0E-1'
          ELSE CAST(o_orderkey AS VARCHAR) END AS safetyreportid,
-    CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'v2'
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 9 = 0 THEN 'NaN' WHEN o_orderkey % 10 = 0 THEN '3d'
+         WHEN o_orderkey % 13 = 0 THEN 'v2'
          ELSE CAST(o_custkey % 7 AS VARCHAR) || '.5' END AS safetyreportversion
   FROM orders
 )
 SELECT o_orderkey, """ + to_bigint("safetyreportid") + """ AS safetyreportid,
-  coalesce(try_cast(safetyreportversion AS DOUBLE), 0.0) AS safetyreportversion
+  coalesce(""" + to_double("safetyreportversion") + """, 0.0) AS safetyreportversion
 FROM ids"""
 
+_DAY = "CAST(day(o_orderdate) AS VARCHAR)"
+_MON = "CAST(month(o_orderdate) AS VARCHAR)"
+_DATE_TEXTS_SQL = [
+    "strftime(o_orderdate, '%Y%m%d')",
+    "strftime(o_orderdate, '%Y-%m-%d')",
+    "strftime(o_orderdate, '%m/%d/%Y')",
+    "strftime(o_orderdate, '%b %Y')",
+    "strftime(o_orderdate, '%Y-%m')",
+    f"{_MON} || '/' || {_DAY} || strftime(o_orderdate, '/%Y')",
+    f"strftime(o_orderdate, '%Y-') || {_MON} || '-' || {_DAY}",
+    "strftime(o_orderdate, '%d-%b-%Y')",
+    "upper(strftime(o_orderdate, '%d-%b-%Y')) || ' '",
+    "strftime(o_orderdate, '%Y/%m/%d')",
+    f"{_DAY} || strftime(o_orderdate, ' %b %Y')",
+    f"strftime(o_orderdate, '%b ') || {_DAY} || strftime(o_orderdate, ', %Y')",
+    "strftime(o_orderdate, '%B %Y')",
+    "strftime(o_orderdate, '%Y-%m-%d 10:00')",
+    "strftime(o_orderdate, '%Y-%m-%dT00:00:00Z')",
+    "strftime(o_orderdate, '%Y-%m-%d 00:00:00.0')",
+]
+_DATE_CASES = " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(_DATE_TEXTS_SQL))
 ORACLE["parse_report_date"] = f"""
 WITH d AS (
   SELECT o_orderkey AS safetyreportid,
-    CASE WHEN o_orderkey % 6 = 0 THEN strftime(o_orderdate, '%Y%m%d')
-         WHEN o_orderkey % 6 = 1 THEN strftime(o_orderdate, '%Y-%m-%d')
-         WHEN o_orderkey % 6 = 2 THEN strftime(o_orderdate, '%m/%d/%Y')
-         WHEN o_orderkey % 6 = 3 THEN strftime(o_orderdate, '%b %Y')
-         WHEN o_orderkey % 6 = 4 THEN 'n/a'
-         ELSE strftime(o_orderdate, '%Y-%m') END AS date_text
+    CASE o_orderkey % {len(_DATE_TEXTS_SQL) + 1} {_DATE_CASES} ELSE 'n/a' END AS date_text
   FROM orders
 )
 SELECT safetyreportid, date_text, strftime({parse_date('date_text')}, '%Y-%m-%d') AS report_date FROM d"""
@@ -415,7 +447,7 @@ WITH v AS (
 ),
 vt AS (
   SELECT {to_bigint(clean('safetyreportid'))} AS safetyreportid,
-    coalesce(try_cast({clean('safetyreportversion')} AS DOUBLE), 0.0) AS safetyreportversion,
+    coalesce({to_double(clean('safetyreportversion'))}, 0.0) AS safetyreportversion,
     o_orderkey, {clean('report_date')} AS report_date, {clean('reporttype')} AS reporttype
   FROM v
 )"""
@@ -440,7 +472,7 @@ ORACLE["semi_join_valid_cases"] = _sql(
     """SELECT l_orderkey AS safetyreportid, p_type || ' ' || p_name AS reaction_pt,
   CASE l_returnflag WHEN 'A' THEN 'Recovered ' WHEN 'N' THEN 'unknown' END AS reaction_outcome,
   l_linenumber AS version_tag
-FROM lineitem JOIN part ON l_partkey = p_partkey
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 WHERE l_orderkey IN (SELECT safetyreportid FROM retained)""",
 )
 
@@ -456,7 +488,7 @@ WITH r AS (
   SELECT DISTINCT l_orderkey AS safetyreportid, p_type || ' ' || p_name AS reaction_pt,
     {lstrip("CASE l_returnflag WHEN 'A' THEN 'Recovered ' WHEN 'N' THEN 'unknown' END")} AS reaction_outcome,
     l_linenumber AS version_tag
-  FROM lineitem JOIN part ON l_partkey = p_partkey
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 )
 SELECT safetyreportid, reaction_pt, nullif(reaction_outcome, '') AS reaction_outcome, version_tag FROM r"""
 
@@ -517,7 +549,9 @@ def _value_counts(src: str, dims: list[tuple[str, str]], top: int | None = None)
     unions = " UNION ALL ".join(
         f"SELECT '{name}' AS dimension, {unknown_if_blank(col)} AS value FROM {src}" for name, col in dims
     )
-    where = f" WHERE rank <= {top}" if top else ""
+    if top is None:
+        return f"SELECT dimension, value, count(*) AS n FROM ({unions}) GROUP BY dimension, value"
+    where = f" WHERE rank <= {top}"
     return f"""SELECT * FROM (
   SELECT dimension, value, n,
     row_number() OVER (PARTITION BY dimension ORDER BY n DESC, value ASC) AS rank
@@ -585,10 +619,7 @@ FROM h, lo, f, l""",
 
 ORACLE["outcome_distribution"] = _sql(
     REACTIONS,
-    f"""SELECT value, n, rank FROM (
-  SELECT value, n, row_number() OVER (ORDER BY n DESC, value ASC) AS rank
-  FROM (SELECT {unknown_if_blank('reaction_outcome')} AS value, count(*) AS n FROM reactions GROUP BY 1)
-)""",
+    f"SELECT {unknown_if_blank('reaction_outcome')} AS value, count(*) AS n FROM reactions GROUP BY 1",
 )
 
 _ALERT_COUNT = {
@@ -1301,3 +1332,47 @@ _DOC_PARTS = " || ".join(
 ORACLE["report_document"] = REPORT_BASE + f"""
 SELECT g.country, trim({_sq(REPORT_TITLE)} || {_NL2} || {_DOC_PARTS}) AS report
 FROM g LEFT JOIN per_group p ON p.country = g.country LEFT JOIN lim ON lim.country = g.country"""
+
+
+# --- E7: the audit record ---------------------------------------------------------
+from casewatch.config import (  # noqa: E402
+    CLAIM_MESSAGE_PREFIX,
+    EMPTY_TEXT_FINDING,
+    FALLBACK_MODEL,
+)
+
+_SLICES = " ".join(
+    "WHEN {} THEN to_json({{{}}})".format(i + 1, ", ".join(f"'{k}': ev.{k}" for k in keys))
+    for i, (_name, keys) in enumerate(SECTION_MAP)
+)
+ORACLE["generation_audit"] = REPORT_BASE + f""",
+found AS (
+  SELECT t.*,
+    list_filter({numbers('t.text')},
+      lambda x: NOT coalesce(list_contains(coalesce(e.nums, []), {numval('x')}), false)) AS bad,
+    CASE WHEN t.text IS NULL OR t.text = '' THEN [{_sq(EMPTY_TEXT_FINDING)}]
+      ELSE list_transform(list_filter({_SECTION_PHRASES}, lambda p: contains(lower(t.text), p)),
+        lambda p: {_sq(CLAIM_MESSAGE_PREFIX)} || p || chr(39)) END AS claims
+  FROM texts t LEFT JOIN ev_nums e ON e.country = t.country AND e.report_section = t.report_section
+),
+judged AS (SELECT *, len(bad) = 0 AND len(claims) = 0 AND trim(text) <> '' AS ok FROM found)
+SELECT j.country, j.section_ord, j.report_section AS section,
+  CASE j.section_ord {_SLICES} END AS evidence, p.prompt, j.text,
+  to_json({{'valid': j.ok, 'unsupported_numbers': j.bad, 'unsupported_claims': j.claims,
+    'human_review_required': NOT j.ok}}) AS validation,
+  true AS mock_llm, {_sq(FALLBACK_MODEL)} AS model
+FROM judged j JOIN evdoc d ON d.country = j.country
+  JOIN prompts p ON p.country = j.country AND p.section_ord = j.section_ord"""
+
+
+# --- a group key that is null on purpose: the twin runs on a stand-in value --------
+def _null_group(sql: str) -> str:
+    keyed = sql.replace(
+        "core.primarysourcecountry AS country",
+        "coalesce(CASE WHEN core.reporttype <> 'P' THEN core.primarysourcecountry END, '<none>') AS country",
+    )
+    return f"SELECT * REPLACE (nullif(country, '<none>') AS country) FROM ({keyed})"
+
+
+ORACLE["evidence_facts_null_group"] = _null_group(ORACLE["evidence_facts"])
+ORACLE["report_document_null_group"] = _null_group(ORACLE["report_document"])

@@ -318,17 +318,21 @@ from casewatch.operators import evidence as EV  # noqa: E402
 GROUP_BY = ["country"]
 
 
-def _evidence_tables(spark, sf):
+def _evidence_tables(spark, sf, nullable=False):
     """End-to-end preprocessing with the target filter on, grouped by the
-    reporting country (one evidence document and report per country)."""
-    raw = A.raw_reports(spark, sf).withColumn("country", F.col("primarysourcecountry"))
+    reporting country (one evidence document and report per country).
+    ``nullable``: the country of report type P is null on purpose."""
+    country = F.col("primarysourcecountry")
+    if nullable:
+        country = F.when(F.col("reporttype") != "P", country)
+    raw = A.raw_reports(spark, sf).withColumn("country", country)
     return preprocess(raw, WIDGET, by=GROUP_BY, staged=True)
 
 
-def _evidence(spark, sf):
+def _evidence(spark, sf, nullable=False):
     """Per-country evidence documents, materialized once (one row per group)
     because facts, JSON, sections, prompts and the report all read them."""
-    return stage(EV.evidence_struct(EV.evidence_parts(_evidence_tables(spark, sf), WIDGET)))
+    return stage(EV.evidence_struct(EV.evidence_parts(_evidence_tables(spark, sf, nullable), WIDGET)))
 
 
 def q_evidence_facts(spark, sf):
@@ -346,8 +350,8 @@ from casewatch.operators import report as R  # noqa: E402
 from casewatch.operators import sections as S  # noqa: E402
 
 
-def _section_outputs(spark, sf):
-    ev = _evidence(spark, sf)
+def _section_outputs(spark, sf, nullable=False):
+    ev = _evidence(spark, sf, nullable)
     facts = EV.evidence_facts(ev, GROUP_BY)
     records = S.section_records(ev, GROUP_BY)
     validation = S.validate_sections(records, facts, GROUP_BY)
@@ -368,7 +372,7 @@ def q_fallback_text(spark, sf):
 
 def q_generation_audit(spark, sf):
     _, _, _, validated = _section_outputs(spark, sf)
-    return S.generation_audit(validated, GROUP_BY)
+    return S.generation_audit(validated, GROUP_BY).withColumn("validation", F.to_json("validation"))
 
 
 def q_report_sections(spark, sf):
@@ -380,8 +384,19 @@ def q_report_document(spark, sf):
     return R.report_document(ev, validated, GROUP_BY)
 
 
+def q_evidence_facts_null_group(spark, sf):
+    return EV.evidence_facts(_evidence(spark, sf, nullable=True), GROUP_BY)
+
+
+def q_report_document_null_group(spark, sf):
+    ev, _, _, validated = _section_outputs(spark, sf, nullable=True)
+    return R.report_document(ev, validated, GROUP_BY)
+
+
 QUERIES.update(
     {
+        "evidence_facts_null_group": q_evidence_facts_null_group,
+        "report_document_null_group": q_report_document_null_group,
         "section_evidence": q_section_evidence,
         "section_prompt": q_section_prompt,
         "fallback_text": q_fallback_text,

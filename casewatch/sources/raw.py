@@ -15,27 +15,6 @@ from pyspark.sql import functions as F
 from casewatch.config import NULL_SENTINELS, REQUIRED_RAW_COLUMNS
 
 
-def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """Give a scan at least one split per core.
-
-    A file that is one big row group (or one unsplittable block) yields a
-    single input partition, so every row-level step before the first shuffle
-    would run in one task. Such scans get a round-robin repartition to the
-    cluster's default parallelism. A large input already has more splits than
-    cores and is returned untouched (no extra shuffle), and so is a tiny one
-    (under ``min_bytes``, e.g. a dimension table that will be broadcast)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        size += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return df.repartition(target) if size >= min_bytes else df
-
-
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Strip + lower-case every column name; duplicates after that -> error."""
     names = [c.strip().lower() for c in df.columns]
@@ -46,7 +25,7 @@ def normalize_headers(df: DataFrame) -> DataFrame:
             dups.append(n)
         seen.add(n)
     if dups:
-        raise ValueError(f"Duplicate column names detected after normalization: {dups}")
+        raise ValueError(f"Column names that are equal once normalized: {dups}")
     return df.toDF(*names)
 
 
@@ -54,7 +33,7 @@ def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_RAW_COLUMN
     """Raise listing every missing required column (metadata only, no job)."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError("Required columns are missing:\n" + "\n".join(missing))
+        raise ValueError("Missing required columns: " + ", ".join(missing))
     return df
 
 
@@ -78,25 +57,27 @@ def read_raw(
     fmt: str = "csv",
     required: Sequence[str] = REQUIRED_RAW_COLUMNS,
     null_sentinels: Iterable[str] = NULL_SENTINELS,
+    multiline: bool = False,
 ) -> DataFrame:
     """Load the wide case table with every column as string.
 
     CSV/JSON are read without inference; Parquet/ORC columns are cast to
-    string. A missing path raises Spark's PATH_NOT_FOUND naming the path.
+    string. ``multiline`` reads CSV cells and JSON documents that hold line
+    breaks, one task a file; without it files are split. A missing path raises Spark's PATH_NOT_FOUND naming the path.
     """
     if fmt == "csv":
         df = (
             spark.read.option("header", "true")
             .option("inferSchema", "false")
-            .option("multiLine", "true")
+            .option("multiLine", str(multiline).lower())
             .option("escape", '"')
             .csv(path)
         )
     elif fmt == "json":
-        df = spark.read.option("primitivesAsString", "true").json(path)
+        df = spark.read.option("primitivesAsString", "true").option("multiLine", str(multiline).lower()).json(path)
     else:
         df = spark.read.format(fmt).load(path)
-    df = normalize_headers(spread(df))
+    df = normalize_headers(df)
     df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     df = _sentinels_to_null(df, null_sentinels)
     return require_columns(df, required)

@@ -39,10 +39,13 @@ def write_evidence_json(evidence_json: DataFrame, path: str, by: Sequence[str] =
     w.text(path)
 
 
-def read_evidence_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parse evidence documents; a non-object document fails the job."""
-    raw = spark.read.text(path)
-    return raw.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("evidence"))
+def read_evidence_json(spark: SparkSession, path: str, schema: StructType, pretty: bool = False) -> DataFrame:
+    """Parse evidence documents, one a line, or one a file in any layout
+    with ``pretty``; anything but an object fails the job. Folders that S4 made
+    per group give the group columns back."""
+    raw = spark.read.text(path, wholetext=pretty)
+    keys = [c for c in raw.columns if c != "value"]
+    return raw.select(*keys, F.from_json("value", schema, {"mode": "FAILFAST"}).alias("evidence"))
 
 
 def write_report(report: DataFrame, path: str, by: Sequence[str] = ()) -> None:
@@ -50,9 +53,9 @@ def write_report(report: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     w = report.select(*by, F.col("report").alias("value")).write.mode("overwrite")
     if by:
         w = w.partitionBy(*by)
-    w.option("lineSep", "\u0000").text(path)
+    w.text(path)
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
-    """Every section record as JSON lines."""
-    audit.write.mode("overwrite").json(path)
+    """Every section record as JSON lines; the evidence is an object."""
+    audit.withColumn("evidence", F.parse_json("evidence")).write.mode("overwrite").json(path)

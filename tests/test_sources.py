@@ -36,7 +36,7 @@ def test_read_raw_csv_normalizes_headers(spark):
 
 def test_duplicate_headers_raise(spark):
     df = spark.createDataFrame([(1, 2)], "A int, b int").toDF("A", " a")
-    with pytest.raises(ValueError, match="Duplicate column names"):
+    with pytest.raises(ValueError, match="equal once normalized"):
         normalize_headers(df)
 
 
