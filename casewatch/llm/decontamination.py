@@ -5,10 +5,11 @@ token position; it hashes only the positions it selects, so a passage whose
 token was replaced at an ignored position still gives the same hash. Hashes of
 benchmark items are joined with hashes of documents; every hit fixes an
 alignment (document position minus item position). The alignment is then
-verified: along it, the segment that maximises matches - ``PENALTY`` *
-mismatches must have ``MIN_MATCH`` matching tokens (all of them for a shorter
-item) and a similarity of ``MIN_SIMILARITY`` or more. With PENALTY = 4 a
-segment never profits from falling under 0.8.
+verified: along it there must be a segment with a similarity of 0.8 or more
+and ``MIN_MATCH`` matching tokens (all of them for a shorter item). The segment
+that maximises matches - 4 * mismatches is taken if it has that many, which
+gives an exact copy its exact bounds; if not, the longest segment of that
+similarity, which bears substitutions all along a short passage.
 
 Everything runs on built-in expressions. Document hashes are probed where they
 are made when the benchmark's hashes fit ``MAX_BROADCAST`` rows (checked by a
@@ -36,7 +37,7 @@ MASKS = ("110110101", "1011001011")
 #: Rows of benchmark hashes up to which they are broadcast (about 64 MB).
 MAX_BROADCAST = 2_000_000
 MIN_MATCH = 10
-MIN_SIMILARITY = 0.8
+#: A segment without a negative sum of 1 a match, -4 a mismatch is 0.8 similar.
 PENALTY = 4
 
 
@@ -66,36 +67,73 @@ def seed_rows(df: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFra
     return out
 
 
-def alignment(doc: Column, item: Column, diag: Column) -> Column:
-    """struct(score, matches, length, start) of the best segment along the
-    alignment doc[i] ~ item[i - diag], i counted in document tokens."""
+def alignment(doc: Column, item: Column, diag: Column, least: Column) -> Column:
+    """struct(matches, length, start) of the segment that is kept along the
+    alignment doc[i] ~ item[i - diag], start counted in document tokens;
+    matches may be under ``least``."""
     lo = F.greatest(F.lit(0), diag)
     hi = F.least(F.size(doc), F.size(item) + diag)
     same = F.zip_with(F.slice(doc, lo + 1, hi - lo), F.slice(item, lo - diag + 1, hi - lo), lambda a, b: a == b)
+    best = _best_segment(same)
+    segment = F.when(best["matches"] >= least, best).otherwise(_longest_segment(same))
+    return F.struct(segment["matches"].alias("matches"), segment["length"].alias("length"), (segment["start"] + lo).alias("start"))
+
+
+def _segment(matches: Column, length: Column, start: Column) -> Column:
+    return F.struct(matches.cast("int").alias("matches"), length.cast("int").alias("length"), start.cast("int").alias("start"))
+
+
+def _best_segment(same: Column) -> Column:
+    """The segment with the highest sum, the earliest of equal ones."""
 
     def step(s: Column, e: Column) -> Column:
         fresh = s["score"] <= 0
         score = F.when(fresh, F.lit(0)).otherwise(s["score"]) + F.when(e, F.lit(1)).otherwise(F.lit(-PENALTY))
         matches = F.when(fresh, F.lit(0)).otherwise(s["matches"]) + F.when(e, F.lit(1)).otherwise(F.lit(0))
         start = F.when(fresh, s["i"]).otherwise(s["start"])
-        length = s["i"] + 1 - start
-        here = F.struct(score.alias("score"), matches.alias("matches"), length.alias("length"), start.alias("start"))
-        best = F.when(score > s["best"]["score"], here).otherwise(s["best"])
+        better = score > s["top"]
+        best = F.when(better, _segment(matches, s["i"] + 1 - start, start)).otherwise(s["best"])
         return F.struct(
-            score.alias("score"), matches.alias("matches"), start.alias("start"), (s["i"] + 1).alias("i"), best.alias("best")
+            score.alias("score"),
+            matches.alias("matches"),
+            start.alias("start"),
+            (s["i"] + 1).alias("i"),
+            F.when(better, score).otherwise(s["top"]).alias("top"),
+            best.alias("best"),
         )
 
     zero = F.lit(0)
-    none = F.struct(zero.alias("score"), zero.alias("matches"), zero.alias("length"), zero.alias("start"))
-    init = F.struct(zero.alias("score"), zero.alias("matches"), zero.alias("start"), zero.alias("i"), none.alias("best"))
-    return F.aggregate(
+    init = F.struct(*[zero.alias(c) for c in ("score", "matches", "start", "i", "top")], _segment(zero, zero, zero).alias("best"))
+    return F.aggregate(same, init, step, lambda s: s["best"])
+
+
+def _longest_segment(same: Column) -> Column:
+    """The longest segment whose sum is not negative, the earliest of equal
+    ones: it ends at j and starts where the running minimum of the sums first
+    comes down to the sum at j. Takes (length of the item) squared steps."""
+    sums = F.aggregate(
         same,
-        init,
-        step,
-        lambda s: F.struct(
-            s["best"]["matches"].alias("matches"), s["best"]["length"].alias("length"), (s["best"]["start"] + lo).alias("start")
+        F.array(F.lit(0)),
+        lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) + F.when(e, F.lit(1)).otherwise(F.lit(-PENALTY)))),
+    )
+    lows = lambda p: F.aggregate(
+        p, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.least(F.get(acc, F.size(acc) - 1), x)))
+    )
+
+    def ending(p: Column, low: Column, j: Column) -> Column:
+        start = F.size(F.filter(low, lambda x: x > F.get(p, j)))
+        return F.struct((j - start).alias("length"), (-start).alias("before"), (F.get(p, j) - F.get(p, start)).alias("sum"))
+
+    # one-element transforms bind the two arrays, so each is worked out once
+    over = F.transform(
+        F.array(F.struct(sums.alias("p"))),
+        lambda s: F.transform(
+            F.array(F.struct(s["p"].alias("p"), lows(s["p"]).alias("low"))),
+            lambda t: F.array_max(F.transform(F.sequence(F.lit(0), F.size(same)), lambda j: ending(t["p"], t["low"], j))),
         ),
     )
+    top = F.get(F.get(over, F.lit(0)), F.lit(0))
+    return _segment((top["sum"] + PENALTY * top["length"]) / (PENALTY + 1), top["length"], -top["before"])
 
 
 def find_overlaps(
@@ -135,11 +173,10 @@ def find_overlaps(
         base.withColumn("text_key", F.xxhash64("text"))
         .join(hits, "text_key")
         .join(items.drop("hashes"), "item_id")
-        .select("doc_id", "text_key", "item_id", F.size("item").alias("item_tokens"), alignment(tokens(F.col("text")), F.col("item"), F.col("diag")).alias("a"))
+        .select("doc_id", "text_key", "item_id", F.size("item").alias("item_tokens"), alignment(tokens(F.col("text")), F.col("item"), F.col("diag"), F.least(F.lit(min_match), F.size("item"))).alias("a"))
         .select("doc_id", "text_key", "item_id", F.col("a.start").alias("start"), F.col("a.length").alias("length"), F.col("a.matches").alias("matches"), "item_tokens")
     )
-    enough = F.col("matches") >= F.least(F.lit(min_match), F.col("item_tokens"))
-    return found.where(enough & (F.col("matches") >= MIN_SIMILARITY * F.col("length")))
+    return found.where(F.col("matches") >= F.least(F.lit(min_match), F.col("item_tokens")))
 
 
 def overlaps_by_pair(found: DataFrame) -> DataFrame:

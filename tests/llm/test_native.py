@@ -155,7 +155,12 @@ def brute_overlaps(docs, items, min_match=10):
                     matches += e
                     if score > best:
                         best, seg = score, (matches, -start, k + 1 - start)
-                if seg[0] >= min(min_match, len(b)) and seg[0] >= 0.8 * seg[2]:
+                if seg[0] < min(min_match, len(b)):  # else the longest segment that is 0.8 similar, the earliest of equal ones
+                    spans = [(z - x, -x) for x in range(len(same)) for z in range(x + 1, len(same) + 1) if 5 * sum(e for _, e in same[x:z]) >= 4 * (z - x)]
+                    if spans:
+                        n, x = max(spans)
+                        seg = (sum(e for _, e in same[-x : -x + n]), -same[-x][0], n)
+                if seg[0] >= min(min_match, len(b)):
                     out[d, i] = max(out.get((d, i), (0, 0, 0)), seg)
     return {k: (v[0], -v[1], v[2]) for k, v in out.items()}
 
@@ -171,7 +176,7 @@ def test_decontamination_brute_force(spark, work, broadcast, monkeypatch):
         words = make(rng.randint(0, 60))
         if d % 2:
             part = list(rng.choice(items)[1])
-            for _ in range(rng.choice([0, 0, 1, 3, 9])):
+            for _ in range(rng.choice([0, 0, 1, 2, 3, 9])):
                 part[rng.randrange(len(part))] = "x"
             at = rng.randint(0, len(words))
             words[at:at] = part[rng.choice([0, 0, 2]) :]
