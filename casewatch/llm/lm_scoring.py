@@ -40,14 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch.llm import lm
-from casewatch.llm.common import Workspace, id_bucket, table
+from casewatch.llm.common import Workspace, id_bucket, most_frequent, table
 
 #: Tokens with an output of their own, and classes of the factored softmax.
-VOCAB, CLASSES = 2048, 48
+VOCAB, CLASSES = 1536, 40
 #: Most frequent tokens whose counts are broadcast; longer tokens (bytes) are joined.
 KNOWN, KNOWN_BYTES = 131_072, 32
-ROUNDS = 4
-RATES = (0.02, 0.01, 0.005, 0.0025)
+ROUNDS = 3
+RATES = (0.02, 0.01, 0.004)
 #: Training tokens a task should have at least in a round.
 TASK_TOKENS = 400_000
 #: Distinct tokens after which a counting task passes its counts on.
@@ -116,7 +116,8 @@ def learn_vocabulary(rows: DataFrame, work: Workspace) -> tuple[Vocabulary, Data
     counts = rows.select("text").mapInPandas(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     vocab = work.put(counts, "vocabulary")
     total, distinct = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = vocab.where(F.octet_length("token") <= KNOWN_BYTES).orderBy(F.desc("n"), "token").limit(KNOWN).toPandas()
+    top = most_frequent(vocab.where(F.octet_length("token") <= KNOWN_BYTES), "n", KNOWN).toPandas()
+    top = top.sort_values(["n", "token"], ascending=[False, True])
     tokens = [bytes(t) for t in top["token"]]
     return Vocabulary(tokens, top["n"].to_numpy(np.int64), int(total), int(distinct)), vocab
 

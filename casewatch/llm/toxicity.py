@@ -13,8 +13,8 @@ averaged away. All windows of the whole text count.
 Training is joint (embeddings, softmax weights, bias) by stochastic gradient
 descent in numpy, with windows pooled by a softmax whose sharpness rises to
 near the maximum. It uses
-a bounded sample of labelled rows: at most ``TOXIC_ROWS`` and ``CLEAN_ROWS``
-rows, in the order of a hash of the id, of at most ``SAMPLE_BYTES`` bytes of
+a bounded sample of labelled rows: about ``TOXIC_ROWS`` and ``CLEAN_ROWS``
+rows at most, chosen by a hash of the id, of at most ``SAMPLE_BYTES`` bytes of
 text each. Scoring covers all rows and whole texts.
 
 Defined results: null, empty and wordless texts get the score of an empty bag
@@ -221,13 +221,19 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
 
 
 def sample(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the bounded training sample. ``rows`` has doc_id,
-    text; only ids are sorted, and only the chosen rows' texts move."""
+    """(text, toxic) of the training sample. ``rows`` has doc_id, text. A class
+    with more rows than its bound keeps the ids whose hash is under the bound's
+    share (so about that many rows); only chosen texts move."""
+    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic is not null and doc_id is not null")
-    marked = marked.join(rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id"), "doc_id", "left_semi")
-    part = lambda c, n: marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = F.broadcast(part(1, TOXIC_ROWS).unionByName(part(0, CLEAN_ROWS)))  # bounded by the two limits
-    return rows.where(F.octet_length("text") <= SAMPLE_BYTES).join(chosen, "doc_id").select("text", "toxic").limit(2 * (TOXIC_ROWS + CLEAN_ROWS))
+    marked = marked.join(short.select("doc_id"), "doc_id", "left_semi")
+    sizes = {r["toxic"]: r["count"] for r in marked.where(F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
+    parts = 1_000_000
+    chosen = F.lit(False)
+    for c, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
+        share = parts if sizes.get(c, 0) <= most else most * parts // sizes[c]
+        chosen = chosen | (F.col("toxic") == c) & (F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
+    return short.join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "toxic")  # about TOXIC_ROWS + CLEAN_ROWS ids
 
 
 def train(rows: DataFrame, labels: DataFrame) -> Model | None:
