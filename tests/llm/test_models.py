@@ -160,7 +160,8 @@ def test_distinct_words_and_cuts(monkeypatch):
 
 def test_toxicity_held_out(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "STEPS", 150)
-    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    sf = "/root/testdata/sf0.1"  # the smaller tables have some thirty toxic texts to learn from
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
     truth = {r.doc_id: r.toxic for r in labels.collect()}
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got.values())
@@ -168,7 +169,7 @@ def test_toxicity_held_out(spark, monkeypatch):
     held = [(got[d].score, t) for d, t in truth.items() if got[d].held_out]
     bad, good = [s for s, t in held if t], [s for s, t in held if not t]
     auc = np.mean([(a > b) + 0.5 * (a == b) for a in bad for b in good])
-    assert auc > 0.8 and np.mean([s >= 0.7 for s in good]) < 0.05
+    assert auc > 0.9 and np.mean([s >= 0.7 for s in good]) < 0.03
 
 
 def test_unseen_misspelling_shares_grams():
