@@ -1,6 +1,6 @@
 """Newest version per case over a file stream.
 
-``latest_version`` is an aggregate (``max_by`` per key), so it runs as a
+``latest_version`` is an aggregate (``max`` of a struct per key), so it runs as a
 streaming aggregation: the state store keeps one buffer per case id (bounded
 by the number of cases, never by the number of versions) and each micro-batch
 emits the cases whose newest version changed (``update`` mode).
@@ -43,17 +43,11 @@ def newest_versions_stream(
 def start_newest_versions(
     stream: DataFrame,
     checkpoint_location: str,
-    sink: Callable[[DataFrame, int], None] | None = None,
-    query_name: str | None = None,
+    sink: Callable[[DataFrame, int], None],
     output_mode: str = "update",
 ) -> StreamingQuery:
     """Start the stream. ``sink(batch_df, batch_id)`` receives each
     micro-batch of changed cases (``foreachBatch``, e.g. a MERGE into a
-    table); without a sink the result goes to an in-memory table named
-    ``query_name`` (tests). ``checkpoint_location`` must be shared storage."""
-    w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_location)
-    if sink is not None:
-        w = w.foreachBatch(sink)
-    else:
-        w = w.format("memory").queryName(query_name or "newest_versions")
-    return w.start()
+    table). ``checkpoint_location`` must be shared storage."""
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_location)
+    return writer.foreachBatch(sink).start()
