@@ -178,14 +178,14 @@ def near_duplicates(df: DataFrame, work: Workspace, id_col: str = "doc_id", text
 def keep_one(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, reduced to one row of each class: the
     one with the smallest id (any one among rows that repeat that id)."""
-    marked = df.withColumn("__llm_fp", fingerprint_col(F.col(text_col)))
-    rows = work.put(marked.select(F.col(id_col).alias("doc_id"), F.col("__llm_fp").alias("fp")), "rows")
-    found = work.put(classes(rows, work), "classes").select(
-        F.col("fp").alias("__llm_class_fp"), F.col("root").alias("__llm_root"), F.col("component_id").alias("__llm_first")
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))  # finds the rows again; fingerprints are worked out once
+    rows = work.put(df.select(F.col(id_col).alias("doc_id"), key.alias("key"), fingerprint_col(F.col(text_col)).alias("fp")), "rows")
+    found = classes(rows, work)
+    firsts = rows.join(found, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    firsts = firsts.select(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key"), F.col("root").alias("__llm_root")).distinct()
+    kept = df.withColumn("__llm_text", key).join(
+        firsts, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_text") == F.col("__llm_key"))
     )
-    firsts = rows.join(found, rows["fp"] == found["__llm_class_fp"]).where(F.col("doc_id").eqNullSafe(F.col("__llm_first")))
-    firsts = firsts.select(F.col("doc_id").alias("__llm_id"), F.col("fp").alias("__llm_key"), "__llm_root").distinct()
-    kept = marked.join(firsts, (F.col("__llm_fp") == F.col("__llm_key")) & F.col(id_col).eqNullSafe(F.col("__llm_id")))
     return kept.dropDuplicates(["__llm_root"]).select(*df.columns)
 
 
