@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from casewatch.llm.common import id_bucket, table
 
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES = 4000, 8000, 32_768
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES = 3000, 6000, 32_768
 BUCKETS, DIM, GRAMS, WINDOW, MIN_BAG = 1 << 18, 8, (3, 4, 5), 64, 96
 STEPS, BATCH, RATE, SOFTMAX_RATE, DECAY, BALANCE = 400, 256, 20.0, 0.5, 1e-5, 0.5
 THRESHOLD = 0.7
