@@ -273,11 +273,12 @@ def _frame(sums: Counter) -> pd.DataFrame:
     return pd.DataFrame({"host": hosts, "hash": pd.array(hashes, dtype="Int64"), "pages": np.fromiter(sums.values(), np.int64, len(sums))})
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, work: Workspace) -> DataFrame:
     """(host, hash) of the subtrees that recur across many pages of a host.
-    ``pages`` has host and html, one row a page."""
+    ``pages`` has host and html, one row a page. The counts are staged: the
+    hosts' page numbers and the frequent subtrees both read them."""
     counts = pages.select("host", "html").mapInPandas(_count, "host string, hash long, pages long")
-    counts = counts.groupBy("host", "hash").agg(F.sum("pages").alias("pages"))
+    counts = work.put(counts.groupBy("host", "hash").agg(F.sum("pages").alias("pages")), "counts")
     total = counts.where("hash is null").select("host", F.col("pages").alias("total"))
     often = counts.where(F.col("hash").isNotNull() & (F.col("pages") >= MIN_PAGES))
     return often.join(total, "host").where(F.col("pages") >= MIN_SHARE * F.col("total")).select("host", "hash")
@@ -292,7 +293,7 @@ def extract(df: DataFrame, work: Workspace, id_col: str = "page_id", url_col: st
     rows = df.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")
     )
-    found = work.put(templates(rows), "templates").groupBy("host").agg(F.collect_list("hash").alias("template"))
+    found = work.put(templates(rows, work), "templates").groupBy("host").agg(F.collect_list("hash").alias("template"))
 
     @F.pandas_udf("string")
     def main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
