@@ -7,10 +7,11 @@ characters 9-13; every text ends with one end token.
 
 1. Counts. Each task counts the tokens of its training texts, Spark adds them
    up; the vocabulary is a staged table of any size.
-2. Model vocabulary. The ``VOCAB`` most frequent tokens get an embedding and an
-   output each; all others share one symbol, and a token's share of it is its
-   smoothed count among them. The probabilities of all tokens, unseen ones
-   included, sum to one.
+2. Model vocabulary. The most frequent tokens get an embedding and an output
+   each; their number grows with the corpus (``model_size``), and the classes of
+   the softmax with its root. All others share one symbol, and a token's share of
+   it is its smoothed count among them. The probabilities of all tokens, unseen
+   ones included, sum to one.
 3. Training. ``ROUNDS`` rounds, each over its own part of the training rows;
    together they cover every row once. In a round each task trains the common
    parameters on its rows; Spark averages the results, weighted by tokens, in
@@ -31,7 +32,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
-from math import log10
+from math import isqrt, log10
 
 import numpy as np
 import pandas as pd
@@ -42,12 +43,14 @@ from pyspark.sql import functions as F
 from casewatch.llm import lm
 from casewatch.llm.common import Workspace, id_bucket, most_frequent, table
 
-#: Tokens with an output of their own, and classes of the factored softmax.
-VOCAB, CLASSES = 1536, 40
+#: Tokens with an output of their own, and classes of the factored softmax, at least.
+VOCAB, CLASSES = 2048, 48
+#: Outputs for each unit of the square root of the distinct tokens, up to ``KNOWN`` (268 million distinct ones).
+GROWTH = 8
 #: Most frequent tokens whose counts are broadcast; longer tokens (bytes) are joined.
 KNOWN, KNOWN_BYTES = 131_072, 32
-ROUNDS = 3
-RATES = (0.02, 0.01, 0.004)
+ROUNDS = 4
+RATES = (0.02, 0.01, 0.005, 0.0025)
 #: Training tokens a task should have at least in a round.
 TASK_TOKENS = 400_000
 #: Distinct tokens after which a counting task passes its counts on.
@@ -79,20 +82,26 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"token": list(sums), "n": list(sums.values())})
 
 
+def model_size(distinct: int) -> int:
+    """Tokens with an output of their own in a corpus of so many distinct ones."""
+    return max(VOCAB, min(KNOWN, GROWTH * isqrt(distinct)))
+
+
 class Vocabulary:
     """The broadcast part: frequent tokens by falling count, and totals.
-    Index ``VOCAB`` of the model stands for all tokens beyond."""
+    Index ``size`` of the model stands for all tokens beyond."""
 
     def __init__(self, tokens: list[bytes], counts: np.ndarray, total: int, distinct: int):
-        if END not in tokens[:VOCAB]:  # the end always has an output of its own
+        most = model_size(distinct)
+        if END not in tokens[:most]:  # the end always has an output of its own
             at = tokens.index(END) if END in tokens else None
             n = counts[at] if at is not None else 0
             if at is not None:
                 tokens, counts = tokens[:at] + tokens[at + 1 :], np.delete(counts, at)
-            place = min(VOCAB - 1, len(tokens))
+            place = min(most - 1, len(tokens))
             tokens, counts = tokens[:place] + [END] + tokens[place:], np.insert(counts, place, n)
         self.counts, self.total, self.distinct = counts, total, distinct
-        self.size = min(VOCAB, len(tokens))
+        self.size = min(most, len(tokens))
         self.index = {t: i for i, t in enumerate(tokens)}
         rest_total = total - int(counts[: self.size].sum())
         rest_distinct = distinct - int((counts[: self.size] > 0).sum())
@@ -170,7 +179,7 @@ def train(rows: DataFrame, vocab: Vocabulary, work: Workspace) -> lm.Net:
     """``rows`` has text and part (0 to ROUNDS - 1)."""
     spark = rows.sparkSession
     counts, _ = vocab.model_counts()
-    net = lm.Net.fresh(counts, CLASSES)
+    net = lm.Net.fresh(counts, max(CLASSES, isqrt(len(counts))))
     shape = "block int, tokens double, v array<float>"
     tasks = int(max(1, vocab.total // ROUNDS // TASK_TOKENS))
     n_lanes = int(np.clip(vocab.total // ROUNDS // tasks // (lm.WINDOW * 100), 16, 320))

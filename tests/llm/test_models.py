@@ -126,6 +126,14 @@ def test_lm_odd_rows(odd_docs, no_docs, work, monkeypatch):
     assert lm_scoring.log_likelihood(no_docs, work()).count() == 0
 
 
+def test_model_vocabulary_grows_with_the_corpus():
+    tokens = [b" ", *(b"w%d" % i for i in range(9_999))]
+    counts = np.arange(10_000, 0, -1)
+    sizes = [lm_scoring.Vocabulary(tokens, counts, 10**8, n).size for n in (20_000, 404_216, 1_000_000)]
+    assert sizes == [2048, 5080, 8000]
+    assert lm_scoring.ROUNDS == len(lm_scoring.RATES) == 4
+
+
 def test_vocabulary_shares_sum_to_one():
     counts = np.array([50, 20, 9, 5, 3, 2])
     vocab = lm_scoring.Vocabulary([b"a", b"b", b" ", b"c", b"d", b"e"], counts, int(counts.sum()) + 4, 10)
