@@ -39,8 +39,10 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stage_shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add each document's shard."""
-    return sharding.with_shard(docs, sharding.SHARDS)
+    """Add each document's shard and its place in the mixed order. Row order does
+    not outlive a table that is written and read again, so the place is worked
+    out from the documents, as in the mixing stage."""
+    return sharding.with_shard(mixing.mix(docs).drop("mix_block", "mix_slot"), sharding.SHARDS)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from casewatch.llm import components, html_text, line_dedup, simhash
+from casewatch.llm import components, html_text, line_dedup, mixing, simhash
 from casewatch.llm.html_text import parse, text_of
 
 SF = "/root/testdata/sf0.001"
@@ -261,6 +261,25 @@ def test_pipeline_result(spark):
     assert not any(b in t for b in bench for t in texts)
 
 
+def test_pipeline_result_has_the_mixed_order(spark, work):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "text")
+    rows = [(r.doc_id, r.source) for r in docs.collect()]
+    stored = work().put(corpus_pipeline.stage_shard(spark, corpus_pipeline.stage_mix(spark, docs, SF).repartition(7), SF), "out")
+    got = stored.orderBy("mix_position").collect()
+    assert [r.mix_position for r in got] == list(range(len(rows)))
+    # brute force: blocks of each source in the order of the hashed ids, dealt by the phases
+    left = {s: n for s, n in Counter(s for _, s in rows).items()}
+    plan = mixing.phases(left, {s: n**mixing.TEMPERATURE for s, n in left.items()}, mixing.BLOCK_ROWS)
+    slots = {}
+    for p in plan:
+        for j in range(p["n_blocks"]):
+            turn, at = divmod(j, len(p["slots"]))
+            slots[p["first_slot"] + turn * p["period"] + p["slots"][at]] = (p["source"], p["first_block"] + j)
+    want = [s for _, (s, b) in sorted(slots.items()) for _ in range(min(mixing.BLOCK_ROWS, left[s] - b * mixing.BLOCK_ROWS))]
+    assert [r.source for r in got] == want
+    assert "mix_position" in corpus_pipeline.run(spark, SF).columns
+
+
 def test_pipeline_odd_rows(spark, odd_docs):
     docs = odd_docs
     for name, stage in corpus_pipeline.STAGES:
