@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 
 from casewatch.llm.common import Workspace, table
 
-#: Fixed masks: 1 selects a token, 0 ignores it. Any single replaced token in
-#: nine neighbours is ignored by at least one of them.
-MASKS = ("110110101", "1011001011")
+#: Fixed masks: 1 selects a token, 0 ignores it. Counted out over all patterns of
+#: replaced tokens: any segment of 10 to 24 tokens that the rule accepts is hit by
+#: at least one of them. A longer one can be cut into pieces of 12 to 23 tokens, of
+#: which one at least is as similar as the whole and so is hit as well.
+MASKS = ("110110101", "1011001011", "110000100111", "1110100011")
 #: Rows of benchmark hashes up to which they are broadcast (about 64 MB).
 MAX_BROADCAST = 2_000_000
 MIN_MATCH = 10

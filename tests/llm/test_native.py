@@ -1,6 +1,7 @@
 """Operators 1, 3, 7 and 8 against brute force and on odd rows."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -201,6 +202,34 @@ def test_any_single_substitution_is_found():
         assert any(not reads(m, s, bad) for m in decontamination.MASKS for s in range(14 - len(m) + 1))
 
 
+def test_every_accepted_pattern_is_found(spark, work):
+    """Whole items with replaced tokens, the rule alone deciding: 10 matches, 0.8 similar."""
+    items, docs, want = [], [], set()
+    for n, k in ((11, 1), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3)):
+        item = [f"i{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(item)))
+        for bad in itertools.combinations(range(n), k):
+            assert n - k >= 10 and n - k >= 0.8 * n
+            text = [f"z{len(docs)}" if j in bad else w for j, w in enumerate(item)]
+            want.add((len(docs), n))
+            docs.append((len(docs), "some words before " + " ".join(text) + " and behind"))
+    found = decontamination.find_overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), work()
+    )
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == want
+
+
+def test_masks_hit_every_accepted_pattern():
+    """All segments of 10 to 24 tokens with the most replaced tokens that the rule accepts."""
+    for n in range(10, 25):
+        k = min(n - 10, n // 5)
+        masks = [sum(1 << (s + i) for i, c in enumerate(m) if c == "1") for m in decontamination.MASKS for s in range(n - len(m) + 1)]
+        for bad in itertools.combinations(range(n), k):
+            pattern = sum(1 << i for i in bad)
+            assert any(not m & pattern for m in masks), (n, bad)
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs, work):
     items = spark.createDataFrame([(1, "der hund lief durch den wald"), (2, None), (None, ""), (3, "cat sat on the mat and the dog ran over")], "item_id long, text string")
     found = decontamination.find_overlaps(odd_docs, items, work())
