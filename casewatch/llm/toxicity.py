@@ -223,7 +223,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model | None:
 def sample(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of the training sample. ``rows`` has doc_id, text. A class
     with more rows than its bound keeps the ids whose hash is under the bound's
-    share (so about that many rows); only chosen texts move."""
+    share; of rows with one id the text with the smallest hash is taken, so about
+    that many rows reach the driver. Only chosen texts move."""
     short = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic is not null and doc_id is not null")
     marked = marked.join(short.select("doc_id"), "doc_id", "left_semi")
@@ -233,7 +234,9 @@ def sample(rows: DataFrame, labels: DataFrame) -> DataFrame:
     for c, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
         share = parts if sizes.get(c, 0) <= most else most * parts // sizes[c]
         chosen = chosen | (F.col("toxic") == c) & (F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
-    return short.join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "toxic")  # about TOXIC_ROWS + CLEAN_ROWS ids
+    picked = short.join(F.broadcast(marked.where(chosen)), "doc_id")  # about TOXIC_ROWS + CLEAN_ROWS ids
+    one = picked.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic"))
+    return one.select("text", "toxic")
 
 
 def train(rows: DataFrame, labels: DataFrame) -> Model | None:

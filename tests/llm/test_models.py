@@ -186,6 +186,14 @@ def test_unseen_misspelling_shares_grams():
     assert model.score("such an idiotic idea") > model.score("such an excellent idea")
 
 
+def test_toxicity_sample_has_one_row_an_id(spark):
+    rows = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "other"), (3, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    got = toxicity.sample(rows, labels).collect()
+    assert sorted(r.toxic for r in got) == [0, 1]
+    assert sorted(r.text for r in toxicity.sample(rows.repartition(5), labels).collect()) == sorted(r.text for r in got)
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(toxicity, "STEPS", 3)
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (6, 0), (8, 0), (9, None), (None, 1)], "doc_id long, toxic int")
