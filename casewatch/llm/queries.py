@@ -5,6 +5,7 @@ from __future__ import annotations
 from casewatch.llm.decontamination import op7_decontamination
 from casewatch.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from casewatch.llm.html_text import op4_html_text
+from casewatch.llm.jaccard_join import op13_jaccard_join
 from casewatch.llm.langid import op6_language_id
 from casewatch.llm.line_dedup import op10_line_dedup
 from casewatch.llm.lm_scoring import op2_lm_scoring
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
     "op11_resampling": op11_resampling,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 #: Twins of the operators that SQL can express.
