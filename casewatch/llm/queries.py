@@ -10,6 +10,7 @@ from casewatch.llm.langid import op6_language_id
 from casewatch.llm.line_dedup import op10_line_dedup
 from casewatch.llm.lm_scoring import op2_lm_scoring
 from casewatch.llm.mixing import op8_mixing
+from casewatch.llm.phrases import OP12_SQL, op12_phrases
 from casewatch.llm.resampling import OP11_SQL, op11_resampling
 from casewatch.llm.sharding import op3_sharding
 from casewatch.llm.simhash import op9_simhash
@@ -27,8 +28,9 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
     "op11_resampling": op11_resampling,
+    "op12_phrases": op12_phrases,
     "op13_jaccard_join": op13_jaccard_join,
 }
 
 #: Twins of the operators that SQL can express.
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op11_resampling": OP11_SQL}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op11_resampling": OP11_SQL, "op12_phrases": OP12_SQL}
