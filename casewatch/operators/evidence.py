@@ -95,7 +95,7 @@ def evidence_parts(t: CaseTables, params: RunParams = RunParams()) -> EvidencePa
     add = (lambda df: df) if t.by else (lambda df: df.withColumn(GROUP, F.lit(0)))
     cases, reactions, drugs = add(t.cases), add(t.reactions), add(t.drugs)
 
-    metrics = M.case_metrics(cases, by)
+    metrics = M.with_age_median(M.case_metrics(cases, by), cases, by)
     case_counts = _dimension_counts(
         cases,
         [

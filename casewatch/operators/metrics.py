@@ -37,6 +37,7 @@ from casewatch.config import (
     UNKNOWN_VALUE,
 )
 from casewatch.functions import is_in_set, month_of, percentage, strip
+from casewatch.functions.joins import join_null_safe
 
 GROUP = "_g"
 
@@ -69,7 +70,7 @@ def case_metrics(cases: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Columns (nulls where the source column is absent):
       total_unique_cases, serious_cases, non_serious_cases, unknown_seriousness,
       expedite_alert_cases, <flag>_available/<flag>_count for the six flags,
-      age_available_cases, age_missing_cases, age_min/max/mean/median,
+      age_available_cases, age_missing_cases, age_min/max/mean,
       missing_age, missing_sex, missing_dates, start_date, end_date,
       number_of_months, and the percentages.
     """
@@ -97,7 +98,6 @@ def case_metrics(cases: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.min(age).alias("_age_min"),
         F.max(age).alias("_age_max"),
         F.avg(age).alias("_age_mean"),
-        F.median(age).alias("_age_median"),
         F.count_if(sex.isNull()).alias("missing_sex"),
         F.count_if(date.isNull()).alias("missing_dates"),
         F.min(date).alias("_start"),
@@ -137,7 +137,6 @@ def case_metrics(cases: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.bround("_age_min", 2).alias("age_minimum_years"),
         F.bround("_age_max", 2).alias("age_maximum_years"),
         F.bround("_age_mean", 2).alias("age_mean_years"),
-        F.bround("_age_median", 2).alias("age_median_years"),
         F.col("age_missing_cases").alias("missing_age"),
         "missing_sex",
         "missing_dates",
@@ -210,8 +209,21 @@ def alert_rates(metrics: DataFrame, cases_columns: Sequence[str], by: Sequence[s
     return drop_group(metrics.select(*[_q(k) for k in keys(by)], F.inline(F.array(*entries))), by)
 
 
+def with_age_median(metrics: DataFrame, cases: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``metrics`` with ``age_median_years`` of the same cases, from counts of
+    equal ages (a group without an age has a null)."""
+    from casewatch.operators.quantiles import number_counts, quantiles_from_counts
+
+    if "age_years" not in cases.columns:
+        return metrics.withColumn("age_median_years", F.lit(None).cast("double"))
+    counts = number_counts(cases, "age_years", by)
+    median = quantiles_from_counts(counts, {"_median": 0.5}, keys(by)).drop("n")
+    joined = join_null_safe(metrics, median, keys(by))
+    return joined.withColumn("age_median_years", F.bround("_median", 2)).drop("_median")
+
+
 def age_stats(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """A4."""
+    """A4, over metrics ``with_age_median``."""
     return drop_group(
         metrics.select(
             *[_q(k) for k in keys(by)],

@@ -1376,3 +1376,48 @@ def _null_group(sql: str) -> str:
 
 ORACLE["evidence_facts_null_group"] = _null_group(ORACLE["evidence_facts"])
 ORACLE["report_document_null_group"] = _null_group(ORACLE["report_document"])
+
+
+# -- quantiles and distinct terms, also from stored sketches ----------------------
+
+_CASES_COUNTRY = f"""WITH {CORE},
+{_typed(CASE_COLS, 'core', 'typed')},
+{_cases_cte('typed', extra=', primarysourcecountry AS country')}"""
+
+
+def _quantile(p: float) -> str:
+    at = f"((n - 1) * {p}::DOUBLE)"
+    value = lambda r: f"max(CASE WHEN rn = {r} THEN age_years END)"
+    low, high = value(f"floor({at})"), value(f"ceil({at})")
+    return (
+        f"round_even(CASE WHEN max(floor({at})) = max(ceil({at})) THEN {low} "
+        f"ELSE max(ceil({at}) - {at}) * {low} + max({at} - floor({at})) * {high} END, 2)"
+    )
+
+
+ORACLE["age_quantiles"] = _sql(
+    _CASES_COUNTRY,
+    f"""SELECT country, max(n) AS n, {_quantile(0.25)} AS q1, {_quantile(0.5)} AS median, {_quantile(0.75)} AS q3
+FROM (SELECT country, age_years, count(*) OVER (PARTITION BY country) AS n,
+        row_number() OVER (PARTITION BY country ORDER BY age_years) - 1 AS rn
+      FROM cases WHERE age_years IS NOT NULL)
+GROUP BY country""",
+)
+
+ORACLE["age_sketch_quantiles"] = _sql(
+    _CASES_COUNTRY,
+    """SELECT country, count(*) AS n, true AS q1_kept, true AS median_kept, true AS q3_kept
+FROM cases WHERE age_years IS NOT NULL GROUP BY country""",
+)
+
+ORACLE["reaction_term_sketches"] = _sql(
+    REACTIONS + ",",
+    """named AS (
+  SELECT t.primarysourcecountry AS country, r.reaction_pt
+  FROM reactions r JOIN typed t ON r.safetyreportid = t.safetyreportid
+  WHERE r.reaction_pt IS NOT NULL AND r.reaction_pt <> ''
+)
+SELECT country, count(*) AS total_reaction_occurrences, count(DISTINCT reaction_pt) AS exact_terms, true AS kept
+FROM named GROUP BY country
+UNION ALL SELECT '*', count(*), count(DISTINCT reaction_pt), true FROM named""",
+)

@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch.config import RunParams
-from casewatch.functions import lower_strip, parse_date
+from casewatch.functions import lower_strip, month_of, parse_date
+from casewatch.functions.joins import join_null_safe
+from casewatch.operators import distinct_terms as H
 from casewatch.operators import metrics as M
+from casewatch.operators import quantiles as Q
 from casewatch.operators.clean import (
     add_age,
     clean_columns,
@@ -144,8 +147,30 @@ def q_seriousness_rates(spark, sf):
 
 
 def q_age_stats(spark, sf):
-    m, _ = _metrics(spark, sf)
-    return M.age_stats(m)
+    cases = _cases(spark, sf)
+    return M.age_stats(M.with_age_median(M.case_metrics(cases), cases))
+
+
+def _cases_by_country(spark, sf):
+    cases = coerce_numeric(clean_columns(A.case_reports(spark, sf)))
+    return prepare_cases(cases.withColumn("country", F.col("primarysourcecountry")), ["country"])
+
+
+def q_age_quantiles(spark, sf):
+    """A4 exactly, per country: quartiles from counts of equal ages."""
+    out = Q.exact_quantiles(_cases_by_country(spark, sf), "age_years", by=["country"])
+    return out.select("country", "n", *[F.bround(q, 2).alias(q) for q in Q.QUARTILES])
+
+
+def q_age_sketch_quantiles(spark, sf):
+    """A4 from stored sketches per (country, month), merged per country: their
+    exact n, and whether each quartile keeps to the bound of the rank error."""
+    cases = _cases_by_country(spark, sf).withColumn("month", month_of("report_date"))
+    stored = stage(Q.number_sketches(cases, "age_years", ["country", "month"]))
+    merged = Q.sketch_quantiles(Q.merge_sketches(stored, ["country"]), by=["country"])
+    errors = Q.rank_errors(merged, Q.number_counts(cases, "age_years", ["country"]), Q.QUARTILES, ["country"])
+    both = join_null_safe(merged.select("country", "n"), errors, ["country"], "inner")
+    return both.select("country", "n", *[(F.col(f"{q}_error") <= Q.RANK_ERROR).alias(f"{q}_kept") for q in Q.QUARTILES])
 
 
 DIST_DIMENSIONS = (
@@ -169,6 +194,32 @@ def q_reaction_totals(spark, sf):
     return M.reaction_totals(_reactions(spark, sf))
 
 
+def _reactions_by_country(spark, sf):
+    """Reactions un-nested with the reporting country of their case."""
+    raw = A.raw_reports(spark, sf).withColumn("country", F.col("primarysourcecountry"))
+    clean = coerce_numeric(clean_columns(raw))
+    return explode_reactions(clean.withColumn("case_report_date", parse_date("report_date")), carry=["country", "case_report_date"])
+
+
+def q_reaction_term_sketches(spark, sf):
+    """A7 from stored sketches per (country, month), united per country and over
+    all: exact occurrences, exact distinct terms, and whether the estimate keeps
+    to its bound. The country of the row over all is ``*``."""
+    reactions = _reactions_by_country(spark, sf)
+    stored = stage(H.term_sketches(reactions, ["country"]))
+    every = F.lit("*").alias("country")
+    found = H.estimated_terms(H.unite_terms(stored, ["country"]), ["country"]).unionByName(
+        H.estimated_terms(H.unite_terms(stored)).select(every, "total_reaction_occurrences", "unique_reaction_terms")
+    )
+    exact = M.reaction_totals(reactions, ["country"]).unionByName(M.reaction_totals(reactions).select(every, "*"))
+    exact = exact.select("country", F.col("unique_reaction_terms").alias("exact_terms"))
+    both = join_null_safe(found, exact, ["country"], "inner")
+    off = F.abs(F.col("unique_reaction_terms") - F.col("exact_terms"))
+    return both.select(
+        "country", "total_reaction_occurrences", "exact_terms", (off <= F.col("exact_terms") * H.RELATIVE_ERROR + 1).alias("kept")
+    )
+
+
 def q_top_reactions(spark, sf):
     return M.top_terms(_reactions(spark, sf))
 
@@ -234,9 +285,12 @@ QUERIES: dict[str, Query] = {
     "case_summary": q_case_summary,
     "seriousness_rates": q_seriousness_rates,
     "age_stats": q_age_stats,
+    "age_quantiles": q_age_quantiles,
+    "age_sketch_quantiles": q_age_sketch_quantiles,
     "category_distribution": q_category_distribution,
     "country_top10": q_country_top10,
     "reaction_totals": q_reaction_totals,
+    "reaction_term_sketches": q_reaction_term_sketches,
     "top_reactions": q_top_reactions,
     "top_serious_reactions": q_top_serious_reactions,
     "cases_by_month": q_cases_by_month,
