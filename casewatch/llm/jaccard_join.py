@@ -19,18 +19,17 @@ signature with every set it links with, so its empty ones are left out. A set wi
 more emits the signatures of a second deal of the domain as well, and so on; of
 two linked sets either both go on or they have met.
 
-In Spark: one pass counts signatures by (least, greatest) set (partial aggregation,
-so no signature is hot); a second pass emits only the rows of signatures that two
-different sets share. Sets that share a signature with at most ``HEAVY`` others are
-paired; sets of larger groups are first compared with the group's most popular
-set, and then only with sets that are not in the same component yet. Pairs
-are tested by size and by a 256-bit parity sketch (differing bits are at most the
-differing elements, so no link is lost), then exactly on the sets of the documents
-that are left.
-
-Bounds: the filter that the second pass uses has at most ``MAX_FILTER_BITS`` bits (8
-MB); with more shared signatures than fit, it lets more rows through to the join
-that decides, never fewer. In a group of more than HEAVY sets of which most are
+In Spark: one pass over the texts stores each document's signatures; they are counted
+by (least, greatest) set (partial aggregation, so no signature is hot), and read again
+for the rows of signatures that two different sets share. Sets that share a signature
+with at most ``HEAVY`` others are paired; sets of larger groups are first compared
+with the group's most popular set, and then only with sets that are not in the same
+component yet. Pairs are tested by size and by a 256-bit parity sketch (differing
+bits are at most the differing elements, so no link is lost), then exactly on the
+sets of the documents that are left.
+
+Bounds: the filter that finds these rows has at most 8 MB; with more shared signatures
+than fit, it lets more rows through to the join that decides, never fewer. In a group of more than HEAVY sets of which most are
 neither linked with the popular one nor dissimilar, the number of comparisons
 grows with the square of the unlinked ones; emitted are only those that pass
 the sketch. Sets are compared as 64-bit hashes of shingles. A set is named by a
@@ -57,33 +56,20 @@ from pyspark.sql import functions as F
 
 from casewatch.llm.common import Workspace, table
 from casewatch.llm.components import components
+from casewatch.llm.hashing import ODD, filter_of, mix, passes, u64
 
 SHINGLE = 4
 PERCENT = 85
 #: Sets that share a signature up to which they are paired at once.
 HEAVY = 64
-MAX_FILTER_BITS = 1 << 26
 #: Deals of the domain; the last one keeps empty signatures.
 DEALS = 12
-#: Rows of signatures that a task hands on at a time.
+#: Hashes that a task hands on at a time, and documents whose signatures it filters at a time.
 _FLUSH = 1 << 18
-_ODD = 0x9E3779B97F4A7C15
+_SLICE = 500
 _SKETCH = ["s0", "s1", "s2", "s3"]
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (MurmurHash3's finaliser)."""
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def _u64(x: int) -> np.uint64:
-    return np.uint64(x & ((1 << 64) - 1))
-
-
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     found = (text or b"").lower().split()
@@ -94,13 +80,13 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     n = len(found) - width + 1
     total = np.full(n, width, np.uint64)
     for i in range(width):
-        total += ids[i : i + n] * _u64(_ODD * (2 * i + 1))
+        total += ids[i : i + n] * u64(ODD * (2 * i + 1))
     return np.unique(mix(total))
 
 
 def names(h: np.ndarray) -> tuple[int, int]:
     """Two sums that name a set, as signed numbers."""
-    return tuple(int(mix(h ^ _u64(_ODD * s)).sum(dtype=np.uint64).view(np.int64)) for s in (3, 5))
+    return tuple(int(mix(h ^ u64(ODD * s)).sum(dtype=np.uint64).view(np.int64)) for s in (3, 5))
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
@@ -139,20 +125,20 @@ def signatures(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         k = 2 * band_top(band, percent) * (100 - percent) // (100 + percent)
         parts, cells, choices, good = scheme(k)
         for deal in range(DEALS):
-            x = mix(h ^ _u64(_ODD * (7 + band * DEALS + deal)))
+            x = mix(h ^ u64(ODD * (7 + band * DEALS + deal)))
             at = (x % np.uint64(parts * cells)).astype(np.int64)
             n = np.bincount(at, minlength=parts * cells).reshape(parts, cells)
             low = np.bincount(at, weights=(x & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=parts * cells)
             high = np.bincount(at, weights=(x >> np.uint64(32)).astype(np.float64), minlength=parts * cells)
             # both sums are exact (under 2**53 up to two million elements a cell)
             cell = (low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))).reshape(parts, cells)
-            part = np.arange(parts, dtype=np.uint64) * _u64(_ODD * 11)
+            part = np.arange(parts, dtype=np.uint64) * u64(ODD * 11)
             weak = np.zeros(parts, bool)
             for c, chosen in enumerate(choices):
-                total = part + _u64(_ODD * (13 + (band * DEALS + deal) * 64 + c))
+                total = part + u64(ODD * (13 + (band * DEALS + deal) * 64 + c))
                 held = np.zeros(parts, np.int64)
                 for j in chosen:
-                    total = total + cell[:, j] * _u64(_ODD * (2 * j + 17))
+                    total = total + cell[:, j] * u64(ODD * (2 * j + 17))
                     held += n[:, j]
                 out.append(mix(total)[(held > 0) | (deal == DEALS - 1)])
                 weak |= held == 0
@@ -170,81 +156,40 @@ def _named(shingle: int, clashes: frozenset[int]) -> Callable:
     return of
 
 
-def named_sets(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, n (size of the set), node, second: one row per input row."""
+def signed_sets(df: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
+    """doc_id, n (size of the set), node, second, s0 to s3, sigs: one row per
+    input row."""
+    cols = ["n", "node", "second", *_SKETCH]
 
-    @F.pandas_udf("n long, node long, second long")
-    def name(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        of = _named(shingle, frozenset())
+    @F.pandas_udf(", ".join(f"{c} long" for c in cols) + ", sigs array<long>")
+    def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        none = np.zeros(0, np.uint64)
         for batch in texts:
-            rows = [(len(h), node, second) for h, node, second in map(of, batch)]
-            yield pd.DataFrame(rows, columns=["n", "node", "second"], dtype="int64")
+            numbers, sigs = np.zeros((len(batch), len(cols)), np.int64), []
+            for i, text in enumerate(batch):
+                h = shingle_set(text, shingle)
+                numbers[i] = (len(h), *names(h), *sketch(h))
+                sigs.append((signatures(h, percent) if len(h) else none).view(np.int64))
+            yield pd.DataFrame(numbers, columns=cols).assign(sigs=pd.Series(sigs, dtype=object))
 
-    return df.select(F.col(id_col).alias("doc_id"), name(F.col(text_col).cast("binary")).alias("s")).select("doc_id", "s.*")
+    return df.select(F.col(id_col).alias("doc_id"), sign(F.col(text_col).cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-def signature_rows(texts: DataFrame, percent: int, shingle: int, clashes: frozenset[int], shared: np.ndarray | None) -> DataFrame:
-    """sig, node of every signature of ``texts`` (text, binary); with a filter,
-    of the signatures that it lets through, and the set's size and sketch too."""
-    sent = None if shared is None else texts.sparkSession.sparkContext.broadcast(shared)
-    schema = "sig long, node long" + (", n long, s0 long, s1 long, s2 long, s3 long" if sent else "")
-
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, found, held = _named(shingle, clashes), [], 0
-
-        def flush() -> pd.DataFrame:
-            sigs, per_set = [f[0] for f in found], np.array([f[1] for f in found], np.int64).reshape(len(found), -1)
-            rows = np.repeat(per_set, [len(s) for s in sigs], axis=0)
-            data = {"sig": np.concatenate(sigs).view(np.int64), "node": rows[:, 0]}
-            if sent:
-                data |= {c: rows[:, 1 + i] for i, c in enumerate(["n", *_SKETCH])}
-            return pd.DataFrame(data)
+def shared_rows(sets: DataFrame, shared: np.ndarray) -> DataFrame:
+    """sig, node, n, s0 to s3 of the signatures that the filter lets through."""
+    sent = sets.sparkSession.sparkContext.broadcast(shared)
+    cols = ["node", "n", *_SKETCH]
 
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text in batch["text"]:
-                h, node, _ = of(text)
-                if len(h) == 0:
-                    continue
-                sigs = signatures(h, percent)
-                if sent:
-                    sigs = sigs[passes(sent.value, sigs)]
-                if len(sigs):
-                    found.append((sigs, (node, len(h), *sketch(h).tolist()) if sent else (node,)))
-                    held += len(sigs)
-                if held >= _FLUSH:
-                    yield flush()
-                    found, held = [], 0
-        if found:
-            yield flush()
-
-    return texts.mapInPandas(emit, schema)
-
-
-def _filter_places(bits: int) -> tuple[int, int]:
-    return bits - 1, bits.bit_length() - 1
-
-
-def filter_of(shared: DataFrame) -> np.ndarray:
-    """Bit array with two bits a signature; each word comes up once, so at
-    most MAX_FILTER_BITS / 64 rows (16 bytes each, as Arrow) reach the driver."""
-    n = shared.count()
-    bits = min(MAX_FILTER_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
-    mask, width = _filter_places(bits)
-    at = F.explode(F.array(F.col("sig").bitwiseAND(mask), F.shiftrightunsigned("sig", width).bitwiseAND(mask)))
-    word = F.shiftright("at", 6)
-    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    words = shared.select(at.alias("at")).groupBy(word.alias("word")).agg(F.bit_or(bit).alias("held")).toArrow()
-    out = np.zeros(bits // 64, np.int64)
-    out[words["word"].to_numpy()] = words["held"].to_numpy()
-    return out.view(np.uint64)
-
+            for at in range(0, len(batch), _SLICE):
+                part = batch.iloc[at : at + _SLICE]
+                sigs = np.concatenate([np.zeros(0, np.int64), *part["sigs"]])
+                held = np.flatnonzero(passes(sent.value, sigs.view(np.uint64)))
+                rows = np.repeat(part[cols].to_numpy(np.int64), [len(x) for x in part["sigs"]], axis=0)[held]
+                yield pd.DataFrame(rows, columns=cols).assign(sig=sigs[held])
 
-def passes(words: np.ndarray, sigs: np.ndarray) -> np.ndarray:
-    mask, width = _filter_places(len(words) * 64)
-    out = np.ones(len(sigs), bool)
-    for at in (sigs & np.uint64(mask), (sigs >> np.uint64(width)) & np.uint64(mask)):
-        out &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return out
+    return sets.select(*cols, "sigs").mapInPandas(pick, ", ".join(f"{c} long" for c in [*cols, "sig"]))
 
 
 def _near(x: str, y: str, percent: int) -> Column:
@@ -331,19 +276,19 @@ def jaccard_classes(
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = work.put(named_sets(df, id_col, text_col, shingle), "rows")
+    sets = work.put(signed_sets(df, id_col, text_col, percent, shingle), "sets")
     # two sums of one node differ with probability n^2 / 2^65: none in 10^8 sets, some 70 in 5 * 10^10
-    seconds = rows.where("n > 0").groupBy("node").agg(F.min("second").alias("lo"), F.max("second").alias("hi"))
+    seconds = sets.where("n > 0").groupBy("node").agg(F.min("second").alias("lo"), F.max("second").alias("hi"))
     clashes = frozenset(r["node"] for r in seconds.where("lo != hi").select("node").collect())
     if clashes:
-        rows = rows.withColumn("node", F.when(F.col("node").isin(*clashes), F.col("second")).otherwise(F.col("node")))
+        sets = sets.withColumn("node", F.when(F.col("node").isin(*clashes), F.col("second")).otherwise(F.col("node")))
     of = _named(shingle, clashes)
+    rows = sets.select("doc_id", "n", "node")
     firsts = work.put(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "firsts")
 
-    sigs = signature_rows(docs.select("text"), percent, shingle, clashes, None)
-    spans = sigs.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    spans = sets.select(F.explode("sigs").alias("sig"), "node").groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = work.put(spans.where("lo < hi").select("sig"), "shared")
-    members = signature_rows(docs.select("text"), percent, shingle, clashes, filter_of(shared)).distinct()
+    members = shared_rows(sets, filter_of(shared, "sig")).distinct()
     members = work.put(members.join(shared, "sig", "left_semi"), "members")
 
     sizes = work.put(members.groupBy("sig").agg(F.count(F.lit(1)).alias("members")), "sizes")
