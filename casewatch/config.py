@@ -131,6 +131,10 @@ REACTION_SERIOUS_VALUES = ("1", "true", "yes", "serious")
 
 DEFAULT_TARGET_PATTERN = r"\bBISOPROLOL(?:\s+FUMARATE)?\b"
 TOP_N = 10
+# Values that a free-text category lists in an evidence document, and the name under
+# which the rest is counted (values are lower case, so it is never one of them).
+MAX_VALUES = 1000
+FURTHER_VALUES = "Further values"
 TOP_K_CONCENTRATION = 5
 
 # Age bands: (upper bound exclusive, label); at or above the last -> elderly.
@@ -146,10 +150,13 @@ UNKNOWN_VALUE = "unknown"
 
 # Numbers in free text (first alternative wins, as in the reference).
 NUMBER_PATTERN = (
-    r"(?<![A-Za-z])[-+]?\d{1,3}(?:,\d{3})*(?:\.\d+)?%?"
-    r"|(?<![A-Za-z])[-+]?\d+(?:\.\d+)?%?"
+    r"(?<![A-Za-z])[-+]?\p{Nd}{1,3}(?:,\p{Nd}{3})*(?:\.\p{Nd}+)?%?"
+    r"|(?<![A-Za-z])[-+]?\p{Nd}+(?:\.\p{Nd}+)?%?"
 )
 
+# The same tokens, but a number of four or more digits without separators stays whole.
+WHOLE_NUMBER_PATTERN = r"(?<![A-Za-z])[-+]?(?:\p{Nd}{1,3}(?:,\p{Nd}{3})+(?!\p{Nd})|\p{Nd}+)(?:\.\p{Nd}+)?%?"
+
 # Phrases flagged in generated text, in order.
 FLAGGED_PHRASES = (
     "caused by",
@@ -303,7 +310,12 @@ METHODOLOGY_TEXT = (
     "Generated content was subjected to numerical and claim-level grounding checks "
     "and sections failing validation were flagged for human review."
 )
+# Around the name of a section that no prompt exists for; the supported names follow.
+UNKNOWN_SECTION_TEXT = ("No prompt for section '", "'; choose one of: ")
+NO_EVIDENCE_TEXT = "The group of this request has no evidence."
 NO_LIMITATIONS_TEXT = "No additional limitations were identified by the deterministic analysis pipeline."
+ONLY_NULL_LIMITATIONS_TEXT = "The analysis is limited to information available in the supplied dataset."
+NAMED_LIMITATIONS_INTRO = "The following limitations were identified from the supplied dataset:"
 REVIEW_PENDING = "**Report Status: PENDING HUMAN REVIEW**"
 REVIEW_LIST_INTRO = "The following generated sections require human review:"
 REVIEW_PASSED = (
@@ -391,6 +403,7 @@ class RunParams:
     target_label: str = "Bisoprolol"
     top_n: int = TOP_N
     top_k: int = TOP_K_CONCENTRATION
+    max_values: int = MAX_VALUES
     model_name: str = DEFAULT_MODEL_NAME
     mock_text: bool = True
     null_sentinels: tuple[str, ...] = field(default=NULL_SENTINELS)

@@ -118,7 +118,7 @@ def validate_tables(
     for name, (df, cols) in required.items():
         missing = [c for c in cols if c not in df.columns]
         if missing:
-            raise ValueError(f"Missing {name} columns: " + ", ".join(missing))
+            raise ValueError(f"The {name} table lacks: " + ", ".join(missing))
     dup = cases.groupBy(_q(key)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     if not dup.isEmpty():
-        raise ValueError(f"cases contains duplicate {key} values.")
+        raise ValueError(f"A case id ({key}) occurs in several rows of the case table.")

@@ -36,6 +36,7 @@ from pyspark.sql import Window
 
 from casewatch.config import (
     ALERT_INTERPRETATIONS,
+    FURTHER_VALUES,
     METADATA,
     REACTION_SERIOUS_VALUES,
     SERIOUSNESS_FLAGS,
@@ -74,6 +75,8 @@ CASE_DIMENSIONS = ("age_group_distribution", "sex_distribution", "primary_source
 REACTION_DIMENSIONS = ("term", "serious_term", "reaction_outcome_distribution", "frequency_by_month")
 MONTH_DIMENSIONS = ("cases_by_month", "frequency_by_month")
 TOP_DIMENSIONS = ("primary_source_country", "occurrence_country", "term", "serious_term")
+# Free text whose values are all listed, up to a number of values that no category has.
+LISTED_DIMENSIONS = ("sex_distribution", "reaction_outcome_distribution")
 
 
 def _dimension_counts(df: DataFrame, dims: list[tuple[str, Column]], by: Sequence[str]) -> DataFrame:
@@ -123,14 +126,18 @@ def evidence_parts(t: CaseTables, params: RunParams = RunParams()) -> EvidencePa
     # Ranked dimensions (terms, countries) may hold millions of distinct
     # values per group: ``row_number() <= limit`` is planned as a partial
     # WindowGroupLimit before the exchange, so no task sorts a whole group.
-    # Every value of the other (bounded) dimensions is its own window
-    # partition and passes. One pass, one aggregate per family, no re-scan.
-    ranked = F.col("dimension").isin(*TOP_DIMENSIONS)
+    # Free-text categories (sex, outcome) are cut at ``max_values`` in the same
+    # window; what lies behind is one further count in the document. Every value
+    # of the bounded dimensions (age bands, months) is its own window partition
+    # and passes. One pass, one aggregate per family, no re-scan.
+    ranked = F.col("dimension").isin(*TOP_DIMENSIONS, *LISTED_DIMENSIONS)
     w = Window.partitionBy(
         *[_q(k) for k in by], "dimension", F.when(~ranked, F.col("value"))
     ).orderBy(F.col("value").isNull(), F.desc("n"), F.asc("value"))
     limit = max(params.top_n, params.top_k)
-    top = counts.withColumn("ord", F.row_number().over(w)).filter(F.col("ord") <= limit)
+    top = counts.withColumn("ord", F.row_number().over(w)).filter(F.col("ord") <= max(limit, params.max_values))
+    allowed = F.when(F.col("dimension").isin(*LISTED_DIMENSIONS), F.lit(params.max_values)).otherwise(F.lit(limit))
+    top = top.filter(F.col("ord") <= allowed)
     # Totals need every term row: a second partial + final aggregate over the
     # same counts (no filter in between, so the count exchange is reused).
     is_term = F.col("dimension") == "term"
@@ -155,9 +162,10 @@ def _empty_map(value_type: str) -> Column:
 def evidence_struct(p: EvidenceParts) -> DataFrame:
     """``(group..., evidence)``: the nested evidence document per group.
 
-    The count rows needed by the document (full category and month counts,
+    The count rows needed by the document (category and month counts,
     top-N terms) are collected once per group — a bounded set: top-N
-    entries, months of the reporting period and category values — then cut
+    entries, months of the reporting period and at most ``max_values`` values
+    a category, the cases of all others under ``Further values`` — then cut
     into ordered maps inside one projection. Trend extremes are folded over
     the month array in the same projection (no extra shuffle)."""
     by = p.by
@@ -192,6 +200,13 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
     def as_map(xs: Column) -> Column:
         return F.map_from_entries(F.transform(xs, lambda x: F.struct(x["value"], x["n"])))
 
+    def listed(d: str, total: Column) -> Column:
+        xs = dim(d)
+        rest = total - F.aggregate(xs, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+        further = F.array(F.struct(F.lit(FURTHER_VALUES).alias("value"), rest.alias("n")))
+        entries = F.transform(xs, lambda x: F.struct(x["value"].alias("value"), x["n"].alias("n")))
+        return F.map_from_entries(F.when(rest > 0, F.concat(entries, further)).otherwise(entries))
+
     cbm = dim("cases_by_month")
     rbm = dim("frequency_by_month")
     records = F.coalesce(F.col("reaction_records"), F.lit(0)).cast("long")
@@ -265,7 +280,7 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
             F.col("age_median_years").alias("median_years"),
         ).alias("age"),
         as_map(dim("age_group_distribution")).alias("age_group_distribution"),
-        as_map(dim("sex_distribution")).alias("sex_distribution"),
+        listed("sex_distribution", F.col("total_unique_cases")).alias("sex_distribution"),
         as_map(dim("primary_source_country", n)).alias("primary_source_country"),
         as_map(dim("occurrence_country", n)).alias("occurrence_country"),
     )
@@ -279,7 +294,7 @@ def evidence_struct(p: EvidenceParts) -> DataFrame:
     )
     outcomes = F.struct(
         (records > 0).alias("available"),
-        F.when(records > 0, as_map(dim("reaction_outcome_distribution"))).alias("reaction_outcome_distribution"),
+        F.when(records > 0, listed("reaction_outcome_distribution", records)).alias("reaction_outcome_distribution"),
     )
     trends = F.struct(
         F.struct(

@@ -8,12 +8,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from casewatch.config import (
     CASE_SENTENCE,
     DEFAULT_MODEL_NAME,
     METHODOLOGY_TEXT,
+    NAMED_LIMITATIONS_INTRO,
     NO_LIMITATIONS_TEXT,
+    ONLY_NULL_LIMITATIONS_TEXT,
     PERIOD_SENTENCE,
     PERIOD_UNAVAILABLE,
     REPORT_HEADINGS,
@@ -63,12 +66,52 @@ def methodology(model_name: str = DEFAULT_MODEL_NAME) -> Column:
     return F.lit(METHODOLOGY_TEXT % model_name)
 
 
+def _listed(items: Column) -> Column:
+    return F.array_join(F.transform(items, lambda x: F.concat(F.lit("- "), x)), "\n")
+
+
 def limitations_text(ev: Column) -> Column:
     """``- item`` lines, or the fixed sentence when there are none."""
     items = F.coalesce(ev["limitations"], F.array().cast("array<string>"))
-    return F.when(F.size(items) == 0, F.lit(NO_LIMITATIONS_TEXT)).otherwise(
-        F.array_join(F.transform(items, lambda x: F.concat(F.lit("- "), x)), "\n")
+    return F.when(F.size(items) == 0, F.lit(NO_LIMITATIONS_TEXT)).otherwise(_listed(items))
+
+
+def _as_text(v: Column) -> Column:
+    """A JSON value as a sentence shows it: None, True and False, else its own text."""
+    kind = F.schema_of_variant(v)
+    text = F.when(kind == "BOOLEAN", F.initcap(v.cast("string"))).otherwise(v.cast("string"))
+    return F.when(F.is_variant_null(v) | v.isNull(), F.lit("None")).otherwise(text)
+
+
+def limitations_text_json(limits: Column) -> Column:
+    """G4 for documents from outside, where the limitations are JSON text: a
+    list gives ``- item`` lines; an object gives ``- name: value`` lines in its
+    own order, one line per item of a list and none for null, under a sentence of
+    introduction; an empty or missing value, ``0``, ``false`` and ``""`` give the
+    fixed sentence. An object or list inside an item stays JSON."""
+    text = F.trim(F.coalesce(limits, F.lit("")))
+    items = F.transform(F.from_json(text, "array<variant>"), _as_text)
+
+    def lines(e: Column) -> Column:
+        named = lambda v: F.concat(e["key"], F.lit(": "), _as_text(v))
+        several = F.schema_of_variant(e["value"]).startswith("ARRAY")
+        one_or_more = F.when(several, F.transform(e["value"].cast("array<variant>"), named)).otherwise(F.array(named(e["value"])))
+        return F.when(F.is_variant_null(e["value"]) | e["value"].isNull(), F.array().cast("array<string>")).otherwise(one_or_more)
+
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+    found = F.flatten(F.transform(entries, lines))
+    empty = text.isin("", "null", "0", "false", '""') | text.rlike(r"^(\[\s*\]|\{\s*\})$")
+    named = F.when(F.size(found) == 0, F.lit(ONLY_NULL_LIMITATIONS_TEXT)).otherwise(
+        F.concat(F.lit(NAMED_LIMITATIONS_INTRO + "\n\n"), _listed(found))
     )
+    return F.when(empty, F.lit(NO_LIMITATIONS_TEXT)).when(text.startswith("{"), named).otherwise(_listed(items))
+
+
+def _limitations(struct_df: DataFrame) -> Column:
+    """The limitations of an evidence table, whose field is a list or JSON text."""
+    ev = F.col("evidence")
+    held = struct_df.schema["evidence"].dataType["limitations"].dataType
+    return limitations_text_json(ev["limitations"]) if isinstance(held, StringType) else limitations_text(ev)
 
 
 def review_status(failing: Column) -> Column:
@@ -93,7 +136,7 @@ def report_sections(struct_df: DataFrame, by: Sequence[str], model_name: str = D
                 (1, period_sentence(ev)),
                 (3, case_sentence(ev)),
                 (8, methodology(model_name)),
-                (9, limitations_text(ev)),
+                (9, _limitations(struct_df)),
                 (11, F.lit(TRACEABILITY_TEXT)),
             )
         ]
@@ -133,7 +176,7 @@ def report_document(
         F.col("t_serious_alert_analysis"),
         F.col("t_trend_interpretation"),
         methodology(model_name),
-        limitations_text(ev),
+        _limitations(struct_df),
         F.concat(review_status(failing), F.lit("\n\n" + REVIEW_CHECKLIST)),
         F.lit(TRACEABILITY_TEXT),
     ]

@@ -37,6 +37,7 @@ def latest_version(
     key: str = "safetyreportid",
     version: str = "safetyreportversion",
     tiebreak: Sequence[str] | None = None,
+    rows_col: str | None = None,
 ) -> DataFrame:
     """Newest row per key: highest ``version``, ties broken by ``tiebreak``
     (descending; default: every other column). Null keys form one group.
@@ -46,13 +47,16 @@ def latest_version(
     and ``tiebreak`` are decided by the remaining columns. The partial step leaves one row
     per key and map partition, so a key holding a third of all rows is
     reduced before the shuffle instead of landing whole in one task.
+    ``rows_col`` adds the number of rows that each key had.
     """
     others = [c for c in df.columns if c != key]
     tb = list(tiebreak) if tiebreak is not None else []
     # version, tiebreak columns, then the rest: each column is carried once
     order = [version, *tb, *[c for c in others if c != version and c not in tb]]
-    picked = df.groupBy(_q(key)).agg(F.max(F.struct(*[_q(c) for c in order])).alias("_newest"))
-    return picked.select(_q(key), *[F.col(f"_newest.`{c}`").alias(c) for c in others])
+    newest = F.max(F.struct(*[_q(c) for c in order])).alias("_newest")
+    counted = [F.count(F.lit(1)).alias(rows_col)] if rows_col else []
+    picked = df.groupBy(_q(key)).agg(newest, *counted)
+    return picked.select(_q(key), *[F.col(f"_newest.`{c}`").alias(c) for c in others], *([rows_col] if rows_col else []))
 
 
 # -- D2 / D3 ----------------------------------------------------------------

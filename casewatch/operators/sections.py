@@ -19,13 +19,15 @@ from casewatch.config import (
     FALLBACK_NO_EVIDENCE,
     FALLBACK_UNPARSABLE,
     GROUNDING_RULES,
+    NO_EVIDENCE_TEXT,
     PROMPT_CLOSING,
     SECTION_INSTRUCTIONS,
     SECTION_MAP,
     SECTION_TITLES,
+    UNKNOWN_SECTION_TEXT,
 )
 from casewatch.operators import grounding as G
-from casewatch.functions import extract_numbers, number_value, strip
+from casewatch.functions import extract_numbers, lower_strip, number_value, strip
 from casewatch.functions.joins import join_null_safe
 
 SECTIONS = [name for name, _ in SECTION_MAP]
@@ -88,9 +90,7 @@ def compact_evidence(ev: Column, section: str, available: Sequence[str] | None =
     (e.g. the narrative summary asks for reactions and alerts, which its
     slice does not supply)."""
     if section not in dict(SECTION_MAP):
-        raise ValueError(
-            f"Unsupported report section: '{section}'. Supported sections: {', '.join(SECTIONS)}"
-        )
+        raise ValueError(_unknown_section(section))
     has = set(dict(SECTION_MAP)[section] if available is None else available)
 
     def get(k: str) -> Column:
@@ -189,9 +189,11 @@ def compact_evidence(ev: Column, section: str, available: Sequence[str] | None =
             period.alias("reporting_period"),
             F.struct(*[ct[k].alias(k) for k in trend_keys]).alias("case_trend_summary"),
         )
-    raise ValueError(
-        f"Unsupported report section: '{section}'. Supported sections: {', '.join(SECTIONS)}"
-    )
+    raise ValueError(_unknown_section(section))
+
+
+def _unknown_section(section: str) -> str:
+    return UNKNOWN_SECTION_TEXT[0] + section + UNKNOWN_SECTION_TEXT[1] + ", ".join(SECTIONS)
 
 
 def _slice(ev: Column, section: str) -> Column:
@@ -207,6 +209,32 @@ def get_prompt(ev: Column, section: str, available: Sequence[str] | None = None)
     return prompt_text(compact, name)
 
 
+def dispatch_prompts(
+    requests: DataFrame, records: DataFrame, by: Sequence[str], section_col: str = "section"
+) -> tuple[DataFrame, DataFrame]:
+    """E5 as data: each request names a section in a column and gets the prompt
+    of its group. Returns (prompts, violations), every request in exactly one:
+    ``requests`` with ``report_section`` and ``prompt``, or with ``violation``.
+
+    Names are stripped and lower-cased. A request is a violation if its section is
+    unknown (the message lists the supported ones) or if its group has no
+    evidence. ``records`` is one row per (group, section) as made by
+    ``section_records``; a group with most of the requests is dealt over tasks by
+    the join, whose other side has five rows a group."""
+    name = lower_strip(_q(section_col))
+    asked = with_group(requests, by).withColumn("report_section", name)
+    keys = group_keys(by)
+    table = with_group(records, by).select(*[_q(k) for k in keys], "report_section", "prompt")
+    found = join_null_safe(asked, table, keys, plain=["report_section"])
+    known = F.coalesce(F.col("report_section").isin(SECTIONS), F.lit(False))
+    shown = F.coalesce(_q(section_col), F.lit(""))
+    unknown = F.concat(F.lit(UNKNOWN_SECTION_TEXT[0]), shown, F.lit(UNKNOWN_SECTION_TEXT[1] + ", ".join(SECTIONS)))
+    violation = F.when(~known, unknown).otherwise(F.lit(NO_EVIDENCE_TEXT))
+    cols = [_q(c) for c in requests.columns]
+    prompts = found.where(F.col("prompt").isNotNull()).select(*cols, "report_section", "prompt")
+    return prompts, found.where(F.col("prompt").isNull()).select(*cols, violation.alias("violation"))
+
+
 def prompt_text(evidence_json: Column, section: str) -> Column:
     """Rules + title + task + evidence JSON + closing line."""
     prefix = ("\n" + GROUNDING_RULES + "\n\nSECTION:\n" + TITLES[section] + "\n\nTASK:\n"

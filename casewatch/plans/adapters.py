@@ -218,3 +218,113 @@ def id_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(_s(F.col("o_custkey") % 7), F.lit(".5")))
         .alias("safetyreportversion"),
     )
+
+
+#: Columns of the written-out lines below.
+LINE_COLUMNS = ("safetyreportid", "serious", "primarysourcecountry", "report_date", "remark")
+
+
+def _line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    remark = (
+        F.when(key % 3 == 0, F.concat(F.lit('see "'), F.col("serious"), F.lit('", then '), F.col("reporttype")))
+        .when(key % 3 == 1, F.lit("plain"))
+    )
+    return _case_core(spark, sf_dir).select("o_orderkey", *LINE_COLUMNS[:-1], remark.alias("remark"))
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases as lines of four CSV files. One file has its columns in another
+    order under upper-case names, one has no header; some lines lack a cell, have
+    one too many or a quote that is never closed."""
+    key = F.col("o_orderkey")
+    quoted = F.concat(F.lit('"'), F.replace("remark", F.lit('"'), F.lit('""')), F.lit('"'))
+    text = {c: F.coalesce(F.col(c), F.lit("")) for c in LINE_COLUMNS[:-1]}
+    text["remark"] = F.when(F.col("remark").isNull(), F.lit("")).when(key % 3 == 0, quoted).otherwise(F.col("remark"))
+    line = F.concat_ws(",", *[text[c] for c in LINE_COLUMNS])
+    turned = F.concat_ws(",", *[text[c] for c in reversed(LINE_COLUMNS)])
+    line = F.when(key % 4 == 2, turned).otherwise(line)
+    line = (
+        F.when(key % 19 == 0, F.substring_index(line, ",", 3))
+        .when(key % 23 == 0, F.concat(line, F.lit(",more")))
+        .when(key % 29 == 0, F.concat(line, F.lit(',"open')))
+        .otherwise(line)
+    )
+    file = F.concat(F.lit("part-"), (key % 4).cast("string"))
+    cells = _line_cells(spark, sf_dir)
+    header = F.when(key % 4 == 2, F.lit(" , ".join(reversed(LINE_COLUMNS)).upper())).otherwise(",".join(LINE_COLUMNS))
+    headers = cells.select(file.alias("source_file"), header.alias("line")).where("source_file != 'part-3'").distinct()
+    return cells.select(file.alias("source_file"), line.alias("line")).unionByName(headers)
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases as JSON lines; some are cut off, no object, or repeat a name."""
+    key = F.col("o_orderkey")
+    cells = F.struct(
+        F.col("safetyreportid").cast("long").alias("SafetyReportId"),
+        *LINE_COLUMNS[1:],
+        F.array(F.col("serious"), F.lit("x")).alias("codes"),
+        F.struct(F.lit(1).alias("a")).alias("nested"),
+    )
+    whole = F.to_json(cells)
+    line = (
+        F.when(key % 19 == 0, F.substring(whole, F.lit(1), F.length(whole) - 9))
+        .when(key % 23 == 0, F.lit("[1, 2]"))
+        .when(key % 29 == 0, F.concat(F.lit('{" SERIOUS": "twice", '), F.substring(whole, F.lit(2), F.length(whole))))
+        .otherwise(whole)
+    )
+    return _line_cells(spark, sf_dir).select(F.lit("lines").alias("source_file"), line.alias("line"))
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON documents of four shapes; some are no objects or cut off."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    inner = F.struct(F.col("o_orderstatus").alias("status"), price.alias("price"))
+    gone = F.lit(None).cast("string").alias("gone")
+    flat = F.to_json(F.struct(key.alias("key"), (key % 2 == 0).alias("even"), gone), {"ignoreNullFields": "false"})
+    notes = F.array(F.col("o_orderpriority"), F.lit("of 1,016")).alias("notes")
+    listed = F.to_json(F.struct(notes, F.array().cast("array<int>").alias("none")))
+    nested = F.to_json(F.struct(F.struct(F.array(inner, inner).alias("b")).alias("a"), key.alias("key")))
+    text = (
+        F.when(key % 31 == 0, "[1, 2]")
+        .when(key % 37 == 0, F.substring(nested, F.lit(1), F.length(nested) - 3))
+        .when(key % 3 == 0, flat)
+        .when(key % 3 == 1, listed)
+        .otherwise(nested)
+    )
+    return o.select("o_orderkey", text.alias("value"))
+
+
+def prompt_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers asking for a section by name, some names unknown, some
+    customers of no country."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    key = F.col("c_custkey")
+    section = (
+        F.when(key % 7 == 0, " Narrative_Summary ")
+        .when(key % 7 == 1, "SUMMARY_ANALYSIS")
+        .when(key % 7 == 2, "reaction_analysis")
+        .when(key % 7 == 3, "serious_alert_analysis\t")
+        .when(key % 7 == 4, "trend_interpretation")
+        .when(key % 7 == 5, "conclusion")
+    )
+    country = F.when(key % 11 == 0, "NOWHERE").otherwise(F.col("n_name"))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select("c_custkey", country.alias("country"), section.alias("section"))
+
+
+def limitation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with limitations as JSON text: a list, an object, nulls, nothing."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    words = F.array(F.concat(F.lit("status "), F.col("o_orderstatus")), F.col("o_orderpriority"))
+    gone = F.lit(None).cast("string").alias("gone")
+    named = F.struct(key.alias("order"), gone, words.alias("notes"), (key % 2 == 0).alias("even"))
+    text = (
+        F.when(key % 5 == 0, F.to_json(words))
+        .when(key % 5 == 1, F.to_json(named, {"ignoreNullFields": "false"}))
+        .when(key % 5 == 2, F.lit('{"a": null, "b": []}'))
+        .when(key % 5 == 3, "[]")
+    )
+    return o.select("o_orderkey", text.alias("limitations"))

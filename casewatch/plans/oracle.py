@@ -1421,3 +1421,125 @@ SELECT country, count(*) AS total_reaction_occurrences, count(DISTINCT reaction_
 FROM named GROUP BY country
 UNION ALL SELECT '*', count(*), count(DISTINCT reaction_pt), true FROM named""",
 )
+
+
+# -- S1: lines into rows and violations ------------------------------------------
+
+_LINE_CELLS = f"""WITH {CORE},
+cells AS (
+  SELECT o_orderkey, safetyreportid, serious, primarysourcecountry, report_date,
+    CASE o_orderkey % 3 WHEN 0 THEN 'see "' || serious || '", then ' || reporttype WHEN 1 THEN 'plain' END AS remark
+  FROM core
+)"""
+
+ORACLE["csv_quarantine"] = _sql(
+    _LINE_CELLS + ",",
+    """texts AS (
+  SELECT *, 'part-' || (o_orderkey % 4) AS source_file,
+    [safetyreportid, coalesce(serious, ''), coalesce(primarysourcecountry, ''), coalesce(report_date, ''),
+     CASE WHEN remark IS NULL THEN '' WHEN o_orderkey % 3 = 0 THEN '"' || replace(remark, '"', '""') || '"' ELSE remark END] AS t
+  FROM cells
+), whole AS (
+  SELECT *, array_to_string(CASE WHEN o_orderkey % 4 = 2 THEN list_reverse(t) ELSE t END, ',') AS full_line FROM texts
+), told AS (
+  SELECT *,
+    CASE WHEN o_orderkey % 19 = 0 THEN array_to_string(string_split(full_line, ',')[1:3], ',')
+         WHEN o_orderkey % 23 = 0 THEN full_line || ',more'
+         WHEN o_orderkey % 29 = 0 THEN full_line || ',"open' ELSE full_line END AS line
+  FROM whole
+), judged AS (
+  SELECT *,
+    CASE WHEN o_orderkey % 4 = 3 THEN 'the file has no header with the required columns'
+         WHEN (length(line) - length(replace(line, '"', ''))) % 2 = 1 THEN 'quotes do not match'
+         WHEN o_orderkey % 19 = 0 OR o_orderkey % 23 = 0 THEN 'the number of cells differs from the header''s' END AS reason
+  FROM told
+)
+SELECT source_file, safetyreportid, serious, primarysourcecountry, report_date, remark, NULL AS reason, NULL AS line
+FROM judged WHERE reason IS NULL
+UNION ALL SELECT source_file, NULL, NULL, NULL, NULL, NULL, reason, line FROM judged WHERE reason IS NOT NULL""",
+)
+
+ORACLE["json_quarantine"] = _sql(
+    _LINE_CELLS,
+    """SELECT 'lines' AS source_file, safetyreportid, CASE WHEN o_orderkey % 29 = 0 THEN 'twice' ELSE serious END AS serious,
+  primarysourcecountry, report_date, remark,
+  coalesce(serious, '') || ',x' AS codes, '{"a":1}' AS nested, NULL AS reason, NULL::BIGINT AS n_lines
+FROM cells WHERE o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0 AND (o_orderkey % 29 <> 0 OR serious IS NULL)
+UNION ALL
+SELECT 'lines', NULL, NULL, NULL, NULL, NULL, NULL, NULL, reason, count(*) FROM (
+  SELECT CASE WHEN o_orderkey % 19 = 0 OR o_orderkey % 23 = 0 THEN 'not a complete JSON object'
+              WHEN o_orderkey % 29 = 0 AND serious IS NOT NULL THEN 'a column name is repeated' END AS reason
+  FROM cells) WHERE reason IS NOT NULL GROUP BY reason""",
+)
+
+
+# -- documents of any shape, limitations from outside, prompts by request ------------
+
+ORACLE["document_numbers"] = f"""
+SELECT DISTINCT country, value FROM (
+  SELECT country, value_num AS value FROM ({ORACLE["evidence_facts"]}) WHERE kind IN ('int', 'float')
+  UNION ALL
+  SELECT country, {numval('n')} AS value
+  FROM (SELECT country, unnest({numbers('value_str')}) AS n FROM ({ORACLE["evidence_facts"]}) WHERE kind = 'str')
+)"""
+
+ORACLE["document_leaves"] = """
+WITH shaped AS (
+  SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+    CASE WHEN o_orderkey % 31 = 0 THEN 'not a JSON object' WHEN o_orderkey % 37 = 0 THEN 'not valid JSON' END AS reason,
+    o_orderkey % 3 AS shape
+  FROM orders
+), leaves AS (
+  SELECT o_orderkey, unnest(CASE shape
+    WHEN 0 THEN [{'path': 'key', 'kind': 'int', 'num': CAST(o_orderkey AS DOUBLE), 'str': NULL::VARCHAR},
+                 {'path': 'even', 'kind': 'bool', 'num': NULL, 'str': CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END},
+                 {'path': 'gone', 'kind': 'null', 'num': NULL, 'str': NULL}]
+    WHEN 1 THEN [{'path': 'notes[0]', 'kind': 'str', 'num': NULL::DOUBLE, 'str': o_orderpriority},
+                 {'path': 'notes[1]', 'kind': 'str', 'num': NULL, 'str': 'of 1,016'}]
+    ELSE [{'path': 'a.b[0].status', 'kind': 'str', 'num': NULL::DOUBLE, 'str': o_orderstatus},
+          {'path': 'a.b[0].price', 'kind': CASE WHEN price = floor(price) THEN 'int' ELSE 'float' END, 'num': price, 'str': NULL},
+          {'path': 'a.b[1].status', 'kind': 'str', 'num': NULL, 'str': o_orderstatus},
+          {'path': 'a.b[1].price', 'kind': CASE WHEN price = floor(price) THEN 'int' ELSE 'float' END, 'num': price, 'str': NULL},
+          {'path': 'key', 'kind': 'int', 'num': CAST(o_orderkey AS DOUBLE), 'str': NULL}] END) AS leaf
+  FROM shaped WHERE reason IS NULL
+)
+SELECT o_orderkey, leaf.path AS path, leaf.kind AS kind, leaf.num AS value_num, leaf.str AS value_str, NULL AS reason FROM leaves
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, reason FROM shaped WHERE reason IS NOT NULL"""
+
+ORACLE["text_numbers_whole"] = f"""
+WITH found AS (
+  SELECT doc_id, lang, regexp_extract_all(regexp_replace(text, '([A-Za-z])[-+0-9]', '\\1 ', 'g'),
+    '[-+]?(?:\\d{{1,3}}(?:,\\d{{3}})+|\\d+)(?:\\.\\d+)?%?') AS nums
+  FROM documents
+), tokens AS (
+  SELECT doc_id, lang, unnest(generate_series(1, len(nums))) AS pos, unnest(nums) AS number FROM found
+)
+SELECT doc_id, lang, pos, number, {numval('number')} AS value FROM tokens"""
+
+ORACLE["limitations_forms"] = """
+SELECT o_orderkey, CASE o_orderkey % 5
+  WHEN 0 THEN '- status ' || o_orderstatus || chr(10) || '- ' || o_orderpriority
+  WHEN 1 THEN 'The following limitations were identified from the supplied dataset:' || chr(10) || chr(10)
+    || '- order: ' || o_orderkey || chr(10) || '- notes: status ' || o_orderstatus || chr(10) || '- notes: ' || o_orderpriority
+    || chr(10) || '- even: ' || CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END
+  WHEN 2 THEN 'The analysis is limited to information available in the supplied dataset.'
+  ELSE 'No additional limitations were identified by the deterministic analysis pipeline.' END AS body
+FROM orders"""
+
+ORACLE["prompt_dispatch"] = SECTION_PROMPTS + """,
+asked AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'NOWHERE' ELSE n_name END AS country,
+    CASE c_custkey % 7 WHEN 0 THEN ' Narrative_Summary ' WHEN 1 THEN 'SUMMARY_ANALYSIS' WHEN 2 THEN 'reaction_analysis'
+      WHEN 3 THEN 'serious_alert_analysis' || chr(9) WHEN 4 THEN 'trend_interpretation' WHEN 5 THEN 'conclusion' END AS section
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+)
+SELECT c_custkey, a.country, p.report_section, md5(p.prompt) AS prompt_md5,
+  CASE WHEN p.prompt IS NOT NULL THEN NULL
+       WHEN section IS NULL OR section = 'conclusion' THEN
+         'No prompt for section ''' || coalesce(section, '') || '''; choose one of: narrative_summary, summary_analysis, '
+         || 'reaction_analysis, serious_alert_analysis, trend_interpretation'
+       ELSE 'The group of this request has no evidence.' END AS violation
+FROM asked a LEFT JOIN prompts p
+  ON p.country IS NOT DISTINCT FROM a.country AND p.report_section = lower(trim(section, ' ' || chr(9)))"""
+
+ORACLE["case_store_merge"] = ORACLE["latest_version"]

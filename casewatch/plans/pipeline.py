@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from casewatch.config import RunParams
 from casewatch.functions import parse_date
 from casewatch.operators.clean import clean_columns, coerce_numeric, prepare_cases
+from casewatch.operators.counters import ROWS, RunCounters
 from casewatch.operators.rowset import (
     explode_drugs,
     explode_reactions,
@@ -96,14 +97,19 @@ def preprocess(
     by: Sequence[str] = (),
     substance_col: str = "patient_drug_activesubstance_activesubstancename",
     staged: bool = False,
+    counters: RunCounters | None = None,
 ) -> CaseTables:
     """Preprocess the raw wide table into the three case tables.
 
     ``by`` columns must be raw columns; they are carried unchanged to all
-    three tables so every later aggregate can group on them."""
+    three tables so every later aggregate can group on them. ``counters``
+    takes the first run counters from the write of the staged table."""
     clean = coerce_numeric(clean_columns(raw))
-    latest = latest_version(clean)
-    latest = stage(latest, staged)
+    if counters is not None and staged:
+        picked = latest_version(clean, rows_col=ROWS)
+        latest = stage(counters.watch_versions(picked, substance_col, params.target_pattern)).drop(ROWS)
+    else:
+        latest = stage(latest_version(clean), staged)
     retained = filter_to_target(latest, substance_col, params.target_pattern, params.filter_to_target)
     with_date = retained.withColumn("case_report_date", parse_date("report_date")) if (
         "report_date" in retained.columns
@@ -126,19 +132,33 @@ def run(
     only at the sinks. Returns the output paths (each verified to exist).
 
     ``texts`` optionally supplies generated section text per (group,
-    report_section); otherwise the deterministic fallback text is used."""
+    report_section); otherwise the deterministic fallback text is used. Staged
+    tables are deleted whether the run succeeds or not."""
+    before = len(_STAGED)
+    try:
+        return _run(raw, out_dir.rstrip("/"), params, by, texts)
+    finally:
+        release(raw.sparkSession, before)
+
+
+def _run(
+    raw: DataFrame, out: str, params: RunParams, by: Sequence[str], texts: DataFrame | None
+) -> dict[str, str]:
     from casewatch.operators import evidence as EV
     from casewatch.operators import report as R
     from casewatch.operators import sections as S
     from casewatch.sources import sinks
 
     spark = raw.sparkSession
-    out = out_dir.rstrip("/")
-    before = len(_STAGED)
-    t = preprocess(raw, params, by, staged=True)
+    counters = RunCounters()
+    t = preprocess(raw, params, by, staged=True, counters=counters)
     # written once and read back; the version pick has made the case ids unique,
     # so key validation (C15) is left to tables that come from outside
-    tables = {"cases": t.cases, "reactions": t.reactions, "target_drugs": t.drugs}
+    tables = {
+        "cases": counters.watch_rows(t.cases, "cases_retained"),
+        "reactions": counters.watch_rows(t.reactions, "reaction_records"),
+        "target_drugs": counters.watch_rows(t.drugs, "target_drug_rows"),
+    }
     paths = sinks.write_tables(tables, f"{out}/tables", by)
     stored = sinks.read_tables(spark, paths, {name: df.schema for name, df in tables.items()})
     t = replace(t, cases=stored["cases"], reactions=stored["reactions"], drugs=stored["target_drugs"])
@@ -151,12 +171,12 @@ def run(
     model = params.model_name if not params.mock_text else "deterministic-fallback"
     sinks.write_audit(S.generation_audit(validated, keys, model=model, mock=params.mock_text), f"{out}/audit")
     sinks.write_report(R.report_document(ev, validated, keys, params.model_name), f"{out}/report", keys)
-    paths.update({"evidence": f"{out}/evidence", "audit": f"{out}/audit", "report": f"{out}/report"})
+    sinks.write_counters(counters.table(spark), f"{out}/counters")
+    paths.update({name: f"{out}/{name}" for name in ("evidence", "audit", "report", "counters")})
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name, p in paths.items():
         path = jvm.org.apache.hadoop.fs.Path(p)
         if not path.getFileSystem(conf).exists(path):
             raise RuntimeError(f"No {name} output at {p}")
-    release(spark, before)
     return paths

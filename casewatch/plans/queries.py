@@ -6,6 +6,7 @@ SQL twins with identical column names live in ``casewatch.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from casewatch.config import RunParams
 from casewatch.functions import lower_strip, month_of, parse_date
 from casewatch.functions.joins import join_null_safe
+from casewatch.operators.counters import RunCounters, row_counts
 from casewatch.operators import distinct_terms as H
 from casewatch.operators import metrics as M
 from casewatch.operators import quantiles as Q
@@ -30,11 +32,12 @@ from casewatch.operators.rowset import (
     explode_reactions,
     filter_to_target,
     latest_version,
-    pipeline_counters,
     semi_join_valid,
 )
 from casewatch.plans import adapters as A
-from casewatch.plans.pipeline import preprocess, stage
+from casewatch.plans.pipeline import ensure_checkpoint_dir, preprocess, stage
+from casewatch.sources.case_store import CaseStore
+from casewatch.sources.quarantine import parse_csv, parse_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +92,23 @@ def q_key_violations(spark, sf):
     return df.groupBy("safetyreportid").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+# -- S1: lines into rows and violations --------------------------------------------
+
+def _both_outputs(scan):
+    return scan.rows.unionByName(scan.violations, allowMissingColumns=True)
+
+
+def q_csv_quarantine(spark, sf):
+    return _both_outputs(parse_csv(A.csv_lines(spark, sf), required=A.LINE_COLUMNS))
+
+
+def q_json_quarantine(spark, sf):
+    """Twin of the rows only: a cut-off line is compared by its reason."""
+    scan = parse_json(A.json_lines(spark, sf), required=A.LINE_COLUMNS[:2], columns=[*A.LINE_COLUMNS, "codes", "nested"])
+    counted = scan.violations.groupBy("source_file", "reason").agg(F.count(F.lit(1)).alias("n_lines"))
+    return scan.rows.unionByName(counted, allowMissingColumns=True)
+
+
 # -- D: row sets ----------------------------------------------------------------
 
 def q_latest_version(spark, sf):
@@ -96,6 +116,17 @@ def q_latest_version(spark, sf):
     return latest_version(df, tiebreak=["o_orderkey"])
 
 
+def q_case_store_merge(spark, sf):
+    """S2 + D1: two deliveries merged into stored cases, one after the other."""
+    df = coerce_numeric(clean_columns(A.versioned_reports(spark, sf)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/case-store-{uuid.uuid4().hex}"
+    store = CaseStore(spark, path, df.schema, tiebreak=["o_orderkey"])
+    early = F.coalesce(F.col("report_date") < "1996-01-01", F.lit(False))
+    store.merge(df.where(early))
+    store.merge(df.where(~early))
+    return store.cases()
+
+
 def _retained(spark, sf):
     clean = coerce_numeric(clean_columns(A.raw_reports(spark, sf)))
     return filter_to_target(latest_version(clean), pattern=A.TARGET_PATTERN)
@@ -129,9 +160,10 @@ def q_drug_explode_filter(spark, sf):
 
 
 def q_pipeline_counters(spark, sf):
-    raw = A.raw_reports(spark, sf)
-    t = preprocess(raw, WIDGET, staged=True)  # four counters read the version pick
-    return pipeline_counters(raw, t.latest, t.retained, t.reactions, t.drugs, pattern=A.TARGET_PATTERN)
+    counters = RunCounters()  # those of the raw table come from the write of the version pick
+    t = preprocess(A.raw_reports(spark, sf), WIDGET, staged=True, counters=counters)
+    tables = {"cases_retained": t.retained, "reaction_records": t.reactions, "target_drug_rows": t.drugs}
+    return counters.table(spark).unionByName(row_counts(tables))
 
 
 # -- A: aggregates ----------------------------------------------------------------
@@ -275,7 +307,10 @@ QUERIES: dict[str, Query] = {
     "parse_report_date": q_parse_report_date,
     "age_normalize": q_age_normalize,
     "key_violations": q_key_violations,
+    "csv_quarantine": q_csv_quarantine,
+    "json_quarantine": q_json_quarantine,
     "latest_version": q_latest_version,
+    "case_store_merge": q_case_store_merge,
     "target_regex_filter": q_target_regex_filter,
     "semi_join_valid_cases": q_semi_join_valid_cases,
     "reaction_explode": q_reaction_explode,
@@ -307,7 +342,7 @@ QUERIES: dict[str, Query] = {
 
 # -- F: grounding checks over text ---------------------------------------------
 
-from casewatch.config import FLAGGED_PHRASES  # noqa: E402
+from casewatch.config import FLAGGED_PHRASES, WHOLE_NUMBER_PATTERN  # noqa: E402
 from casewatch.operators import grounding as G  # noqa: E402
 
 # The fixed phrase list plus licence phrases that do occur in the documents.
@@ -337,6 +372,10 @@ def q_text_numbers(spark, sf):
     return _doc_numbers(spark, sf)
 
 
+def q_text_numbers_whole(spark, sf):
+    return G.text_numbers(_documents(spark, sf), ["doc_id", "lang"], pattern=WHOLE_NUMBER_PATTERN)
+
+
 def q_evidence_numbers(spark, sf):
     return G.evidence_numbers_from_text(_page_evidence(spark, sf), ["lang"], "html")
 
@@ -357,6 +396,7 @@ def q_section_validation(spark, sf):
 QUERIES.update(
     {
         "text_numbers": q_text_numbers,
+        "text_numbers_whole": q_text_numbers_whole,
         "evidence_numbers": q_evidence_numbers,
         "unsupported_numbers": q_unsupported_numbers,
         "claim_phrases": q_claim_phrases,
@@ -367,6 +407,7 @@ QUERIES.update(
 
 # -- A19 / E: evidence document, sections, prompts -------------------------------
 
+from casewatch.operators import documents as D  # noqa: E402
 from casewatch.operators import evidence as EV  # noqa: E402
 
 GROUP_BY = ["country"]
@@ -397,7 +438,27 @@ def q_evidence_json(spark, sf):
     return EV.evidence_json(_evidence(spark, sf), GROUP_BY)
 
 
-QUERIES.update({"evidence_facts": q_evidence_facts, "evidence_json": q_evidence_json})
+def q_document_numbers(spark, sf):
+    """F3 on evidence documents read as text, their shape unknown."""
+    docs = EV.evidence_json(_evidence(spark, sf), GROUP_BY)
+    leaves, _ = D.document_leaves(docs, GROUP_BY, "evidence_json")
+    return G.evidence_numbers_from_facts(leaves, GROUP_BY)
+
+
+def q_document_leaves(spark, sf):
+    """Leaves and violations of order documents of four shapes."""
+    leaves, bad = D.document_leaves(A.order_documents(spark, sf), ["o_orderkey"])
+    return leaves.unionByName(bad.select("o_orderkey", "reason"), allowMissingColumns=True)
+
+
+QUERIES.update(
+    {
+        "evidence_facts": q_evidence_facts,
+        "evidence_json": q_evidence_json,
+        "document_numbers": q_document_numbers,
+        "document_leaves": q_document_leaves,
+    }
+)
 
 
 from casewatch.operators import report as R  # noqa: E402
@@ -420,6 +481,15 @@ def q_section_prompt(spark, sf):
     return S.section_records(_evidence(spark, sf), GROUP_BY).select(*GROUP_BY, "section_ord", "report_section", "prompt")
 
 
+def q_prompt_dispatch(spark, sf):
+    """E5: every customer asks for a section of its country's report."""
+    asked = A.prompt_requests(spark, sf)
+    records = S.section_records(_evidence(spark, sf), GROUP_BY)
+    prompts, bad = S.dispatch_prompts(asked, records, GROUP_BY)
+    prompts = prompts.select("c_custkey", "country", "report_section", F.md5("prompt").alias("prompt_md5"))
+    return prompts.unionByName(bad.select("c_custkey", "country", "violation"), allowMissingColumns=True)
+
+
 def q_fallback_text(spark, sf):
     return S.section_records(_evidence(spark, sf), GROUP_BY).select(*GROUP_BY, "report_section", "text")
 
@@ -438,6 +508,11 @@ def q_report_document(spark, sf):
     return R.report_document(ev, validated, GROUP_BY)
 
 
+def q_limitations_forms(spark, sf):
+    """G4 on limitations from outside: lists, objects, empty ones."""
+    return A.limitation_texts(spark, sf).select("o_orderkey", R.limitations_text_json(F.col("limitations")).alias("body"))
+
+
 def q_evidence_facts_null_group(spark, sf):
     return EV.evidence_facts(_evidence(spark, sf, nullable=True), GROUP_BY)
 
@@ -453,6 +528,8 @@ QUERIES.update(
         "report_document_null_group": q_report_document_null_group,
         "section_evidence": q_section_evidence,
         "section_prompt": q_section_prompt,
+        "prompt_dispatch": q_prompt_dispatch,
+        "limitations_forms": q_limitations_forms,
         "fallback_text": q_fallback_text,
         "generation_audit": q_generation_audit,
         "report_sections": q_report_sections,

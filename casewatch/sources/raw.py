@@ -37,18 +37,14 @@ def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_RAW_COLUMN
     return df
 
 
-def _sentinels_to_null(df: DataFrame, sentinels: Iterable[str]) -> DataFrame:
+def sentinels_to_null(df: DataFrame, sentinels: Iterable[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Markers of a missing value become null, in ``columns`` (default: all)."""
     values = list(sentinels)
     if not values:
         return df
-    return df.select(
-        *[
-            F.when(F.col(f"`{c}`").isin(values), F.lit(None).cast("string"))
-            .otherwise(F.col(f"`{c}`"))
-            .alias(c)
-            for c in df.columns
-        ]
-    )
+    held = df.columns if columns is None else columns
+    missing = lambda c: F.when(F.col(f"`{c}`").isin(values), F.lit(None).cast("string"))
+    return df.select(*[missing(c).otherwise(F.col(f"`{c}`")).alias(c) if c in held else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_raw(
@@ -62,7 +58,8 @@ def read_raw(
     """Load the wide case table with every column as string.
 
     CSV/JSON are read without inference; Parquet/ORC columns are cast to
-    string. ``multiline`` reads CSV cells and JSON documents that hold line
+    string. A JSON line that is no object fails the job (``read_raw_checked``
+    sets such lines aside instead). ``multiline`` reads CSV cells and JSON documents that hold line
     breaks, one task a file; without it files are split. A missing path raises Spark's PATH_NOT_FOUND naming the path.
     """
     if fmt == "csv":
@@ -73,11 +70,16 @@ def read_raw(
             .option("escape", '"')
             .csv(path)
         )
+    elif fmt == "json" and not multiline:
+        from casewatch.sources.quarantine import parse_json, text_lines
+
+        # a map of names to text: no schema is inferred
+        df = parse_json(text_lines(spark, path), required, strict=True).rows.drop("source_file")
     elif fmt == "json":
-        df = spark.read.option("primitivesAsString", "true").option("multiLine", str(multiline).lower()).json(path)
+        df = spark.read.option("primitivesAsString", "true").option("multiLine", "true").json(path)
     else:
         df = spark.read.format(fmt).load(path)
     df = normalize_headers(df)
     df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    df = _sentinels_to_null(df, null_sentinels)
+    df = sentinels_to_null(df, null_sentinels)
     return require_columns(df, required)

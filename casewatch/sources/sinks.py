@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_tables(tables: dict[str, DataFrame], out_dir: str, by: Sequence[str] = ()) -> dict[str, str]:
@@ -39,12 +39,21 @@ def write_evidence_json(evidence_json: DataFrame, path: str, by: Sequence[str] =
     w.text(path)
 
 
-def read_evidence_json(spark: SparkSession, path: str, schema: StructType, pretty: bool = False) -> DataFrame:
-    """Parse evidence documents, one a line, or one a file in any layout
-    with ``pretty``; anything but an object fails the job. Folders that S4 made
-    per group give the group columns back."""
-    raw = spark.read.text(path, wholetext=pretty)
-    keys = [c for c in raw.columns if c != "value"]
+def read_evidence_text(spark: SparkSession, path: str, by: StructType | str = "", pretty: bool = False) -> DataFrame:
+    """The documents as text (column ``value``), one a line, or one a file
+    in any layout with ``pretty``. ``by`` declares the group columns of folders
+    that S4 made per group; their types are never guessed ("007" stays text)."""
+    groups = by if isinstance(by, StructType) else StructType.fromDDL(by) if by else StructType()
+    schema = StructType([StructField("value", StringType()), *groups.fields])
+    return spark.read.schema(schema).text(path, wholetext=pretty).select(*groups.names, "value")
+
+
+def read_evidence_json(
+    spark: SparkSession, path: str, schema: StructType, by: StructType | str = "", pretty: bool = False
+) -> DataFrame:
+    """Documents of a known shape, parsed; anything but an object fails the job."""
+    raw = read_evidence_text(spark, path, by, pretty)
+    keys = [F.col(f"`{c}`") for c in raw.columns if c != "value"]
     return raw.select(*keys, F.from_json("value", schema, {"mode": "FAILFAST"}).alias("evidence"))
 
 
@@ -56,6 +65,24 @@ def write_report(report: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     w.text(path)
 
 
+def write_counters(counters: DataFrame, path: str) -> None:
+    """Run counters (a handful of rows) as JSON lines."""
+    counters.write.mode("overwrite").json(path)
+
+
 def write_audit(audit: DataFrame, path: str) -> None:
-    """Every section record as JSON lines; the evidence is an object."""
-    audit.withColumn("evidence", F.parse_json("evidence")).write.mode("overwrite").json(path)
+    """Every section record as one JSON line. The evidence stands in it as
+    the text it has, an object with its keys in evidence order and its numbers as
+    they were written."""
+    opts = {"ignoreNullFields": "false"}
+    at = audit.columns.index("evidence")
+    before, after = audit.columns[:at], audit.columns[at + 1 :]
+
+    def fields(names: Sequence[str]) -> Column:
+        inside = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]), opts)
+        return F.substring(inside, F.lit(2), F.length(inside) - 2)
+
+    evidence = F.concat(F.lit('"evidence":'), F.coalesce("evidence", F.lit("null")))
+    parts = [*([fields(before)] if before else []), evidence, *([fields(after)] if after else [])]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    audit.select(line.alias("value")).write.mode("overwrite").text(path)

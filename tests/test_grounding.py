@@ -106,7 +106,7 @@ def test_prompt_keeps_supplied_counts(spark):
 
 
 def test_unknown_section_raises(spark):
-    with pytest.raises(ValueError, match="Supported sections"):
+    with pytest.raises(ValueError, match="choose one of: narrative_summary"):
         S.get_prompt(F.col("evidence"), "appendix")
 
 
