@@ -31,7 +31,9 @@ class CaseStore:
     ``schema`` gives the columns; ``version`` and ``tiebreak`` decide as in
     ``latest_version``. A later session opens the same path with the same
     arguments. ``buckets`` defaults to the session's shuffle partitions, for which
-    a merge needs no other exchange than the version pick of the delivery."""
+    a merge needs no other exchange than the version pick of the delivery.
+    ``keep`` is a SQL condition on the columns; cases whose newest row does not
+    meet it (expired ones, say) leave the store with the next merge."""
 
     def __init__(
         self,
@@ -42,11 +44,13 @@ class CaseStore:
         version: str = "safetyreportversion",
         tiebreak: Sequence[str] = (),
         buckets: int | None = None,
+        keep: str | None = None,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.key, self.version, self.tiebreak = key, version, list(tiebreak)
         self.shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.buckets = buckets or self.shuffles
+        self.keep = keep
         self._tables: dict[int, str] = {}
 
     # -- generations ------------------------------------------------------------
@@ -113,14 +117,23 @@ class CaseStore:
         one = nameless.agg(F.max("old").alias("old"), F.max("new").alias("new")).where("old IS NOT NULL OR new IS NOT NULL")
         return both.unionByName(one.select(F.lit(None).cast(self.schema[self.key].dataType).alias(self.key), "old", "new"))
 
+    def _resolved(self, delivery: DataFrame) -> DataFrame:
+        """``(key, old, new)``, ``new`` the row that a merge leaves, if any."""
+        both = self.compared(delivery).withColumn("new", F.greatest("old", "new"))  # a null loses
+        if self.keep is None:
+            return both
+        names = [c for c in self.schema.names if c != self.key]
+        flat = both.select("old", "new", _q(self.key), *[F.col(f"new.`{c}`").alias(c) for c in names])
+        stays = F.coalesce(F.expr(self.keep), F.lit(False))
+        return flat.select(_q(self.key), "old", F.when(stays, F.col("new")).alias("new"))
+
     def merge(self, delivery: DataFrame) -> int:
         """Take in a delivery (any number of versions per case) and return the
         new generation's number."""
         held = self.generations()
         generation = held[-1] + 1 if held else 0
-        winner = F.greatest("old", "new").alias("w")  # a null loses
-        rows = self.compared(delivery).select(_q(self.key), winner)
-        rows = rows.select(*[_q(self.key) if c == self.key else F.col(f"w.`{c}`").alias(c) for c in self.schema.names])
+        rows = self._resolved(delivery).where("new IS NOT NULL")
+        rows = rows.select(*[_q(c) if c == self.key else F.col(f"new.`{c}`").alias(c) for c in self.schema.names])
         name = f"case_store_{uuid.uuid4().hex}"
         (
             rows.write.mode("overwrite")
@@ -135,10 +148,9 @@ class CaseStore:
 
     def changes(self, delivery: DataFrame) -> DataFrame:
         """``(key, old, new)`` of the cases that a merge of ``delivery`` would
-        change, ``old`` null for new cases: what counts over the stored cases have
-        to be corrected by."""
-        held = self.compared(delivery)
-        return held.where(F.col("new").isNotNull() & (F.col("old").isNull() | (F.col("new") > F.col("old"))))
+        change: ``old`` is null for new cases, ``new`` for cases that leave. Counts
+        over the stored cases have to be corrected by them."""
+        return self._resolved(delivery).where(~F.col("old").eqNullSafe(F.col("new")))
 
 
 def corrected_counts(counts: DataFrame, changes: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -82,3 +82,45 @@ def test_stored_cases_are_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     stored = [part for part in plan.split("SortMergeJoin")[1].split("Exchange")][0]
     assert "SortMergeJoin" in plan and "Bucketed: true" in stored and "Exchange" not in stored
+
+
+def test_expired_cases_leave(spark):
+    path = tempfile.mkdtemp(prefix="casewatch-store-", dir="/tmp") + "/cases"
+    store = opened(spark, path, keep="note <> 'old'")
+    first = spark.createDataFrame([("x", 1, 1.0, "a"), ("x", 2, 1.0, "old"), ("y", None, 1.0, "b"), ("z", 3, 1.0, None)], SCHEMA)
+    assert sorted((r.safetyreportid or 0, r.old is None, r.new is None) for r in store.changes(first).collect()) == [(0, True, False), (1, True, False)]
+    store.merge(first)
+    second = spark.createDataFrame([("x", 1, 2.0, "old"), ("y", None, 0.5, "old")], SCHEMA)
+    changed = store.changes(second).collect()
+    assert [(r.safetyreportid, r.old.note, r.new) for r in changed] == [(1, "a", None)]
+    store.merge(second)
+    assert rows_of(store.cases()) == [(None, 1.0, "y", "b")]
+
+
+def test_stream_of_corrected_counts(spark):
+    from casewatch.streaming import CorrectedCounts, start_corrected_counts
+
+    base = tempfile.mkdtemp(prefix="casewatch-stream-", dir="/tmp")
+    store = opened(spark, f"{base}/cases", keep="safetyreportversion < 5")
+    counts = CorrectedCounts(store, f"{base}/counts", ["country"])
+    assert counts.counts().count() == 0
+    made(spark, 0).limit(0).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
+    query = start_corrected_counts(stream, counts, f"{base}/checkpoint")
+    state = {}  # a plain model: newest of store and delivery, gone once its version is 5
+    try:
+        for i in range(3):
+            delivery = made(spark, 10 + i, 120)
+            delivery.write.mode("append").parquet(f"{base}/in")
+            query.processAllAvailable()
+            for r in delivery.collect():
+                row = (r.safetyreportversion, r.country is not None, r.country or "", r.note)
+                state[r.safetyreportid] = max(state.get(r.safetyreportid, row), row)
+            state = {k: row for k, row in state.items() if row[0] < 5}
+            if i == 1:
+                counts.take(delivery)  # a batch that runs again changes nothing
+    finally:
+        query.stop()
+    want = [(k, v, c if known else None, note) for k, (v, known, c, note) in state.items()]
+    assert rows_of(store.cases()) == sorted(want, key=repr)
+    assert {r.country: r.n for r in counts.counts().collect()} == Counter(c for _, _, c, _ in want)
