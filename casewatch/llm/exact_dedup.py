@@ -6,13 +6,15 @@ Two texts are equal when they are identical once every character of
 
 Index columns: digest (binary, SHA-256 of the normalised text), keep_id (the
 row that stays), points (code points of its original text), group_size (rows
-of the batch that brought the digest in). The table is bucketed and sorted by
+of the batch that brought the digest in), batch (that batch). The table is bucketed and sorted by
 digest, so an anti-join reads it bucket by bucket: the index itself is never
 shuffled, however large it has grown; only the new batch's digests are.
 
 Defined results: null or empty texts form one group like any other text;
-repeated rows are separate members of their group; a null doc_id stays only
-when no member has an id; an empty batch appends nothing; other columns of
+repeated rows are separate members of their group, and of rows that share the
+longest text and the smallest id exactly one is kept; a null doc_id stays only
+when no member has an id; in a later batch all copies of a known text are dropped
+and group_size counts the rows of that batch; an empty batch appends nothing; other columns of
 the input never reach the result.
 """
 
@@ -45,7 +47,7 @@ class DigestIndex:
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, points INT, group_size BIGINT) "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, points INT, group_size BIGINT, batch STRING) "
             f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
         )
 
@@ -53,23 +55,37 @@ class DigestIndex:
         return self.spark.table(self.name)
 
     def digests(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, points, digest of each row: the only columns that any
-        later step moves."""
+        """doc_id, points, digest and a row number of each row: the only
+        columns that any later step moves."""
         text = F.coalesce(F.col(text_col), F.lit(""))
-        return df.select(F.col(id_col).alias("doc_id"), F.length(text).alias("points"), digest(text).alias("digest"))
+        return df.select(
+            F.col(id_col).alias("doc_id"),
+            F.length(text).alias("points"),
+            digest(text).alias("digest"),
+            F.monotonically_increasing_id().alias("row_no"),
+        )
 
     def groups(self, digests: DataFrame) -> DataFrame:
         """One row a digest of a batch: longest original text, then smallest
-        id; pre-aggregated before the shuffle, so a text with a third of all
-        copies costs one row a task."""
+        id, then any one row; pre-aggregated before the shuffle, so a text with
+        a third of all copies costs one row a task."""
         # ~id is decreasing in id and cannot overflow; a null id sorts lowest
-        best = F.max(F.struct("points", F.bitwise_not("doc_id").alias("inv")))
+        best = F.max(F.struct("points", F.bitwise_not("doc_id").alias("inv"), "row_no"))
         grouped = digests.groupBy("digest").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
-        return grouped.select("digest", F.bitwise_not("b.inv").alias("keep_id"), F.col("b.points").alias("points"), "group_size")
+        return grouped.select(
+            "digest",
+            F.bitwise_not("b.inv").alias("keep_id"),
+            F.col("b.points").alias("points"),
+            F.col("b.row_no").alias("keep_row"),
+            "group_size",
+        )
 
-    def append(self, groups: DataFrame) -> None:
-        """Drop the digests that the index has, and append the rest."""
+    def append(self, groups: DataFrame) -> str:
+        """Drop the digests that the index has, append the rest and return the
+        name of the batch."""
+        batch = uuid.uuid4().hex
         fresh = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+        fresh = fresh.select("digest", "keep_id", "points", "group_size", F.lit(batch).alias("batch"))
         (
             fresh.repartition(self.buckets, "digest")
             .write.mode("append")
@@ -78,17 +94,23 @@ class DigestIndex:
             .format("parquet")
             .saveAsTable(self.name)
         )
+        return batch
 
-    def resolve(self, digests: DataFrame, groups: DataFrame) -> DataFrame:
+    def resolve(self, digests: DataFrame, groups: DataFrame, batch: str) -> DataFrame:
         """Every row of a batch with the row that stays for its text, from the
-        index. Digests with more than 1 / ``HOT`` of the batch's rows are at
-        most HOT; their index rows are broadcast. The others are joined by
-        merge, where only (id, points, digest) is shuffled."""
+        index, and whether it is that row. Digests with more than 1 / ``HOT`` of
+        the batch's rows are at most HOT; their index rows are broadcast. The
+        others are joined by merge, where only (id, row number, digest) is shuffled."""
         n = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
         hot = F.broadcast(groups.where(F.col("group_size") > n / HOT).select("digest"))
-        index = self.table().select("digest", "keep_id", "group_size")
-        of_hot = digests.join(F.broadcast(index.join(hot, "digest", "left_semi")), "digest")
-        return digests.join(hot, "digest", "left_anti").join(index, "digest").unionByName(of_hot)
+        first = F.when(F.col("batch") == batch, F.col("keep_row")).alias("first_row")
+        index = self.table().select("digest", F.col("keep_id").alias("stays"), "batch")
+        known = groups.select("digest", "keep_row", "group_size").join(index.hint("merge"), "digest")
+        known = known.select("digest", F.col("stays").alias("keep_id"), "group_size", first)
+        rows = digests.select("doc_id", "digest", "row_no")
+        of_hot = rows.join(F.broadcast(known.join(hot, "digest", "left_semi")), "digest")
+        found = rows.join(hot, "digest", "left_anti").join(known, "digest").unionByName(of_hot)
+        return found.withColumn("kept", F.coalesce(F.col("row_no") == F.col("first_row"), F.lit(False)))
 
 
 def exact_dedup(df: DataFrame, index: DigestIndex, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,12 +120,12 @@ def exact_dedup(df: DataFrame, index: DigestIndex, work: Workspace, id_col: str
     group_size, kept, text_sha256."""
     rows = work.put(index.digests(df, id_col, text_col), "digests")
     groups = work.put(index.groups(rows), "groups")
-    index.append(groups)
-    return index.resolve(rows, groups).select(
+    batch = index.append(groups)
+    return index.resolve(rows, groups, batch).select(
         "doc_id",
         "keep_id",
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
@@ -122,8 +144,9 @@ WITH d AS (
          sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
   FROM documents
 ), g AS (
-  SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size
+  SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         row_number() OVER w AS place
   FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id ASC NULLS LAST)
 )
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
 """

@@ -45,6 +45,29 @@ def test_exact_dedup_odd_rows(spark, odd_docs, work):
     assert {r.keep_id for r in got if r.doc_id in (1, 2)} == {1}
 
 
+def test_exact_dedup_keeps_one_row_of_a_group(spark, work):
+    """By the contract: most code points, then smallest id, then any one row."""
+    rows = [(5, "a b"), (5, "ab"), (6, "zz"), (6, "zz"), (7, "zz"), (None, "y"), (None, "y "), (8, None), (8, ""), (8, None)]
+    rows += [(i, "hot text") for i in range(2000)] + [(0, "hot text")] * 500
+    w = work()
+    index = exact_dedup.DigestIndex(spark, f"{w.root}/index", 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = exact_dedup.exact_dedup(df, index, w)
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups["".join((text or "").split())].append((-len(text or ""), doc_id is None, doc_id or 0))
+    want = []
+    for norm, members in groups.items():
+        first, *others = sorted(members)
+        keep = None if first[1] else first[2]
+        sha = hashlib.sha256(norm.encode()).hexdigest()
+        want += [(None if m[1] else m[2], keep, len(members), m is first, sha) for m in (first, *others)]
+    assert rows_of(got, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == sorted(want, key=repr)
+    later = exact_dedup.exact_dedup(df, index, work())
+    assert later.where("kept").count() == 0
+    assert {(r.group_size, r.keep_id) for r in later.where("doc_id = 6").collect()} == {(3, 6), (2500, 0)}
+
+
 def test_exact_dedup_appends_and_reopens(spark, work):
     w = work()
     first = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id long, text string")
