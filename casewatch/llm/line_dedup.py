@@ -5,8 +5,9 @@ A document is the sequence of its lines that are not blank; two lines are
 equal if they are identical once white space at their ends is cut. A run of
 consecutive lines with ``MIN_WORDS`` words or more that occurs more than once
 in the corpus (in another document or in the same one) is kept at its first
-place, in the order of doc_id, and deleted at all later places. Runs never
-cross documents.
+place, in the order of doc_id, and deleted at all later places; a later copy that
+overlaps the first one is deleted from the end of the first one on, so one copy is
+always left. Runs never cross documents.
 
 Suffixes are ranked by their first line, then by their first 2, 4, 8, ...
 lines: the rank of 2n lines is the place of the pair (rank of n lines here,
@@ -20,7 +21,7 @@ A maximal repeated run of MIN_WORDS words or more is the union of its shortest
 pieces with that many words, those that start at each of its lines and those
 that end there, and each piece repeats where the run does. So only these
 pieces are named; a piece whose interval has an earlier member is deleted, and
-the union of deleted pieces is exactly the union of all later copies. Every
+the union of deleted pieces is the union of all later copies. Every
 line has a word, so pieces have at most MIN_WORDS lines and doubling ends after
 log2(MIN_WORDS) rounds, however long the runs are.
 
@@ -131,7 +132,11 @@ def _rank(keys: DataFrame, work: Workspace, tag: str) -> DataFrame:
     repeated = keys.groupBy("l", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(_order()).alias("first")).where("n > 1")
     ranked = work.put(repeated.orderBy("l", "a", "b").withColumn("name", F.monotonically_increasing_id()), f"ranks{tag}")
     joined = keys.join(ranked.drop("n"), ["l", "a", "b"])
-    return joined.select("rid", "doc_id", "text_key", "s", "l", "piece", "name", (_order() > F.col("first")).alias("later"))
+    at_home = F.col("first.d").eqNullSafe(F.col("doc_id")) & (F.col("first.t") == F.col("text_key"))
+    # in its own document the first copy stays whole: a copy that overlaps it goes from its end on
+    cut_from = F.when(at_home, F.greatest("s", F.col("first.s") + F.col("l"))).otherwise(F.col("s"))
+    later = (_order() > F.col("first")) & (cut_from < F.col("s") + F.col("l"))
+    return joined.select("rid", "doc_id", "text_key", "s", "l", "piece", "name", later.alias("later"), cut_from.alias("cut_from"))
 
 
 def repeated_lines(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
@@ -147,7 +152,7 @@ def repeated_lines(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_
     cuts, level = None, 0
     while True:
         ranked = work.put(_rank(keys, work, str(level)), f"ranked{level}")
-        cut = ranked.where("piece and later").select("rid", "s", "l")
+        cut = ranked.where("piece and later").select("rid", F.col("cut_from").alias("s"), (F.col("s") + F.col("l") - F.col("cut_from")).alias("l"))
         cuts = cut if cuts is None else cuts.unionByName(cut)
         if 1 << level >= least:
             break

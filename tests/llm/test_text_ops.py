@@ -187,14 +187,22 @@ def brute_removed(docs, least):
         for a in range(len(s)):
             for b in range(a + 1, len(s) + 1):
                 run = tuple(x[1] for x in s[a:b])
-                if run in first:
-                    if sum(x[2] for x in s[a:b]) >= least:
-                        out[d].update(x[0] for x in s[a:b])
-                else:
-                    first[run] = True
+                if run not in first:
+                    first[run] = (d, b)
+                elif sum(x[2] for x in s[a:b]) >= least:
+                    home, end = first[run]
+                    out[d].update(x[0] for x in s[max(a, end) if home == d else a : b])
     return {d: sorted(x) for (d, _), x in zip(sorted(docs), out, strict=True)}
 
 
+def test_line_dedup_leaves_the_first_of_overlapping_copies(spark, work):
+    line = "one two three four five six seven eight nine"
+    docs = [(1, "\n".join([line] * 60)), (2, "\n".join([line] * 7)), (None, "\n".join([line] * 6))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in line_dedup.repeated_lines(df, work()).collect()}
+    assert got == {1: list(range(6, 60)), 2: list(range(7)), None: list(range(6))}
+
+
 @pytest.mark.parametrize("least", [1, 7, 12])
 def test_line_dedup_brute_force(spark, work, least):
     rng = random.Random(least)
