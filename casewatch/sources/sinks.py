@@ -39,17 +39,21 @@ def write_evidence_json(evidence_json: DataFrame, path: str, by: Sequence[str] =
     w.text(path)
 
 
-def read_evidence_text(spark: SparkSession, path: str, by: StructType | str = "", pretty: bool = False) -> DataFrame:
+def read_evidence_text(spark: SparkSession, path: str, by: StructType | str | None = None, pretty: bool = False) -> DataFrame:
     """The documents as text (column ``value``), one a line, or one a file
     in any layout with ``pretty``. ``by`` declares the group columns of folders
-    that S4 made per group; their types are never guessed ("007" stays text)."""
-    groups = by if isinstance(by, StructType) else StructType.fromDDL(by) if by else StructType()
+    that S4 made per group; without it they come back as text, as their folders
+    are named. Their types are never guessed ("007" stays what it is)."""
+    if by is None:
+        named = [c for c in spark.read.text(path, wholetext=pretty).columns if c != "value"]
+        by = StructType([StructField(c, StringType()) for c in named])
+    groups = by if isinstance(by, StructType) else StructType.fromDDL(by)
     schema = StructType([StructField("value", StringType()), *groups.fields])
     return spark.read.schema(schema).text(path, wholetext=pretty).select(*groups.names, "value")
 
 
 def read_evidence_json(
-    spark: SparkSession, path: str, schema: StructType, by: StructType | str = "", pretty: bool = False
+    spark: SparkSession, path: str, schema: StructType, by: StructType | str | None = None, pretty: bool = False
 ) -> DataFrame:
     """Documents of a known shape, parsed; anything but an object fails the job."""
     raw = read_evidence_text(spark, path, by, pretty)

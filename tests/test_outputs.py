@@ -81,8 +81,9 @@ def test_group_columns_keep_their_text(spark):
     out = folder() + "/evidence"
     write_evidence_json(docs, out, ["product", "region"])
     by = "product string, region string"
-    got = {(r.product, r.region): r.value for r in read_evidence_text(spark, out, by).collect()}
-    assert got == {("007", "1.0"): '{"a":1}', (None, "x"): '{"a":2}'}
+    for declared in (by, None):
+        got = {(r.product, r.region): r.value for r in read_evidence_text(spark, out, declared).collect()}
+        assert got == {("007", "1.0"): '{"a":1}', (None, "x"): '{"a":2}'}
     schema = spark.range(0).select(F.struct(F.lit(1).cast("long").alias("a")).alias("e")).schema["e"].dataType
     read = read_evidence_json(spark, out, schema, by)
     assert {(r.product, r.evidence.a) for r in read.collect()} == {("007", 1), (None, 2)}
