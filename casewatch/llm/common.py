@@ -10,7 +10,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,9 +51,11 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
+        """``rows_per_file`` (0: any) makes many small files of long rows, and so
+        many small tasks of a step that reads them."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _delete(self, path: str) -> None:
@@ -67,6 +70,19 @@ class Workspace:
         self._delete(self.root)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Batches of at most ``n`` rows for the Python steps of the jobs that run
+    inside, so that a task holds little of tables with long rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def gapless_index(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, n_rows: int) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... within each group, in an order fixed by the
     hash of ``order``.

@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import Workspace, table
+from casewatch.llm.common import Workspace, arrow_rows, table
 from casewatch.llm.components import components
 from casewatch.llm.hashing import ODD, filter_of, mix, passes, u64
 
@@ -64,9 +64,11 @@ PERCENT = 85
 HEAVY = 64
 #: Deals of the domain; the last one keeps empty signatures.
 DEALS = 12
-#: Hashes that a task hands on at a time, and documents whose signatures it filters at a time.
+#: Hashes that a task hands on at a time, documents that it is handed at a time, and
+#: documents in a file of signatures.
 _FLUSH = 1 << 18
-_SLICE = 500
+_ROWS = 500
+_FILE_ROWS = 2000
 _SKETCH = ["s0", "s1", "s2", "s3"]
 
 
@@ -182,12 +184,11 @@ def shared_rows(sets: DataFrame, shared: np.ndarray) -> DataFrame:
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), _SLICE):
-                part = batch.iloc[at : at + _SLICE]
-                sigs = np.concatenate([np.zeros(0, np.int64), *part["sigs"]])
-                held = np.flatnonzero(passes(sent.value, sigs.view(np.uint64)))
-                rows = np.repeat(part[cols].to_numpy(np.int64), [len(x) for x in part["sigs"]], axis=0)[held]
-                yield pd.DataFrame(rows, columns=cols).assign(sig=sigs[held])
+            per_set = [len(x) for x in batch["sigs"]]
+            sigs = np.concatenate([np.zeros(0, np.int64), *batch["sigs"]])
+            held = np.flatnonzero(passes(sent.value, sigs.view(np.uint64)))
+            rows = np.repeat(batch[cols].to_numpy(np.int64), per_set, axis=0)[held]
+            yield pd.DataFrame(rows, columns=cols).assign(sig=sigs[held])
 
     return sets.select(*cols, "sigs").mapInPandas(pick, ", ".join(f"{c} long" for c in [*cols, "sig"]))
 
@@ -275,8 +276,13 @@ def jaccard_classes(
     heavy: int = HEAVY,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
+    with arrow_rows(df.sparkSession, _ROWS):
+        return _classes(df, work, id_col, text_col, percent, shingle, heavy)
+
+
+def _classes(df: DataFrame, work: Workspace, id_col: str, text_col: str, percent: int, shingle: int, heavy: int) -> DataFrame:
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    sets = work.put(signed_sets(df, id_col, text_col, percent, shingle), "sets")
+    sets = work.put(signed_sets(df, id_col, text_col, percent, shingle), "sets", rows_per_file=_FILE_ROWS)
     # two sums of one node differ with probability n^2 / 2^65: none in 10^8 sets, some 70 in 5 * 10^10
     seconds = sets.where("n > 0").groupBy("node").agg(F.min("second").alias("lo"), F.max("second").alias("hi"))
     clashes = frozenset(r["node"] for r in seconds.where("lo != hi").select("node").collect())

@@ -35,14 +35,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import Workspace, table
+from casewatch.llm.common import Workspace, arrow_rows, table
 from casewatch.llm.hashing import ODD, filter_of, mix, passes, u64
 
 MAX_WORDS = 4
@@ -54,33 +55,75 @@ COVERED = 80
 #: 40 % of the expected count of a phrase that is just frequent.
 SAMPLE = 4
 SAMPLE_LEAST = 3
-#: Hashes or phrases that a task holds before it hands on their counts.
-_FLUSH_HASHES = 1 << 20
-_FLUSH_PHRASES = 200_000
-#: A-Z become a-z, tab becomes blank, ends of pieces become line feeds.
-_FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c == 9 else 0x0A if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+#: Bytes of text that a task takes at a time, hashes and phrases that it holds
+#: before it hands on their counts.
+_CHUNK_BYTES = 1 << 20
+_FLUSH_HASHES = 1 << 18
+_FLUSH_PHRASES = 1 << 20
+#: Texts, and rows of many texts' hashes, that a task is handed at a time, and rows of
+#: hashes in a file.
+_TEXT_ROWS, _CUT_ROWS, _FILE_ROWS = 1000, 8, 4
+#: Stands between pieces; no byte of UTF-8.
+_MARK = b"\xff"
+#: A-Z become a-z, tab becomes blank, ends of pieces become marks.
+_FOLD = bytes(
+    c + 32 if 0x41 <= c <= 0x5A else 0x20 if c == 9 else 0xFF if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
+)
 _LENGTH_BITS = np.uint64(7)
 
 
-def pieces(text: bytes | None) -> list[list[bytes]]:
-    """The words of each piece that has any."""
-    found = (p.split(b" ") for p in (text or b"").translate(_FOLD).split(b"\n") if p)
-    return [w for w in ([x for x in p if x] for p in found) if w]
+def tokens(text: bytes | None) -> list[bytes]:
+    """The words of a text, with marks at ends of pieces and at its own end.
+    ``split`` splits at blanks: the other white space has become marks."""
+    return [*(text or b"").translate(_FOLD).replace(_MARK, b" \xff ").split(), _MARK]
 
 
-def salt(lang: str | None) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest("und" if lang is None else lang))
+def salt(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(lang))
 
 
 def _sized(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of runs of n words: the low bits hold n - 1; none is 0."""
     out = (h & ~_LENGTH_BITS) | np.uint64(n - 1)
-    return np.where(out == 0, np.uint64(8), out)
+    out[out == 0] = 8
+    return out
+
+
+def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+    """Hashes of the words of one language, 0 for marks."""
+    raw = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), np.uint64)
+    out = _sized(mix(raw ^ salt(lang)), 1)
+    out[raw == _MARK_HASH] = 0
+    return out
+
 
+_MARK_HASH = np.frombuffer(xxhash.xxh64_digest(_MARK), np.uint64)[0]
 
-def word_hashes(words: list[bytes], of_lang: np.uint64) -> np.ndarray:
-    raw = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    return _sized(mix(raw ^ of_lang), 1)
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """(language, words with marks, sample flag of each word) of about
+    ``_CHUNK_BYTES`` of texts of one language; ``batches``: text, lang and perhaps picked."""
+
+    def made(lang: str, rows: list[tuple[bytes | None, bool]]) -> tuple[str, list[bytes], np.ndarray]:
+        found = [tokens(text) for text, _ in rows]
+        flags = np.repeat(np.array([flag for _, flag in rows], bool), [len(f) for f in found])
+        return lang, [w for f in found for w in f], flags
+
+    waiting: dict[str, list[tuple[bytes | None, bool]]] = {}
+    size: Counter = Counter()
+    for batch in batches:
+        flags = batch.column("picked").to_pylist() if "picked" in batch.schema.names else [False] * len(batch)
+        for text, lang, flag in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), flags, strict=True):
+            lang = "und" if lang is None else lang
+            waiting.setdefault(lang, []).append((text, flag))
+            size[lang] += len(text or b"") + 1
+            if size[lang] >= _CHUNK_BYTES:
+                yield made(lang, waiting.pop(lang))
+                del size[lang]
+            elif sum(size.values()) >= 8 * _CHUNK_BYTES:
+                yield from (made(k, waiting.pop(k)) for k in list(waiting))
+                size.clear()
+    yield from (made(lang, rows) for lang, rows in waiting.items())
 
 
 def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -92,17 +135,14 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return _sized(mix(total), n)
 
 
-def cut_text(found: list[list[bytes]], h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Word hashes with one 0 at ends of pieces and at words that the filter
-    does not hold; words without a neighbour are left out."""
-    ends = np.cumsum([len(p) for p in found])
-    kept = np.where(passes(frequent, h), h, np.uint64(0))
-    out = np.insert(kept, ends[:-1], np.uint64(0)) if len(ends) > 1 else kept
+def cut_runs(h: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, mask of those to keep): 0 at marks and at words that the filter
+    does not hold. Kept are words with a neighbour and the first 0 behind each run."""
+    out = np.where(passes(frequent, h), h, np.uint64(0))
     held = np.concatenate(([False], out != 0, [False]))
     paired = held[1:-1] & (held[:-2] | held[2:])  # a neighbour on either side
-    out = np.where(paired, out, np.uint64(0))
-    end = ~paired & np.concatenate(([False], paired))[:-1]  # the first 0 behind a run
-    return out[paired | end]
+    end = ~paired & np.concatenate(([False], paired[:-1]))
+    return np.where(paired, out, np.uint64(0)), paired | end
 
 
 def counted_runs(h: np.ndarray, proposed: np.ndarray | None, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -119,79 +159,79 @@ def counted_runs(h: np.ndarray, proposed: np.ndarray | None, longest: int) -> It
             inside = inside & passes(proposed, runs)
 
 
+def _counted(values: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+
+
 def count_runs(texts: DataFrame, proposed: np.ndarray | None, earlier: np.ndarray | None, shortest: int, longest: int) -> DataFrame:
     """h, n: how often each run occurs that the proposals let in and the
     earlier ones did not."""
     sc = texts.sparkSession.sparkContext
     now, before = sc.broadcast(proposed), sc.broadcast(earlier)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def tally(held: list[np.ndarray]) -> pd.DataFrame:
-            h = np.concatenate([x for arr in held for x in (arr, np.zeros(1, np.uint64))])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tally(held: list[np.ndarray]) -> pa.RecordBatch:
+            h = np.concatenate(held)
             old = {} if before.value is None else {n: mask for n, _, mask in counted_runs(h, before.value, longest)}
-            found = [
-                runs[mask & ~old[n] if n in old else mask]
-                for n, runs, mask in counted_runs(h, now.value, longest)
-                if n >= shortest
-            ]
+            found = []
+            for n, runs, mask in counted_runs(h, now.value, longest):
+                if n >= shortest:
+                    found.append(runs[mask & ~old[n] if n in old else mask])
             values, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            return pd.DataFrame({"h": values.view(np.int64), "n": n.astype(np.int64)})
+            return _counted(values, n)
 
         held, size = [], 0
         for batch in batches:
-            for words in batch["words"]:
-                held.append(np.asarray(words, np.int64).view(np.uint64))
-                size += len(words)
-                if size >= _FLUSH_HASHES:
-                    yield tally(held)
-                    held, size = [], 0
+            held.append(batch.column("words").flatten().to_numpy().view(np.uint64))  # each row ends with 0
+            size += len(held[-1])
+            if size >= _FLUSH_HASHES:
+                yield tally(held)
+                held, size = [], 0
         if held:
             yield tally(held)
 
-    counts = texts.select("words").mapInPandas(count, "h long, n long")
+    counts = texts.select("words").mapInArrow(count, "h long, n long")
     return counts.groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(texts: DataFrame, least: int) -> DataFrame:
     """Hashes (h) of the words with ``least`` or more occurrences in a language."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def tally(held: list[np.ndarray]) -> pd.DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tally(held: list[np.ndarray]) -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"h": values.view(np.int64), "n": n.astype(np.int64)})
+            return _counted(values, n)
 
         held, size = [], 0
-        for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"], strict=True):
-                words = [w for p in pieces(text) for w in p]
-                held.append(word_hashes(words, salt(lang)))
-                size += len(words)
-                if size >= _FLUSH_HASHES:
-                    yield tally(held)
-                    held, size = [], 0
+        for lang, words, _ in chunks(batches):
+            h = word_hashes(words, lang)
+            held.append(h[h != 0])
+            size += len(words)
+            if size >= _FLUSH_HASHES:
+                yield tally(held)
+                held, size = [], 0
         if held:
             yield tally(held)
 
-    counts = texts.select("text", "lang").mapInPandas(count, "h long, n long")
+    counts = texts.select("text", "lang").mapInArrow(count, "h long, n long")
     return counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
 
 
 def cut_texts(texts: DataFrame, words: np.ndarray, sample: int) -> DataFrame:
-    """words (array of hashes, 0 between runs), picked (in the sample)."""
+    """words (array of hashes, each run of them ended by 0), picked (in the
+    sample): the texts of the sample and the others, in rows of many texts each."""
     sent = texts.sparkSession.sparkContext.broadcast(words)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text, lang, picked in zip(batch["text"], batch["lang"], batch["picked"], strict=True):
-                found = pieces(text)
-                if found:
-                    h = word_hashes([w for p in found for w in p], salt(lang))
-                    rows.append((cut_text(found, h, sent.value).view(np.int64), picked))
-            yield pd.DataFrame([r for r in rows if len(r[0])], columns=["words", "picked"])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, found, picked in chunks(batches):
+            h, kept = cut_runs(word_hashes(found, lang), sent.value)
+            rows = [(h[kept & (picked == flag)].view(np.int64), flag) for flag in (True, False)]
+            rows = [r for r in rows if len(r[0])]
+            words = pa.array([w for w, _ in rows], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([words, pa.array([flag for _, flag in rows], pa.bool_())], ["words", "picked"])
 
     picked = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0
-    return texts.withColumn("picked", picked).select("text", "lang", "picked").mapInPandas(cut, "words array<long>, picked boolean")
+    return texts.withColumn("picked", picked).select("text", "lang", "picked").mapInArrow(cut, "words array<long>, picked boolean")
 
 
 def count_phrases(texts: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
@@ -199,42 +239,47 @@ def count_phrases(texts: DataFrame, frequent: np.ndarray, longest: int) -> DataF
     holds; the phrase '' has the number of all words."""
     sent = texts.sparkSession.sparkContext.broadcast(frequent)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def handed(held: Counter) -> pd.DataFrame:
-            return pd.DataFrame([(*k, n) for k, n in held.items()], columns=["lang", "phrase", "n"])
-
-        held: Counter = Counter()
-        for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"], strict=True):
-                lang = "und" if lang is None else lang
-                found = pieces(text)
-                words = [w for p in found for w in p]
-                if not words:
-                    continue
-                h = word_hashes(words, salt(lang))
-                at = np.repeat(np.arange(len(found)), [len(p) for p in found])
-                held[lang, b""] += len(words)
-                inside = passes(sent.value, h)
-                held.update([(lang, words[i]) for i in np.flatnonzero(inside).tolist()])
-                for n in range(2, min(longest, len(words)) + 1):
-                    inside = inside[:-1] & inside[1:] & (at[: len(at) - n + 1] == at[n - 1 :])
-                    inside &= passes(sent.value, run_hashes(h, n))
-                    held.update([(lang, b" ".join(words[i : i + n])) for i in np.flatnonzero(inside).tolist()])
-                if len(held) >= _FLUSH_PHRASES:
-                    yield handed(held)
-                    held.clear()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed(held: dict[str, Counter]) -> pa.RecordBatch:
+            langs = pa.array([lang for lang, counter in held.items() for _ in counter], pa.string())
+            phrases = pa.array([p for counter in held.values() for p in counter], pa.binary())
+            n = pa.array([n for counter in held.values() for n in counter.values()], pa.int64())
+            return pa.RecordBatch.from_arrays([langs, phrases, n], ["lang", "phrase", "n"])
+
+        held: dict[str, Counter] = {}
+        for lang, words, _ in chunks(batches):
+            h = word_hashes(words, lang)
+            counter = held.setdefault(lang, Counter())
+            counter[b""] += int((h != 0).sum())
+            inside = (h != 0) & passes(sent.value, h)
+            counter.update(compress(words, inside.tolist()))
+            for n in range(2, longest + 1):
+                if len(inside) < 2:
+                    break
+                inside = inside[:-1] & inside[1:]
+                inside &= passes(sent.value, run_hashes(h, n))
+                counter.update([b" ".join(words[i : i + n]) for i in np.flatnonzero(inside).tolist()])
+            if sum(map(len, held.values())) >= _FLUSH_PHRASES:
+                yield handed(held)
+                held = {}
         if held:
             yield handed(held)
 
-    counts = texts.select("text", "lang").mapInPandas(count, "lang string, phrase binary, n long")
+    counts = texts.select("text", "lang").mapInArrow(count, "lang string, phrase binary, n long")
     return counts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
 
 
 def frequent_hashes(texts: DataFrame, work: Workspace, least: int, longest: int, sample: int, sample_least: int) -> DataFrame:
     """Hashes (h) of all frequent runs of 1 to ``longest`` words, and perhaps
     some more. ``texts``: doc_id, text (binary), lang."""
-    words = work.put(frequent_words(texts, least), "words")
-    cut = work.put(cut_texts(texts, filter_of(words, "h"), sample), "cut")
+    with arrow_rows(texts.sparkSession, _TEXT_ROWS):
+        words = work.put(frequent_words(texts, least), "words")
+        cut = work.put(cut_texts(texts, filter_of(words, "h"), sample), "cut", rows_per_file=_FILE_ROWS)
+    with arrow_rows(texts.sparkSession, _CUT_ROWS):
+        return _mined(cut, words, work, least, longest, sample_least)
+
+
+def _mined(cut: DataFrame, words: DataFrame, work: Workspace, least: int, longest: int, sample_least: int) -> DataFrame:
     picked = cut.where("picked")
     shorter = F.col("h").bitwiseAND(7) < longest - 1  # runs that longer ones can be built on
 
@@ -307,7 +352,8 @@ def phrases(
     n, score. ``longest`` is at most 8."""
     texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang"))
     hashes = frequent_hashes(texts, work, least, longest, sample, sample_least)
-    counts = work.put(count_phrases(texts, filter_of(hashes, "h"), longest), "counts")
+    with arrow_rows(df.sparkSession, _TEXT_ROWS):
+        counts = work.put(count_phrases(texts, filter_of(hashes, "h"), longest), "counts")
     return scored(counts, work, least, covered, top)
 
 

@@ -91,16 +91,32 @@ def test_border_failures_are_expanded(spark, work, monkeypatch):
     assert passes_made == [(2, 2), (3, 3), (2, 4), (3, 4), (3, 4)]  # two of the sample, the full one, two expansions
 
 
-def test_cut_text():
-    found = P.pieces(b"The CAT sat, the dog. one\ttwo rare three")
-    assert found == [[b"the", b"cat", b"sat"], [b"the", b"dog"], [b"one", b"two", b"rare", b"three"]]
-    words = [w for p in found for w in p]
-    h = P.word_hashes(words, P.salt("en"))
+def test_cut_runs():
+    words = P.tokens(b"The CAT sat, the dog.. one\ttwo rare three")
+    m = b"\xff"
+    assert words == [b"the", b"cat", b"sat", m, b"the", b"dog", m, m, b"one", b"two", b"rare", b"three", m]
+    h = P.word_hashes(words, "en")
+    assert [x == 0 for x in h] == [w == m for w in words] and h[0] == h[4]
     every = np.full(1 << 10, 2**64 - 1, np.uint64)
-    assert P.cut_text(found, h, every).tolist() == [*h[:3], 0, *h[3:5], 0, *h[5:]]
-    h[7] = 0  # not in the filter; 'three' is then alone
-    none = np.zeros(1 << 10, np.uint64)
-    assert P.cut_text(found, h, none).tolist() == []
+    out, kept = P.cut_runs(h, every)
+    assert out[kept].tolist() == [*h[:3], 0, *h[4:6], 0, *h[8:12], 0]
+    h[10] = 0  # not frequent; 'three' is then alone
+    out, kept = P.cut_runs(h, every)
+    assert out[kept].tolist() == [*h[:3], 0, *h[4:6], 0, *h[8:10], 0]
+    out, kept = P.cut_runs(h, np.zeros(1 << 10, np.uint64))
+    assert out[kept].tolist() == []
+
+
+def test_chunks_keep_texts_apart(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(P, "_CHUNK_BYTES", 20)
+    rows = pa.RecordBatch.from_pydict({"text": [b"a b", None, b"", b"c d. e", b"f" * 50], "lang": ["x", None, "x", "x", "und"], "picked": [True, False, False, False, True]})
+    got = list(P.chunks(iter([rows, rows])))
+    m = b"\xff"
+    assert sum(w.count(m) for _, w, _ in got) == 12 and {lang for lang, *_ in got} == {"x", "und"}
+    assert all(w[-1] == m and len(w) == len(flags) for _, w, flags in got)
+    assert sorted(w for _, ws, flags in got for w, f in zip(ws, flags) if f and w != m) == sorted([b"a", b"b", b"f" * 50] * 2)
 
 
 def test_filter(spark):
