@@ -37,7 +37,6 @@ from casewatch.config import (
     UNKNOWN_VALUE,
 )
 from casewatch.functions import is_in_set, month_of, percentage, strip
-from casewatch.functions.joins import join_null_safe
 
 GROUP = "_g"
 
@@ -218,8 +217,10 @@ def with_age_median(metrics: DataFrame, cases: DataFrame, by: Sequence[str] = ()
         return metrics.withColumn("age_median_years", F.lit(None).cast("double"))
     counts = number_counts(cases, "age_years", by)
     median = quantiles_from_counts(counts, {"_median": 0.5}, keys(by)).drop("n")
-    joined = join_null_safe(metrics, median, keys(by))
-    return joined.withColumn("age_median_years", F.bround("_median", 2)).drop("_median")
+    # one row of each side per group, put together without a join
+    both = metrics.unionByName(median, allowMissingColumns=True).groupBy(*[_q(k) for k in keys(by)])
+    held = [c for c in metrics.columns if c not in keys(by)]
+    return both.agg(*[F.max(_q(c)).alias(c) for c in held], F.bround(F.max("_median"), 2).alias("age_median_years"))
 
 
 def age_stats(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
