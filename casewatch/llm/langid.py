@@ -8,10 +8,10 @@ model is sorted arrays of 64-bit n-gram hashes with log probabilities and
 backoff weights. A text gets the language with the lowest cross-entropy per
 symbol.
 
-Only n-gram counts reach the driver: at most ``MAX_NGRAMS`` trigrams (the most
-frequent ones; rarer ones are scored through the bigrams) of at most
-``MAX_LANGS`` languages, so the broadcast model is bounded (about 30 bytes an
-n-gram).
+No trigram is dropped. Up to ``MAX_NGRAMS`` of them in ``MAX_LANGS`` languages
+reach the driver and are broadcast as models (about 30 bytes an n-gram). More
+stay tables: the same probabilities are computed by groupings and joined to the
+distinct trigrams of the texts (``predict_joined``).
 
 Rejection: the cross-entropy a text may have is calibrated per language on
 the scored training rows, as their ``KEEP`` quantile + ``SLACK`` /
@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import Workspace, id_bucket, most_frequent, table
+from casewatch.llm.common import Workspace, id_bucket, table
 
 MAX_NGRAMS = 2_000_000
 MAX_LANGS = 256
@@ -216,19 +216,113 @@ class KneserNey:
         return np.where(known, self.three.values[0][i], p)
 
 
-def train(df: DataFrame, work: Workspace, text_col: str = "text", lang_col: str = "lang") -> dict[str, KneserNey]:
-    """Models by language from every row of ``df`` with a language."""
+def ngram_counts(df: DataFrame, work: Workspace, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Stored (lang, key, n) of every row of ``df`` with a language."""
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null")
     counts = rows.mapInPandas(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    got = most_frequent(work.put(counts, "ngrams"), "n", MAX_NGRAMS).toPandas()
-    if got["lang"].nunique() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    return work.put(counts, "ngrams")
+
+
+def fits(counts: DataFrame) -> bool:
+    """Whether the models may be held by the driver and every task."""
+    langs = counts.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    size = langs.agg(F.count(F.lit(1)).alias("langs"), F.sum("rows").alias("rows")).first()
+    return size["langs"] <= MAX_LANGS and (size["rows"] or 0) <= MAX_NGRAMS
+
+
+def train(counts: DataFrame) -> dict[str, KneserNey]:
+    """Models by language from counts that ``fits`` allows."""
+    got = counts.toPandas()
     return {
         lang: KneserNey(part["key"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(float))
         for lang, part in got.sort_values("key").groupby("lang")
     }
 
 
+def _lower(key: str | Column, mask: np.uint64) -> Column:
+    return (F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit(int(mask)))
+
+
+def _rate(n: str, name: str) -> Column:
+    n1, n2 = F.count_if(F.col(n) == 1), F.count_if(F.col(n) == 2)
+    return F.when((n1 > 0) & (n2 > 0), n1 / (n1 + 2 * n2)).otherwise(0.5).alias(name)
+
+
+def joined_log_probs(counts: DataFrame, keys: DataFrame, work: Workspace) -> DataFrame:
+    """(key, lang, lp) of the distinct ``keys`` under every language: ``KneserNey``
+    as groupings and joins."""
+    pairs = work.put(counts.groupBy("lang", _lower("key", _PAIR).alias("pair")).agg(F.count(F.lit(1)).alias("ends2")), "pairs")
+    words = pairs.groupBy("lang", _lower("pair", _LOW).alias("word")).agg(F.count(F.lit(1)).alias("ends1"))
+    rates = words.groupBy("lang").agg(_rate("ends1", "d1"), F.sum("ends1").alias("total1"), F.count(F.lit(1)).alias("n_words"))
+    rates = rates.join(pairs.groupBy("lang").agg(_rate("ends2", "d2")), "lang").join(counts.groupBy("lang").agg(_rate("n", "d3")), "lang")
+    unknown = F.log(F.col("d1") * F.col("n_words") / F.col("total1") / (F.col("n_words") + 1))
+    rates = work.put(rates.withColumn("unknown", unknown), "rates")
+    rate = F.broadcast(rates)  # one row a language
+    one = words.join(rate, "lang").select(
+        "lang", "word", (F.greatest(F.col("ends1") - F.col("d1"), F.lit(0.0)) / F.col("total1") + F.exp("unknown")).alias("p1")
+    )
+    one = work.put(one, "one")
+    back2 = pairs.groupBy("lang", F.shiftright("pair", 21).alias("ctx2")).agg(F.sum("ends2").alias("total2"), F.count(F.lit(1)).alias("n2"))
+    back2 = work.put(back2.join(rate, "lang").select("lang", "ctx2", "total2", (F.col("d2") * F.col("n2") / F.col("total2")).alias("bow2")), "back2")
+    two = pairs.select("*", F.shiftright("pair", 21).alias("ctx2"), _lower("pair", _LOW).alias("word"))
+    two = two.join(back2, ["lang", "ctx2"]).join(one, ["lang", "word"]).join(rate.select("lang", "d2"), "lang")
+    p2 = F.greatest(F.col("ends2") - F.col("d2"), F.lit(0.0)) / F.col("total2") + F.col("bow2") * F.col("p1")
+    two = work.put(two.select("lang", "pair", p2.alias("p2")), "two")
+    back3 = counts.groupBy("lang", F.shiftright("key", 21).alias("ctx3")).agg(F.sum("n").alias("total3"), F.count(F.lit(1)).alias("n3"))
+    back3 = work.put(back3.join(rate, "lang").select("lang", "ctx3", "total3", (F.col("d3") * F.col("n3") / F.col("total3")).alias("bow3")), "back3")
+    three = counts.select("*", F.shiftright("key", 21).alias("ctx3"), _lower("key", _PAIR).alias("pair"))
+    three = three.join(back3, ["lang", "ctx3"]).join(two, ["lang", "pair"]).join(rate.select("lang", "d3"), "lang")
+    p3 = F.greatest(F.col("n") - F.col("d3"), F.lit(0.0)) / F.col("total3") + F.col("bow3") * F.col("p2")
+    three = three.select("lang", "key", p3.alias("p3"))
+
+    asked = keys.crossJoin(rate.select("lang", "unknown")).select(
+        "lang", "key", "unknown", _lower("key", _LOW).alias("word"), _lower("key", _PAIR).alias("pair"),
+        F.shiftright(_lower("key", _PAIR), 21).alias("ctx2"), F.shiftright("key", 21).alias("ctx3"),
+    )
+    asked = asked.join(one, ["lang", "word"], "left").join(back2.drop("total2"), ["lang", "ctx2"], "left").join(two, ["lang", "pair"], "left")
+    asked = asked.join(back3.drop("total3"), ["lang", "ctx3"], "left").join(three, ["lang", "key"], "left")
+
+    def backed(bow: str) -> Column:
+        return F.coalesce(F.log(bow), F.lit(0.0))
+
+    low = F.coalesce(F.log("p2"), backed("bow2") + F.coalesce(F.log("p1"), F.col("unknown")))
+    return asked.select("key", "lang", F.coalesce(F.log("p3"), backed("bow3") + low).alias("lp"))
+
+
+def _seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(__llm_row, text) to (__llm_row, key, m): the trigrams of each text."""
+    for df in batches:
+        ids = df["__llm_row"].to_numpy(np.int64)
+        for rows, pieces in _pieces(df["text"].tolist()):
+            keys, code, ends = trigrams(pieces)
+            row = np.repeat(np.array(rows, np.int64), np.diff(ends, prepend=0))
+            both, m = np.unique(row * len(keys) + code, return_counts=True)
+            yield pd.DataFrame({"__llm_row": ids[both // len(keys)], "key": keys.view(np.int64)[both % len(keys)], "m": m})
+
+
+def predict_joined(df: DataFrame, counts: DataFrame, work: Workspace, out: str, text_col: str = "text") -> DataFrame:
+    """``predict`` for models of any size: nothing of them is held whole."""
+    rows = work.put(df.withColumn("__llm_row", F.monotonically_increasing_id()), "numbered")
+    seen = rows.select("__llm_row", F.col(text_col).alias("text")).mapInPandas(_seen, "__llm_row long, key long, m long")
+    seen = work.put(seen.groupBy("__llm_row", "key").agg(F.sum("m").alias("m")), "seen")
+    lp = work.put(joined_log_probs(counts, seen.select("key").distinct(), work), "log_probs")
+    total = seen.join(lp, "key").groupBy("__llm_row", "lang").agg(F.sum(F.col("m") * F.col("lp")).alias("total"), F.sum("m").alias("n"))
+    best = total.groupBy("__llm_row").agg(
+        F.min(F.struct((-F.col("total")).alias("loss"), "lang")).alias("best"), F.collect_list("total").alias("totals"), F.first("n").alias("n")
+    )
+    rest = F.aggregate("totals", F.lit(0.0), lambda s, t: s + F.exp(F.greatest(t + F.col("best.loss"), F.lit(-700.0))))
+    best = best.select("__llm_row", F.col("best.lang").alias("lang_pred"), (1 / rest).alias("score"), (F.col("best.loss") / F.col("n")).alias("entropy"), "n")
+    found = F.struct(
+        F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.col("entropy"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_symbols"),
+    )
+    best = best.select("__llm_row", found.alias(out))
+    none = F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("long").alias("n_symbols"))
+    return rows.join(best, "__llm_row", "left").withColumn(out, F.coalesce(out, none)).drop("__llm_row")
+
+
 def classify(texts: list[str | None], models: dict[str, KneserNey]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """(language, score, cross-entropy, symbols) of each text."""
     langs = sorted(models)
@@ -279,9 +373,13 @@ def scored_rows(df: DataFrame, work: Workspace, id_col: str, text_col: str, lang
     rows = df.withColumn("__llm_lang", F.col(lang_col).cast("string")).withColumn(
         "__llm_held", F.coalesce(id_bucket(id_col, folds) == 0, F.lit(True))
     )
-    models = train(rows.where(~F.col("__llm_held")), work, text_col, "__llm_lang")
-    scored = work.put(predict(rows, models, "__llm_s", text_col).select(*keep, "__llm_held", "__llm_lang", "__llm_s"), "scored")
-    limit = F.broadcast(limits(scored).withColumnRenamed("__llm_lang", "__llm_for"))  # one row a language, at most MAX_LANGS
+    counts = ngram_counts(rows.where(~F.col("__llm_held")), work, text_col, "__llm_lang")
+    if fits(counts):
+        found = predict(rows, train(counts), "__llm_s", text_col)
+    else:
+        found = predict_joined(rows, counts, work, "__llm_s", text_col)
+    scored = work.put(found.select(*keep, "__llm_held", "__llm_lang", "__llm_s"), "scored")
+    limit = F.broadcast(limits(scored).withColumnRenamed("__llm_lang", "__llm_for"))  # one row a language
     top = F.col("__llm_limit") + SLACK / F.sqrt(F.greatest("__llm_s.n_symbols", F.lit(1)))
     rejected = (F.col("__llm_s.lang_pred") == "und") | F.coalesce(F.col("__llm_s.entropy") > top, F.lit(False))
     joined = scored.join(limit, F.col("__llm_s.lang_pred") == F.col("__llm_for"), "left")

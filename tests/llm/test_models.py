@@ -301,3 +301,18 @@ def test_language_odd_rows(odd_docs, no_docs, work):
 
 def test_workspace_is_used_once(spark):
     assert Workspace(spark, "a").root != Workspace(spark, "a").root
+
+
+def test_models_too_large_to_hold_are_joined_whole(spark, odd_docs, work, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").union(odd_docs.select("doc_id", "text", "lang"))
+    held = sorted(langid.identify(docs, work()).collect(), key=str)
+    monkeypatch.setattr(langid, "MAX_NGRAMS", 100)
+    joined = sorted(langid.identify(docs, work()).collect(), key=str)
+
+    def shown(rows):
+        return sorted((str(r.doc_id), r.held_out, r.lang_pred, r.n_symbols, r.rejected, round(r.score, 3), r.entropy and round(r.entropy, 3)) for r in rows)
+
+    def near(a, b):
+        return all(x[:5] == y[:5] and x[5] == pytest.approx(y[5], abs=0.01) and (x[6] is None) == (y[6] is None) and (x[6] is None or x[6] == pytest.approx(y[6], abs=0.01)) for x, y in zip(a, b, strict=True))
+
+    assert near(shown(held), shown(joined))
