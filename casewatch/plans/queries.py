@@ -236,8 +236,9 @@ def _reactions_by_country(spark, sf):
 def q_reaction_term_sketches(spark, sf):
     """A7 from stored sketches per (country, month), united per country and over
     all: exact occurrences, exact distinct terms, and whether the estimate keeps
-    to its bound. The country of the row over all is ``*``."""
-    reactions = _reactions_by_country(spark, sf)
+    to its bound. The country of the row over all is ``*``. The reactions are
+    stored once, as the sketches and both exact counts read them."""
+    reactions = stage(_reactions_by_country(spark, sf).select("country", "case_report_date", "reaction_pt"))
     stored = stage(H.term_sketches(reactions, ["country"]))
     every = F.lit("*").alias("country")
     found = H.estimated_terms(H.unite_terms(stored, ["country"]), ["country"]).unionByName(
