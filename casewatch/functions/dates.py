@@ -24,7 +24,8 @@ def parse_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column
     plain = s
     for pattern, order in DATE_REWRITES:
         plain = F.regexp_replace(plain, pattern, order)
-    plain = F.initcap(plain)
+    # every rewrite needs a letter, a colon or a blank: other texts stay as they are
+    plain = F.when(s.rlike("^[0-9/-]*$"), s).otherwise(F.initcap(plain))
     free_form = F.coalesce(*[F.try_to_date(plain, f) for f in formats])
     return (
         F.when(s.isNull() | (s == ""), F.lit(None).cast("date"))

@@ -23,7 +23,7 @@ from casewatch.config import (
     OPTIONAL_DRUG_FIELDS,
     REACTION_CASE_FLAGS,
 )
-from casewatch.functions import lower_strip, split_packed, strip
+from casewatch.functions import split_packed
 
 
 def _q(c: str) -> Column:
@@ -133,8 +133,8 @@ def explode_reactions(
     items = F.transform(
         items,
         lambda x: F.struct(
-            strip(x["_rx"]).alias("reaction_pt"),
-            lower_strip(x["_out"]).alias("reaction_outcome"),
+            x["_rx"].alias("reaction_pt"),  # items are stripped already
+            F.lower(x["_out"]).alias("reaction_outcome"),
             x["_ver"].alias("meddra_version"),
         ),
     )
@@ -185,10 +185,10 @@ def explode_drugs(
 
     def norm(dst: str, v: Column) -> Column:
         if dst == "active_substance":
-            return F.upper(strip(v))
+            return F.upper(v)
         if dst in lowered:
-            return lower_strip(v)
-        return v
+            return F.lower(v)
+        return v  # items are stripped already
 
     items = F.filter(zipped, lambda x: target_match(x["_active_substance"], pattern))
     items = F.array_distinct(

@@ -137,23 +137,22 @@ def packed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", "unknown")
         .otherwise("")
         .alias("outcome"),
-        _s(F.col("l_linenumber")).alias("meddra"),
-        F.col("l_linestatus").alias("characterization"),
         F.coalesce("p_brand", F.lit("")).alias("product"),
         F.coalesce("p_name", F.lit("")).alias("substance"),
         F.coalesce("p_type", F.lit("")).alias("route"),
     )
-    grouped = df.groupBy(F.col("l_orderkey")).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    # sort_array and a field of all items are compiled, a lambda per item is not
+    grouped = df.groupBy(F.col("l_orderkey")).agg(F.sort_array(F.collect_list(item)).alias("_items"))
 
     def packed(field: str) -> Column:
-        return F.array_join(F.transform("_items", lambda x: x[field]), ",")
+        return F.array_join(F.col("_items")[field].cast("array<string>"), ",")
 
     return grouped.select(
         F.col("l_orderkey"),
         packed("term").alias("patient_reaction_reactionmeddrapt"),
         packed("outcome").alias("patient_reaction_reactionoutcome"),
-        packed("meddra").alias("patient_reaction_reactionmeddraversionpt"),
-        packed("characterization").alias("patient_drug_drugcharacterization"),
+        packed("k1").alias("patient_reaction_reactionmeddraversionpt"),
+        packed("k5").alias("patient_drug_drugcharacterization"),
         packed("product").alias("patient_drug_medicinalproduct"),
         packed("substance").alias("patient_drug_activesubstance_activesubstancename"),
         packed("route").alias("patient_drug_drugadministrationroute"),

@@ -26,8 +26,12 @@ from casewatch.operators.rowset import (
     explode_reactions,
     filter_to_target,
     latest_version,
+    target_match,
 )
 
+#: Whether a stored case is kept by the target filter.
+MATCHES = "_matches"
+
 
 @dataclass
 class CaseTables:
@@ -105,12 +109,17 @@ def preprocess(
     three tables so every later aggregate can group on them. ``counters``
     takes the first run counters from the write of the staged table."""
     clean = coerce_numeric(clean_columns(raw))
-    if counters is not None and staged:
-        picked = latest_version(clean, rows_col=ROWS)
-        latest = stage(counters.watch_versions(picked, substance_col, params.target_pattern)).drop(ROWS)
+    if staged:
+        # the match is stored with the case, so no later scan searches the substances again
+        picked = latest_version(clean, rows_col=ROWS if counters is not None else None)
+        picked = picked.withColumn(MATCHES, target_match(substance_col, params.target_pattern) if params.filter_to_target else F.lit(True))
+        if counters is not None:
+            picked = counters.watch_versions(picked, substance_col, params.target_pattern)
+        kept = stage(picked)
+        latest, retained = kept.drop(MATCHES, ROWS), kept.where(MATCHES).drop(MATCHES, ROWS)
     else:
-        latest = stage(latest_version(clean), staged)
-    retained = filter_to_target(latest, substance_col, params.target_pattern, params.filter_to_target)
+        latest = latest_version(clean)
+        retained = filter_to_target(latest, substance_col, params.target_pattern, params.filter_to_target)
     with_date = retained.withColumn("case_report_date", parse_date("report_date")) if (
         "report_date" in retained.columns
     ) else retained.withColumn("case_report_date", F.lit(None).cast("date"))

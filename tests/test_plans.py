@@ -78,3 +78,44 @@ def test_validation_does_not_carry_texts_past_the_numbers(spark):
 
 def test_concentration_does_not_expand_rows(spark):
     assert "Expand" not in _plan(QUERIES["reaction_concentration"](spark, SF))
+
+
+def test_staged_cases_keep_the_target_match(spark):
+    from casewatch.config import RunParams
+    from casewatch.plans.pipeline import preprocess
+
+    from sample_rows import sample_raw
+
+    for params in (RunParams(), RunParams(filter_to_target=False)):
+        stored, lazy = preprocess(sample_raw(spark), params, staged=True), preprocess(sample_raw(spark), params)
+        assert stored.retained.columns == lazy.retained.columns and stored.latest.columns == lazy.latest.columns
+        assert "RLIKE" not in stored.retained._jdf.queryExecution().optimizedPlan().toString()
+        for name in ("latest", "retained", "cases", "reactions", "drugs"):
+            a, b = getattr(stored, name), getattr(lazy, name)
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+
+
+def test_packed_lists_have_no_lambda_per_item(spark):
+    from casewatch.plans import adapters as A
+
+    plan = A.packed_lists(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "sort_array" in plan
+
+
+def test_term_sketches_read_their_reactions_once(spark):
+    from casewatch.plans.queries import QUERIES
+
+    read = QUERIES["reaction_term_sketches"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert read and not [f for f in read if "lineitem" in f or "orders" in f]
+
+
+def test_dates_without_letters_skip_the_rewrites(spark):
+    from pyspark.sql import functions as F
+
+    from casewatch.functions import parse_date
+
+    texts = {"2020-03-07": "2020-03-07", "2020-13-45": None, "7/13/2020": "2020-07-13", "2020-3": "2020-03-01", "20200307": "2020-03-07",
+             "7 mar 2020": "2020-03-07", "MARCH 7, 2020": "2020-03-07", "2020-03-07T10:00": "2020-03-07", "-": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in texts], "d string")
+    got = {r.d: r.p for r in df.select("d", F.date_format(parse_date("d"), "yyyy-MM-dd").alias("p")).collect()}
+    assert got == texts
