@@ -17,6 +17,8 @@ import numpy as np
 WINDOW = 16
 DIM = 16
 CLIP = 1.0
+#: Tokens whose likelihoods are taken at once: many, so that each class has many rows.
+SCORED = 1 << 16
 
 
 def word_classes(counts: np.ndarray, n_classes: int) -> np.ndarray:
@@ -31,25 +33,43 @@ def word_classes(counts: np.ndarray, n_classes: int) -> np.ndarray:
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """Logistic function; overwrites ``x``."""
-    np.negative(x, out=x)
-    np.minimum(x, 80, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
-def _exp_rows(logits: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp of the logits up to a common factor, its row sums, and the chosen
-    logits up to the same factor. The maximum of all rows serves each row; if
-    one lies too far below it, each row takes its own."""
-    logits -= logits.max()
-    e = np.exp(logits)
-    total = e @ np.ones(e.shape[1], e.dtype)
-    if not total.min() > 1e-30:
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-    return e, total, logits[rows, cols]
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _exp_sums(s: np.ndarray, shifted: np.ndarray, summed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """e = exp of the logits (rows of ``s`` by rows of ``shifted``, whose last column
+    is the bias), e times ``summed`` (weights and a column of ones: the last column has
+    the row sums), and what was taken from the logits of each row (None: nothing).
+    Rows are shifted by their own maximum only if some sum is out of range."""
+    e = s @ shifted.T
+    np.exp(e, out=e)
+    sums = e @ summed
+    if 1e-30 < sums[:, -1].min() and sums[:, -1].max() < 1e30:
+        return e, sums, None
+    e = s @ shifted.T
+    most = e.max(axis=1)
+    e -= most[:, None]
+    np.exp(e, out=e)
+    return e, e @ summed, most
+
+
+def _tables(w: np.ndarray, bias: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights with the biases, less the greatest one of each softmax, as last column;
+    weights with ones; the greatest bias of each softmax. ``first``: where each begins."""
+    most = np.maximum.reduceat(bias, first)
+    shifted, summed = np.empty((len(w), w.shape[1] + 1), w.dtype), np.empty((len(w), w.shape[1] + 1), w.dtype)
+    shifted[:, :-1] = summed[:, :-1] = w
+    shifted[:, -1] = bias - np.repeat(most, np.diff(first, append=len(w)))
+    summed[:, -1] = 1
+    return shifted, summed, most
+
+
+#: Rows of a softmax over classes that are taken at once, so that they stay in the cache.
+ROWS = 1024
 
 
 class Net:
@@ -109,89 +129,138 @@ class Net:
 
     def run(self, x: np.ndarray, begin: np.ndarray, h: np.ndarray, tape: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States (steps, lanes, dim) and the last state, for inputs (steps,
-        lanes); ``begin`` marks document starts."""
+        lanes); ``begin`` marks document starts. Inside, lanes are the last axis, so
+        that each gate is one stretch of memory."""
         p, d = self.p, h.shape[1]
-        gx = p["emb"][x] @ p["wx"] + p["bx"]
-        keep = (~begin).astype(np.float32)[..., None]
-        states = np.empty((*x.shape, d), np.float32)
+        wh, bias = np.ascontiguousarray(p["wh"].T), p["bx"].copy()
+        bias[: 2 * d] += p["bh"][: 2 * d]
+        gx = np.matmul(p["wx"].T, p["emb"][x].transpose(0, 2, 1))
+        gx += bias[:, None]
+        bn = p["bh"][2 * d :, None]
+        keep = (~begin).astype(gx.dtype)
+        kept = keep.all(axis=1)
+        states = np.empty((len(x), d, x.shape[1]), gx.dtype)
+        h = np.ascontiguousarray(h.T)
         for t in range(len(x)):
-            if not keep[t].all():
+            if not kept[t]:
                 h = h * keep[t]
-            gh = h @ p["wh"] + p["bh"]
-            zr = _sigmoid(gx[t, :, : 2 * d] + gh[:, : 2 * d])
-            z, r = zr[:, :d], zr[:, d:]
-            n = _sigmoid(2 * (gx[t, :, 2 * d :] + r * gh[:, 2 * d :]))
-            n *= 2
-            n -= 1
-            new = n + z * (h - n)
+            gh = wh @ h
+            zr, hn = gx[t, : 2 * d], gh[2 * d :]
+            zr += gh[: 2 * d]
+            _sigmoid(zr)
+            z, r = zr[:d], zr[d:]
+            hn += bn
+            n = r * hn
+            n += gx[t, 2 * d :]
+            np.tanh(n, out=n)
+            new = np.subtract(h, n, out=states[t])
+            new *= z
+            new += n
             if tape is not None:
-                tape.append((h, z, r, n, gh[:, 2 * d :], keep[t]))
-            states[t] = h = new
-        return states, h
+                tape.append((h, z, r, n, hn, None if kept[t] else keep[t]))
+            h = new
+        return states.transpose(0, 2, 1), h.T
 
-    def log_probs(self, s: np.ndarray, y: np.ndarray, grad: dict | None = None) -> np.ndarray:
+    def tables(self) -> tuple:
+        """What ``log_probs`` needs of the output weights; good until they change."""
+        p = self.p
+        return _tables(p["wc"], p["bc"], np.zeros(1, int)), _tables(p["ww"], p["bw"], self.bounds[:-1])
+
+    @np.errstate(over="ignore", invalid="ignore")  # sums out of range are made again, shifted by row
+    def log_probs(self, s: np.ndarray, y: np.ndarray, grad: dict | None = None, tables: tuple | None = None) -> np.ndarray:
         """Natural log P of each target given its state (rows). With ``grad``,
         adds the gradient of the mean negative log-likelihood to it and puts
         that of the states into grad["s"]."""
-        p, n = self.p, len(y)
+        p, n, d = self.p, len(y), s.shape[1]
+        (c_shifted, c_summed, c_most), (w_shifted, w_summed, w_most) = tables or self.tables()
+        order = np.argsort(y.astype(np.uint16) if self.bounds[-1] <= 1 << 16 else y, kind="stable")  # 16 bits: counted, not merged
+        y = y[order]
+        s1 = np.ones((n, d + 1), c_shifted.dtype)
+        s1[:, :d] = s[order]
         cls = self.class_of[y]
-        rows = np.arange(n)
-        e, total, chosen = _exp_rows(s @ p["wc"].T + p["bc"], rows, cls)
-        out = chosen - np.log(total)
-        if grad is not None:
-            e /= total[:, None] * n
-            e[rows, cls] -= 1.0 / n
-            ds = e @ p["wc"]
-            grad["wc"] += e.T @ s
-            grad["bc"] += np.ones(n, e.dtype) @ e
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.bounds)))
+        cuts = np.searchsorted(cls, np.arange(len(self.bounds)))
+        alone = np.diff(self.bounds)[cls] < 2
+        words = np.einsum("nd,nd->n", s1, w_shifted[y])
+        out = np.einsum("nd,nd->n", s1, c_shifted[cls]) + np.where(alone, 0, words)
+        ds = None if grad is None else np.zeros((n, d), s1.dtype)
+
+        def softmax(a: int, b: int, shifted: np.ndarray, summed: np.ndarray, gw: np.ndarray | None, gb: np.ndarray | None) -> None:
+            rows = s1[a:b]
+            e, sums, most = _exp_sums(rows, shifted, summed)
+            total = sums[:, -1]
+            out[a:b] -= np.log(total) if most is None else np.log(total) + most
+            if gw is not None:
+                share = (1 / (total * n))[:, None]
+                g = e.T @ (rows * share)
+                gw += g[:, :d]
+                gb += g[:, d]
+                ds[a:b] += sums[:, :d] * share
+
+        gwc, gbc, gww, gbw = (None if grad is None else grad[k] for k in ("wc", "bc", "ww", "bw"))
+        for a in range(0, n, ROWS):
+            softmax(a, min(n, a + ROWS), c_shifted, c_summed, gwc, gbc)
         for c in range(len(self.bounds) - 1):
             a, b = self.bounds[c], self.bounds[c + 1]
-            if b - a < 2 or cuts[c] == cuts[c + 1]:
-                continue
-            idx = order[cuts[c] : cuts[c + 1]]
-            sc, yc, k = s[idx], y[idx] - a, np.arange(len(idx))
-            e, total, chosen = _exp_rows(sc @ p["ww"][a:b].T + p["bw"][a:b], k, yc)
-            out[idx] += chosen - np.log(total)
-            if grad is not None:
-                e /= total[:, None] * n
-                e[k, yc] -= 1.0 / n
-                ds[idx] += e @ p["ww"][a:b]
-                grad["ww"][a:b] += e.T @ sc
-                grad["bw"][a:b] += np.ones(len(idx), e.dtype) @ e
+            if b - a > 1 and cuts[c] < cuts[c + 1]:
+                g = (None, None) if grad is None else (gww[a:b], gbw[a:b])
+                softmax(cuts[c], cuts[c + 1], w_shifted[a:b], w_summed[a:b], *g)
+        if grad is not None and n:
+            for at, gw, gb, w in ((cls, gwc, gbc, p["wc"]), (y, gww, gbw, p["ww"])):
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                found, seen = at[first], np.add.reduceat(s1, first) / s1.dtype.type(n)
+                if at is y:  # the only word of its class has nothing to learn
+                    many = ~alone[first]
+                    found, seen = found[many], seen[many]
+                gw[found] -= seen[:, :d]
+                gb[found] -= seen[:, d]
+            ds -= (p["wc"][cls] + np.where(alone[:, None], 0, p["ww"][y])) / s1.dtype.type(n)
         if grad is not None:
-            grad["s"] = ds
-        return out
+            grad["s"] = np.empty_like(ds)
+            grad["s"][order] = ds
+        result = np.empty_like(out)
+        result[order] = out
+        return result
 
     def back(self, x: np.ndarray, tape: list, ds: np.ndarray, grad: dict) -> None:
         """Backpropagation through one window."""
         p, d = self.p, ds.shape[2]
-        gx, gh = np.empty((*x.shape, 3 * d), np.float32), np.empty((*x.shape, 3 * d), np.float32)
-        hp = np.empty(ds.shape, np.float32)
-        later = np.zeros(ds.shape[1:], np.float32)
-        wh_t = np.ascontiguousarray(p["wh"].T)
+        ds = np.ascontiguousarray(ds.transpose(0, 2, 1))
+        gx, gh = np.empty((len(x), 3 * d, x.shape[1]), ds.dtype), np.empty((len(x), 3 * d, x.shape[1]), ds.dtype)
+        hp = np.empty(ds.shape, ds.dtype)
+        later = np.zeros(ds.shape[1:], ds.dtype)
         for t in range(len(x) - 1, -1, -1):
             h, z, r, n, hn, keep = tape[t]
-            dh = ds[t] + later
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            gx[t, :, :d] = gh[t, :, :d] = dz
-            gx[t, :, d : 2 * d] = gh[t, :, d : 2 * d] = dr
-            gx[t, :, 2 * d :] = dn
-            gh[t, :, 2 * d :] = dn * r
-            later = (dh * z + gh[t] @ wh_t) * keep
+            dh = ds[t]
+            dh += later
+            dz, dr, dn = gx[t, :d], gx[t, d : 2 * d], gx[t, 2 * d :]
+            rest = (1 - z) * dh
+            np.multiply(n, n, out=dn)
+            np.subtract(1, dn, out=dn)
+            dn *= rest
+            np.subtract(h, n, out=dz)
+            dz *= z
+            dz *= rest
+            np.subtract(1, r, out=dr)
+            dr *= r
+            dr *= hn
+            dr *= dn
+            gh[t, : 2 * d] = gx[t, : 2 * d]
+            np.multiply(dn, r, out=gh[t, 2 * d :])
+            later = p["wh"] @ gh[t]
+            dh *= z
+            later += dh
+            if keep is not None:
+                later *= keep
             hp[t] = h
-        gx, gh, tokens = gx.reshape(-1, 3 * d), gh.reshape(-1, 3 * d), x.ravel()
-        grad["wh"] += hp.reshape(-1, d).T @ gh
-        grad["bh"] += gh.sum(axis=0)
-        grad["bx"] += gx.sum(axis=0)
-        grad["wx"] += p["emb"][tokens].T @ gx
+        gx_t, tokens = gx.transpose(0, 2, 1), x.ravel()
+        grad["wh"] += np.matmul(hp, gh.transpose(0, 2, 1)).sum(axis=0)
+        grad["bh"] += gh.sum(axis=2).sum(axis=0)
+        grad["bx"] += gx.sum(axis=2).sum(axis=0)
+        grad["wx"] += np.matmul(p["emb"][x].transpose(0, 2, 1), gx_t).sum(axis=0)
         order = np.argsort(tokens.astype(np.uint16) if len(p["emb"]) <= 1 << 16 else tokens, kind="stable")
         sorted_tokens = tokens[order]
         first = np.flatnonzero(np.diff(sorted_tokens, prepend=-1))
-        grad["emb"][sorted_tokens[first]] += np.add.reduceat((gx @ p["wx"].T)[order], first)
+        grad["emb"][sorted_tokens[first]] += np.add.reduceat(np.matmul(gx_t, p["wx"].T).reshape(-1, d)[order], first)
 
 
 def lanes(docs: list[np.ndarray], end: int, n_lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -235,7 +304,7 @@ def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float,
     whole, grad = net.zeros()
     if "m" not in adam:
         adam |= {"t": 0, "m": np.zeros_like(whole), "v": np.zeros_like(whole)}
-    m, v = adam["m"], adam["v"]
+    m, v, step = adam["m"], adam["v"], np.empty_like(whole)
     for x, y, begin, who in lanes(docs, end, n_lanes):
         if h is None:
             h = np.zeros((x.shape[1], DIM), np.float32)
@@ -250,25 +319,39 @@ def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float,
         whole *= min(1.0, CLIP / (np.sqrt(float(np.vdot(whole, whole))) + 1e-12))
         adam["t"] = t = adam["t"] + 1
         m *= 0.9
-        m += 0.1 * whole
+        m += np.multiply(whole, 0.1, out=step)
         v *= 0.99
         whole *= whole
-        v += 0.01 * whole
-        net.all -= rate * np.float32(np.sqrt(1 - 0.99**t) / (1 - 0.9**t)) * m / (np.sqrt(v) + 1e-8)
+        v += np.multiply(whole, 0.01, out=step)
+        np.sqrt(v, out=step)
+        step += 1e-8
+        np.divide(m, step, out=step)
+        step *= np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
+        net.all -= step
         seen += len(valid)
     return seen
 
 
 def score(net: Net, docs: list[np.ndarray], end: int, n_lanes: int = 256) -> np.ndarray:
     """Natural log-likelihood of each complete document, its end included."""
-    total, h = np.zeros(len(docs)), None
+    total, h, tables = np.zeros(len(docs)), None, net.tables()
     if not docs:
         return total
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add() -> None:
+        states, y, who = (np.concatenate(part) for part in zip(*held, strict=True))
+        total[:] += np.bincount(who, weights=net.log_probs(states, y, tables=tables), minlength=len(docs))
+        held.clear()
+
     for x, y, begin, who in lanes(docs, end, n_lanes):
         h = np.zeros((x.shape[1], DIM), np.float32) if h is None else h[: x.shape[1]]
         states, h = net.run(x, begin, h)
         flat = who.ravel()
         valid = np.flatnonzero(flat >= 0)
-        lp = net.log_probs(states.reshape(-1, DIM)[valid], y.ravel()[valid])
-        total += np.bincount(flat[valid], weights=lp, minlength=len(docs))
+        held.append((states.reshape(-1, DIM)[valid], y.ravel()[valid], flat[valid]))
+        if sum(len(part[1]) for part in held) >= SCORED:
+            add()
+    if held:
+        add()
     return total

@@ -94,6 +94,38 @@ def test_training_learns_a_pattern():
     assert lm.score(net, docs, 0)[0] > 0.3 * before
 
 
+def test_scoring_takes_the_softmax_of_many_windows_at_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 9, n).astype(np.int32) for n in (0, 700, 40, 16, 300, 5)]
+    net, calls, plain = tiny_net(), [], lm.Net.log_probs
+
+    def counted(self, s, *a, **k):
+        calls.append(len(s))
+        return plain(self, s, *a, **k)
+
+    monkeypatch.setattr(lm.Net, "log_probs", counted)
+    at_once = lm.score(net, docs, 9, 2)
+    assert calls == [sum(map(len, docs)) + len(docs)]
+    monkeypatch.setattr(lm, "SCORED", 1)
+    assert np.allclose(lm.score(net, docs, 9, 2), at_once, rtol=1e-6) and len(calls) > 20
+
+
+@pytest.mark.parametrize("scale", [1, 30, 400])
+def test_log_probs_of_any_weights(scale):
+    """Logits far out of the range of exp, and each row's own shift."""
+    net = tiny_net()
+    net.all *= scale
+    p, b = {k: v.astype(np.float64) for k, v in net.p.items()}, net.bounds
+    s = np.random.default_rng(5).uniform(-1, 1, (3000, lm.DIM)).astype(np.float32)
+    y = np.arange(3000) % 11
+    soft = lambda z: z - z.max() - np.log(np.exp(z - z.max()).sum())
+    got = net.log_probs(s, y)
+    for i in range(0, 3000, 7):
+        c, x = net.class_of[y[i]], s[i].astype(np.float64)
+        want = soft(p["wc"] @ x + p["bc"])[c] + soft(p["ww"][b[c] : b[c + 1]] @ x + p["bw"][b[c] : b[c + 1]])[y[i] - b[c]]
+        assert got[i] == pytest.approx(want, rel=1e-4, abs=1e-3 * scale)
+
+
 def test_lm_scores(spark, work):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: r for r in lm_scoring.log_likelihood(docs, work()).collect()}
