@@ -25,14 +25,14 @@ for the rows of signatures that two different sets share. Sets that share a sign
 with at most ``HEAVY`` others are paired; sets of larger groups are first compared
 with the group's most popular set, and then only with sets that are not in the same
 component yet. Pairs are tested by size and by a 256-bit parity sketch (differing
-bits are at most the differing elements, so no link is lost), then exactly on the
-sets of the documents that are left.
+bits are at most the differing elements, so no link is lost), the last ones by a
+1024-bit sketch, then exactly on the sets of the documents that are left.
 
 Bounds: the filter that finds these rows has at most 8 MB; with more shared signatures
 than fit, it lets more rows through to the join that decides, never fewer. In a group of more than HEAVY sets of which most are
 neither linked with the popular one nor dissimilar, the number of comparisons
 grows with the square of the unlinked ones; emitted are only those that pass
-the sketch. Sets are compared as 64-bit hashes of shingles. A set is named by a
+the wide sketch. Sets are compared as 64-bit hashes of shingles. A set is named by a
 64-bit sum of its hashes; sums shared by different sets (told by a second sum) are
 replaced by the second one.
 
@@ -69,7 +69,8 @@ DEALS = 12
 _FLUSH = 1 << 18
 _ROWS = 500
 _FILE_ROWS = 2000
-_SKETCH = ["s0", "s1", "s2", "s3"]
+_SKETCH = [f"s{i}" for i in range(4)]
+_WIDE = [f"w{i}" for i in range(16)]
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -91,11 +92,23 @@ def names(h: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(h ^ u64(ODD * s)).sum(dtype=np.uint64).view(np.int64)) for s in (3, 5))
 
 
-def sketch(h: np.ndarray) -> np.ndarray:
-    odd = np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+def wide_sketch(h: np.ndarray) -> np.ndarray:
+    """Parities of the elements in 1024 cells, as 16 signed numbers."""
+    cell = (h >> np.uint64(56)) + ((h >> np.uint64(54)) & np.uint64(3)) * np.uint64(256)
+    odd = np.bincount(cell.astype(np.int64), minlength=1024) & 1
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """The same in 256 cells: the wide one folded (``_folded`` in Spark)."""
+    return np.bitwise_xor.reduce(wide_sketch(h).reshape(4, 4), axis=0)
+
+
+def _folded() -> list[Column]:
+    fold = lambda i: F.col(f"w{i}").bitwiseXOR(F.col(f"w{i + 4}")).bitwiseXOR(F.col(f"w{i + 8}")).bitwiseXOR(F.col(f"w{i + 12}"))
+    return [fold(i).alias(c) for i, c in enumerate(_SKETCH)]
+
+
 @lru_cache(maxsize=None)
 def band_top(band: int, percent: int) -> int:
     """The largest size of a band; band 0 has size 0."""
@@ -159,9 +172,9 @@ def _named(shingle: int, clashes: frozenset[int]) -> Callable:
 
 
 def signed_sets(df: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
-    """doc_id, n (size of the set), node, second, s0 to s3, sigs: one row per
+    """doc_id, n (size of the set), node, second, w0 to w15, sigs: one row per
     input row."""
-    cols = ["n", "node", "second", *_SKETCH]
+    cols = ["n", "node", "second", *_WIDE]
 
     @F.pandas_udf(", ".join(f"{c} long" for c in cols) + ", sigs array<long>")
     def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -170,7 +183,7 @@ def signed_sets(df: DataFrame, id_col: str, text_col: str, percent: int, shingle
             numbers, sigs = np.zeros((len(batch), len(cols)), np.int64), []
             for i, text in enumerate(batch):
                 h = shingle_set(text, shingle)
-                numbers[i] = (len(h), *names(h), *sketch(h))
+                numbers[i] = (len(h), *names(h), *wide_sketch(h))
                 sigs.append((signatures(h, percent) if len(h) else none).view(np.int64))
             yield pd.DataFrame(numbers, columns=cols).assign(sigs=pd.Series(sigs, dtype=object))
 
@@ -190,14 +203,14 @@ def shared_rows(sets: DataFrame, shared: np.ndarray) -> DataFrame:
             rows = np.repeat(batch[cols].to_numpy(np.int64), per_set, axis=0)[held]
             yield pd.DataFrame(rows, columns=cols).assign(sig=sigs[held])
 
-    return sets.select(*cols, "sigs").mapInPandas(pick, ", ".join(f"{c} long" for c in [*cols, "sig"]))
+    return sets.select("node", "n", *_folded(), "sigs").mapInPandas(pick, ", ".join(f"{c} long" for c in [*cols, "sig"]))
 
 
-def _near(x: str, y: str, percent: int) -> Column:
+def _near(x: str, y: str, percent: int, cols: list[str] = _SKETCH) -> Column:
     """Sizes and sketches allow a link."""
     col = lambda side, c: F.col(f"{side}.{c}")
     size, other = col(x, "n"), col(y, "n")
-    differ = sum((F.bit_count(col(x, s).bitwiseXOR(col(y, s))) for s in _SKETCH), F.lit(0))
+    differ = sum((F.bit_count(col(x, s).bitwiseXOR(col(y, s))) for s in cols), F.lit(0))
     return (100 * F.least(size, other) >= percent * F.greatest(size, other)) & (
         (100 + percent) * differ <= (100 - percent) * (size + other)
     )
@@ -226,14 +239,16 @@ def leader_pairs(members: DataFrame, sizes: DataFrame, percent: int) -> DataFram
     return x.join(y, met & _near("x", "y", percent)).select(*_pairs("x", "y")).distinct()
 
 
-def apart_pairs(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each group that are not in the same component yet."""
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def apart_pairs(members: DataFrame, roots: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each group that are not in the same component yet. Members of a family
+    of near copies share many groups and just miss each other, so that the narrow sketch
+    passes most of their pairs in each group; the wide one (node, w0 to w15) passes few."""
+    rooted = members.drop(*_SKETCH).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    rooted = rooted.join(mixed.select("sig"), "sig", "left_semi")
+    rooted = rooted.join(mixed.select("sig"), "sig", "left_semi").join(wide, "node")
     x, y = rooted.alias("x"), rooted.alias("y")
     met = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root"))
-    return x.join(y, met & _near("x", "y", percent)).select(*_pairs("x", "y")).distinct()
+    return x.join(y, met & _near("x", "y", percent, _WIDE)).select(*_pairs("x", "y")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, name: str, work: Workspace, percent: int, of: Callable) -> DataFrame:
@@ -289,7 +304,7 @@ def _classes(df: DataFrame, work: Workspace, id_col: str, text_col: str, percent
     if clashes:
         sets = sets.withColumn("node", F.when(F.col("node").isin(*clashes), F.col("second")).otherwise(F.col("node")))
     of = _named(shingle, clashes)
-    rows = sets.select("doc_id", "n", "node")
+    rows = work.put(sets.select("doc_id", "n", "node"), "rows")
     firsts = work.put(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "firsts")
 
     spans = sets.select(F.explode("sigs").alias("sig"), "node").groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -304,12 +319,16 @@ def _classes(df: DataFrame, work: Workspace, id_col: str, text_col: str, percent
     pairs = light_pairs(in_light, percent)
     any_heavy = bool(in_heavy.take(1))
     if any_heavy:
+        nodes = in_heavy.select("node").distinct()
+        wide = sets.select("node", *_WIDE).join(nodes, "node", "left_semi").groupBy("node")
+        wide = work.put(wide.agg(*(F.first(c).alias(c) for c in _WIDE)), "wide")
         pairs = pairs.unionByName(leader_pairs(in_heavy, large, percent)).distinct()
+    work.drop("sets")  # the signatures are the largest table
     pairs = work.put(pairs, "pairs")
     links = work.put(verified(pairs, docs, firsts, "first", work, percent, of), "links")
     if any_heavy:
         roots = work.put(components(links, work), "roots")
-        apart = work.put(apart_pairs(in_heavy, roots, percent).join(pairs, ["a", "b"], "left_anti"), "apart")
+        apart = work.put(apart_pairs(in_heavy, roots, wide, percent).join(pairs, ["a", "b"], "left_anti"), "apart")
         links = work.put(links.unionByName(verified(apart, docs, firsts, "second", work, percent, of)), "all_links")
 
     rooted = work.put(

@@ -102,6 +102,26 @@ def test_families(spark, work):
     assert got(J.jaccard_classes(df, work(), heavy=10**6)) == want
 
 
+def test_sets_that_just_miss_each_other_are_told_apart(spark):
+    """Sixty sets of 400 with 70 to 90 differences where 64 are allowed, in five groups."""
+    rng = random.Random(8)
+    base, made = [rng.getrandbits(64) for _ in range(362)], []
+    for _ in range(60):
+        made.append(np.array(base + [rng.getrandbits(64) for _ in range(rng.randint(38, 42))], np.uint64))
+    for x, y in zip(made, made[1:], strict=False):
+        differ = len(x) + len(y) - 2 * 362
+        for sketch in (J.sketch, J.wide_sketch):
+            assert int(np.bitwise_count((sketch(x) ^ sketch(y)).view(np.uint64)).sum()) <= differ
+    short = [(sig, i, len(h), *map(int, J.sketch(h))) for i, h in enumerate(made) for sig in range(5)]
+    members = spark.createDataFrame(short, "sig long, node long, n long, " + ", ".join(f"{c} long" for c in J._SKETCH))
+    wide = spark.createDataFrame([(i, *map(int, J.wide_sketch(h))) for i, h in enumerate(made)], "node long, " + ", ".join(f"{c} long" for c in J._WIDE))
+    fold = wide.select("node", *J._folded()).collect()
+    assert all(tuple(r)[1:] == tuple(J.sketch(made[r.node]).tolist()) for r in fold)
+    roots = spark.createDataFrame([], "node long, root long")
+    passed = J.light_pairs(members, 85).count()
+    assert passed > 1500 and J.apart_pairs(members, roots, wide, 85).count() < passed / 20
+
+
 def test_odd_rows(spark, odd_docs, no_docs, work):
     df = odd_docs.withColumn("node", F.lit("clash")).withColumn("sig", F.lit(1)).withColumn("first_id", F.lit(2))
     assert got(J.jaccard_classes(df, work())) == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
