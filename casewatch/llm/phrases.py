@@ -5,7 +5,9 @@ of punctuation), counted per language. A phrase is frequent at ``LEAST`` or more
 occurrences; every part of a frequent phrase is frequent too.
 
 1. Words are counted. Texts are stored once more as arrays of word hashes, cut at
-   ends of pieces and at words that are not frequent.
+   ends of pieces and at words that are not frequent. Then pairs of words are counted
+   in cells by hash, of which there are as many as half the words: a cell with fewer than
+   ``LEAST`` holds no frequent pair, and the texts are cut again between such words.
 2. A sample (every ``SAMPLE``-th row by hash) proposes phrases: level by level,
    those that reach ``SAMPLE_LEAST`` in it.
 3. One full pass counts the proposed phrases and their negative border: every
@@ -18,7 +20,9 @@ occurrences; every part of a frequent phrase is frequent too.
 
 Steps 1 to 4 count 64-bit hashes, which can only bring in too many phrases. A
 last pass over the texts counts the phrases themselves (language and words), so
-that the counts are exact, and the scores are worked out from these.
+that the counts are exact, and the scores are worked out from these. Tasks hand on
+many phrases, or many cells, in one row for each part of the phrases or cells, and the
+part is summed up by one task.
 
 Proposals are looked up in a bit filter of bounded size (8 MB); its false
 positives make runs be counted that need not be. Sampling decides the number of
@@ -63,6 +67,13 @@ _FLUSH_PHRASES = 1 << 20
 #: Texts, and rows of many texts' hashes, that a task is handed at a time, and rows of
 #: hashes in a file.
 _TEXT_ROWS, _CUT_ROWS, _FILE_ROWS = 1000, 8, 4
+#: The same for texts whose phrases are counted, and for the rows of many phrases.
+_PACKED_ROWS = 100
+#: Cells of pairs that a task counts at once, pairs a cell has on average at most, and
+#: pairs whose cells a task hands on at a time.
+_CELLS, _LOAD, _FLUSH_PAIRS = 1 << 20, 2, 1 << 20
+#: Frequent phrases of a part, about.
+_PART_PHRASES = 1 << 14
 #: Stands between pieces; no byte of UTF-8.
 _MARK = b"\xff"
 #: A-Z become a-z, tab becomes blank, ends of pieces become marks.
@@ -100,6 +111,12 @@ def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
 _MARK_HASH = np.frombuffer(xxhash.xxh64_digest(_MARK), np.uint64)[0]
 
 
+def numbered(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, and the place of each word among them."""
+    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return list(place), np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+
+
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
     """(language, words with marks, sample flag of each word) of about
     ``_CHUNK_BYTES`` of texts of one language; ``batches``: text, lang and perhaps picked."""
@@ -234,39 +251,176 @@ def cut_texts(texts: DataFrame, words: np.ndarray, sample: int) -> DataFrame:
     return texts.withColumn("picked", picked).select("text", "lang", "picked").mapInArrow(cut, "words array<long>, picked boolean")
 
 
-def count_phrases(texts: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
+def cells_of(pairs: np.ndarray, parts: int) -> np.ndarray:
+    """Cell of each hash: the part, then the place within it."""
+    return ((pairs >> np.uint64(32)) % np.uint64(parts)) * np.uint64(_CELLS) + ((pairs >> np.uint64(8)) & np.uint64(_CELLS - 1))
+
+
+def packed_cells(cells: np.ndarray, parts: int, least: int) -> pa.RecordBatch:
+    """part, size, steps: sorted cells of each part as differences, each cell at
+    most ``least`` times."""
+    cells = np.sort(cells)
+    kept = np.ones(len(cells), bool)
+    kept[least:] = cells[least:] != cells[:-least]
+    cells = cells[kept]
+    cuts = np.searchsorted(cells, np.arange(parts + 1, dtype=np.uint64) * np.uint64(_CELLS))
+    rows = []
+    for part in np.flatnonzero(np.diff(cuts)).tolist():
+        steps = np.diff(cells[cuts[part] : cuts[part + 1]] & np.uint64(_CELLS - 1), prepend=np.uint64(0))
+        width = next(w for w in ("u1", "u2", "u4") if steps.max() <= np.iinfo(w).max)
+        rows.append((part, len(steps), steps.astype(width).tobytes()))
+    columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, ["part", "size", "steps"])
+
+
+def _places(size: int, steps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, f"u{len(steps) // size}"), dtype=np.int64)
+
+
+def frequent_cells(texts: DataFrame, parts: int, least: int) -> DataFrame:
+    """h: the cells (mixed) that ``least`` or more pairs of words fall into."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            h = batch.column("words").flatten().to_numpy().view(np.uint64)
+            held.append(cells_of(run_hashes(h, 2)[(h[:-1] != 0) & (h[1:] != 0)], parts))
+            size += len(held[-1])
+            if size >= _FLUSH_PAIRS:
+                yield packed_cells(np.concatenate(held), parts, least)
+                held, size = [], 0
+        if size:
+            yield packed_cells(np.concatenate(held), parts, least)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(part: int, total: np.ndarray) -> pa.RecordBatch:
+            cells = np.flatnonzero(total >= least).astype(np.uint64) + np.uint64(part * _CELLS)
+            return pa.RecordBatch.from_arrays([pa.array(mix(cells).view(np.int64))], ["h"])
+
+        now, total, held = None, None, []
+        for batch in batches:
+            for part, size, steps in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "steps")), strict=True):
+                if part != now:
+                    if now is not None:
+                        yield found(now, total + np.bincount(np.concatenate(held), minlength=_CELLS))
+                    now, total, held = part, np.zeros(_CELLS, np.int64), []
+                held.append(_places(size, steps))
+                if sum(map(len, held)) >= _CELLS:
+                    total += np.bincount(np.concatenate(held), minlength=_CELLS)
+                    held = [np.zeros(0, np.int64)]
+        if now is not None:
+            yield found(now, total + np.bincount(np.concatenate(held), minlength=_CELLS))
+
+    packed = texts.select("words").mapInArrow(pack, "part int, size int, steps binary")
+    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(add, "h long")
+
+
+def cut_pairs(h: np.ndarray, passed: np.ndarray) -> np.ndarray:
+    """Hashes cut where the pair of a word and the next one has not passed, without words
+    that have no pair left; each run ends with 0."""
+    right = np.append(passed, False)
+    kept = np.flatnonzero(right | np.append(False, passed))
+    ends = ~right[kept]
+    out = np.zeros(len(kept) + int(ends.sum()), np.uint64)
+    out[np.arange(len(kept)) + np.cumsum(ends) - ends] = h[kept]
+    return out
+
+
+def cut_at_rare_pairs(cut: DataFrame, work: Workspace, least: int) -> DataFrame:
+    """``cut`` without pairs of words that cannot be frequent."""
+    total = cut.agg(F.sum(F.size("words"))).first()[0] or 0
+    parts = max(1, total // (_CELLS * _LOAD))
+    cells = work.put(frequent_cells(cut, parts, least), "cells")
+    sent = cut.sparkSession.sparkContext.broadcast(filter_of(cells, "h"))
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for words in batch.column("words"):
+                h = words.values.to_numpy().view(np.uint64)
+                at = np.flatnonzero((h[:-1] != 0) & (h[1:] != 0))
+                passed = np.zeros(max(0, len(h) - 1), bool)
+                passed[at] = passes(sent.value, mix(cells_of(run_hashes(h, 2)[at], parts)))
+                rows.append(cut_pairs(h, passed).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64())), batch.column("picked")], ["words", "picked"])
+
+    fewer = cut.select("words", "picked").mapInArrow(again, "words array<long>, picked boolean").where(F.size("words") > 0)
+    fewer = work.put(fewer, "cut2", rows_per_file=_FILE_ROWS)
+    work.drop("cut")
+    return fewer
+
+
+def chunk_phrases(words: list[bytes], lang: str, frequent: np.ndarray, longest: int) -> Iterator[tuple[bytes, int]]:
+    """(phrase, occurrences) of the runs that the filter holds, each once."""
+    distinct, ids = numbered(words)
+    hashes = word_hashes(distinct, lang)
+    yield b"", int((hashes[ids] != 0).sum())
+    held = (hashes != 0) & passes(frequent, hashes)
+    times = np.bincount(ids, minlength=len(distinct))
+    yield from zip(compress(distinct, held.tolist()), times[held].tolist(), strict=True)
+    h, inside, code = hashes[ids], held[ids], ids  # equal codes: equal runs, one word shorter
+    for n in range(2, longest + 1):
+        if len(inside) < 2:
+            return
+        at = np.flatnonzero(inside[:-1] & inside[1:])
+        at = at[passes(frequent, run_hashes(h, n)[at])]
+        _, first, of, times = np.unique(
+            code[at] * len(distinct) + ids[at + n - 1], return_index=True, return_inverse=True, return_counts=True
+        )
+        inside, code = np.zeros(len(inside) - 1, bool), np.zeros(len(inside) - 1, np.int64)
+        inside[at], code[at] = True, of
+        yield from ((b" ".join(words[i : i + n]), k) for i, k in zip(at[first].tolist(), times.tolist(), strict=True))
+
+
+def count_phrases(texts: DataFrame, frequent: np.ndarray, longest: int, parts: int) -> DataFrame:
     """lang, phrase, n of all runs of 1 to ``longest`` words that the filter
     holds; the phrase '' has the number of all words."""
     sent = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def handed(held: dict[str, Counter]) -> pa.RecordBatch:
-            langs = pa.array([lang for lang, counter in held.items() for _ in counter], pa.string())
-            phrases = pa.array([p for counter in held.values() for p in counter], pa.binary())
-            n = pa.array([n for counter in held.values() for n in counter.values()], pa.int64())
-            return pa.RecordBatch.from_arrays([langs, phrases, n], ["lang", "phrase", "n"])
+        def handed(lang: str, counter: Counter) -> pa.RecordBatch:
+            phrases = list(counter)
+            of = np.fromiter((xxhash.xxh32_intdigest(p) % parts for p in phrases), np.int32, len(phrases))
+            order = np.argsort(of, kind="stable")
+            found, cuts = np.unique(of[order], return_index=True)
+            cuts = pa.array(np.append(cuts, len(phrases)), pa.int32())
+            sorted_phrases = pa.array([phrases[i] for i in order.tolist()], pa.binary())
+            times = pa.array(np.fromiter(counter.values(), np.int64, len(phrases))[order])
+            columns = [pa.array(found), pa.array([lang] * len(found), pa.string()), pa.ListArray.from_arrays(cuts, sorted_phrases), pa.ListArray.from_arrays(cuts, times)]
+            return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrases", "times"])
 
         held: dict[str, Counter] = {}
         for lang, words, _ in chunks(batches):
-            h = word_hashes(words, lang)
             counter = held.setdefault(lang, Counter())
-            counter[b""] += int((h != 0).sum())
-            inside = (h != 0) & passes(sent.value, h)
-            counter.update(compress(words, inside.tolist()))
-            for n in range(2, longest + 1):
-                if len(inside) < 2:
-                    break
-                inside = inside[:-1] & inside[1:]
-                inside &= passes(sent.value, run_hashes(h, n))
-                counter.update([b" ".join(words[i : i + n]) for i in np.flatnonzero(inside).tolist()])
+            for phrase, n in chunk_phrases(words, lang, sent.value, longest):
+                counter[phrase] += n
             if sum(map(len, held.values())) >= _FLUSH_PHRASES:
-                yield handed(held)
+                yield from (handed(*x) for x in held.items())
                 held = {}
+        yield from (handed(*x) for x in held.items())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(held: dict[str, Counter]) -> pa.RecordBatch:
+            langs = pa.array([lang for lang, counter in held.items() for _ in counter], pa.string())
+            phrases = pa.array([p for counter in held.values() for p in counter], pa.binary())
+            n = pa.array([n for counter in held.values() for n in counter.values()], pa.int64())
+            return pa.RecordBatch.from_arrays([langs, phrases, n], ["lang", "phrase", "n"])
+
+        now, held = None, {}
+        for batch in batches:
+            for part, lang, phrases, times in zip(*(batch.column(c).to_pylist() for c in ("part", "lang", "phrases", "times")), strict=True):
+                if part != now and held:
+                    yield summed(held)
+                    held = {}
+                now, counter = part, held.setdefault(lang, Counter())
+                for phrase, n in zip(phrases, times, strict=True):
+                    counter[phrase] += n
         if held:
-            yield handed(held)
+            yield summed(held)
 
-    counts = texts.select("text", "lang").mapInArrow(count, "lang string, phrase binary, n long")
-    return counts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
+    packed = texts.select("text", "lang").mapInArrow(count, "part int, lang string, phrases array<binary>, times array<long>")
+    counts = packed.repartition("part").sortWithinPartitions("part").mapInArrow(add, "lang string, phrase binary, n long")
+    return counts.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def frequent_hashes(texts: DataFrame, work: Workspace, least: int, longest: int, sample: int, sample_least: int) -> DataFrame:
@@ -276,6 +430,7 @@ def frequent_hashes(texts: DataFrame, work: Workspace, least: int, longest: int,
         words = work.put(frequent_words(texts, least), "words")
         cut = work.put(cut_texts(texts, filter_of(words, "h"), sample), "cut", rows_per_file=_FILE_ROWS)
     with arrow_rows(texts.sparkSession, _CUT_ROWS):
+        cut = cut_at_rare_pairs(cut, work, least)
         return _mined(cut, words, work, least, longest, sample_least)
 
 
@@ -352,8 +507,9 @@ def phrases(
     n, score. ``longest`` is at most 8."""
     texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang"))
     hashes = frequent_hashes(texts, work, least, longest, sample, sample_least)
-    with arrow_rows(df.sparkSession, _TEXT_ROWS):
-        counts = work.put(count_phrases(texts, filter_of(hashes, "h"), longest), "counts")
+    parts = hashes.count() // _PART_PHRASES + 1
+    with arrow_rows(df.sparkSession, _PACKED_ROWS):
+        counts = work.put(count_phrases(texts, filter_of(hashes, "h"), longest, parts), "counts")
     return scored(counts, work, least, covered, top)
 
 

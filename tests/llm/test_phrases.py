@@ -119,6 +119,56 @@ def test_chunks_keep_texts_apart(monkeypatch):
     assert sorted(w for _, ws, flags in got for w, f in zip(ws, flags) if f and w != m) == sorted([b"a", b"b", b"f" * 50] * 2)
 
 
+def test_rare_pairs_are_cut_before_the_passes(spark, work, monkeypatch):
+    """Every word is frequent, but one pair only: no pass counts any other run."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["alpha beta", *(f"w{i}" for i in range(60))]) for _ in range(30)) for _ in range(200)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    want = brute([(t, "en") for t in texts], 30)
+    counted, plain = [], P.count_runs
+    monkeypatch.setattr(P, "count_runs", lambda *a: counted.append(plain(*a).count()) or plain(*a))
+    monkeypatch.setattr(P, "_FLUSH_PAIRS", 500)
+    assert got(P.phrases(df, work())) == want and [r[2] for r in want] == ["alpha beta"]
+    assert max(counted) <= 3
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_cells(spark, monkeypatch, parts):
+    monkeypatch.setattr(P, "_CELLS", 1 << 12)
+    cells = P.cells_of(np.random.default_rng(3).integers(0, 2**64, 3000, np.uint64), parts)
+    cells = np.concatenate([cells, np.repeat(cells[:4], 50)])
+    found = []
+    for part, size, steps in zip(*(c.to_pylist() for c in P.packed_cells(cells, parts, 30).columns), strict=True):
+        found += (P._places(size, steps) + part * P._CELLS).tolist()
+    want = Counter(cells.tolist())
+    assert Counter(found) == {c: min(n, 30) for c, n in want.items()} and max(want.values()) > 30
+
+
+def test_cut_pairs():
+    h = np.array([5, 6, 7, 0, 8, 9, 4, 3, 0], np.uint64)
+    passed = np.array([1, 0, 0, 0, 0, 1, 1, 0], bool)
+    assert P.cut_pairs(h, passed).tolist() == [5, 6, 0, 9, 4, 3, 0]
+    assert P.cut_pairs(h, np.zeros(8, bool)).tolist() == [] == P.cut_pairs(h[:0], passed[:0]).tolist()
+
+
+def test_phrases_of_parts(spark, work, monkeypatch):
+    """Rows of many phrases, several a part and language, give each phrase once."""
+    rows = made(n=60)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    texts = df.selectExpr("cast(text as binary) AS text", "lang")
+    every = np.full(1 << 10, 2**64 - 1, np.uint64)
+    monkeypatch.setattr(P, "_FLUSH_PHRASES", 40)
+    monkeypatch.setattr(P, "_CHUNK_BYTES", 300)
+    found = {(r.lang, r.phrase): r.n for r in P.count_phrases(texts, every, 3, 5).collect()}
+    want = Counter()
+    for _, text, lang in rows:
+        words = [w.decode() if w != b"\xff" else None for w in P.tokens(text.encode())]
+        lang = lang or "und"
+        want[lang, ""] += sum(w is not None for w in words)
+        want.update((lang, " ".join(words[i : i + n])) for n in (1, 2, 3) for i in range(len(words) - n + 1) if None not in words[i : i + n])
+    assert found == dict(want)
+
+
 def test_filter(spark):
     h = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     words = filter_of(spark.createDataFrame([(int(x),) for x in h[:2500]], "h long"), "h")
