@@ -19,42 +19,39 @@ DIM = 16
 CLIP = 1.0
 #: Tokens whose likelihoods are taken at once: many, so that each class has many rows.
 SCORED = 1 << 16
+#: Parameters that a step of training goes through at once, so that they stay in the cache.
+STRETCH = 1 << 13
 
 
 def word_classes(counts: np.ndarray, n_classes: int) -> np.ndarray:
     """First word of each class (and the number of words at the end). Words
-    are sorted by falling count; classes have near equal mass, so frequent
-    words stand alone and rare ones share."""
-    mass = np.cumsum(counts, dtype=float) - counts / 2
-    of = np.minimum((mass / max(counts.sum(), 1e-9) * n_classes).astype(int), n_classes - 1)
+    are sorted by falling count; classes have near equal sums of the roots of the
+    counts, which for a given number of classes makes the outputs that a token needs
+    (its class, its words) near the fewest. Frequent words stand alone, rare ones share."""
+    root = np.sqrt(counts)
+    mass = np.cumsum(root, dtype=float) - root / 2
+    of = np.minimum((mass / max(root.sum(), 1e-9) * n_classes).astype(int), n_classes - 1)
     first = np.flatnonzero(np.diff(of, prepend=-1))
     return np.append(first, len(counts))
 
 
+@np.errstate(over="ignore")  # 1 / (1 + inf) is the 0 that is meant
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """Logistic function; overwrites ``x``."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
-
-
-def _exp_sums(s: np.ndarray, shifted: np.ndarray, summed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """e = exp of the logits (rows of ``s`` by rows of ``shifted``, whose last column
-    is the bias), e times ``summed`` (weights and a column of ones: the last column has
-    the row sums), and what was taken from the logits of each row (None: nothing).
-    Rows are shifted by their own maximum only if some sum is out of range."""
-    e = s @ shifted.T
-    np.exp(e, out=e)
-    sums = e @ summed
-    if 1e-30 < sums[:, -1].min() and sums[:, -1].max() < 1e30:
-        return e, sums, None
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
+
+
+def _exps(s: np.ndarray, shifted: np.ndarray, most: np.ndarray | None) -> np.ndarray:
+    """exp of the logits: rows of ``s`` by rows of ``shifted``, whose last column is the
+    bias. With ``most`` each row is shifted by its own maximum, which goes there."""
     e = s @ shifted.T
-    most = e.max(axis=1)
-    e -= most[:, None]
-    np.exp(e, out=e)
-    return e, e @ summed, most
+    if most is not None:
+        np.max(e, axis=1, out=most)
+        e -= most[:, None]
+    return np.exp(e, out=e)
 
 
 def _tables(w: np.ndarray, bias: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,7 +131,7 @@ class Net:
         p, d = self.p, h.shape[1]
         wh, bias = np.ascontiguousarray(p["wh"].T), p["bx"].copy()
         bias[: 2 * d] += p["bh"][: 2 * d]
-        gx = np.matmul(p["wx"].T, p["emb"][x].transpose(0, 2, 1))
+        gx = np.matmul(p["wx"].T, p["emb"].take(x, axis=0).transpose(0, 2, 1))
         gx += bias[:, None]
         bn = p["bh"][2 * d :, None]
         keep = (~begin).astype(gx.dtype)
@@ -174,47 +171,55 @@ class Net:
         p, n, d = self.p, len(y), s.shape[1]
         (c_shifted, c_summed, c_most), (w_shifted, w_summed, w_most) = tables or self.tables()
         order = np.argsort(y.astype(np.uint16) if self.bounds[-1] <= 1 << 16 else y, kind="stable")  # 16 bits: counted, not merged
-        y = y[order]
+        y = y.take(order)
         s1 = np.ones((n, d + 1), c_shifted.dtype)
-        s1[:, :d] = s[order]
-        cls = self.class_of[y]
+        s1[:, :d] = s.take(order, axis=0)
+        cls = self.class_of.take(y)
         cuts = np.searchsorted(cls, np.arange(len(self.bounds)))
-        alone = np.diff(self.bounds)[cls] < 2
-        words = np.einsum("nd,nd->n", s1, w_shifted[y])
-        out = np.einsum("nd,nd->n", s1, c_shifted[cls]) + np.where(alone, 0, words)
-        ds = None if grad is None else np.zeros((n, d), s1.dtype)
-
-        def softmax(a: int, b: int, shifted: np.ndarray, summed: np.ndarray, gw: np.ndarray | None, gb: np.ndarray | None) -> None:
-            rows = s1[a:b]
-            e, sums, most = _exp_sums(rows, shifted, summed)
-            total = sums[:, -1]
-            out[a:b] -= np.log(total) if most is None else np.log(total) + most
-            if gw is not None:
-                share = (1 / (total * n))[:, None]
-                g = e.T @ (rows * share)
-                gw += g[:, :d]
-                gb += g[:, d]
-                ds[a:b] += sums[:, :d] * share
-
-        gwc, gbc, gww, gbw = (None if grad is None else grad[k] for k in ("wc", "bc", "ww", "bw"))
-        for a in range(0, n, ROWS):
-            softmax(a, min(n, a + ROWS), c_shifted, c_summed, gwc, gbc)
-        for c in range(len(self.bounds) - 1):
-            a, b = self.bounds[c], self.bounds[c + 1]
-            if b - a > 1 and cuts[c] < cuts[c + 1]:
-                g = (None, None) if grad is None else (gww[a:b], gbw[a:b])
-                softmax(cuts[c], cuts[c + 1], w_shifted[a:b], w_summed[a:b], *g)
-        if grad is not None and n:
-            for at, gw, gb, w in ((cls, gwc, gbc, p["wc"]), (y, gww, gbw, p["ww"])):
-                first = np.flatnonzero(np.diff(at, prepend=-1))
-                found, seen = at[first], np.add.reduceat(s1, first) / s1.dtype.type(n)
-                if at is y:  # the only word of its class has nothing to learn
-                    many = ~alone[first]
-                    found, seen = found[many], seen[many]
-                gw[found] -= seen[:, :d]
-                gb[found] -= seen[:, d]
-            ds -= (p["wc"][cls] + np.where(alone[:, None], 0, p["ww"][y])) / s1.dtype.type(n)
+        alone = (np.diff(self.bounds) < 2).take(cls)
+        # Rows of s1, outputs of the softmax over classes or over the words of one.
+        parts = [(a, min(n, a + ROWS), 0, len(c_shifted)) for a in range(0, n, ROWS)]
+        n_head, many = len(parts), np.flatnonzero((np.diff(self.bounds) > 1) & (np.diff(cuts) > 0))
+        parts += zip(cuts[many].tolist(), cuts[many + 1].tolist(), self.bounds[many].tolist(), self.bounds[many + 1].tolist(), strict=True)
+        sums = np.ones((2, n, d + 1), s1.dtype)  # exp of the logits times weights and ones, by softmax
+        most, held = np.zeros((2, n), s1.dtype), []
+        for by_row in (False, True):  # rows are shifted by their own maximum only if some sum is out of range
+            held.clear()
+            for i, (a, b, first, last) in enumerate(parts):
+                k = int(i >= n_head)
+                shifted, summed = (w_shifted, w_summed) if k else (c_shifted, c_summed)
+                e = _exps(s1[a:b], shifted[first:last], most[k, a:b] if by_row else None)
+                np.matmul(e, summed[first:last], out=sums[k, a:b])
+                if grad is not None:
+                    held.append(e)
+            if not n or 1e-30 < sums[:, :, d].min() and sums[:, :, d].max() < 1e30:
+                break
+        total = np.ascontiguousarray(sums[:, :, d])
+        out = np.einsum("nd,nd->n", s1, c_shifted.take(cls, axis=0))
+        out += np.where(alone, 0, np.einsum("nd,nd->n", s1, w_shifted.take(y, axis=0)))
+        out -= (np.log(total) + most).sum(axis=0)
         if grad is not None:
+            share, row = 1 / (total * n), np.arange(n)
+            ds, rows = np.zeros((n, d), s1.dtype), [s1 * share[k][:, None] for k in (0, 1)]
+            # Where each row has its target in the outputs of its part, taken as one stretch.
+            at = (row % ROWS) * len(c_shifted) + cls, (row - cuts.take(cls)) * np.diff(self.bounds).take(cls) + y - self.bounds.take(cls)
+            gc, gw = np.zeros_like(c_shifted), np.zeros_like(w_shifted)
+            for i, ((a, b, first, last), e) in enumerate(zip(parts, held, strict=True)):
+                k = int(i >= n_head)
+                e.ravel()[at[k][a:b]] -= total[k, a:b]  # the share of an output, less one for the target
+                if k:
+                    np.matmul(e.T, rows[1][a:b], out=gw[first:last])
+                else:
+                    gc += e.T @ rows[0][a:b]
+            for g, w, bias in ((gc, "wc", "bc"), (gw, "ww", "bw")):
+                grad[w] += g[:, :d]
+                grad[bias] += g[:, d]
+            for k, w in ((0, p["wc"].take(cls, axis=0)), (1, p["ww"].take(y, axis=0))):
+                part = sums[k, :, :d] * share[k][:, None]
+                part -= w / s1.dtype.type(n)
+                if k:
+                    part[alone] = 0
+                ds += part
             grad["s"] = np.empty_like(ds)
             grad["s"][order] = ds
         result = np.empty_like(out)
@@ -252,15 +257,15 @@ class Net:
             if keep is not None:
                 later *= keep
             hp[t] = h
-        gx_t, tokens = gx.transpose(0, 2, 1), x.ravel()
+        gx_t, tokens, ones = gx.transpose(0, 2, 1), x.ravel(), np.ones(x.shape[1], ds.dtype)
         grad["wh"] += np.matmul(hp, gh.transpose(0, 2, 1)).sum(axis=0)
-        grad["bh"] += gh.sum(axis=2).sum(axis=0)
-        grad["bx"] += gx.sum(axis=2).sum(axis=0)
-        grad["wx"] += np.matmul(p["emb"][x].transpose(0, 2, 1), gx_t).sum(axis=0)
+        grad["bh"] += (gh @ ones).sum(axis=0)
+        grad["bx"] += (gx @ ones).sum(axis=0)
+        grad["wx"] += np.matmul(p["emb"].take(x, axis=0).transpose(0, 2, 1), gx_t).sum(axis=0)
         order = np.argsort(tokens.astype(np.uint16) if len(p["emb"]) <= 1 << 16 else tokens, kind="stable")
         sorted_tokens = tokens[order]
         first = np.flatnonzero(np.diff(sorted_tokens, prepend=-1))
-        grad["emb"][sorted_tokens[first]] += np.add.reduceat(np.matmul(gx_t, p["wx"].T).reshape(-1, d)[order], first)
+        grad["emb"][sorted_tokens[first]] += np.add.reduceat(np.matmul(gx_t, p["wx"].T).reshape(-1, d).take(order, axis=0), first)
 
 
 def lanes(docs: list[np.ndarray], end: int, n_lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -297,6 +302,23 @@ def lanes(docs: list[np.ndarray], end: int, n_lanes: int) -> Iterator[tuple[np.n
         yield x[at:stop, :k], x[at + 1 : stop + 1, :k], begin[at:stop, :k], who[at:stop, :k]
 
 
+def _adam(p: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, step: np.ndarray, clip: float, scale: float) -> None:
+    """One step of Adam; overwrites ``g`` and ``step``. ``m`` and ``v`` hold ten times the
+    mean of the gradients and a hundred times that of their squares."""
+    if clip < 1:
+        g *= clip
+    m *= 0.9
+    m += g
+    v *= 0.99
+    g *= g
+    v += g
+    np.sqrt(v, out=step)
+    step += 1e-7
+    np.divide(m, step, out=step)
+    step *= scale
+    p -= step
+
+
 def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float, adam: dict) -> int:
     """One pass over ``docs``, changing ``net``; returns the tokens seen.
     ``adam`` carries the moments from call to call."""
@@ -304,7 +326,7 @@ def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float,
     whole, grad = net.zeros()
     if "m" not in adam:
         adam |= {"t": 0, "m": np.zeros_like(whole), "v": np.zeros_like(whole)}
-    m, v, step = adam["m"], adam["v"], np.empty_like(whole)
+    m, v, step = adam["m"], adam["v"], np.empty(STRETCH, whole.dtype)
     for x, y, begin, who in lanes(docs, end, n_lanes):
         if h is None:
             h = np.zeros((x.shape[1], DIM), np.float32)
@@ -312,22 +334,16 @@ def train(net: Net, docs: list[np.ndarray], end: int, n_lanes: int, rate: float,
         states, h = net.run(x, begin, h[: x.shape[1]], tape)
         valid = np.flatnonzero(who.ravel() >= 0)
         whole.fill(0)
-        net.log_probs(states.reshape(-1, DIM)[valid], y.ravel()[valid], grad)
+        net.log_probs(states.reshape(-1, DIM).take(valid, axis=0), y.ravel().take(valid), grad)
         ds = np.zeros((who.size, DIM), np.float32)
         ds[valid] = grad.pop("s")
         net.back(x, tape, ds.reshape(*who.shape, DIM), grad)
-        whole *= min(1.0, CLIP / (np.sqrt(float(np.vdot(whole, whole))) + 1e-12))
+        length = np.sqrt(float(np.vdot(whole, whole)))
         adam["t"] = t = adam["t"] + 1
-        m *= 0.9
-        m += np.multiply(whole, 0.1, out=step)
-        v *= 0.99
-        whole *= whole
-        v += np.multiply(whole, 0.01, out=step)
-        np.sqrt(v, out=step)
-        step += 1e-8
-        np.divide(m, step, out=step)
-        step *= np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
-        net.all -= step
+        scale = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
+        for at in range(0, len(whole), STRETCH):
+            here = slice(at, at + STRETCH)
+            _adam(net.all[here], whole[here], m[here], v[here], step[: len(whole) - at], CLIP / max(CLIP, length), scale)
         seen += len(valid)
     return seen
 
@@ -349,7 +365,7 @@ def score(net: Net, docs: list[np.ndarray], end: int, n_lanes: int = 256) -> np.
         states, h = net.run(x, begin, h)
         flat = who.ravel()
         valid = np.flatnonzero(flat >= 0)
-        held.append((states.reshape(-1, DIM)[valid], y.ravel()[valid], flat[valid]))
+        held.append((states.reshape(-1, DIM).take(valid, axis=0), y.ravel().take(valid), flat.take(valid)))
         if sum(len(part[1]) for part in held) >= SCORED:
             add()
     if held:

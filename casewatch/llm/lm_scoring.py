@@ -5,8 +5,8 @@ model, both learned from all training rows.
 Tokens: A-Z are lower-cased; words are runs of anything but blank and the
 characters 9-13; every text ends with one end token.
 
-1. Counts. Each task counts the tokens of its training texts, Spark adds them
-   up; the vocabulary is a staged table of any size.
+1. Counts. Each task splits its training texts with Arrow, a few MB at once, and
+   counts their tokens, Spark adds them up; the vocabulary is a staged table of any size.
 2. Model vocabulary. The most frequent tokens get an embedding and an output
    each; their number grows with the corpus (``model_size``), and the classes of
    the softmax with its root. All others share one symbol, and a token's share of
@@ -31,11 +31,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 from math import isqrt, log10
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ ROUNDS = 4
 RATES = (0.02, 0.01, 0.005, 0.0025)
 #: Training tokens a task should have at least in a round.
 TASK_TOKENS = 400_000
-#: Distinct tokens after which a counting task passes its counts on.
-FLUSH = 1_000_000
+#: Bytes of the texts split into tokens at once, and of the tokens counted at once.
+TEXT_BYTES, COUNT_BYTES = 1 << 22, 1 << 25
 #: Tokens trained on and scored at once. Scoring takes a text in one lane, so
 #: it wants many tokens beside the longest text; training starts long texts
 #: anew after SEGMENT tokens and needs less.
@@ -69,17 +70,49 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sums: Counter = Counter()
-    for df in batches:
-        for text in df["text"]:
-            sums.update(words(text))
-            if len(sums) > FLUSH:
-                yield pd.DataFrame({"token": list(sums), "n": list(sums.values())})
-                sums.clear()
-        sums[END] += len(df)
-    if sums:
-        yield pd.DataFrame({"token": list(sums), "n": list(sums.values())})
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of binary texts without nulls, one after the other, as ``words`` has
+    them, and where each text begins (and the last one ends)."""
+    # Arrow's ASCII functions look at bytes only, but are defined for strings.
+    as_string = pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pa.Array.from_buffers(as_string, len(texts), texts.buffers(), 0, texts.offset)))
+    n = np.where(pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0, 1, 0)
+    parts = pc.ascii_split_whitespace(texts)
+    n *= pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    flat = parts.flatten()
+    if not n.all():  # an empty text is split into one empty word
+        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
+    return flat.cast(pa.large_binary() if pa.types.is_large_string(flat.type) else pa.binary()), np.append(0, np.cumsum(n))
+
+
+def stretches(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in order, few enough at once for ``TEXT_BYTES``, at least one."""
+    ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(texts):
+        most = (ends[at - 1] if at else 0) + TEXT_BYTES
+        stop = max(at + 1, int(np.searchsorted(ends, most, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
+def _counted(tokens: list[pa.Array]) -> pa.RecordBatch:
+    sums = pa.chunked_array([t.cast(pa.large_binary()) for t in tokens], pa.large_binary()).value_counts()
+    return pa.RecordBatch.from_arrays([sums.field("values").cast(pa.binary()), sums.field("counts")], ["token", "n"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, ends = [], 0
+    for batch in batches:
+        ends += len(batch)
+        for texts in stretches(batch.column("text")):
+            held.append(tokens_of(texts)[0])
+            if sum(t.nbytes for t in held) >= COUNT_BYTES:
+                yield _counted(held)
+                held.clear()
+    if held:
+        yield _counted(held)
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], ["token", "n"])
 
 
 def model_size(distinct: int) -> int:
@@ -122,7 +155,7 @@ class Vocabulary:
 
 def learn_vocabulary(rows: DataFrame, work: Workspace) -> tuple[Vocabulary, DataFrame]:
     """The broadcast part and the whole table (token, n)."""
-    counts = rows.select("text").mapInPandas(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     vocab = work.put(counts, "vocabulary")
     total, distinct = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = most_frequent(vocab.where(F.octet_length("token") <= KNOWN_BYTES), "n", KNOWN).toPandas()
@@ -131,10 +164,15 @@ def learn_vocabulary(rows: DataFrame, work: Workspace) -> tuple[Vocabulary, Data
     return Vocabulary(tokens, top["n"].to_numpy(np.int64), int(total), int(distinct)), vocab
 
 
-def _ids(text: bytes | None, index: dict, symbol: np.ndarray) -> np.ndarray:
-    ws, other = words(text), len(symbol) - 1
-    raw = np.fromiter(map(index.get, ws, repeat(other)), np.int64, len(ws))
-    return symbol[np.minimum(raw, other)]
+def _look_up(tokens: pa.Array, known: pa.Array) -> np.ndarray:
+    """Place of each token in ``known``, or -1."""
+    return pc.fill_null(pc.index_in(tokens, value_set=known.cast(tokens.type)), -1).to_numpy()
+
+
+def _ids(texts: pa.Array, known: pa.Array, symbol: np.ndarray) -> list[np.ndarray]:
+    """The model's symbols of each text; ``known`` has the tokens with an own output."""
+    tokens, at = tokens_of(texts)
+    return np.split(symbol[_look_up(tokens, known)], at[1:-1]) if len(texts) else []  # -1: the last symbol
 
 
 def _chunks(docs: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -150,20 +188,21 @@ def _chunks(docs: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
 
 
 def _train_task(shared: Broadcast, rate: float, n_lanes: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, net = shared.value
         symbol = vocab.model_counts()[1]
         end = int(symbol[vocab.index[END]])
         net, adam, seen = net.unflat(net.flat()), {}, 0
-        index = {t: i for t, i in vocab.index.items() if i < vocab.size}
-        texts = (_ids(t, index, symbol) for df in batches for t in df["text"])
+        known = pa.array(list(vocab.index)[: vocab.size], pa.binary())
+        texts = (d for batch in batches for some in stretches(batch.column("text")) for d in _ids(some, known, symbol))
         docs = (d[i : i + SEGMENT] for d in texts for i in range(0, len(d) or 1, SEGMENT))
         for chunk in _chunks(docs):
             seen += lm.train(net, chunk, end, n_lanes, rate, adam)
         if seen:
             flat = net.flat()
             at = range(0, len(flat), BLOCK)
-            yield pd.DataFrame({"block": [i // BLOCK for i in at], "tokens": float(seen), "v": [flat[i : i + BLOCK] for i in at]})
+            blocks = pa.array([flat[i : i + BLOCK] for i in at], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK for i in at], pa.int32()), pa.array([float(seen)] * len(at)), blocks], ["block", "tokens", "v"])
 
     return run
 
@@ -179,14 +218,14 @@ def train(rows: DataFrame, vocab: Vocabulary, work: Workspace) -> lm.Net:
     """``rows`` has text and part (0 to ROUNDS - 1)."""
     spark = rows.sparkSession
     counts, _ = vocab.model_counts()
-    net = lm.Net.fresh(counts, max(CLASSES, isqrt(len(counts))))
+    net = lm.Net.fresh(counts, max(CLASSES, isqrt(len(counts) // 2)))
     shape = "block int, tokens double, v array<float>"
     tasks = int(max(1, vocab.total // ROUNDS // TASK_TOKENS))
     n_lanes = int(np.clip(vocab.total // ROUNDS // tasks // (lm.WINDOW * 100), 16, 320))
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast((vocab, net))
         part = rows.where(F.col("part") == r).select("text").coalesce(tasks)
-        sent = part.mapInPandas(_train_task(shared, RATES[r], n_lanes), shape).withColumn("task", F.spark_partition_id())
+        sent = part.mapInArrow(_train_task(shared, RATES[r], n_lanes), shape).withColumn("task", F.spark_partition_id())
         sent = work.put(sent, f"sent{r}")
         first = sent.groupBy("block", (F.col("task") % max(1, tasks // FAN)).alias("salt")).applyInPandas(_average, shape)
         mean = first.groupBy("block").applyInPandas(_average, shape).toPandas().sort_values("block")
@@ -206,26 +245,30 @@ def score(df: DataFrame, vocab: Vocabulary, net: lm.Net) -> DataFrame:
     @F.pandas_udf(shape)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocab, net = shared.value
-        index, size, symbol = vocab.index, vocab.size, vocab.model_counts()[1]
-        end_at = index[END]
+        size, symbol = vocab.size, vocab.model_counts()[1]
+        known_tokens, end_at = pa.array(list(vocab.index), pa.binary()), vocab.index[END]
         end = int(symbol[end_at])
         for batch in batches:
             out, docs, likelihood, waiting = [], [], [], 0
-            for text in batch:
-                ws = words(text)
-                raw = np.fromiter(map(index.get, ws, repeat(-1)), np.int64, len(ws))
-                found = raw[raw >= 0]
-                rest = Counter(t for t, i in zip(ws, raw.tolist(), strict=True) if i < 0) if len(found) < len(raw) else {}
-                beyond = found[found >= size]
-                base = vocab.base_log[found].sum() + vocab.base_log[end_at]
-                shares = vocab.base_log[beyond].sum() - len(raw[(raw < 0) | (raw >= size)]) * vocab.rest_scale
-                known = int((vocab.counts[found] > 0).sum()) + int(vocab.counts[end_at] > 0)
-                out.append((len(ws) + 1, known, base - (len(ws) + 1) * vocab.base_scale, shares, list(rest), list(rest.values())))
-                docs.append(symbol[np.where((raw < 0) | (raw >= size), size, raw)])
-                waiting += len(ws) + 1
-                if waiting >= SCORE_CHUNK:
-                    likelihood.append(lm.score(net, docs, end))
-                    docs, waiting = [], 0
+            for some in stretches(pa.array(batch, pa.binary())):
+                tokens, at = tokens_of(some)
+                places = _look_up(tokens, known_tokens)
+                unknown = np.flatnonzero(places < 0)
+                joined, cut = tokens.take(pa.array(unknown)).to_pylist(), np.searchsorted(unknown, at)
+                for i in range(len(some)):
+                    raw = places[at[i] : at[i + 1]]
+                    found = raw[raw >= 0]
+                    rest = Counter(joined[cut[i] : cut[i + 1]])
+                    beyond = found[found >= size]
+                    base = vocab.base_log[found].sum() + vocab.base_log[end_at]
+                    shares = vocab.base_log[beyond].sum() - len(raw[(raw < 0) | (raw >= size)]) * vocab.rest_scale
+                    known = int((vocab.counts[found] > 0).sum()) + int(vocab.counts[end_at] > 0)
+                    out.append((len(raw) + 1, known, base - (len(raw) + 1) * vocab.base_scale, shares, list(rest), list(rest.values())))
+                    docs.append(symbol[np.where((raw < 0) | (raw >= size), size, raw)])
+                    waiting += len(raw) + 1
+                    if waiting >= SCORE_CHUNK:
+                        likelihood.append(lm.score(net, docs, end))
+                        docs, waiting = [], 0
             likelihood.append(lm.score(net, docs, end))
             frame = pd.DataFrame(out, columns=["n_tokens", "known", "base", "model", "tokens", "times"])
             frame["model"] += np.concatenate(likelihood) / np.log(10)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from casewatch.llm import langid, lm, lm_scoring, toxicity
@@ -158,6 +159,46 @@ def test_lm_odd_rows(odd_docs, no_docs, work, monkeypatch):
     assert lm_scoring.log_likelihood(no_docs, work()).count() == 0
 
 
+def test_classes_make_a_token_need_few_outputs():
+    counts = 1e8 / np.arange(2, 14_002)
+    counts[0] = 0.4 * counts.sum()  # all tokens without an output of their own
+    share, bounds = counts / counts.sum(), lm.word_classes(counts, 84)
+    sizes = np.diff(bounds)
+    needed = len(sizes) + (np.add.reduceat(share, bounds[:-1]) * sizes * (sizes > 1)).sum()
+    assert len(sizes) >= 80 and bounds[-1] == len(counts)
+    assert needed < 1.1 * 2 * np.sqrt(share).sum()  # the least that two steps can need, nearly
+
+
+def test_optimiser_stretches_do_not_change_the_training(monkeypatch):
+    docs = [np.random.default_rng(i).integers(0, 9, 40).astype(np.int32) for i in range(20)]
+    nets = []
+    for stretch in (1 << 20, 7):
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+        nets.append(lm.Net.fresh(np.arange(9, 0, -1.0), 3))
+        before, adam = nets[-1].flat(), {}
+        lm.train(nets[-1], docs, 0, 4, 0.02, adam)
+        lm.train(nets[-1], docs, 0, 4, 0.02, adam)
+    assert np.allclose(nets[0].all, nets[1].all, atol=1e-6) and np.abs(nets[0].all - before).max() > 0.01
+
+
+@pytest.mark.parametrize("kind", [pa.binary(), pa.large_binary()])
+def test_arrow_tokens_are_the_words(kind, monkeypatch):
+    texts = [b"", b" \t", b"Aa\x0bB\x0c c  ", *(b"x" + bytes([b]) + b"Y" for b in range(256)), b"", b"\xc3\x89\xff \x00 \x85\x1c"]
+    column = pa.array([b"sliced off", *texts], kind).slice(1)
+    tokens, at = lm_scoring.tokens_of(column)
+    tokens = tokens.to_pylist()
+    assert [tokens[a:b] for a, b in zip(at[:-1], at[1:], strict=True)] == [lm_scoring.words(t) for t in texts]
+    monkeypatch.setattr(lm_scoring, "TEXT_BYTES", 5)
+    parts = list(lm_scoring.stretches(column))
+    assert len(parts) > 100 and pa.concat_arrays(parts).equals(column)
+    monkeypatch.setattr(lm_scoring, "COUNT_BYTES", 40)
+    counted = Counter()
+    for batch in lm_scoring._count([pa.RecordBatch.from_arrays([column], ["text"])]):
+        for token, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            counted[token] += n
+    assert counted == Counter(tokens) + Counter({lm_scoring.END: len(texts)})
+
+
 def test_model_vocabulary_grows_with_the_corpus():
     tokens = [b" ", *(b"w%d" % i for i in range(9_999))]
     counts = np.arange(10_000, 0, -1)
